@@ -32,6 +32,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(SCALE_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
