@@ -6,4 +6,24 @@ from tallyspark.plans import sales
 
 QUERIES = {
     "customer_dashboard": sales.customer_dashboard,
+    "customer_totals": sales.customer_totals,
+    "above_avg_orders": sales.above_avg_orders,
+    "max_order_per_customer_ties": sales.max_order_per_customer_ties,
+    "above_avg_customers": sales.above_avg_customers,
+    "rank_customers": sales.rank_customers,
+    "dense_rank_customers": sales.dense_rank_customers,
+    "customer_quartile": sales.customer_quartile,
+    "customer_scorecard": sales.customer_scorecard,
+    "order_sequence": sales.order_sequence,
+    "dense_top3": sales.dense_top3,
+    "rank_top5": sales.rank_top5,
+    "rank_bottom5": sales.rank_bottom5,
+    "single_order_customers": sales.single_order_customers,
+    "above_avg_margin": sales.above_avg_margin,
+    "top_order_per_customer": sales.top_order_per_customer,
+    "top_k_orders": sales.top_k_orders,
+    "star_dim_customer": sales.star_dim_customer,
+    "star_dim_product": sales.star_dim_product,
+    "star_fact": sales.star_fact,
+    "dim_key_conflicts": sales.dim_key_conflicts,
 }
