@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspark.plans import sales
+from tallyspark.plans import retail, sales
 
 QUERIES = {
     "customer_dashboard": sales.customer_dashboard,
@@ -26,4 +26,45 @@ QUERIES = {
     "star_dim_product": sales.star_dim_product,
     "star_fact": sales.star_fact,
     "dim_key_conflicts": sales.dim_key_conflicts,
+    "scan_parquet": retail.scan_parquet,
+    "project_cols": retail.project_cols,
+    "distinct_values": retail.distinct_values,
+    "head_n": retail.head_n,
+    "tail_n": retail.tail_n,
+    "sort_multi": retail.sort_multi,
+    "filter_eq": retail.filter_eq,
+    "filter_range": retail.filter_range,
+    "filter_and": retail.filter_and,
+    "filter_or": retail.filter_or,
+    "filter_between_date": retail.filter_between_date,
+    "filter_date_halfopen": retail.filter_date_halfopen,
+    "date_parts": retail.date_parts,
+    "round_abs": retail.round_abs,
+    "global_agg": retail.global_agg,
+    "agg_by_status": retail.agg_by_status,
+    "agg_by_segment": retail.agg_by_segment,
+    "price_range_by_type": retail.price_range_by_type,
+    "having_avg": retail.having_avg,
+    "revenue_by_category": retail.revenue_by_category,
+    "status_pivot": retail.status_pivot,
+    "status_summary": retail.status_summary,
+    "price_tier": retail.price_tier,
+    "table_row_counts": retail.table_row_counts,
+    "executive_kpis": retail.executive_kpis,
+    "join_inner": retail.join_inner,
+    "join_three_way": retail.join_three_way,
+    "join_left": retail.join_left,
+    "join_right": retail.join_right,
+    "join_full_audit": retail.join_full_audit,
+    "orphan_items": retail.orphan_items,
+    "orders_without_items": retail.orders_without_items,
+    "dq_duplicate_key": retail.dq_duplicate_key,
+    "dq_range": retail.dq_range,
+    "dq_domain": retail.dq_domain,
+    "dq_length": retail.dq_length,
+    "revenue_reconcile": retail.revenue_reconcile,
+    "apply_updates": retail.apply_updates,
+    "append_rows": retail.append_rows,
+    "inline_values": retail.inline_values,
+    "cross_pivot": retail.cross_pivot,
 }
