@@ -22,16 +22,20 @@ def coerce_numeric(df: DataFrame, cols, to: str = "double") -> DataFrame:
 
 def parse_dates(df: DataFrame, cols, fmt: str = "yyyy-MM-dd") -> DataFrame:
     """String -> DATE; malformed values become NULL instead of failing the job."""
-    return df.withColumns({c: F.try_to_date(F.col(c), F.lit(fmt)) for c in cols})
+    return df.withColumns({c: F.try_to_date(F.col(c), fmt) for c in cols})
 
 
 def _mean_expr(c: str, dtype: str, decimals: int, int_mode: str) -> Column:
+    """Column mean from an exact decimal sum, rounded half-up to ``decimals``.
+    Integer columns: ``half_up`` rounds to a whole number; ``truncate`` keeps the
+    rounded-to-``decimals`` mean and drops the fraction, as filling an int column with a
+    float does."""
     x = F.col(c)
-    if dtype in INTEGRAL:
-        mean = F.sum(x).cast("double") / F.count(x)
-        rounded = F.round(mean, 0) if int_mode == "half_up" else mean
-        return rounded.cast(dtype)  # "truncate" drops the fraction like fillna on an int
     exact = F.sum(x.cast("decimal(18,2)")) / F.count(x)
+    if dtype in INTEGRAL:
+        if int_mode == "half_up":
+            return F.round(exact, 0).cast(dtype)
+        return F.round(exact, decimals).cast(dtype)
     return F.round(exact, decimals).cast(dtype)
 
 

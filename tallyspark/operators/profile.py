@@ -57,17 +57,36 @@ def profile_columns(df: DataFrame, cols=None) -> DataFrame:
                        F.col("__total").alias("total_rows"))
 
 
-def describe_numeric(df: DataFrame, cols, exact_money: bool = False) -> DataFrame:
+def exact_moments(x, scale: int = 2):
+    """(mean, sample stddev) from exact decimal sums of x, x*x and the count.
+
+    For columns with at most ``scale`` decimals the sums are exact and order-independent,
+    so the result does not drift with partitioning; the final division and square root
+    are single IEEE operations.  Decimal overflow raises (ANSI) instead of going wrong."""
+    xd = x.cast(f"decimal(18,{scale})")
+    n = F.count(x)
+    s1 = F.sum(xd)
+    s2 = F.sum(xd * xd)
+    mean = s1.cast("double") / n
+    num = (n * s2 - s1 * s1).cast("double")
+    std = F.when(n > 1, F.sqrt(num / (n * (n - 1)).cast("double")))
+    return mean, std
+
+
+def describe_numeric(df: DataFrame, cols, exact: bool = True) -> DataFrame:
     """Typed describe(): (column_name, count, mean, stddev, min, max) per column, one pass.
 
-    With ``exact_money`` the mean uses an exact decimal sum (columns with 2 decimals)."""
+    ``exact`` uses exact decimal moments (columns with at most 2 decimals); otherwise the
+    built-in streaming avg / stddev_samp."""
     aggs = []
     for c in cols:
         x = F.col(c)
-        mean = (F.sum(x.cast("decimal(18,2)")).cast("double") / F.count(x)) if exact_money \
-            else F.avg(x.cast("double"))
+        if exact:
+            mean, std = exact_moments(x)
+        else:
+            mean, std = F.avg(x.cast("double")), F.stddev_samp(x.cast("double"))
         aggs += [F.count(x).alias(f"{c}__count"), mean.alias(f"{c}__mean"),
-                 F.stddev_samp(x.cast("double")).alias(f"{c}__stddev"),
+                 std.alias(f"{c}__stddev"),
                  F.min(x).cast("double").alias(f"{c}__min"),
                  F.max(x).cast("double").alias(f"{c}__max")]
     wide = df.agg(*aggs)
@@ -123,7 +142,7 @@ def top_value(df: DataFrame, c: str) -> DataFrame:
 STAT_COLS = ("mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def describe_all(df: DataFrame, cols) -> DataFrame:
+def describe_all(df: DataFrame, cols, exact: bool = True) -> DataFrame:
     """describe(include='all'): one row per column with count, unique, top, freq, mean,
     std, min, quartiles, max.  Numeric statistics are NULL for string columns and
     top/freq NULL for numeric ones.
@@ -141,7 +160,8 @@ def describe_all(df: DataFrame, cols) -> DataFrame:
         aggs += [F.count(x).alias(f"{c}__count"), F.count_distinct(x).alias(f"{c}__unique")]
         if types[c] in NUMERIC:
             xd = x.cast("double")
-            aggs += [F.avg(xd).alias(f"{c}__mean"), F.stddev_samp(xd).alias(f"{c}__std"),
+            mean, std = exact_moments(x) if exact else (F.avg(xd), F.stddev_samp(xd))
+            aggs += [mean.alias(f"{c}__mean"), std.alias(f"{c}__std"),
                      F.min(xd).alias(f"{c}__min"), F.max(xd).alias(f"{c}__max")]
     wide = df.agg(*aggs).collect()[0].asDict()
     rows = []

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspark.plans import retail, sales
+from tallyspark.plans import retail, sales, staff
 
 QUERIES = {
     "customer_dashboard": sales.customer_dashboard,
@@ -67,4 +67,27 @@ QUERIES = {
     "append_rows": retail.append_rows,
     "inline_values": retail.inline_values,
     "cross_pivot": retail.cross_pivot,
+    "staff_by_department": staff.staff_by_department,
+    "cross_segment_region": staff.cross_segment_region,
+    "salary_band": staff.salary_band,
+    "experience_level": staff.experience_level,
+    "bonus": staff.bonus,
+    "rename_cast": staff.rename_cast,
+    "parse_date": staff.parse_date,
+    "tenure_months": staff.tenure_months,
+    "impute_mean": staff.impute_mean,
+    "impute_approx_median": staff.impute_approx_median,
+    "fill_constants": staff.fill_constants,
+    "impute_by_dtype": staff.impute_by_dtype,
+    "drop_null_rows": staff.drop_null_rows,
+    "dedup_exact": staff.dedup_exact,
+    "dedup_subset_keep_first": staff.dedup_subset_keep_first,
+    "dup_report": staff.dup_report,
+    "null_counts": staff.null_counts,
+    "missing_report": staff.missing_report,
+    "clean_verify": staff.clean_verify,
+    "describe_numeric": staff.describe_numeric,
+    "staff_detail_pipeline": staff.staff_detail_pipeline,
+    "staff_summary_pipeline": staff.staff_summary_pipeline,
+    "staff_enrich_pipeline": staff.staff_enrich_pipeline,
 }
