@@ -143,7 +143,7 @@ STAT_COLS = ("mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def describe_all(df: DataFrame, cols, exact: bool = True) -> DataFrame:
-    """describe(include='all'): one row per column with count, unique, top, freq, mean,
+    """describe(include='all'): one row per column with count, n_unique, top, freq, mean,
     std, min, quartiles, max.  Numeric statistics are NULL for string columns and
     top/freq NULL for numeric ones.
 
@@ -166,7 +166,7 @@ def describe_all(df: DataFrame, cols, exact: bool = True) -> DataFrame:
     wide = df.agg(*aggs).collect()[0].asDict()
     rows = []
     for c in cols:
-        r = {"column_name": c, "count": wide[f"{c}__count"], "unique": wide[f"{c}__unique"],
+        r = {"column_name": c, "count": wide[f"{c}__count"], "n_unique": wide[f"{c}__unique"],
              "top": None, "freq": None}
         if types[c] in NUMERIC:
             q = exact_quantiles(df, c).collect()[0]
@@ -180,7 +180,7 @@ def describe_all(df: DataFrame, cols, exact: bool = True) -> DataFrame:
         rows.append(r)
     schema = T.StructType(
         [T.StructField("column_name", T.StringType()), T.StructField("count", T.LongType()),
-         T.StructField("unique", T.LongType()), T.StructField("top", T.StringType()),
+         T.StructField("n_unique", T.LongType()), T.StructField("top", T.StringType()),
          T.StructField("freq", T.LongType())]
         + [T.StructField(s, T.DoubleType()) for s in STAT_COLS])
     return df.sparkSession.createDataFrame([tuple(r[f.name] for f in schema.fields) for r in rows],

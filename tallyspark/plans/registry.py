@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspark.plans import retail, sales, staff
+from tallyspark.plans import cleaning, retail, sales, staff
 
 QUERIES = {
     "customer_dashboard": sales.customer_dashboard,
@@ -90,4 +90,12 @@ QUERIES = {
     "staff_detail_pipeline": staff.staff_detail_pipeline,
     "staff_summary_pipeline": staff.staff_summary_pipeline,
     "staff_enrich_pipeline": staff.staff_enrich_pipeline,
+    "coerce_numeric": cleaning.coerce_numeric,
+    "impute_median": cleaning.impute_median,
+    "impute_mode": cleaning.impute_mode,
+    "derive_amount": cleaning.derive_amount,
+    "clean_orders_pipeline": cleaning.clean_orders_pipeline,
+    "dense_row_id": cleaning.dense_row_id,
+    "profile_columns": cleaning.profile_columns,
+    "describe_all": cleaning.describe_all,
 }
