@@ -47,9 +47,10 @@ def duplicate_keys(df: DataFrame, key) -> DataFrame:
 
 
 def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child rows whose reference has no parent row (LEFT ANTI join)."""
+    """Child rows whose (non-NULL) reference has no parent row (LEFT ANTI join)."""
     p = parent.select(F.col(parent_col).alias("__pk"))
-    return child.join(p, child[child_col] == p["__pk"], "left_anti")
+    return child.filter(F.col(child_col).isNotNull()) \
+        .join(p, F.col(child_col) == p["__pk"], "left_anti")
 
 
 def run_suite(df: DataFrame, table: str, rules) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspark.plans import cleaning, retail, sales, staff
+from tallyspark.plans import cleaning, io_jobs, retail, sales, staff
 
 QUERIES = {
     "customer_dashboard": sales.customer_dashboard,
@@ -98,4 +98,20 @@ QUERIES = {
     "dense_row_id": cleaning.dense_row_id,
     "profile_columns": cleaning.profile_columns,
     "describe_all": cleaning.describe_all,
+    "csv_schema_roundtrip": io_jobs.csv_schema_roundtrip,
+    "csv_infer_roundtrip": io_jobs.csv_infer_roundtrip,
+    "parquet_roundtrip": io_jobs.parquet_roundtrip,
+    "bulk_load_typed": io_jobs.bulk_load_typed,
+    "csv_single_file": io_jobs.csv_single_file,
+    "partitioned_roundtrip": io_jobs.partitioned_roundtrip,
+    "partition_inventory": io_jobs.partition_inventory,
+    "format_compare": io_jobs.format_compare,
+    "file_metadata": io_jobs.file_metadata,
+    "guarded_copy": io_jobs.guarded_copy,
+    "copy_verify": io_jobs.copy_verify,
+    "copy_report": io_jobs.copy_report,
+    "pushdown_scan": io_jobs.pushdown_scan,
+    "staged_load": io_jobs.staged_load,
+    "validate_split": io_jobs.validate_split,
+    "dq_suite": io_jobs.dq_suite,
 }
