@@ -114,4 +114,10 @@ QUERIES = {
     "staged_load": io_jobs.staged_load,
     "validate_split": io_jobs.validate_split,
     "dq_suite": io_jobs.dq_suite,
+    "filter_in": staff.filter_in,
+    "filter_null": staff.filter_null,
+    "filter_sql_expr": staff.filter_sql_expr,
+    "dq_not_null": staff.dq_not_null,
+    "buyer_type": sales.buyer_type,
+    "sales_tier": sales.sales_tier,
 }

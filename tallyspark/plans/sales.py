@@ -310,3 +310,15 @@ def dim_key_conflicts(spark, sf_dir):
     return (d.groupBy("product_name")
              .agg(F.count_distinct(F.struct("category", "sub_category")).alias("variants"))
              .filter(F.col("variants") > 1))
+
+
+def buyer_type(spark, sf_dir):
+    m = S.customer_sales(Tables(spark, sf_dir))
+    return m.select("customer_id", "total_orders", tiers.buyer_type("total_orders").alias("buyer_type"))
+
+
+def sales_tier(spark, sf_dir):
+    m = _with_avg(S.customer_sales(Tables(spark, sf_dir)))
+    above = F.col("total_sales_dec") * F.col("n_cust") > F.col("sum_all")
+    return m.select("customer_id", F.col("total_sales_dec").cast("double").alias("total_sales"),
+                    tiers.sales_tier(above).alias("sales_tier"))

@@ -198,3 +198,27 @@ def staff_enrich_pipeline(spark, sf_dir, as_of: str = DEFAULT_AS_OF):
                       & (F.col("rating") >= ENRICH_MIN_RATING)).select(
         "emp_id", "employee_name", "department", "salary", "annual_bonus", "salary_band",
         "work_location", "experience_years", "rating", "tenure_months")
+
+
+def filter_in(spark, sf_dir):
+    st = _staff(spark, sf_dir)
+    return st.filter((F.col("department") == "MACHINERY") & F.col("city").isin("NATION_1", "NATION_3")
+                     & (F.col("experience_years") >= 5)) \
+        .select("name", "city", "experience_years", "salary")
+
+
+def filter_null(spark, sf_dir):
+    return _staff(spark, sf_dir, dirty=True).filter(F.col("salary").isNull())
+
+
+def filter_sql_expr(spark, sf_dir):
+    return _staff(spark, sf_dir).filter("rating >= 4.5").select("name", "department", "rating")
+
+
+def dq_not_null(spark, sf_dir):
+    """NOT NULL constraints as rules: rows breaking any of them, with the rule names."""
+    from tallyspark.operators import quality as Q
+    st = _staff(spark, sf_dir, dirty=True)
+    rules = [Q.Rule(f"{c}_not_null", "not_null", c) for c in ("name", "age", "salary", "rating")]
+    return Q.split_valid(st, rules).filter(F.col("reject_reason").isNotNull()) \
+        .select("emp_id", "reject_reason")
