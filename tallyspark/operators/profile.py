@@ -108,25 +108,30 @@ def exact_quantiles(df: DataFrame, c: str, qs=(0.25, 0.5, 0.75),
     only the rows at the (at most 2 per quantile) needed positions reach the final
     aggregate -- no task ever holds the whole column.
     """
-    from tallyspark.operators.ranking import global_order
+    from tallyspark.operators.ranking import rows_at_positions
 
     vals = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    ranked = global_order(vals, ["v"], materialize_input=materialize_input)
-    n = ranked.count()
-    wanted, aggs = set(), []
+    if materialize_input:
+        from tallyspark.operators.materialize import materialize
+        vals = materialize(vals)
+    n = vals.count()
+    if n == 0:
+        return df.sparkSession.range(1).select(
+            *[F.lit(None).cast("double").alias(f"q{round(q * 100)}") for q in qs])
+    plan, wanted = [], set()
     for q in qs:
         pos = (n - 1) * q
         lo = int(pos)
         hi = min(lo + 1, n - 1) if pos > lo else lo
-        frac = pos - lo
+        plan.append((q, lo + 1, hi + 1, pos - lo))
         wanted.update({lo + 1, hi + 1})
-        v_lo = F.max(F.when(F.col("_g_rn") == lo + 1, F.col("v")))
-        v_hi = F.max(F.when(F.col("_g_rn") == hi + 1, F.col("v")))
+    picked = rows_at_positions(vals, ["v"], sorted(wanted))
+    aggs = []
+    for q, lo, hi, frac in plan:
+        v_lo = F.max(F.when(F.col("_pos") == lo, F.col("v")))
+        v_hi = F.max(F.when(F.col("_pos") == hi, F.col("v")))
         aggs.append((v_lo + (v_hi - v_lo) * F.lit(frac)).alias(f"q{round(q * 100)}"))
-    if n == 0:
-        return df.sparkSession.range(1).select(
-            *[F.lit(None).cast("double").alias(f"q{round(q * 100)}") for q in qs])
-    return ranked.filter(F.col("_g_rn").isin(sorted(wanted))).agg(*aggs)
+    return picked.agg(*aggs)
 
 
 def top_value(df: DataFrame, c: str) -> DataFrame:

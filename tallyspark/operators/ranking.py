@@ -18,6 +18,7 @@ bucket of a row is a pure function of its values and every pass over the input a
 
 from __future__ import annotations
 
+import functools
 import math
 from dataclasses import dataclass
 
@@ -54,6 +55,28 @@ def _keys(spec) -> list[Key]:
     return out
 
 
+def _sort_rows(rows, keys: list[Key]):
+    """Sort collected rows exactly as Spark orders them (nulls last, per-key direction;
+    strings by code point = UTF-8 binary order).  Used on the bounded sample only."""
+
+    def cmp(a, b):
+        for k in keys:
+            x, y = a[k.name], b[k.name]
+            if x is None and y is None:
+                continue
+            if x is None:
+                return 1
+            if y is None:
+                return -1
+            if x == y:
+                continue
+            r = -1 if x < y else 1
+            return -r if k.desc else r
+        return 0
+
+    return sorted(rows, key=functools.cmp_to_key(cmp))
+
+
 def _lit(value, dtype) -> Column:
     return F.lit(value).cast(dtype)
 
@@ -77,15 +100,6 @@ def _less(keys: list[Key], types: dict, row_vals: dict) -> Column:
     return result
 
 
-def _equal(keys: list[Key], types: dict, vals: dict) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        v = vals[k.name]
-        c = F.col(k.name)
-        cond = cond & (c.isNull() if v is None else F.coalesce(c == _lit(v, types[k.name]), F.lit(False)))
-    return cond
-
-
 def _bucket_expr(keys, types, bounds) -> Column:
     """Number of boundaries <= row, as a balanced CASE tree (log2 k comparisons per row)."""
 
@@ -107,37 +121,67 @@ def _long_array(values) -> Column:
     return F.array(*[F.lit(int(v)).cast("bigint") for v in values])
 
 
-def global_order(df: DataFrame, keys, rank_prefixes=(), ntiles=(), buckets: int | None = None,
-                 materialize_input: bool = True, prefix: str = "_g") -> DataFrame:
-    """Add ``{prefix}_rn`` (1-based position in the total order ``keys``), and for each
-    ``L`` in ``rank_prefixes`` the RANK / DENSE_RANK over the first ``L`` keys
-    (``{prefix}_rank{L}``, ``{prefix}_dense{L}``), and ``{prefix}_ntile{t}`` for each t.
-
-    ``keys`` must make the order total (end with a unique tie-break) for ``_rn``/NTILE to
-    be deterministic; RANK/DENSE_RANK only depend on the first ``L`` keys.
-    """
+def _boundaries(df: DataFrame, keys: list[Key], buckets, materialize_input: bool):
+    """Row count and up to k-1 strictly increasing boundary tuples from a bounded sample
+    (at most ``k * OVERSAMPLE * 1.5`` rows reach the driver)."""
     spark = df.sparkSession
-    keys = _keys(keys)
     names = [k.name for k in keys]
     if materialize_input:
         df = materialize(df)
     types = {f.name: f.dataType for f in df.schema.fields}
     n = df.count()
     k = buckets or _choose_buckets(spark, max(n, 1))
-    levels = sorted(set(int(x) for x in rank_prefixes))
-
     bounds: list[dict] = []
     if n > 0 and k > 1:
         frac = min(1.0, 1.5 * k * OVERSAMPLE / n)
-        sample = (df.select(*names).sample(False, frac, seed=SAMPLE_SEED)
-                  .orderBy(*[key.sort_col() for key in keys]).collect())
-        picked = []
+        sample = _sort_rows([r.asDict() for r in
+                             df.select(*names).sample(False, frac, seed=SAMPLE_SEED).collect()], keys)
         for i in range(1, k):
-            if sample:
-                picked.append(sample[(i * len(sample)) // k].asDict())
-        for row in picked:  # strictly increasing boundaries only
+            if not sample:
+                break
+            row = sample[(i * len(sample)) // k]
             if not bounds or any(row[c] != bounds[-1][c] for c in names):
                 bounds.append(row)
+    return df, types, n, bounds
+
+
+def rows_at_positions(df: DataFrame, keys, positions, buckets: int | None = None,
+                      materialize_input: bool = False, rn: str = "_pos") -> DataFrame:
+    """The rows at the given 1-based positions of the order ``keys`` (with column ``rn``).
+    Only the buckets that contain a wanted position are sorted."""
+    keys = _keys(keys)
+    df, types, n, bounds = _boundaries(df, keys, buckets, materialize_input)
+    bucket = "_bk"
+    data = df.withColumn(bucket, _bucket_expr(keys, types, bounds) if bounds else F.lit(0))
+    counts = {r[bucket]: r["n"] for r in
+              data.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).collect()}
+    nb = len(bounds) + 1
+    offsets, acc = [], 0
+    for b in range(nb):
+        offsets.append(acc)
+        acc += int(counts.get(b, 0))
+    need = sorted({b for p in positions for b in range(nb)
+                   if offsets[b] < p <= offsets[b] + int(counts.get(b, 0))})
+    w = Window.partitionBy(bucket).orderBy(*[key.sort_col() for key in keys])
+    picked = (data.filter(F.col(bucket).isin(need) if need else F.lit(False))
+                  .withColumn(rn, F.get(_long_array(offsets), F.col(bucket)) + F.row_number().over(w))
+                  .filter(F.col(rn).isin(sorted(set(positions)))))
+    return picked.drop(bucket)
+
+
+def global_order(df: DataFrame, keys, rank_prefixes=(), ntiles=(), buckets: int | None = None,
+                 materialize_input: bool = True, prefix: str = "_g",
+                 dense: bool = True) -> DataFrame:
+    """Add ``{prefix}_rn`` (1-based position in the total order ``keys``), and for each
+    ``L`` in ``rank_prefixes`` the RANK / DENSE_RANK over the first ``L`` keys
+    (``{prefix}_rank{L}``, ``{prefix}_dense{L}``), and ``{prefix}_ntile{t}`` for each t.
+
+    ``keys`` must make the order total (end with a unique tie-break) for ``_rn``/NTILE to
+    be deterministic; RANK/DENSE_RANK only depend on the first ``L`` keys.
+    """
+    keys = _keys(keys)
+    df, types, n, bounds = _boundaries(df, keys, buckets, materialize_input)
+    levels = sorted(set(int(x) for x in rank_prefixes))
     m = len(bounds)
     bucket = "_bk"
     data = df.withColumn(bucket, _bucket_expr(keys, types, bounds) if m else F.lit(0))
@@ -146,7 +190,8 @@ def global_order(df: DataFrame, keys, rank_prefixes=(), ntiles=(), buckets: int
     aggs = [F.count(F.lit(1)).alias("n")]
     for L in levels:
         lk = keys[:L]
-        aggs.append(F.count_distinct(F.struct(*[F.col(x.name) for x in lk])).alias(f"d{L}"))
+        if dense:
+            aggs.append(F.count_distinct(F.struct(*[F.col(x.name) for x in lk])).alias(f"d{L}"))
         if m:
             nxt_arr = F.array(*[F.struct(*[_lit(b[x.name], types[x.name]).alias(x.name) for x in lk])
                                 for b in bounds])
@@ -187,16 +232,18 @@ def global_order(df: DataFrame, keys, rank_prefixes=(), ntiles=(), buckets: int
             distinct_before[b] = sum(d[:b]) - sum(1 for x in range(b - 1) if e[x] > 0)
         w_l = Window.partitionBy(bucket).orderBy(*[key.sort_col() for key in keys[:L]])
         lr, ld = f"_lrk{L}", f"_ldr{L}"
-        out = out.withColumn(lr, F.rank().over(w_l)).withColumn(ld, F.dense_rank().over(w_l))
+        out = out.withColumn(lr, F.rank().over(w_l))
         tb = F.get(_long_array(ties_before), F.col(bucket))
+        # the leading tie group of a bucket is exactly the rows with local rank 1
         out = out.withColumn(
             f"{prefix}_rank{L}",
             F.get(_long_array(offsets), F.col(bucket)) + F.col(lr)
-            - F.when(F.col(ld) == 1, tb).otherwise(F.lit(0)))
-        out = out.withColumn(
-            f"{prefix}_dense{L}",
-            F.get(_long_array(distinct_before), F.col(bucket))
-            - F.when(tb > 0, 1).otherwise(0) + F.col(ld))
+            - F.when(F.col(lr) == 1, tb).otherwise(F.lit(0)))
+        if dense:
+            out = out.withColumn(ld, F.dense_rank().over(w_l)).withColumn(
+                f"{prefix}_dense{L}",
+                F.get(_long_array(distinct_before), F.col(bucket))
+                - F.when(tb > 0, 1).otherwise(0) + F.col(ld))
         tmp_cols += [lr, ld]
     for t in ntiles:
         out = out.withColumn(f"{prefix}_ntile{t}", ntile_from_rn(F.col(f"{prefix}_rn"), n, t))
@@ -215,13 +262,24 @@ def ntile_from_rn(rn: Column, n: int, t: int) -> Column:
 
 
 def partitioned_row_number(df: DataFrame, partition_cols, order_keys, prefix: str = "_p",
-                           buckets: int | None = None) -> DataFrame:
-    """ROW_NUMBER() OVER (PARTITION BY p ORDER BY o) that stays balanced when one partition
-    value holds a large share of the rows: a global order on (p, o) where the position
-    inside the partition is ``rn - rows_before_partition`` and ``rows_before_partition``
-    is RANK over the partition columns minus one."""
+                           buckets: int | None = None,
+                           hot_rows: int = ROWS_PER_BUCKET) -> DataFrame:
+    """ROW_NUMBER() OVER (PARTITION BY p ORDER BY o), skew-aware.
+
+    One aggregate finds the largest partition (map-side combined).  If no partition
+    value holds more than ``hot_rows`` rows the ordinary hash-partitioned window is used
+    (each value's rows fit one task).  Otherwise a global order on (p, o) is built with
+    the bucketed ordering, which splits hot values across buckets; the position inside
+    the partition is ``rn - rows_before_partition`` where ``rows_before_partition`` is
+    RANK over the partition columns minus one."""
     pk = [Key(c) for c in partition_cols]
     ok = _keys(order_keys)
-    g = global_order(df, pk + ok, rank_prefixes=(len(pk),), buckets=buckets, prefix="_pg")
+    biggest = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("n")) \
+        .agg(F.max("n").alias("m")).collect()[0]["m"] or 0
+    if biggest <= hot_rows and buckets is None:
+        w = Window.partitionBy(*partition_cols).orderBy(*[k.sort_col() for k in ok])
+        return df.withColumn(f"{prefix}_rn", F.row_number().over(w).cast("bigint"))
+    g = global_order(df, pk + ok, rank_prefixes=(len(pk),), buckets=buckets, prefix="_pg",
+                     dense=False)
     return (g.withColumn(f"{prefix}_rn", F.col("_pg_rn") - F.col(f"_pg_rank{len(pk)}") + 1)
-            .drop("_pg_rn", f"_pg_rank{len(pk)}", f"_pg_dense{len(pk)}"))
+            .drop("_pg_rn", f"_pg_rank{len(pk)}"))

@@ -48,13 +48,17 @@ def _totals_with_names(t: Tables, with_profit: bool = False) -> DataFrame:
 
 
 def top_k_ranked(df: DataFrame, value: str, k: int, descending: bool = True,
-                 dense: bool = False, rank_name: str = "rnk") -> DataFrame:
+                 dense: bool = False, rank_name: str = "rnk",
+                 materialize_input: bool = True) -> DataFrame:
     """Rows whose RANK (or DENSE_RANK) by ``value`` is <= k, ties kept, with the rank.
 
     The k best values come from a distributed top-k (per-partition partial top-k, then a
     merge of at most k rows per partition); they are the only rows that can outrank a
     kept row, so rank = 1 + (number of those k values strictly better).  No window over
     the whole set, and a value repeated in millions of rows costs nothing extra."""
+    if materialize_input:  # read twice below (top-k values, then the filter)
+        from tallyspark.operators.materialize import materialize
+        df = materialize(df)
     order = F.col(value).desc() if descending else F.col(value).asc()
     src = df.select(value).filter(F.col(value).isNotNull())
     if dense:

@@ -54,3 +54,40 @@ def test_no_single_partition_exchange(spark):
     out = global_order(df, [("v", True), ("key", False)], rank_prefixes=(1,), buckets=4)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_partitioned_row_number_adaptive_plain_window(spark):
+    df = _frame(spark, 500)
+    ours = partitioned_row_number(df, ["grp"], [("v", True), ("key", False)])  # no hot group
+    w = Window.partitionBy("grp").orderBy(F.col("v").desc_nulls_last(), F.col("key"))
+    ref = df.withColumn("_p_rn", F.row_number().over(w))
+    assert ours.select("key", "_p_rn").exceptAll(ref.select("key", "_p_rn")).count() == 0
+
+
+def test_partitioned_row_number_hot_group_uses_buckets(spark):
+    df = _frame(spark, 600)
+    ours = partitioned_row_number(df, ["grp"], [("v", True), ("key", False)], hot_rows=10)
+    w = Window.partitionBy("grp").orderBy(F.col("v").desc_nulls_last(), F.col("key"))
+    ref = df.withColumn("_p_rn", F.row_number().over(w))
+    assert ours.select("key", "_p_rn").exceptAll(ref.select("key", "_p_rn")).count() == 0
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+    from tallyspark.operators.profile import exact_quantiles
+    df = _frame(spark, 1001)
+    vals = np.array([r[0] for r in df.select("v").collect() if r[0] is not None])
+    got = exact_quantiles(df, "v", (0.1, 0.25, 0.5, 0.75, 0.9)).collect()[0]
+    for q in (0.1, 0.25, 0.5, 0.75, 0.9):
+        assert abs(got[f"q{round(q * 100)}"] - float(np.quantile(vals, q))) < 1e-9
+
+
+def test_top_k_ranked_keeps_ties(spark):
+    from tallyspark.plans.sales import top_k_ranked
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([9, 9, 8, 7, 7, 7, 5, 1])], "id int, v int")
+    got = sorted((r["id"], r["rnk"]) for r in top_k_ranked(df, "v", 3).collect())
+    assert got == [(0, 1), (1, 1), (2, 3)]
+    got = sorted((r["id"], r["rnk"]) for r in top_k_ranked(df, "v", 4).collect())
+    assert got == [(0, 1), (1, 1), (2, 3), (3, 4), (4, 4), (5, 4)]
+    dense = sorted((r["id"], r["rnk"]) for r in top_k_ranked(df, "v", 3, dense=True).collect())
+    assert dense == [(0, 1), (1, 1), (2, 2), (3, 3), (4, 3), (5, 3)]
