@@ -29,13 +29,13 @@ def _c(c):
     return F.col(c) if isinstance(c, str) else c
 
 
-def price_tier(c) -> Column:
+def price_tier(c, ladder=None, otherwise: str = PRICE_TIER_ELSE) -> Column:
     x = _c(c)
     out = None
-    for bound, op, label in PRICE_TIERS:
+    for bound, op, label in (ladder or PRICE_TIERS):
         cond = (x < bound) if op == "<" else (x <= bound)
         out = F.when(cond, label) if out is None else out.when(cond, label)
-    return out.otherwise(PRICE_TIER_ELSE)
+    return out.otherwise(otherwise)
 
 
 def salary_band(c) -> Column:

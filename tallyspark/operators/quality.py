@@ -108,3 +108,17 @@ def split_valid(df: DataFrame, rules, key=None) -> DataFrame:
     reason = F.concat_ws(";", F.array_compact(F.array(*reasons)))
     tmp = [c for c in out.columns if c.startswith("__")]
     return out.withColumn("reject_reason", F.when(reason == "", None).otherwise(reason)).drop(*tmp)
+
+
+def reconcile(headers: DataFrame, lines: DataFrame, key: str, header_total: str,
+              line_amount, tolerance: float = 0.01, line_key: str | None = None) -> DataFrame:
+    """Header total vs the sum of its lines (rounded half-up to cents): every header whose
+    gap exceeds ``tolerance``.  Lines are aggregated per key before the join, so the join
+    runs at header grain; amounts are exact decimals."""
+    lk = line_key or key
+    per = lines.groupBy(F.col(lk).alias("__k")).agg(F.round(F.sum(line_amount), 2).alias("computed"))
+    j = headers.join(per, headers[key] == per["__k"])
+    gap = F.abs(F.col(header_total).cast("decimal(18,2)") - F.col("computed"))
+    return j.filter(gap > tolerance).select(
+        F.col(key).alias("order_id"), F.col(header_total).cast("double").alias("header_total"),
+        F.col("computed").cast("double").alias("computed_total"))

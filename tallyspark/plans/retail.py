@@ -314,17 +314,12 @@ def dq_length(spark, sf_dir):
 
 def revenue_reconcile(spark, sf_dir):
     """Header total vs recomputed line total (net of discount, rounded half-up to cents);
-    reports every order whose gap exceeds 0.01.  Line items are aggregated per order
-    first; the header joins at order grain."""
+    reports every order whose gap exceeds 0.01."""
     t = Tables(spark, sf_dir)
     li = t.lineitem("l_orderkey", "l_extendedprice", "l_discount")
-    per_order = li.groupBy("l_orderkey").agg(
-        F.round(F.sum(net_price("l_extendedprice", "l_discount")), 2).alias("computed"))
     o = t.orders("o_orderkey", "o_totalprice")
-    j = o.join(per_order, o.o_orderkey == per_order.l_orderkey)
-    return j.filter(F.abs(money("o_totalprice") - F.col("computed")) > 0.01).select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("header_total"),
-        F.col("computed").cast("double").alias("computed_total"))
+    return Q.reconcile(o, li, "o_orderkey", "o_totalprice",
+                       net_price("l_extendedprice", "l_discount"), line_key="l_orderkey")
 
 
 # --- write-side operations expressed as DataFrame transformations -----------------

@@ -183,7 +183,8 @@ def order_sequence(spark, sf_dir):
     t = Tables(spark, sf_dir)
     lines = S.sales_lines(t)
     seq = partitioned_row_number(lines, ["customer_id"],
-                                 ["order_date", "order_id", "line_no", "product_id", "supplier_id"])
+                                 ["order_date", "order_id", "line_no", "product_id", "supplier_id",
+                                  "sales", "quantity", "discount"])
     return (seq.join(S.customer_dim(t).select("customer_id", "customer_name"), "customer_id")
                .select("customer_id", "customer_name", "order_id", "line_no", "order_date", "sales",
                        F.col("_p_rn").alias("order_seq"))
@@ -255,7 +256,8 @@ def top_order_per_customer(spark, sf_dir):
         F.struct("order_id", "line_no", "product_id", "sales"),
         F.struct((-F.col("sales")).alias("s"), F.col("order_id").alias("o"),
                  F.col("line_no").alias("l"), F.col("product_id").alias("p"),
-                 F.col("supplier_id").alias("u"))).alias("b"))
+                 F.col("supplier_id").alias("u"), F.col("quantity").alias("q"),
+                 F.col("discount").alias("d"))).alias("b"))
     best = best.select("customer_id", "b.*")
     return (best.join(S.product_dim(t), "product_id")
                 .join(S.customer_dim(t), "customer_id")
