@@ -1,0 +1,5 @@
+"""Structured Streaming entry points.
+
+The capability surface contains no streaming operator, so nothing is registered here;
+every job in this package is a bounded batch job.
+"""
