@@ -7,6 +7,8 @@ and the final cast back to DOUBLE is correctly rounded in every engine.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,9 +31,23 @@ def as_double(c) -> Column:
     return c.cast("double")
 
 
+def cents(c) -> Column:
+    """A 2-decimal money value as exact integer cents (BIGINT).  Summing longs uses
+    Spark's fast fixed-width aggregation buffers; DECIMAL sums wider than 18 digits fall
+    back to object arithmetic.  Overflow raises under ANSI mode."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c * 100).cast("bigint")
+
+
+def from_cents(c, scale: int = 2) -> Column:
+    """Integer units of 10^-scale back to an exact DECIMAL."""
+    c = F.col(c) if isinstance(c, str) else c
+    return c.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))
+
+
 def money_sum(c) -> Column:
-    """SUM over a money column, exact, returned as DOUBLE."""
-    return F.sum(money(c)).cast("double")
+    """SUM over a money column, exact (integer cents), returned as DOUBLE."""
+    return from_cents(F.sum(cents(c))).cast("double")
 
 
 def net_price(ext, disc) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallyspark.functions import tiers
 from tallyspark.functions.dates import ts_literal, year_range
-from tallyspark.functions.money import mean_of, money, money_sum, net_price
+from tallyspark.functions.money import cents, from_cents, mean_of, money, money_sum, net_price
 from tallyspark.operators import quality as Q
 from tallyspark.sources import standins as S
 from tallyspark.sources.tables import Tables
@@ -156,13 +156,13 @@ def revenue_by_category(spark, sf_dir):
     the part join, so the join input shrinks from line grain to part grain."""
     t = Tables(spark, sf_dir)
     li = t.lineitem("l_partkey", "l_extendedprice")
-    per_part = li.groupBy("l_partkey").agg(F.sum(money("l_extendedprice")).alias("s"),
+    per_part = li.groupBy("l_partkey").agg(F.sum(cents("l_extendedprice")).alias("s"),
                                            F.count(F.lit(1)).alias("n"))
     p = t.part("p_partkey", "p_type")
     j = per_part.join(p, per_part.l_partkey == p.p_partkey)
     return (j.groupBy(F.col("p_type").alias("category"))
-             .agg(F.sum("s").cast("double").alias("total_revenue"),
-                  mean_of(F.sum("s"), F.sum("n")).alias("avg_order_value"),
+             .agg(from_cents(F.sum("s")).cast("double").alias("total_revenue"),
+                  mean_of(from_cents(F.sum("s")), F.sum("n")).alias("avg_order_value"),
                   F.sum("n").alias("order_count"))
              .orderBy(F.desc("total_revenue")))
 

@@ -91,10 +91,11 @@ def above_avg_orders(spark, sf_dir):
     """Lines whose sales exceed the average line sales (scalar subquery -> one-row
     aggregate broadcast to every row; compared exactly as sales * n > sum)."""
     t = Tables(spark, sf_dir)
-    stats = S.order_sales(t).agg(F.sum("sales_dec").alias("s"), F.sum("n_lines").alias("n"))
+    stats = S.order_sales(t).agg(F.sum("sales_cents").alias("s"), F.sum("n_lines").alias("n"))
     lines = S.sales_lines(t)
     hit = lines.crossJoin(F.broadcast(stats)) \
-        .filter(F.col("sales").cast("decimal(12,2)") * F.col("n") > F.col("s"))
+        .filter(F.round(F.col("sales") * 100).cast("decimal(20,0)") * F.col("n")
+                > F.col("s").cast("decimal(38,0)"))
     return (hit.join(S.customer_dim(t).select("customer_id", "customer_name"), "customer_id")
                .join(S.product_dim(t).select("product_id", "product_name"), "product_id")
                .select("order_id", "line_no", "customer_name", "product_name", "sales")

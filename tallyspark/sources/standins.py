@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.money import line_profit, money
+from tallyspark.functions.money import cents, from_cents, line_profit, money
 from tallyspark.sources.tables import Tables
 
 # The key rules that make stand-in rows dirty (null / duplicate / re-keyed).
@@ -67,14 +67,15 @@ def order_sales(t: Tables, with_profit: bool = False) -> DataFrame:
     order grain and turns COUNT(DISTINCT order) per customer into a plain count.
     """
     li = t.lineitem("l_orderkey", "l_partkey", "l_extendedprice", "l_discount", "l_quantity")
-    aggs = [F.sum(money("l_extendedprice")).alias("sales_dec"),
+    # exact fixed-point sums in BIGINT: cents for sales, 1e-4 units for profit
+    aggs = [F.sum(cents("l_extendedprice")).alias("sales_cents"),
             F.count(F.lit(1)).alias("n_lines"),
             F.max("l_extendedprice").alias("max_line_sales")]
     if with_profit:
         p = t.part("p_partkey", "p_retailprice")
         li = li.join(p, li.l_partkey == p.p_partkey)
-        aggs.append(F.sum(line_profit("l_extendedprice", "l_discount", "l_quantity",
-                                      "p_retailprice")).alias("profit_dec"))
+        profit = line_profit("l_extendedprice", "l_discount", "l_quantity", "p_retailprice")
+        aggs.append(F.sum((profit * 10000).cast("bigint")).alias("profit_units"))
     per_order = li.groupBy("l_orderkey").agg(*aggs)
     o = t.orders("o_orderkey", "o_custkey", "o_orderdate")
     return per_order.join(o, per_order.l_orderkey == o.o_orderkey).drop("l_orderkey")
@@ -83,14 +84,14 @@ def order_sales(t: Tables, with_profit: bool = False) -> DataFrame:
 def customer_sales(t: Tables, with_profit: bool = False) -> DataFrame:
     """Per-customer totals: exact decimal sums, order count, line count, extremes."""
     per_order = order_sales(t, with_profit)
-    aggs = [F.sum("sales_dec").alias("total_sales_dec"),
+    aggs = [from_cents(F.sum("sales_cents")).alias("total_sales_dec"),
             F.count(F.lit(1)).alias("total_orders"),
             F.sum("n_lines").alias("n_lines"),
             F.max("max_line_sales").alias("max_single_order"),
             F.min("o_orderdate").cast("date").alias("first_order"),
             F.max("o_orderdate").cast("date").alias("last_order")]
     if with_profit:
-        aggs.append(F.sum("profit_dec").alias("total_profit_dec"))
+        aggs.append(from_cents(F.sum("profit_units"), 4).alias("total_profit_dec"))
     return per_order.groupBy(F.col("o_custkey").alias("customer_id")).agg(*aggs)
 
 
