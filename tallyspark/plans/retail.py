@@ -13,6 +13,7 @@ from tallyspark.functions import tiers
 from tallyspark.functions.dates import ts_literal, year_range
 from tallyspark.functions.money import cents, from_cents, mean_of, money, money_sum, net_price
 from tallyspark.operators import quality as Q
+from tallyspark.operators.relational import left_outer_join
 from tallyspark.sources import standins as S
 from tallyspark.sources.tables import Tables
 
@@ -250,14 +251,16 @@ def _customers_vs_orders(t: Tables):
 
 
 def join_left(spark, sf_dir):
+    """Every customer with its orders (NULLs when none); skew-tolerant outer join."""
     c, o = _customers_vs_orders(Tables(spark, sf_dir))
-    return (c.join(o, c.c_custkey == o.o_custkey, "left")
-             .select("c_custkey", "c_name", "o_orderkey", "o_totalprice").orderBy("c_custkey"))
+    return (left_outer_join(c, o, "c_custkey", "o_custkey")
+            .select("c_custkey", "c_name", "o_orderkey", "o_totalprice").orderBy("c_custkey"))
 
 
 def join_right(spark, sf_dir):
+    """orders RIGHT JOIN customers == customers LEFT JOIN orders."""
     c, o = _customers_vs_orders(Tables(spark, sf_dir))
-    return o.join(c, o.o_custkey == c.c_custkey, "right").select("c_custkey", "c_name", "o_orderkey")
+    return left_outer_join(c, o, "c_custkey", "o_custkey").select("c_custkey", "c_name", "o_orderkey")
 
 
 def join_full_audit(spark, sf_dir):

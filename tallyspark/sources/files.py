@@ -149,43 +149,68 @@ def copy_report(spark: SparkSession, report: dict) -> DataFrame:
     return spark.createDataFrame([tuple(report[f.name] for f in REPORT_SCHEMA.fields)], REPORT_SCHEMA)
 
 
-# --- versioned, all-or-nothing publish ---------------------------------------------
+# --- versioned, all-or-nothing, append-only publish --------------------------------
 
 MANIFEST = "_manifest"
 
 
-def publish(spark: SparkSession, root: str, tables: dict, checks=None) -> dict:
-    """Stage new versions of several tables, validate the *staged* data, and publish them
-    together by writing one manifest entry last.  Readers resolve tables through the
-    latest manifest entry, so they see either all new versions or none (the staged
-    folders of a failed load are simply never referenced).
+def _manifest(spark: SparkSession, root: str):
+    try:
+        return spark.read.parquet(f"{root}/{MANIFEST}")
+    except AnalysisException:
+        return None
+
+
+def register_base(spark: SparkSession, root: str, name: str, path: str) -> None:
+    """Make an existing dataset the first version of ``name`` by reference (no copy)."""
+    _commit(spark, root, uuid.uuid4().hex, {name: path})
+
 
-    ``checks(staged: dict[str, DataFrame]) -> DataFrame`` returns rows with a
-    ``violations`` column; any non-zero total aborts the publish.
+def _commit(spark: SparkSession, root: str, version: str, paths: dict) -> None:
+    rows = [(version, n, p) for n, p in paths.items()]
+    entry = spark.createDataFrame(rows, "version string, table_name string, path string") \
+        .withColumn("committed_at", F.current_timestamp())
+    entry.coalesce(1).write.mode("append").parquet(f"{root}/{MANIFEST}")
+
+
+def resolve(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The current content of ``name``: the union of every committed version folder."""
+    m = _manifest(spark, root)
+    paths = [] if m is None else [r["path"] for r in
+                                  m.filter(F.col("table_name") == name).select("path").collect()]
+    if not paths:
+        raise FileNotFoundError(f"no published version of {name} under {root}")
+    return spark.read.parquet(*paths)
+
+
+def publish(spark: SparkSession, root: str, appends: dict, checks=None) -> dict:
+    """Append a batch to several tables all-or-nothing.
+
+    Each table's new rows are staged into their own version folder; ``checks(current,
+    batch)`` receives, per table, the would-be content (published versions + staged
+    rows, read lazily) and the staged rows alone, and returns rows with a ``violations``
+    column.  Only with zero violations is one manifest entry per table appended, in a
+    single write, after all data is in place; readers resolve through the manifest, so
+    they see the whole batch or none of it.  Versions hold only new rows: publishing
+    never rewrites the existing data.  (The manifest list is bounded by the number of
+    committed batches and is read on the driver.)
     """
     version = uuid.uuid4().hex
-    staged = {}
-    for name, df in tables.items():
+    staged, current = {}, {}
+    for name, df in appends.items():
         path = f"{root}/{name}/v_{version}"
         write_parquet(df, path)
         staged[name] = spark.read.parquet(path)
+        try:
+            current[name] = resolve(spark, root, name).unionByName(staged[name])
+        except FileNotFoundError:
+            current[name] = staged[name]
     violations = 0
     if checks is not None:
-        total = checks(staged).agg(F.coalesce(F.sum("violations"), F.lit(0)).alias("v")).collect()[0]
+        total = checks(current, staged).agg(
+            F.coalesce(F.sum("violations"), F.lit(0)).alias("v")).collect()[0]
         violations = int(total["v"])
     if violations:
         return {"version": version, "published": False, "violations": violations}
-    seq = spark.range(1).select(F.current_timestamp().alias("committed_at"))
-    entry = seq.select(F.lit(version).alias("version"),
-                       F.array(*[F.lit(n) for n in tables]).alias("tables"), "committed_at")
-    entry.coalesce(1).write.mode("append").parquet(f"{root}/{MANIFEST}")
+    _commit(spark, root, version, {n: f"{root}/{n}/v_{version}" for n in appends})
     return {"version": version, "published": True, "violations": 0}
-
-
-def resolve(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Read the latest published version of ``name``."""
-    m = spark.read.parquet(f"{root}/{MANIFEST}").filter(F.array_contains("tables", name)) \
-        .orderBy(F.desc("committed_at")).limit(1).collect()
-    if not m:
-        raise FileNotFoundError(f"no published version of {name} under {root}")
-    return spark.read.parquet(f"{root}/{name}/v_{m[0]['version']}")

@@ -109,13 +109,15 @@ def test_guarded_copy_skips_missing_and_reports(spark):
 
 def test_publish_is_all_or_nothing(spark):
     root = scratch_root(spark)
-    good = spark.range(10).withColumnRenamed("id", "k")
-    checks_ok = lambda staged: Q.run_suite(staged["t"], "t", [Q.Rule("k_unique", "unique", "k")])
-    assert FS.publish(spark, root, {"t": good}, checks_ok)["published"]
-    bad = good.unionByName(good)
-    res = FS.publish(spark, root, {"t": bad}, checks_ok)
-    assert not res["published"] and res["violations"] == 10
-    assert FS.resolve(spark, root, "t").count() == 10  # readers still see the good version
+    base = scratch_root(spark)
+    spark.range(10).withColumnRenamed("id", "k").write.parquet(base)
+    FS.register_base(spark, root, "t", base)
+    checks = lambda cur, batch: Q.run_suite(cur["t"], "t", [Q.Rule("k_unique", "unique", "k")])
+    ok = FS.publish(spark, root, {"t": spark.range(10, 15).withColumnRenamed("id", "k")}, checks)
+    assert ok["published"] and FS.resolve(spark, root, "t").count() == 15
+    bad = FS.publish(spark, root, {"t": spark.range(0, 3).withColumnRenamed("id", "k")}, checks)
+    assert not bad["published"] and bad["violations"] == 3
+    assert FS.resolve(spark, root, "t").count() == 15  # readers never see the rejected batch
 
 
 def test_partitioned_write_prunes(spark):
