@@ -16,4 +16,4 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_root(spark)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -299,14 +299,15 @@ def star_dim_product(spark, sf_dir):
 
 
 def star_fact(spark, sf_dir):
-    from tallyspark.functions.money import line_profit
+    from tallyspark.functions.money import from_cents, profit_units
     t = Tables(spark, sf_dir)
     lines = S.sales_lines(t)
     p = t.part("p_partkey", "p_retailprice")
     return lines.join(p, lines.product_id == p.p_partkey).select(
         "order_id", "line_no", "order_date", "customer_id", "product_id", "sales", "quantity",
         "discount",
-        line_profit("sales", "discount", "quantity", "p_retailprice").cast("double").alias("profit"))
+        from_cents(profit_units("sales", "discount", "quantity", "p_retailprice"), 4)
+        .cast("double").alias("profit"))
 
 
 def dim_key_conflicts(spark, sf_dir):

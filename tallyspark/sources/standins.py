@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.money import cents, from_cents, line_profit, money
+from tallyspark.functions.money import cents, from_cents, money, profit_units
 from tallyspark.sources.tables import Tables
 
 # The key rules that make stand-in rows dirty (null / duplicate / re-keyed).
@@ -74,8 +74,8 @@ def order_sales(t: Tables, with_profit: bool = False) -> DataFrame:
     if with_profit:
         p = t.part("p_partkey", "p_retailprice")
         li = li.join(p, li.l_partkey == p.p_partkey)
-        profit = line_profit("l_extendedprice", "l_discount", "l_quantity", "p_retailprice")
-        aggs.append(F.sum((profit * 10000).cast("bigint")).alias("profit_units"))
+        aggs.append(F.sum(profit_units("l_extendedprice", "l_discount", "l_quantity",
+                                       "p_retailprice")).alias("profit_units"))
     per_order = li.groupBy("l_orderkey").agg(*aggs)
     o = t.orders("o_orderkey", "o_custkey", "o_orderdate")
     return per_order.join(o, per_order.l_orderkey == o.o_orderkey).drop("l_orderkey")

@@ -80,8 +80,14 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Scan one table; naming ``columns`` prunes the Parquet read to them."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    """Scan one table; naming ``columns`` prunes the Parquet read to them.
+
+    Declared tables are read with their schema, so no footer is opened on the driver to
+    infer one (over thousands of files that inference is a job of its own)."""
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    df = reader.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
 
 
