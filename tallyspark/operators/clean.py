@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.profile import NUMERIC, exact_quantiles, top_value
+from tallyspark.operators.profile import NUMERIC, exact_quantiles_multi, top_values, value_counts
 
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
@@ -57,12 +57,21 @@ def impute_mean(df: DataFrame, cols, decimals: int = 2, int_mode: str = "half_up
 
 
 def impute_median(df: DataFrame, cols) -> DataFrame:
-    """Fill NULLs with the exact (interpolated) median, computed distributedly."""
+    """Fill NULLs with the exact (interpolated) median, computed distributedly: one value
+    count of all listed columns (written once, read by the position lookup), one shared
+    bucketed ordering for all medians, then a one-row frame of fill values."""
+    from tallyspark.operators.materialize import materialize
+
     types = dict(df.dtypes)
-    stats = None
-    for c in cols:
-        q = exact_quantiles(df, c, (0.5,)).select(F.col("q50").cast(types[c]).alias(f"__fill_{c}"))
-        stats = q if stats is None else stats.crossJoin(q)
+    vc = materialize(value_counts(df.select(*[F.col(c).cast("double").alias(c) for c in cols]),
+                                  cols))
+    got = vc.groupBy("column_name").agg(F.sum("freq").alias("n"),
+                                        F.count(F.lit(1)).alias("d")).collect()
+    counts = {r["column_name"]: int(r["n"]) for r in got}
+    med = exact_quantiles_multi(vc, {c: counts.get(c, 0) for c in cols}, (0.5,),
+                                n_rows=sum(int(r["d"]) for r in got))
+    stats = med.agg(*[F.max(F.when(F.col("column_name") == c, F.col("q50")))
+                      .cast(types[c]).alias(f"__fill_{c}") for c in cols])
     return _fill_from(df, stats, cols)
 
 
@@ -75,11 +84,9 @@ def impute_approx_median(df: DataFrame, cols, accuracy: int = 1_000_000) -> Data
 
 
 def impute_mode(df: DataFrame, cols) -> DataFrame:
-    """Fill NULLs with the most frequent value (ties -> smallest value)."""
-    stats = None
-    for c in cols:
-        m = top_value(df, c).select(F.col("top").alias(f"__fill_{c}"))
-        stats = m if stats is None else stats.crossJoin(m)
+    """Fill NULLs with the most frequent value (ties -> smallest value); all columns from
+    one stacked value count, one row of typed fill values."""
+    stats = top_values(df, cols).select(*[F.col(c).alias(f"__fill_{c}") for c in cols])
     return _fill_from(df, stats, cols)
 
 

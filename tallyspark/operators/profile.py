@@ -6,7 +6,7 @@ one-row result is unpivoted into (column, ...) rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -100,48 +100,158 @@ def describe_numeric(df: DataFrame, cols, exact: bool = True) -> DataFrame:
     return wide.select(stack)
 
 
-def exact_quantiles(df: DataFrame, c: str, qs=(0.25, 0.5, 0.75),
-                    materialize_input: bool = False) -> DataFrame:
-    """Exact linear-interpolated quantiles of column ``c`` as one row ``q{pct}`` columns.
+def _slot(dtype: str) -> str:
+    """Field name that holds values of one storage type in the long value table."""
+    return "v_" + "".join(ch if ch.isalnum() else "_" for ch in dtype)
+
+
+def value_counts(df: DataFrame, cols) -> DataFrame:
+    """Long table ``(column_name, v_<type>..., freq)``: every distinct non-NULL value of
+    every listed column with its number of rows, from ONE scan.
+
+    Columns are stacked into rows; each value sits in the field of its own type (the other
+    fields are NULL), so values keep their type and their natural order.  The grouping is
+    partially aggregated map-side: a value repeated in a third of all rows collapses to
+    one row per task before the shuffle."""
+    types = dict(df.dtypes)
+    slots = sorted({types[c] for c in cols})
+    items = []
+    for c in cols:
+        fields = [F.lit(c).alias("column_name")]
+        for t in slots:
+            v = F.col(c) if types[c] == t else F.lit(None).cast(t)
+            fields.append(v.alias(_slot(t)))
+        items.append(F.when(F.col(c).isNotNull(), F.struct(*fields)))
+    stacked = df.select(F.inline(F.filter(F.array(*items), lambda x: x.isNotNull())))
+    return stacked.groupBy("column_name", *[_slot(t) for t in slots]) \
+        .agg(F.count(F.lit(1)).alias("freq"))
+
+
+def _num(vc: DataFrame) -> Column:
+    """The numeric value of a value-count row as DOUBLE (NULL for non-numeric columns)."""
+    cols = [F.col(c).cast("double") for c in vc.columns
+            if c.startswith("v_") and c[2:] in NUMERIC]
+    if not cols:
+        return F.lit(None).cast("double")
+    return F.coalesce(*cols) if len(cols) > 1 else cols[0]
+
+
+def column_stats(vc: DataFrame) -> DataFrame:
+    """Per column from a value-count table: count, n_unique, top (most frequent value,
+    ties -> smallest, as text), freq, exact mean / sample stddev (values with at most two
+    decimals), min, max.  One aggregate over the value counts; at most one row per
+    column is produced and every function has a partial (map-side) form."""
+    slots = [c for c in vc.columns if c.startswith("v_")]
+    x = _num(vc)
+    xd = x.cast("decimal(18,2)")
+    w = F.col("freq")
+    n = F.sum(w)
+    nn = F.sum(F.when(x.isNotNull(), w))
+    # exact decimal power sums while they fit in DECIMAL(38); beyond that (sums past
+    # ~1e17) the same formula in DOUBLE, instead of an overflow error
+    s1, s2 = F.try_sum(xd * w), F.try_sum(xd * xd * w)
+    exact_num = F.try_subtract(F.try_multiply(nn, s2), F.try_multiply(s1, s1)).cast("double")
+    s1d, s2d = F.sum(x * w), F.sum(x * x * w)
+    num = F.coalesce(exact_num, nn * s2d - s1d * s1d)
+    std = F.when(nn > 1, F.sqrt(num / (nn * (nn - 1)).cast("double")))
+    mean = F.coalesce(s1.cast("double"), s1d) / nn
+    best = F.min_by(F.struct(*[F.col(c) for c in slots], w.alias("freq")),
+                    F.struct((-w).alias("nf"), *[F.col(c) for c in slots]))
+    out = vc.groupBy("column_name").agg(
+        n.alias("count"), F.count(F.lit(1)).alias("n_unique"),
+        best.alias("_best"),
+        mean.alias("mean"), std.alias("std"),
+        F.min(x).alias("min"), F.max(x).alias("max"))
+    top = F.coalesce(*[F.col(f"_best.{c}").cast("string") for c in slots])
+    return out.select("column_name", "count", "n_unique", top.alias("top"),
+                      F.col("_best.freq").alias("freq"), "_best", "mean", "std", "min", "max")
+
+
+def exact_quantiles_multi(vc: DataFrame, counts: dict, qs=(0.25, 0.5, 0.75),
+                          n_rows: int | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles ``(column_name, q{pct}...)`` of the numeric
+    columns in ``counts`` (column -> number of non-NULL values) from a value-count table.
+
+    All columns share ONE bucketed ordering of ``(column_name, value)``; every distinct
+    value is one row weighted by its count, so no task holds a column and a hot value
+    costs one row.  Only the rows covering the (at most two per quantile) wanted positions
+    reach the final aggregate.  ``n_rows`` (value-count rows of these columns, i.e. the
+    sum of their distinct counts) saves a counting job when known."""
+    from tallyspark.operators.ranking import weighted_positions
+
+    names = sorted(c for c, k in counts.items() if k)
+    qname = [f"q{round(q * 100)}" for q in qs]
+    if not names:
+        return vc.sparkSession.range(0).select(
+            F.lit(None).cast("string").alias("column_name"),
+            *[F.lit(None).cast("double").alias(x) for x in qname])
+    x = _num(vc)
+    vals = vc.filter(F.col("column_name").isin(names)).select(
+        "column_name", x.alias("v"), "freq")
+    lo_pos, hi_pos, fracs, wanted, base = {}, {}, {}, set(), 0
+    for c in names:
+        nc = int(counts[c])
+        for q in qs:
+            pos = (nc - 1) * q
+            lo = int(pos)
+            hi = min(lo + 1, nc - 1) if pos > lo else lo
+            lo_pos[(c, q)], hi_pos[(c, q)], fracs[(c, q)] = base + lo + 1, base + hi + 1, pos - lo
+            wanted.update({base + lo + 1, base + hi + 1})
+        base += nc
+    picked = weighted_positions(vals, ["column_name", "v"], "freq", sorted(wanted),
+                                n_rows=n_rows)
+
+    def at(table, q):
+        m = F.create_map(*[z for c in names for z in (F.lit(c), F.lit(table[(c, q)]))])
+        p = F.element_at(m, F.col("column_name"))
+        return F.max(F.when((F.col("_start") <= p) & (F.col("_end") >= p), F.col("v")))
+
+    aggs = []
+    for q, name in zip(qs, qname):
+        fm = F.create_map(*[z for c in names for z in (F.lit(c), F.lit(float(fracs[(c, q)])))])
+        v_lo, v_hi = at(lo_pos, q), at(hi_pos, q)
+        aggs.append((v_lo + (v_hi - v_lo) * F.first(F.element_at(fm, F.col("column_name"))))
+                    .alias(name))
+    return picked.groupBy("column_name").agg(*aggs)
 
-    Distributed: the non-null values get global positions from the bucketed ordering, and
-    only the rows at the (at most 2 per quantile) needed positions reach the final
-    aggregate -- no task ever holds the whole column.
-    """
-    from tallyspark.operators.ranking import rows_at_positions
 
-    vals = df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull())
+def exact_quantiles(df: DataFrame, c: str, qs=(0.25, 0.5, 0.75),
+                    materialize_input: bool = False) -> DataFrame:
+    """Exact linear-interpolated quantiles of column ``c`` as one row ``q{pct}`` columns
+    (NULL when the column has no value)."""
+    vc = value_counts(df.select(F.col(c).cast("double").alias(c)), [c])
     if materialize_input:
         from tallyspark.operators.materialize import materialize
-        vals = materialize(vals)
-    n = vals.count()
-    if n == 0:
-        return df.sparkSession.range(1).select(
-            *[F.lit(None).cast("double").alias(f"q{round(q * 100)}") for q in qs])
-    plan, wanted = [], set()
-    for q in qs:
-        pos = (n - 1) * q
-        lo = int(pos)
-        hi = min(lo + 1, n - 1) if pos > lo else lo
-        plan.append((q, lo + 1, hi + 1, pos - lo))
-        wanted.update({lo + 1, hi + 1})
-    picked = rows_at_positions(vals, ["v"], sorted(wanted))
+        vc = materialize(vc)
+    stats = vc.groupBy("column_name").agg(F.sum("freq").alias("n"),
+                                          F.count(F.lit(1)).alias("d")).collect()
+    counts = {r["column_name"]: r["n"] for r in stats}
+    got = exact_quantiles_multi(vc, {c: counts.get(c, 0)}, qs,
+                                n_rows=sum(int(r["d"]) for r in stats))
+    one = df.sparkSession.range(1).select(F.lit(c).alias("column_name"))
+    return one.join(got, "column_name", "left").drop("column_name")
+
+
+def top_values(df: DataFrame, cols) -> DataFrame:
+    """Most frequent non-NULL value per column (ties -> smallest value) as one row with a
+    typed ``__fill_<c>``-style field per column: ``{c}`` holds the value, ``{c}__freq`` its
+    count.  One stacked value count for all columns, one min_by per column."""
+    types = dict(df.dtypes)
+    st = column_stats(value_counts(df, cols))
     aggs = []
-    for q, lo, hi, frac in plan:
-        v_lo = F.max(F.when(F.col("_pos") == lo, F.col("v")))
-        v_hi = F.max(F.when(F.col("_pos") == hi, F.col("v")))
-        aggs.append((v_lo + (v_hi - v_lo) * F.lit(frac)).alias(f"q{round(q * 100)}"))
-    return picked.agg(*aggs)
+    for c in cols:
+        hit = F.col("column_name") == c
+        aggs.append(F.max(F.when(hit, F.col(f"_best.{_slot(types[c])}"))).alias(c))
+        aggs.append(F.max(F.when(hit, F.col("freq"))).alias(f"{c}__freq"))
+    return st.agg(*aggs)
 
 
 def top_value(df: DataFrame, c: str) -> DataFrame:
-    """Most frequent non-null value and its count (ties -> smallest value); one row.
-    Pre-aggregated by value (map-side combine), then one min_by over (-count, value)."""
-    counts = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("freq"))
-    best = counts.agg(F.min_by(F.struct(F.col(c).alias("top"), F.col("freq").alias("freq")),
-                               F.struct((-F.col("freq")).alias("nf"), F.col(c).alias("v")))
-                      .alias("b"))
-    return best.select(F.col("b.top").alias("top"), F.col("b.freq").alias("freq"))
+    """Most frequent non-null value and its count (ties -> smallest value); one row, or
+    none when the column has no value."""
+    t = top_values(df, [c])
+    return t.select(F.col(c).alias("top"), F.col(f"{c}__freq").alias("freq")) \
+        .filter(F.col("top").isNotNull())
 
 
 STAT_COLS = ("mean", "std", "min", "p25", "p50", "p75", "max")
@@ -152,44 +262,36 @@ def describe_all(df: DataFrame, cols, exact: bool = True) -> DataFrame:
     std, min, quartiles, max.  Numeric statistics are NULL for string columns and
     top/freq NULL for numeric ones.
 
-    One aggregate pass for the moments and distinct counts, one distributed exact-quantile
-    job per numeric column and one mode job per string column.  Each of these returns a
-    single row, so the result (one row per described column) is assembled on the driver.
-    """
-    from pyspark.sql import types as T
+    Built on one value-count table of all columns (written once to the shared scratch
+    folder, since four jobs read it): one aggregate gives counts, distinct counts, modes
+    and exact moments; one shared bucketed ordering gives every exact quartile.  The
+    result stays a lazy plan: per-column stats left-joined to per-column quartiles.
+    ``exact`` is kept for API compatibility (moments are always exact here)."""
+    from tallyspark.operators.materialize import materialize
 
     types = dict(df.dtypes)
-    aggs = []
-    for c in cols:
-        x = F.col(c)
-        aggs += [F.count(x).alias(f"{c}__count"), F.count_distinct(x).alias(f"{c}__unique")]
-        if types[c] in NUMERIC:
-            xd = x.cast("double")
-            mean, std = exact_moments(x) if exact else (F.avg(xd), F.stddev_samp(xd))
-            aggs += [mean.alias(f"{c}__mean"), std.alias(f"{c}__std"),
-                     F.min(xd).alias(f"{c}__min"), F.max(xd).alias(f"{c}__max")]
-    wide = df.agg(*aggs).collect()[0].asDict()
-    rows = []
-    for c in cols:
-        r = {"column_name": c, "count": wide[f"{c}__count"], "n_unique": wide[f"{c}__unique"],
-             "top": None, "freq": None}
-        if types[c] in NUMERIC:
-            q = exact_quantiles(df, c).collect()[0]
-            r.update({s: wide[f"{c}__{s}"] for s in ("mean", "std", "min", "max")})
-            r.update({"p25": q["q25"], "p50": q["q50"], "p75": q["q75"]})
-        else:
-            tv = top_value(df, c).collect()
-            if tv:
-                r["top"], r["freq"] = str(tv[0]["top"]), tv[0]["freq"]
-            r.update({s: None for s in STAT_COLS})
-        rows.append(r)
-    schema = T.StructType(
-        [T.StructField("column_name", T.StringType()), T.StructField("count", T.LongType()),
-         T.StructField("n_unique", T.LongType()), T.StructField("top", T.StringType()),
-         T.StructField("freq", T.LongType())]
-        + [T.StructField(s, T.DoubleType()) for s in STAT_COLS])
-    return df.sparkSession.createDataFrame([tuple(r[f.name] for f in schema.fields) for r in rows],
-                                           schema)
+    numeric = [c for c in cols if types[c] in NUMERIC]
+    vc = materialize(value_counts(df, cols))
+    st = column_stats(vc)
+    got = st.filter(F.col("column_name").isin(numeric)) \
+        .select("column_name", "count", "n_unique").collect() if numeric else []
+    counts = {r["column_name"]: r["count"] for r in got}
+    qt = exact_quantiles_multi(vc, {c: counts.get(c, 0) for c in numeric},
+                               n_rows=sum(int(r["n_unique"]) for r in got))
+    is_num = F.col("column_name").isin(numeric) if numeric else F.lit(False)
+    # the described columns as a literal list, so an all-NULL column still gets its row
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    out = (names.join(st, "column_name", "left")
+                .join(qt.withColumnsRenamed({"q25": "p25", "q50": "p50", "q75": "p75"}),
+                      "column_name", "left"))
+    num_only = {s: F.when(is_num, F.col(s).cast("double")) for s in ("mean", "std", "min", "max")}
+    return out.select(
+        "column_name", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
+        F.coalesce(F.col("n_unique"), F.lit(0)).cast("bigint").alias("n_unique"),
+        F.when(~is_num, F.col("top")).alias("top"),
+        F.when(~is_num, F.col("freq")).cast("bigint").alias("freq"),
+        *[num_only[s].alias(s) if s in num_only else F.col(s).cast("double").alias(s)
+          for s in STAT_COLS])
 
 
 def dup_report(df: DataFrame, cols=None) -> DataFrame:

@@ -121,15 +121,18 @@ def _long_array(values) -> Column:
     return F.array(*[F.lit(int(v)).cast("bigint") for v in values])
 
 
-def _boundaries(df: DataFrame, keys: list[Key], buckets, materialize_input: bool):
+def _boundaries(df: DataFrame, keys: list[Key], buckets, materialize_input: bool,
+                n: int | None = None):
     """Row count and up to k-1 strictly increasing boundary tuples from a bounded sample
-    (at most ``k * OVERSAMPLE * 1.5`` rows reach the driver)."""
+    (at most ``k * OVERSAMPLE * 1.5`` rows reach the driver).  ``n`` skips the count when
+    the caller already knows it."""
     spark = df.sparkSession
     names = [k.name for k in keys]
     if materialize_input:
         df = materialize(df)
     types = {f.name: f.dataType for f in df.schema.fields}
-    n = df.count()
+    if n is None:
+        n = df.count()
     k = buckets or _choose_buckets(spark, max(n, 1))
     bounds: list[dict] = []
     if n > 0 and k > 1:
@@ -169,6 +172,43 @@ def rows_at_positions(df: DataFrame, keys, positions, buckets: int | None = None
     return picked.drop(bucket)
 
 
+def weighted_positions(df: DataFrame, keys, weight: str, positions, n_rows: int | None = None,
+                       buckets: int | None = None, start: str = "_start",
+                       end: str = "_end") -> DataFrame:
+    """Rows of ``df`` in the order ``keys`` where each row stands for ``weight``
+    consecutive positions (e.g. a distinct value and its count): the rows whose span
+    ``[start, end]`` (1-based, inclusive) covers one of the wanted ``positions``.
+
+    ``keys`` should be unique per row.  Buckets are balanced on rows of ``df``, so a value
+    that repeats in a third of the underlying data is one row here, not a hot bucket.
+    One aggregate gives the weight of every bucket (at most ``MAX_BUCKETS`` rows reach
+    the driver); only buckets that hold a wanted position are sorted, and inside them a
+    running sum of the weights gives each row's span."""
+    keys = _keys(keys)
+    df, types, n, bounds = _boundaries(df, keys, buckets, False, n=n_rows)
+    bucket = "_bk"
+    data = df.withColumn(bucket, _bucket_expr(keys, types, bounds) if bounds else F.lit(0))
+    wsum = {r[bucket]: int(r["w"] or 0) for r in
+            data.groupBy(bucket).agg(F.sum(weight).alias("w")).collect()} if n else {}
+    nb = len(bounds) + 1
+    offsets, acc = [], 0
+    for b in range(nb):
+        offsets.append(acc)
+        acc += wsum.get(b, 0)
+    wanted = sorted({int(p) for p in positions})
+    need = [b for b in range(nb)
+            if any(offsets[b] < p <= offsets[b] + wsum.get(b, 0) for p in wanted)]
+    w = (Window.partitionBy(bucket).orderBy(*[key.sort_col() for key in keys])
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = (data.filter(F.col(bucket).isin(need) if need else F.lit(False))
+               .withColumn(end, F.get(_long_array(offsets), F.col(bucket)) + F.sum(weight).over(w))
+               .withColumn(start, F.col(end) - F.col(weight) + 1))
+    cover = F.lit(False)
+    for p in wanted:
+        cover = cover | ((F.col(start) <= p) & (F.col(end) >= p))
+    return out.filter(cover).drop(bucket)
+
+
 def global_order(df: DataFrame, keys, rank_prefixes=(), ntiles=(), buckets: int | None = None,
                  materialize_input: bool = True, prefix: str = "_g",
                  dense: bool = True) -> DataFrame:
