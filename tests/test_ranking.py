@@ -91,3 +91,41 @@ def test_top_k_ranked_keeps_ties(spark):
     assert got == [(0, 1), (1, 1), (2, 3), (3, 4), (4, 4), (5, 4)]
     dense = sorted((r["id"], r["rnk"]) for r in top_k_ranked(df, "v", 3, dense=True).collect())
     assert dense == [(0, 1), (1, 1), (2, 2), (3, 3), (4, 3), (5, 3)]
+
+
+def test_weighted_positions_match_expanded_rows(spark):
+    """Each (value, count) row covers `count` consecutive positions: compare with the
+    positions of the expanded rows sorted by value (a brute force on a small fixture)."""
+    from tallyspark.operators.ranking import weighted_positions
+    pairs = [(float(v), int(w)) for v, w in [(5, 1), (1, 400), (3, 2), (2, 7), (9, 1), (4, 30)]]
+    df = spark.createDataFrame(pairs, "v double, w bigint")
+    expanded = sorted(v for v, w in pairs for _ in range(w))
+    wanted = [1, 400, 401, 408, 409, 410, 440, 441]
+    got = weighted_positions(df, ["v"], "w", wanted, buckets=3).collect()
+    for p in wanted:
+        hit = [r["v"] for r in got if r["_start"] <= p <= r["_end"]]
+        assert hit == [expanded[p - 1]], p
+
+
+def test_exact_quantiles_hot_value_and_several_columns(spark):
+    import numpy as np
+    from tallyspark.operators.profile import exact_quantiles_multi, value_counts
+    df = _frame(spark, 3001).withColumn("u", (F.col("key") % 11).cast("double"))
+    vc = value_counts(df, ["v", "u"])
+    counts = {r["column_name"]: r["n"] for r in
+              vc.groupBy("column_name").agg(F.sum("freq").alias("n")).collect()}
+    got = {r["column_name"]: r for r in exact_quantiles_multi(vc, counts, (0.1, 0.5, 0.9)).collect()}
+    for c in ("v", "u"):
+        vals = np.array([r[0] for r in df.select(c).collect() if r[0] is not None])
+        for q in (0.1, 0.5, 0.9):
+            assert abs(got[c][f"q{round(q * 100)}"] - float(np.quantile(vals, q))) < 1e-9
+
+
+def test_modes_order_numbers_as_numbers(spark):
+    from tallyspark.operators.profile import describe_all, top_values
+    df = spark.createDataFrame([(10,), (9,), (10,), (9,), (None,)], "n int")
+    assert top_values(df, ["n"]).collect()[0]["n"] == 9  # tie: 9 < 10 numerically
+    empty = spark.createDataFrame([(1, None), (2, None)], "k int, s string")
+    rows = {r["column_name"]: r for r in describe_all(empty, ["k", "s"]).collect()}
+    assert rows["s"]["count"] == 0 and rows["s"]["n_unique"] == 0 and rows["s"]["top"] is None
+    assert rows["k"]["p50"] == 1.5 and rows["k"]["count"] == 2
