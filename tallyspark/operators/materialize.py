@@ -1,19 +1,27 @@
 """Cut lineage by writing a table into the shared checkpoint folder.
 
 Used where one intermediate result is read by several jobs (e.g. the global ordering
-reads its input for the count, the boundary sample, the bucket statistics and the
-final pass).  A written Parquet table survives executor loss, unlike cached blocks.
+reads its input for the boundary sample, the bucket statistics and the final pass).  A
+written Parquet table survives executor loss, unlike cached blocks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from tallyspark.session import scratch_root
 
 
 def materialize(df: DataFrame) -> DataFrame:
+    return materialize_counted(df)[0]
+
+
+def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """Write ``df`` and read it back; the row count is observed during the write (an
+    accumulator-backed metric, no second pass over the data)."""
     spark = df.sparkSession
     path = scratch_root(spark)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    obs = Observation()
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(obs.get["n"])

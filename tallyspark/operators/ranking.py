@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.operators.materialize import materialize
+from tallyspark.operators.materialize import materialize_counted
 
 ROWS_PER_BUCKET = 2_000_000   # rows one task sorts at most (on average)
 MAX_BUCKETS = 2048            # bound on boundaries held as plan literals
@@ -129,7 +129,7 @@ def _boundaries(df: DataFrame, keys: list[Key], buckets, materialize_input: bool
     spark = df.sparkSession
     names = [k.name for k in keys]
     if materialize_input:
-        df = materialize(df)
+        df, n = materialize_counted(df)
     types = {f.name: f.dataType for f in df.schema.fields}
     if n is None:
         n = df.count()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions import tiers
-from tallyspark.functions.money import mean_of
+from tallyspark.functions.money import cents, mean_of
 from tallyspark.operators.ranking import global_order
 from tallyspark.sources import standins as S
 from tallyspark.sources.tables import Tables
@@ -22,7 +22,7 @@ def customer_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = m.crossJoin(F.broadcast(avg))
     m = m.withColumn("above", F.col("total_sales_dec") * F.col("n_cust") > F.col("sum_all"))
     ranked = global_order(m, [("total_sales_dec", True), ("customer_id", False)],
-                          rank_prefixes=(1,), ntiles=(4,))
+                          rank_prefixes=(1,), ntiles=(4,), dense=False)
     dim = S.customer_dim(t)
     out = ranked.join(dim, "customer_id").select(
         "customer_id", "customer_name", "segment", "region",
@@ -91,11 +91,13 @@ def above_avg_orders(spark, sf_dir):
     """Lines whose sales exceed the average line sales (scalar subquery -> one-row
     aggregate broadcast to every row; compared exactly as sales * n > sum)."""
     t = Tables(spark, sf_dir)
-    stats = S.order_sales(t).agg(F.sum("sales_cents").alias("s"), F.sum("n_lines").alias("n"))
+    # for integer cents c: c * n > s  <=>  c > floor(s / n); the floor is taken once in the
+    # one-row aggregate, so every line does an exact BIGINT comparison
+    stats = S.order_sales(t).agg(F.sum("sales_cents").alias("s"), F.sum("n_lines").alias("n")) \
+        .select(F.when(F.col("s") >= 0, F.expr("s div n"))
+                 .otherwise(-F.expr("(n - 1 - s) div n")).alias("cut"))
     lines = S.sales_lines(t)
-    hit = lines.crossJoin(F.broadcast(stats)) \
-        .filter(F.round(F.col("sales") * 100).cast("decimal(20,0)") * F.col("n")
-                > F.col("s").cast("decimal(38,0)"))
+    hit = lines.crossJoin(F.broadcast(stats)).filter(cents("sales") > F.col("cut"))
     return (hit.join(S.customer_dim(t).select("customer_id", "customer_name"), "customer_id")
                .join(S.product_dim(t).select("product_id", "product_name"), "product_id")
                .select("order_id", "line_no", "customer_name", "product_name", "sales")
@@ -130,10 +132,14 @@ def above_avg_customers(spark, sf_dir):
                .orderBy(F.desc("total_sales"), "customer_id"))
 
 
-def _ranked_customers(t: Tables, with_profit: bool = False, ntiles=()) -> DataFrame:
+def _ranked_customers(t: Tables, with_profit: bool = False, ntiles=(), rank: bool = True,
+                      dense: bool = False) -> DataFrame:
+    """Customers in the order (total sales DESC, id); RANK / DENSE_RANK over total sales
+    only when asked for (each adds a window, DENSE_RANK also a distinct count)."""
     m = S.customer_sales(t, with_profit)
     return global_order(m, [("total_sales_dec", True), ("customer_id", False)],
-                        rank_prefixes=(1,), ntiles=ntiles)
+                        rank_prefixes=(1,) if (rank or dense) else (), ntiles=ntiles,
+                        dense=dense)
 
 
 def rank_customers(spark, sf_dir):
@@ -148,7 +154,7 @@ def rank_customers(spark, sf_dir):
 
 def dense_rank_customers(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    r = _ranked_customers(t)
+    r = _ranked_customers(t, rank=False, dense=True)
     return (r.join(S.customer_dim(t), "customer_id")
              .select("customer_id", "customer_name",
                      F.col("total_sales_dec").cast("double").alias("total_sales"),
@@ -158,7 +164,7 @@ def dense_rank_customers(spark, sf_dir):
 
 def customer_quartile(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    r = _ranked_customers(t, ntiles=(4,))
+    r = _ranked_customers(t, ntiles=(4,), rank=False)
     return r.select("customer_id", F.col("total_sales_dec").cast("double").alias("total_sales"),
                     F.col("_g_ntile4").alias("quartile")).orderBy("quartile", "customer_id")
 
@@ -166,7 +172,7 @@ def customer_quartile(spark, sf_dir):
 def customer_scorecard(spark, sf_dir):
     """Totals + RANK + DENSE_RANK on one ordering (one bucketed sort) + segment/region."""
     t = Tables(spark, sf_dir)
-    r = _ranked_customers(t, with_profit=True)
+    r = _ranked_customers(t, with_profit=True, dense=True)
     return (r.join(S.customer_dim(t), "customer_id")
              .select("customer_id", "customer_name", "segment", "region",
                      F.col("total_sales_dec").cast("double").alias("total_sales"),
