@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_RECORDS_PER_FILE = 5_000_000
-FILES_PER_PARTITION_VALUE = 4
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -37,17 +36,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return r.csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, partition_by=None,
-                  files_per_value: int = FILES_PER_PARTITION_VALUE) -> None:
-    """Overwrite a Parquet dataset.  With ``partition_by`` rows are first clustered by the
-    partition columns plus a deterministic row-hash salt, so each value is written by
-    ``files_per_value`` tasks: no small-file explosion, and a value holding a third of
-    the rows is not written by a single task."""
+def write_parquet(df: DataFrame, path: str, partition_by=None) -> None:
+    """Overwrite a Parquet dataset.  With ``partition_by`` rows are first range-partitioned
+    on (partition columns, row hash): the sampled ranges give a partition value as many
+    writer tasks as its share of the rows (a value holding a third of the data is split
+    over a third of the tasks), while small values share a task and stay one file each.
+    The hash is a pure function of the row, so a retried task writes the same rows."""
     w = df
     if partition_by:
         cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_value))
-        w = df.repartition(*[F.col(c) for c in cols], salt)
+        row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+        w = df.repartitionByRange(*[F.col(c) for c in cols], row_hash)
         w.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE) \
             .partitionBy(*cols).parquet(path)
         return

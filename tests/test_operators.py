@@ -131,6 +131,25 @@ def test_partitioned_write_prunes(spark):
     assert "PartitionFilters: [isnotnull(p" in plan and q.count() == 333
 
 
+def test_partitioned_write_splits_a_hot_value(spark):
+    out = scratch_root(spark)
+    hot = F.when(F.col("id") % 3 == 0, F.lit("small")).otherwise(F.lit("hot"))
+    df = spark.range(30000).select(hot.alias("p"), "id")
+    # AQE merges these tiny range partitions into one; without merging, 30,000 rows
+    # behave like a large table
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        FS.write_parquet(df, out, partition_by="p")
+    finally:
+        spark.conf.set(key, old)
+    files = lambda v: [f for f in os.listdir(os.path.join(out, f"p={v}")) if f.endswith(".parquet")]
+    assert len(files("hot")) > 2  # two thirds of the rows: several writer tasks
+    assert spark.read.parquet(out).groupBy("p").count().collect() and \
+        spark.read.parquet(out).count() == 30000
+
+
 def test_file_metadata_missing_path(spark):
     d = tempfile.mkdtemp()
     with open(os.path.join(d, "x.txt"), "w") as fh:
