@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.profile import NUMERIC, exact_quantiles_multi, top_values, value_counts
+from tallyspark.operators.profile import (NUMERIC, counted_value_counts, exact_quantiles_multi,
+                                         top_values)
 
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
@@ -60,16 +61,10 @@ def impute_median(df: DataFrame, cols) -> DataFrame:
     """Fill NULLs with the exact (interpolated) median, computed distributedly: one value
     count of all listed columns (written once, read by the position lookup), one shared
     bucketed ordering for all medians, then a one-row frame of fill values."""
-    from tallyspark.operators.materialize import materialize
-
     types = dict(df.dtypes)
-    vc = materialize(value_counts(df.select(*[F.col(c).cast("double").alias(c) for c in cols]),
-                                  cols))
-    got = vc.groupBy("column_name").agg(F.sum("freq").alias("n"),
-                                        F.count(F.lit(1)).alias("d")).collect()
-    counts = {r["column_name"]: int(r["n"]) for r in got}
-    med = exact_quantiles_multi(vc, {c: counts.get(c, 0) for c in cols}, (0.5,),
-                                n_rows=sum(int(r["d"]) for r in got))
+    vc, counts, distinct = counted_value_counts(
+        df.select(*[F.col(c).cast("double").alias(c) for c in cols]), cols)
+    med = exact_quantiles_multi(vc, counts, (0.5,), n_rows=sum(distinct.values()))
     stats = med.agg(*[F.max(F.when(F.col("column_name") == c, F.col("q50")))
                       .cast(types[c]).alias(f"__fill_{c}") for c in cols])
     return _fill_from(df, stats, cols)

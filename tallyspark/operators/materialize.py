@@ -20,8 +20,15 @@ def materialize(df: DataFrame) -> DataFrame:
 def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
     """Write ``df`` and read it back; the row count is observed during the write (an
     accumulator-backed metric, no second pass over the data)."""
+    out, metrics = materialize_observed(df)
+    return out, int(metrics["n"])
+
+
+def materialize_observed(df: DataFrame, *metrics) -> tuple[DataFrame, dict]:
+    """Write ``df`` and read it back, with aggregate ``metrics`` (named Columns) and the
+    row count ``n`` observed during the write."""
     spark = df.sparkSession
     path = scratch_root(spark)
     obs = Observation()
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), int(obs.get["n"])
+    df.observe(obs, F.count(F.lit(1)).alias("n"), *metrics).write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), dict(obs.get)

@@ -215,19 +215,27 @@ def exact_quantiles_multi(vc: DataFrame, counts: dict, qs=(0.25, 0.5, 0.75),
     return picked.groupBy("column_name").agg(*aggs)
 
 
-def exact_quantiles(df: DataFrame, c: str, qs=(0.25, 0.5, 0.75),
-                    materialize_input: bool = False) -> DataFrame:
+def counted_value_counts(df: DataFrame, cols) -> tuple[DataFrame, dict, dict]:
+    """``value_counts`` written once to the shared scratch folder (several jobs read it),
+    with every column's non-NULL count and distinct count observed during that write --
+    no extra pass.  Returns (table, counts, distinct counts)."""
+    from tallyspark.operators.materialize import materialize_observed
+
+    metrics = []
+    for i, c in enumerate(cols):
+        hit = F.col("column_name") == c
+        metrics += [F.coalesce(F.sum(F.when(hit, F.col("freq"))), F.lit(0)).alias(f"n{i}"),
+                    F.count_if(hit).alias(f"d{i}")]
+    vc, got = materialize_observed(value_counts(df, cols), *metrics)
+    return (vc, {c: int(got[f"n{i}"]) for i, c in enumerate(cols)},
+            {c: int(got[f"d{i}"]) for i, c in enumerate(cols)})
+
+
+def exact_quantiles(df: DataFrame, c: str, qs=(0.25, 0.5, 0.75)) -> DataFrame:
     """Exact linear-interpolated quantiles of column ``c`` as one row ``q{pct}`` columns
     (NULL when the column has no value)."""
-    vc = value_counts(df.select(F.col(c).cast("double").alias(c)), [c])
-    if materialize_input:
-        from tallyspark.operators.materialize import materialize
-        vc = materialize(vc)
-    stats = vc.groupBy("column_name").agg(F.sum("freq").alias("n"),
-                                          F.count(F.lit(1)).alias("d")).collect()
-    counts = {r["column_name"]: r["n"] for r in stats}
-    got = exact_quantiles_multi(vc, {c: counts.get(c, 0)}, qs,
-                                n_rows=sum(int(r["d"]) for r in stats))
+    vc, counts, distinct = counted_value_counts(df.select(F.col(c).cast("double").alias(c)), [c])
+    got = exact_quantiles_multi(vc, counts, qs, n_rows=distinct[c])
     one = df.sparkSession.range(1).select(F.lit(c).alias("column_name"))
     return one.join(got, "column_name", "left").drop("column_name")
 
@@ -263,21 +271,17 @@ def describe_all(df: DataFrame, cols, exact: bool = True) -> DataFrame:
     top/freq NULL for numeric ones.
 
     Built on one value-count table of all columns (written once to the shared scratch
-    folder, since four jobs read it): one aggregate gives counts, distinct counts, modes
-    and exact moments; one shared bucketed ordering gives every exact quartile.  The
+    folder, since several jobs read it; per-column counts observed during that write):
+    one aggregate gives counts, distinct counts, modes and exact moments; one shared
+    bucketed ordering gives every exact quartile.  The
     result stays a lazy plan: per-column stats left-joined to per-column quartiles.
     ``exact`` is kept for API compatibility (moments are always exact here)."""
-    from tallyspark.operators.materialize import materialize
-
     types = dict(df.dtypes)
     numeric = [c for c in cols if types[c] in NUMERIC]
-    vc = materialize(value_counts(df, cols))
+    vc, counts, distinct = counted_value_counts(df, cols)
     st = column_stats(vc)
-    got = st.filter(F.col("column_name").isin(numeric)) \
-        .select("column_name", "count", "n_unique").collect() if numeric else []
-    counts = {r["column_name"]: r["count"] for r in got}
-    qt = exact_quantiles_multi(vc, {c: counts.get(c, 0) for c in numeric},
-                               n_rows=sum(int(r["n_unique"]) for r in got))
+    qt = exact_quantiles_multi(vc, {c: counts[c] for c in numeric},
+                               n_rows=sum(distinct[c] for c in numeric))
     is_num = F.col("column_name").isin(numeric) if numeric else F.lit(False)
     # the described columns as a literal list, so an all-NULL column still gets its row
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
