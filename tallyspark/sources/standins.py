@@ -150,11 +150,13 @@ def staff(t: Tables, dirty: bool = False) -> DataFrame:
          .alias("experience_years"),
         F.when(_key_is(e, STAFF_RATING_NULL), None).otherwise(F.col("rating")).alias("rating"),
     )
-    # extra rows are generated in the same scan: 0 = the row, 1 = exact copy, 2 = re-keyed copy
+    # extra rows are generated in the same scan: 0 = the row, 1 = exact copy, 2 = re-keyed
+    # copy; absent copies are NULL slots dropped right after the explode (no lambda
+    # function, so the scan stays in whole-stage codegen)
     k = F.col(e)
-    copies = F.filter(F.array(F.lit(0), F.when(k % DUPLICATE_MOD == 0, F.lit(1)),
-                              F.when(k % STAFF_REKEY_MOD == 0, F.lit(2))), lambda x: x.isNotNull())
-    return (dirty_rows.withColumn("_copy", F.explode(copies))
+    copies = F.array(F.lit(0), F.when(k % DUPLICATE_MOD == 0, F.lit(1)),
+                     F.when(k % STAFF_REKEY_MOD == 0, F.lit(2)))
+    return (dirty_rows.withColumn("_copy", F.explode(copies)).filter(F.col("_copy").isNotNull())
             .withColumn(e, F.when(F.col("_copy") == 2, k + STAFF_REKEY_OFFSET).otherwise(k))
             .drop("_copy"))
 
@@ -180,6 +182,6 @@ def dirty_orders(t: Tables) -> DataFrame:
         F.when(k % TEXT_JUNK_MOD == 0, F.lit("n/a"))
          .otherwise(F.col("o_totalprice").cast("string")).alias("price_text"),
     )
-    copies = F.filter(F.array(F.lit(0), F.when(F.col("order_id") % DUPLICATE_MOD == 0, F.lit(1))),
-                      lambda x: x.isNotNull())
-    return rows.withColumn("_copy", F.explode(copies)).drop("_copy")
+    copies = F.array(F.lit(0), F.when(F.col("order_id") % DUPLICATE_MOD == 0, F.lit(1)))
+    return rows.withColumn("_copy", F.explode(copies)).filter(F.col("_copy").isNotNull()) \
+        .drop("_copy")
