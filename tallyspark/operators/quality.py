@@ -47,8 +47,12 @@ def duplicate_keys(df: DataFrame, key) -> DataFrame:
 
 
 def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child rows whose (non-NULL) reference has no parent row (LEFT ANTI join)."""
-    p = parent.select(F.col(parent_col).alias("__pk"))
+    """Child rows whose (non-NULL) reference has no parent row (LEFT ANTI join).
+
+    The anti join reads the *distinct* parent keys: partial aggregation collapses a key
+    repeated in a third of the parent rows before the shuffle (AQE cannot split the build
+    side of an anti join), and the aggregate's hash partitioning is reused by the join."""
+    p = parent.select(F.col(parent_col).alias("__pk")).distinct()
     return child.filter(F.col(child_col).isNotNull()) \
         .join(p, F.col(child_col) == p["__pk"], "left_anti")
 
