@@ -148,30 +148,6 @@ def _boundaries(df: DataFrame, keys: list[Key], buckets, materialize_input: bool
     return df, types, n, bounds
 
 
-def rows_at_positions(df: DataFrame, keys, positions, buckets: int | None = None,
-                      materialize_input: bool = False, rn: str = "_pos") -> DataFrame:
-    """The rows at the given 1-based positions of the order ``keys`` (with column ``rn``).
-    Only the buckets that contain a wanted position are sorted."""
-    keys = _keys(keys)
-    df, types, n, bounds = _boundaries(df, keys, buckets, materialize_input)
-    bucket = "_bk"
-    data = df.withColumn(bucket, _bucket_expr(keys, types, bounds) if bounds else F.lit(0))
-    counts = {r[bucket]: r["n"] for r in
-              data.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).collect()}
-    nb = len(bounds) + 1
-    offsets, acc = [], 0
-    for b in range(nb):
-        offsets.append(acc)
-        acc += int(counts.get(b, 0))
-    need = sorted({b for p in positions for b in range(nb)
-                   if offsets[b] < p <= offsets[b] + int(counts.get(b, 0))})
-    w = Window.partitionBy(bucket).orderBy(*[key.sort_col() for key in keys])
-    picked = (data.filter(F.col(bucket).isin(need) if need else F.lit(False))
-                  .withColumn(rn, F.get(_long_array(offsets), F.col(bucket)) + F.row_number().over(w))
-                  .filter(F.col(rn).isin(sorted(set(positions)))))
-    return picked.drop(bucket)
-
-
 def weighted_positions(df: DataFrame, keys, weight: str, positions, n_rows: int | None = None,
                        buckets: int | None = None, start: str = "_start",
                        end: str = "_end") -> DataFrame:
