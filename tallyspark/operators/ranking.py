@@ -24,11 +24,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark.operators.materialize import materialize_counted
 
 ROWS_PER_BUCKET = 2_000_000   # rows one task sorts at most (on average)
-MAX_BUCKETS = 2048            # bound on boundaries held as plan literals
+MAX_BUCKETS = 1 << 20         # bound on buckets (range exchange path)
+CASE_TREE_MAX = 64            # boundaries evaluated as a literal CASE tree; more -> range exchange
 OVERSAMPLE = 32               # sampled rows per bucket for the boundaries
 SAMPLE_SEED = 20240601
 
@@ -77,39 +79,70 @@ def _sort_rows(rows, keys: list[Key]):
     return sorted(rows, key=functools.cmp_to_key(cmp))
 
 
-def _lit(value, dtype) -> Column:
-    return F.lit(value).cast(dtype)
-
-
-def _less(keys: list[Key], types: dict, row_vals: dict) -> Column:
-    """Row precedes the literal tuple ``row_vals`` in the (nulls-last) sort order."""
-    result = F.lit(False)
-    prefix_eq = F.lit(True)
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_lit(value, dtype) -> str:
+    """SQL text of a literal of Spark type ``dtype`` that parses back to exactly ``value``
+    (doubles by their shortest round-trip text, strings as hex-encoded UTF-8)."""
+    t = dtype.simpleString()
+    if value is None:
+        return f"CAST(NULL AS {t})"
+    if isinstance(dtype, T.BooleanType):
+        return "TRUE" if value else "FALSE"
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return f"CAST({int(value)} AS {t})"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        v = float(value)
+        text = "NaN" if math.isnan(v) else ("Infinity" if v == math.inf else
+                                             "-Infinity" if v == -math.inf else repr(v))
+        return f"CAST('{text}' AS {t})"
+    if isinstance(dtype, T.DecimalType):
+        return f"CAST('{value}' AS {t})"
+    if isinstance(dtype, T.StringType):
+        return f"CAST(X'{str(value).encode('utf-8').hex()}' AS STRING)"
+    if isinstance(dtype, T.DateType):
+        return f"DATE'{value.isoformat()}'"
+    if isinstance(dtype, T.TimestampNTZType):
+        return f"CAST('{value.isoformat(sep=' ')}' AS TIMESTAMP_NTZ)"
+    if isinstance(dtype, T.TimestampType):
+        # collected as a naive local datetime: back to the exact instant via epoch micros
+        micros = math.floor(value.replace(microsecond=0).timestamp()) * 1_000_000 + value.microsecond
+        return f"timestamp_micros({micros})"
+    raise TypeError(f"no SQL literal for {t}")
+
+
+def _less_sql(keys: list[Key], types: dict, row_vals: dict) -> str:
+    """SQL predicate: row precedes the literal tuple ``row_vals`` in the (nulls-last) order."""
+    terms, prefix = [], []
     for k in keys:
-        c = F.col(k.name)
+        c = _q(k.name)
         v = row_vals[k.name]
         if v is None:
-            lt = c.isNotNull()
-            eq = c.isNull()
+            lt, eq = f"{c} IS NOT NULL", f"{c} IS NULL"
         else:
-            lv = _lit(v, types[k.name])
-            lt = F.coalesce((c > lv) if k.desc else (c < lv), F.lit(False))
-            eq = F.coalesce(c == lv, F.lit(False))
-        result = result | (prefix_eq & lt)
-        prefix_eq = prefix_eq & eq
-    return result
+            lv = _sql_lit(v, types[k.name])
+            lt = f"coalesce({c} {'>' if k.desc else '<'} {lv}, false)"
+            eq = f"coalesce({c} = {lv}, false)"
+        terms.append("(" + " AND ".join(prefix + [lt]) + ")")
+        prefix.append(eq)
+    return "(" + " OR ".join(terms) + ")"
 
 
 def _bucket_expr(keys, types, bounds) -> Column:
-    """Number of boundaries <= row, as a balanced CASE tree (log2 k comparisons per row)."""
+    """Number of boundaries <= row, as a balanced CASE tree (log2 k comparisons per row).
+    Written as SQL text and parsed once: building it Column by Column costs a driver
+    round trip per node, minutes for thousands of boundaries."""
 
-    def search(lo: int, hi: int) -> Column:
+    def search(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi + 1) // 2
-        return F.when(_less(keys, types, bounds[mid - 1]), search(lo, mid - 1)).otherwise(search(mid, hi))
+        return (f"CASE WHEN {_less_sql(keys, types, bounds[mid - 1])} "
+                f"THEN {search(lo, mid - 1)} ELSE {search(mid, hi)} END")
 
-    return search(0, len(bounds))
+    return F.expr(search(0, len(bounds)))
 
 
 def _choose_buckets(spark, n: int) -> int:
@@ -118,7 +151,7 @@ def _choose_buckets(spark, n: int) -> int:
 
 
 def _long_array(values) -> Column:
-    return F.array(*[F.lit(int(v)).cast("bigint") for v in values])
+    return F.expr("array(" + ", ".join(f"CAST({int(v)} AS BIGINT)" for v in values) + ")")
 
 
 def _boundaries(df: DataFrame, keys: list[Key], buckets, materialize_input: bool,
@@ -148,6 +181,51 @@ def _boundaries(df: DataFrame, keys: list[Key], buckets, materialize_input: bool
     return df, types, n, bounds
 
 
+def _bucketed(df: DataFrame, keys: list[Key], buckets, materialize_input: bool,
+              n: int | None = None):
+    """(rows with a ``_bk`` bucket column, row count, number of buckets).
+
+    Buckets are contiguous ranges of the complete sort key, numbered in sort order.  Up
+    to ``CASE_TREE_MAX`` boundaries they come from a bounded sample and are evaluated as
+    a literal CASE tree (a pure function of the row: every later pass agrees).  Beyond
+    that a CASE tree no longer compiles to bytecode, so Spark's range exchange assigns
+    the buckets (its own sample, compiled binary search, any bucket count) and the bucket
+    id is written out with the rows: later passes read it as data, never re-sample."""
+    spark = df.sparkSession
+    if materialize_input:
+        df, n = materialize_counted(df)
+    if n is None:
+        n = df.count()
+    k = buckets or _choose_buckets(spark, max(n, 1))
+    if n > 0 and k - 1 > CASE_TREE_MAX:
+        ranged = df.repartitionByRange(k, *[key.sort_col() for key in keys]) \
+            .withColumn("_bk", F.spark_partition_id())
+        data, _ = materialize_counted(ranged)
+        return data, n, k
+    df, types, n, bounds = _boundaries(df, keys, k, False, n=n)
+    data = df.withColumn("_bk", _bucket_expr(keys, types, bounds) if bounds else F.lit(0))
+    return data, n, len(bounds) + 1
+
+
+def _straddling_ties(data: DataFrame, prefix: list[str], nb: int) -> list[int]:
+    """``e[b]`` = rows of bucket ``b`` whose first-``L``-key prefix equals that of the first
+    row of bucket ``b + 1`` (a tie group cut by a bucket boundary).  Buckets are contiguous
+    ranges, so such a group is a prefix value present in several (consecutive) buckets;
+    only those groups reach the driver, with one count per bucket they touch (each bucket
+    has at most two cut groups: at most ``2 * nb`` rows)."""
+    per = data.groupBy("_bk", *prefix).agg(F.count(F.lit(1)).alias("c"))
+    cut = per.groupBy(*prefix).agg(F.count(F.lit(1)).alias("nb"),
+                                   F.collect_list(F.struct("_bk", "c")).alias("parts")) \
+        .filter(F.col("nb") > 1).select("parts")
+    e = [0] * nb
+    for r in cut.collect():
+        counts = {int(x["_bk"]): int(x["c"]) for x in r["parts"]}
+        for b, c in counts.items():
+            if b + 1 in counts:
+                e[b] = c
+    return e
+
+
 def weighted_positions(df: DataFrame, keys, weight: str, positions, n_rows: int | None = None,
                        buckets: int | None = None, start: str = "_start",
                        end: str = "_end") -> DataFrame:
@@ -161,12 +239,10 @@ def weighted_positions(df: DataFrame, keys, weight: str, positions, n_rows: int
     the driver); only buckets that hold a wanted position are sorted, and inside them a
     running sum of the weights gives each row's span."""
     keys = _keys(keys)
-    df, types, n, bounds = _boundaries(df, keys, buckets, False, n=n_rows)
+    data, n, nb = _bucketed(df, keys, buckets, False, n=n_rows)
     bucket = "_bk"
-    data = df.withColumn(bucket, _bucket_expr(keys, types, bounds) if bounds else F.lit(0))
     wsum = {r[bucket]: int(r["w"] or 0) for r in
             data.groupBy(bucket).agg(F.sum(weight).alias("w")).collect()} if n else {}
-    nb = len(bounds) + 1
     offsets, acc = [], 0
     for b in range(nb):
         offsets.append(acc)
@@ -196,36 +272,23 @@ def global_order(df: DataFrame, keys, rank_prefixes=(), ntiles=(), buckets: int
     be deterministic; RANK/DENSE_RANK only depend on the first ``L`` keys.
     """
     keys = _keys(keys)
-    df, types, n, bounds = _boundaries(df, keys, buckets, materialize_input)
+    data, n, nb = _bucketed(df, keys, buckets, materialize_input)
     levels = sorted(set(int(x) for x in rank_prefixes))
-    m = len(bounds)
     bucket = "_bk"
-    data = df.withColumn(bucket, _bucket_expr(keys, types, bounds) if m else F.lit(0))
 
-    # one aggregate over all rows -> at most m+1 stats rows (bounded by MAX_BUCKETS)
+    # one aggregate over all rows -> at most nb stats rows
     aggs = [F.count(F.lit(1)).alias("n")]
-    for L in levels:
-        lk = keys[:L]
-        if dense:
-            aggs.append(F.count_distinct(F.struct(*[F.col(x.name) for x in lk])).alias(f"d{L}"))
-        if m:
-            nxt_arr = F.array(*[F.struct(*[_lit(b[x.name], types[x.name]).alias(x.name) for x in lk])
-                                for b in bounds])
-            nxt_row = F.get(nxt_arr, F.col(bucket))
-            same = F.lit(True)
-            for x in lk:
-                same = same & F.col(x.name).eqNullSafe(nxt_row.getField(x.name))
-            ties_next = F.when((F.col(bucket) < m) & same, 1).otherwise(0)
-            aggs.append(F.sum(ties_next).alias(f"e{L}"))
-        else:
-            aggs.append(F.lit(0).alias(f"e{L}"))
+    if dense:
+        aggs += [F.count_distinct(F.struct(*[F.col(x.name) for x in keys[:L]])).alias(f"d{L}")
+                 for L in levels]
     stats = {r[bucket]: r.asDict() for r in data.groupBy(bucket).agg(*aggs).collect()} if n else {}
-
-    nb = m + 1
     cnt = [int(stats.get(b, {}).get("n", 0) or 0) for b in range(nb)]
     offsets = [0] * nb
     for b in range(1, nb):
         offsets[b] = offsets[b - 1] + cnt[b - 1]
+    nonempty = [b for b in range(nb) if cnt[b] > 0]
+    prev_ne = {b: (nonempty[i - 1] if i else None) for i, b in enumerate(nonempty)}
+    next_ne = {b: (nonempty[i + 1] if i + 1 < len(nonempty) else None) for i, b in enumerate(nonempty)}
 
     w_all = Window.partitionBy(bucket).orderBy(*[key.sort_col() for key in keys])
     out = data.withColumn("_lrn", F.row_number().over(w_all))
@@ -233,19 +296,21 @@ def global_order(df: DataFrame, keys, rank_prefixes=(), ntiles=(), buckets: int
     tmp_cols = ["_lrn"]
     for L in levels:
         d = [int(stats.get(b, {}).get(f"d{L}", 0) or 0) for b in range(nb)]
-        e = [int(stats.get(b, {}).get(f"e{L}", 0) or 0) for b in range(nb)]
+        # e[b]: rows of (non-empty) bucket b tied with the first row of the next non-empty one
+        e = _straddling_ties(data, [x.name for x in keys[:L]], nb) if n else [0] * nb
         ties_before = [0] * nb
         distinct_before = [0] * nb
-        for b in range(1, nb):
-            j, acc = b - 1, 0
-            while j >= 0:
+        for b in nonempty:
+            j, acc = prev_ne[b], 0
+            while j is not None and e[j] > 0:
                 acc += e[j]
-                if cnt[j] > 0 and e[j] == cnt[j]:
-                    j -= 1
-                else:
+                if e[j] != cnt[j]:
                     break
+                j = prev_ne[j]   # the whole bucket is one tie group: it may continue further
             ties_before[b] = acc
-            distinct_before[b] = sum(d[:b]) - sum(1 for x in range(b - 1) if e[x] > 0)
+            distinct_before[b] = sum(d[:b]) - sum(
+                1 for x in nonempty if x < b and e[x] > 0 and next_ne[x] is not None
+                and next_ne[x] < b)
         w_l = Window.partitionBy(bucket).orderBy(*[key.sort_col() for key in keys[:L]])
         lr, ld = f"_lrk{L}", f"_ldr{L}"
         out = out.withColumn(lr, F.rank().over(w_l))

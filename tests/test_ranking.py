@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -15,11 +16,14 @@ def _frame(spark, n=3000):
     )
 
 
-def test_global_order_matches_builtin(spark):
+@pytest.mark.parametrize("buckets", [9, 100, 400])
+def test_global_order_matches_builtin(spark, buckets):
+    # 9: sampled boundaries as a CASE tree; 100 and 400: range-exchange buckets (400 on
+    # 3000 rows with a value in a third of them leaves buckets empty)
     df = _frame(spark)
     for desc in (True, False):
         keys = [("v", desc), ("key", False)]
-        ours = global_order(df, keys, rank_prefixes=(1,), ntiles=(4, 7), buckets=9)
+        ours = global_order(df, keys, rank_prefixes=(1,), ntiles=(4, 7), buckets=buckets)
         o = F.col("v").desc_nulls_last() if desc else F.col("v").asc_nulls_last()
         w = Window.orderBy(o, F.col("key"))
         wr = Window.orderBy(o)
@@ -41,9 +45,10 @@ def test_global_order_single_bucket_and_empty(spark):
     assert global_order(empty, [("v", True), ("key", False)], rank_prefixes=(1,)).count() == 0
 
 
-def test_partitioned_row_number(spark):
+@pytest.mark.parametrize("buckets", [6, 120])
+def test_partitioned_row_number(spark, buckets):
     df = _frame(spark, 2000)
-    ours = partitioned_row_number(df, ["grp"], [("v", True), ("key", False)], buckets=6)
+    ours = partitioned_row_number(df, ["grp"], [("v", True), ("key", False)], buckets=buckets)
     w = Window.partitionBy("grp").orderBy(F.col("v").desc_nulls_last(), F.col("key"))
     ref = df.withColumn("_p_rn", F.row_number().over(w))
     assert ours.select("key", "_p_rn").exceptAll(ref.select("key", "_p_rn")).count() == 0
@@ -101,10 +106,11 @@ def test_weighted_positions_match_expanded_rows(spark):
     df = spark.createDataFrame(pairs, "v double, w bigint")
     expanded = sorted(v for v, w in pairs for _ in range(w))
     wanted = [1, 400, 401, 408, 409, 410, 440, 441]
-    got = weighted_positions(df, ["v"], "w", wanted, buckets=3).collect()
-    for p in wanted:
-        hit = [r["v"] for r in got if r["_start"] <= p <= r["_end"]]
-        assert hit == [expanded[p - 1]], p
+    for buckets in (3, 80):  # CASE-tree buckets, range-exchange buckets (mostly empty)
+        got = weighted_positions(df, ["v"], "w", wanted, buckets=buckets).collect()
+        for p in wanted:
+            hit = [r["v"] for r in got if r["_start"] <= p <= r["_end"]]
+            assert hit == [expanded[p - 1]], (buckets, p)
 
 
 def test_exact_quantiles_hot_value_and_several_columns(spark):
