@@ -12,8 +12,16 @@ the offsets that turn local numbers into global ones:
 * ``dense_rank = distinct_before[b] - [E[b] > 0] + local_dense_rank``
 
 where ``E[b]`` counts rows of earlier buckets that tie with the first row of bucket
-``b`` (a tie group may straddle buckets).  Boundaries are literals in the plan, so the
-bucket of a row is a pure function of its values and every pass over the input agrees.
+``b`` (a tie group may straddle buckets; such groups are the prefix values found in
+several buckets, at most two per bucket).
+
+Bucket assignment has two forms.  Up to ``CASE_TREE_MAX`` boundaries (small inputs) the
+boundaries are plan literals in a balanced CASE tree, so the bucket is a pure function
+of the row and every pass agrees.  Beyond that a CASE tree stops compiling to bytecode
+(every task would retry the compile and fall back to interpretation), so Spark's range
+exchange assigns the buckets -- its sampled bounds and compiled binary search handle any
+bucket count -- and the bucket id is written out with the rows to the shared scratch
+folder, so later passes read it instead of re-sampling.
 """
 
 from __future__ import annotations
