@@ -135,3 +135,25 @@ def test_modes_order_numbers_as_numbers(spark):
     rows = {r["column_name"]: r for r in describe_all(empty, ["k", "s"]).collect()}
     assert rows["s"]["count"] == 0 and rows["s"]["n_unique"] == 0 and rows["s"]["top"] is None
     assert rows["k"]["p50"] == 1.5 and rows["k"]["count"] == 2
+
+
+def test_global_order_typed_keys_match_builtin(spark):
+    """Boundary literals of every key type (string with quotes and non-ASCII text, date,
+    decimal, timestamp) parse back to the exact sampled values."""
+    words = F.element_at(F.array(*[F.lit(w) for w in ["a'b", "Zürich", "x\\y", "", "東京", "b"]]),
+                         (F.col("id") % 6 + 1).cast("int"))
+    df = spark.range(1200).select(
+        F.col("id").alias("key"),
+        F.when(F.col("id") % 11 == 0, F.lit(None).cast("string")).otherwise(words).alias("s"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 17).cast("int")).alias("d"),
+        (F.col("id") % 13 / 4).cast("decimal(10,2)").alias("m"),
+        F.expr("CAST('2021-03-04 05:06:07' AS TIMESTAMP_NTZ) + make_interval(0, 0, 0, 0, 0, 0, id % 7)")
+         .alias("t"))
+    keys = [("s", False), ("d", True), ("m", False), ("t", True), ("key", False)]
+    ours = global_order(df, keys, rank_prefixes=(2,), buckets=5)
+    order = [F.col("s").asc_nulls_last(), F.col("d").desc_nulls_last(), F.col("m").asc_nulls_last(),
+             F.col("t").desc_nulls_last(), F.col("key").asc_nulls_last()]
+    ref = df.select("key", F.row_number().over(Window.orderBy(*order)).alias("rn"),
+                    F.rank().over(Window.orderBy(*order[:2])).alias("rk"))
+    got = ours.select("key", F.col("_g_rn").alias("rn"), F.col("_g_rank2").alias("rk"))
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
