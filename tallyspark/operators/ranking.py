@@ -15,13 +15,13 @@ where ``E[b]`` counts rows of earlier buckets that tie with the first row of buc
 ``b`` (a tie group may straddle buckets; such groups are the prefix values found in
 several buckets, at most two per bucket).
 
-Bucket assignment has two forms.  Up to ``CASE_TREE_MAX`` boundaries (small inputs) the
-boundaries are plan literals in a balanced CASE tree, so the bucket is a pure function
-of the row and every pass agrees.  Beyond that a CASE tree stops compiling to bytecode
-(every task would retry the compile and fall back to interpretation), so Spark's range
-exchange assigns the buckets -- its sampled bounds and compiled binary search handle any
-bucket count -- and the bucket id is written out with the rows to the shared scratch
-folder, so later passes read it instead of re-sampling.
+Bucket assignment.  By default the input is range-partitioned exactly as Spark lays out
+``orderBy`` (``spark.sql.shuffle.partitions`` ranges, merged by AQE into contiguous,
+in-order ranges when small) and the partition id is written out with the rows to the
+shared scratch folder: one write, later passes read the bucket as data and never
+re-sample.  With an explicit bucket count, up to ``CASE_TREE_MAX`` boundaries come from
+a bounded sample as plan literals in a balanced CASE tree (a pure function of the row);
+more than that no longer compiles to bytecode, so the range exchange is used again.
 """
 
 from __future__ import annotations
@@ -200,6 +200,15 @@ def _bucketed(df: DataFrame, keys: list[Key], buckets, materialize_input: bool,
     the buckets (its own sample, compiled binary search, any bucket count) and the bucket
     id is written out with the rows: later passes read it as data, never re-sample."""
     spark = df.sparkSession
+    if materialize_input and buckets is None:
+        # Spark's own sort layout: range partitions of spark.sql.shuffle.partitions (sized
+        # by the user for the data), merged by AQE into contiguous, in-order ranges when
+        # small; one write, the row count observed during it.  The number of buckets is
+        # known only after the write (None: the caller takes it from the bucket stats).
+        ranged = df.repartitionByRange(*[key.sort_col() for key in keys]) \
+            .withColumn("_bk", F.spark_partition_id())
+        data, n = materialize_counted(ranged)
+        return data, n, None
     if materialize_input:
         df, n = materialize_counted(df)
     if n is None:
@@ -290,6 +299,8 @@ def global_order(df: DataFrame, keys, rank_prefixes=(), ntiles=(), buckets: int
         aggs += [F.count_distinct(F.struct(*[F.col(x.name) for x in keys[:L]])).alias(f"d{L}")
                  for L in levels]
     stats = {r[bucket]: r.asDict() for r in data.groupBy(bucket).agg(*aggs).collect()} if n else {}
+    if nb is None:
+        nb = max(stats) + 1 if stats else 1
     cnt = [int(stats.get(b, {}).get("n", 0) or 0) for b in range(nb)]
     offsets = [0] * nb
     for b in range(1, nb):

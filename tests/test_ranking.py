@@ -16,10 +16,13 @@ def _frame(spark, n=3000):
     )
 
 
-@pytest.mark.parametrize("buckets", [9, 100, 400])
+@pytest.mark.parametrize("buckets", [9, 100, 400, None])
 def test_global_order_matches_builtin(spark, buckets):
     # 9: sampled boundaries as a CASE tree; 100 and 400: range-exchange buckets (400 on
-    # 3000 rows with a value in a third of them leaves buckets empty)
+    # 3000 rows with a value in a third of them leaves buckets empty); None: the default
+    # range layout of the shuffle-partition count, unmerged here so there are 8 ranges
+    if buckets is None:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     df = _frame(spark)
     for desc in (True, False):
         keys = [("v", desc), ("key", False)]
@@ -35,6 +38,7 @@ def test_global_order_matches_builtin(spark, buckets):
                           F.col("_g_ntile7").alias("t7"))
         assert got.exceptAll(ref.select(*got.columns)).count() == 0
         assert ref.select(*got.columns).exceptAll(got).count() == 0
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_global_order_single_bucket_and_empty(spark):
