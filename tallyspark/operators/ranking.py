@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from tallyspark.operators.materialize import materialize_counted
 
 ROWS_PER_BUCKET = 2_000_000   # rows one task sorts at most (on average)
-MAX_BUCKETS = 1 << 20         # bound on buckets (range exchange path)
+MAX_BUCKETS = 1 << 16         # bound on buckets: per-bucket offsets are plan literals
 CASE_TREE_MAX = 64            # boundaries evaluated as a literal CASE tree; more -> range exchange
 OVERSAMPLE = 32               # sampled rows per bucket for the boundaries
 SAMPLE_SEED = 20240601
@@ -252,9 +252,9 @@ def weighted_positions(df: DataFrame, keys, weight: str, positions, n_rows: int
 
     ``keys`` should be unique per row.  Buckets are balanced on rows of ``df``, so a value
     that repeats in a third of the underlying data is one row here, not a hot bucket.
-    One aggregate gives the weight of every bucket (at most ``MAX_BUCKETS`` rows reach
-    the driver); only buckets that hold a wanted position are sorted, and inside them a
-    running sum of the weights gives each row's span."""
+    One aggregate gives the weight of every bucket (one row per bucket reaches the driver,
+    at most ``MAX_BUCKETS``); only buckets that hold a wanted position are sorted, and
+    inside them a running sum of the weights gives each row's span."""
     keys = _keys(keys)
     data, n, nb = _bucketed(df, keys, buckets, False, n=n_rows)
     bucket = "_bk"
