@@ -1,8 +1,7 @@
 """Cut lineage by writing a table into the shared checkpoint folder.
 
-Used where one intermediate result is read by several jobs (e.g. the global ordering
-reads its input for the boundary sample, the bucket statistics and the final pass).  A
-written Parquet table survives executor loss, unlike cached blocks.
+Used where one intermediate result is read by several jobs.  A written Parquet table
+survives executor loss, unlike cached blocks.
 """
 
 from __future__ import annotations
@@ -14,7 +13,10 @@ from tallyspark.session import scratch_root
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    return materialize_counted(df)[0]
+    spark = df.sparkSession
+    path = scratch_root(spark)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:

@@ -1,36 +1,43 @@
 """Session construction and the shared scratch location.
 
-On a cluster the scratch root is the shared folder named by ``spark.checkpoint.dir``;
-only when that setting is absent (local tests) do we create one of our own.
+Intermediate tables live under the shared folder named by ``spark.checkpoint.dir``.  Only a
+``local`` master may run without that setting (one machine is the whole cluster); anywhere
+else its absence is an error, never a silent machine-local folder.
 """
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Settings that matter at scale.  AQE re-plans joins and coalesces shuffle
-# partitions from runtime statistics; skew-join splits hot partitions; the
-# broadcast threshold is Spark's own size check (runtime-verified under AQE).
+# What results depend on; every entry point sets these.
+RESULT_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+}
+
+# Defaults of sessions built here; a session handed in by the user keeps its own tuning.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.ansi.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+TABLES_FOLDER = "tallyspark-tables"
+_written: dict[str, list[str]] = {}
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "tallyspark", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
-    conf = dict(SCALE_CONF)
+    conf = SCALE_CONF | RESULT_CONF
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions is not None:
@@ -40,26 +47,24 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    apply_scale_conf(spark)
     return spark
 
 
 def apply_scale_conf(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings to an existing session (e.g. the driver's)."""
-    for k, v in SCALE_CONF.items():
-        if k.startswith("spark.sql."):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on a foreign session: leave as is
-                pass
+    """Set what results depend on; tuning (broadcast threshold, AQE, partitions) stays the
+    session's own."""
+    for k, v in RESULT_CONF.items():
+        spark.conf.set(k, v)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only when none is configured."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint folder, as configured (with its scheme)."""
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local") \
+                or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a "
+                               "folder that the driver and every executor share")
         current = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
@@ -67,9 +72,48 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """A per-call folder under the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = os.path.join(base, "tallyspark-tables", uuid.uuid4().hex)
+    """A new folder (URI) for one written table; removed by ``drop_scratch`` or at exit."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{TABLES_FOLDER}/{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    if app not in _written:
+        _written[app] = []
+        atexit.register(_drop_at_exit, app)
+    _written[app].append(path)
     return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system of its scheme."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the intermediate tables this application has written (from the ``since``-th
+    on); returns how many.  Frames that read them can't be evaluated afterwards."""
+    paths = _written.get(spark.sparkContext.applicationId, [])
+    gone = paths[since:]
+    for path in gone:
+        delete_path(spark, path)
+    del paths[since:]
+    return len(gone)
+
+
+def _drop_at_exit(app: str) -> None:
+    spark = SparkSession.getActiveSession()
+    try:
+        if spark is not None and spark.sparkContext.applicationId == app:
+            drop_scratch(spark)
+    except Exception:  # noqa: BLE001 - the JVM may already be gone
+        return
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Intermediate tables written inside the block are deleted when it ends."""
+    before = len(_written.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        drop_scratch(spark, before)
