@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import exact_dedup
+from tallyspark.llm import exact_dedup, quality_rules
 
 QUERIES = {
+    "op2_quality_rules": quality_rules.op2_quality_rules,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLE = {
+    "op2_quality_rules": quality_rules.ORACLE_SQL,
     "op10_exact_dedup": exact_dedup.ORACLE_SQL,
 }
