@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.text import BLANK_RUN, BLANKS, columns_free_of, let, lower_ascii, words
+from tallyspark.llm.text import BLANK_RUN, BLANKS, columns_free_of, let, lower_ascii, text_key, words
 from tallyspark.operators.materialize import materialize
 
 SYMBOLS = "#*$%&|<>"     # fixed value: the characters that count as symbols
@@ -83,10 +83,6 @@ def line_key(line: Column) -> Column:
     return F.unhex(F.md5(norm))
 
 
-def text_key(text: Column) -> Column:
-    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
-
-
 def line_table(docs: DataFrame, text_col: str, host_col: str) -> DataFrame:
     """One row per distinct (host, text, line): host, doc, line, line_words.
 

@@ -23,6 +23,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, BLANK_RUN), "")
 
 
+def text_key(text: Column) -> Column:
+    """A 128-bit digest of the text; NULL counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once per row and use it several times in ``body``: a column
     referenced inside a lambda is otherwise computed again for every element."""
