@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import exact_dedup, packing, quality_rules, simhash_dedup
+from tallyspark.llm import exact_dedup, packing, quality_rules, simhash_dedup, token_counts
 
 QUERIES = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op4_token_counts": token_counts.op4_token_counts,
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
     "op8_packing": packing.op8_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
