@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import exact_dedup, packing, quality_rules, simhash_dedup, token_counts
+from tallyspark.llm import exact_dedup, packing, quality_rules, simhash_dedup, token_counts, warc
 
 QUERIES = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
+    "op6_warc": warc.op6_warc,
     "op8_packing": packing.op8_packing,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
