@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import exact_dedup, packing, quality_rules, simhash_dedup, token_counts, warc
+from tallyspark.llm import exact_dedup, html_extraction, packing, quality_rules, simhash_dedup, token_counts, warc
 
 QUERIES = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
     "op6_warc": warc.op6_warc,
     "op8_packing": packing.op8_packing,
+    "op9_html_extraction": html_extraction.op9_html_extraction,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
