@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import exact_dedup, html_extraction, packing, quality_rules, simhash_dedup, token_counts, warc
+from tallyspark.llm import exact_dedup, html_extraction, packing, quality_rules, simhash_dedup, suffix_tree, token_counts, warc
 
 QUERIES = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
     "op6_warc": warc.op6_warc,
+    "op7_suffix_tree": suffix_tree.op7_suffix_tree,
     "op8_packing": packing.op8_packing,
     "op9_html_extraction": html_extraction.op9_html_extraction,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
