@@ -20,10 +20,12 @@ of their own; an empty table gives no pieces; extra columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,9 @@ DEPTH = 3
 STEPS = 300          # projected gradient steps of the least squares
 BUCKETS = 4096         # row buckets in which a length's pieces are ranked
 CACHE_WORDS = 400_000
+BLANK_PIECE = "\u0120"   # fixed value: how the vocabulary writes a blank
 LOOSE_BLANKS = re.compile(r" [\s\u180e]|[\s\u180e] |^\s|\s$")
+NOT_LATIN = re.compile("[^\u0000-\u024f]")
 # How far the two smaller lengths of a combination of three lie apart; fixed values that keep
 # the combinations few enough for whole repeat counts.
 SPREADS = (0, 2, 6, 20, 62, 200, 632)
@@ -50,36 +54,64 @@ class Encoder:
 
     The byte-level pattern never joins a word with the blank after it, so a text whose blanks are
     all single is the concatenation of its words, each with the blank before it; words seen
-    before come from a bounded cache.  Any other text, and one that holds a special string, is
-    encoded in one call."""
+    before come from a bounded cache, new ones are encoded together and told apart by the tokens
+    that begin with a blank.  Any other text, and one that holds a special string, is encoded in
+    one call.  Where the same vocabulary is also given as ranks, new words of Latin letters,
+    digits and marks (whose classes every library agrees on) are merged by them, which is several
+    times faster and gives the same ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str | None = None):
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.begins = np.zeros(max(vocab.values()) + 1, bool)
+        self.begins[[i for piece, i in vocab.items() if piece.startswith(BLANK_PIECE)]] = True
+        self.merger = None
+        if ranks is not None:
+            import public_tokenizers
+            import tiktoken
+            with open(ranks, "rb") as lines:
+                pairs = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            self.merger = tiktoken.Encoding("latin", pat_str=public_tokenizers.PATTERN,
+                                            mergeable_ranks=pairs, special_tokens={})
+
+    def plain(self, text: str) -> np.ndarray:
+        if self.merger is not None and not NOT_LATIN.search(text):
+            return np.array(self.merger.encode_ordinary(text), "<u4")
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if LOOSE_BLANKS.search(text) or any(s in text for s in self.special):
+        single = len(text.split()) == text.count(" ") + text.count("\n") + 1 and "\u180e" not in text
+        if not single and LOOSE_BLANKS.search(text) or any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         first, *rest = text.split(" ")
-        parts = [first, *[" " + w for w in rest]]
         cache = self.cache
-        new = [p for p in set(parts) if p not in cache]
+        new = {w for w in rest if w not in cache}
+        if len(cache) + len(new) > CACHE_WORDS:
+            cache.clear()
+            new = set(rest)
         if new:
-            if len(cache) + len(new) > CACHE_WORDS:
-                cache.clear()
-                new = list(set(parts))
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                cache[p] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([cache[p] for p in parts])
+            ids = self.plain(" " + " ".join(new))
+            ends = [*(4 * np.flatnonzero(self.begins[ids])).tolist(), 4 * len(ids)]
+            data = ids.tobytes()
+            for w, start, end in zip(new, ends, ends[1:]):
+                cache[w] = data[start:end]
+        return self.plain(first).tobytes() + b"".join([cache[w] for w in rest])
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str, ranks: str | None = None) -> Encoder:
+    """One a worker process, which runs many tasks."""
+    return Encoder(path, ranks)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-           window: int = WINDOW) -> DataFrame:
+           window: int = WINDOW, ranks: str | None = None) -> DataFrame:
     """One row per piece: id, key, start, length, crc, doc_tokens, tail (ids of a piece shorter
     than the window, little-endian unsigned 32-bit)."""
     rows = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"),
@@ -88,7 +120,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
               "crc long, doc_tokens long, tail binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer_path), np.array([END_ID], "<u4").tobytes()
+        encoder, end = encoder_of(tokenizer_path, ranks), np.array([END_ID], "<u4").tobytes()
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
@@ -282,9 +314,9 @@ def ranked(rows: DataFrame) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-         window: int = WINDOW) -> DataFrame:
+         window: int = WINDOW, ranks: str | None = None) -> DataFrame:
     """One row per packed piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    rows = materialize(pieces(docs, tokenizer_path, id_col, text_col, window))
+    rows = materialize(pieces(docs, tokenizer_path, id_col, text_col, window, ranks))
     histogram = np.zeros(window + 1, np.int64)
     for r in rows.groupBy("length").count().collect():  # at most ``window`` rows
         histogram[r["length"]] = r["count"]
@@ -315,4 +347,6 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumnRenamed("id", "doc_id")
+    packed = pack(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                  ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packed.withColumnRenamed("id", "doc_id")

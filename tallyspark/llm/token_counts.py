@@ -18,6 +18,7 @@ table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,12 @@ class Pieces:
         return 0 < at < len(text) and text[at - 1:at + 1] not in self.joined
 
 
+@lru_cache(maxsize=1)
+def pieces_of(model_file: str) -> Pieces:
+    """One a worker process, which runs many tasks."""
+    return Pieces(model_file)
+
+
 def chunk_rows(texts: DataFrame, chunk: int, overlap: int) -> DataFrame:
     """One row per chunk of each text: row key columns, chunk_no, begin, text of the chunk.
     Chunk i starts at i * chunk and runs ``overlap`` beyond the start of the next."""
@@ -90,7 +97,7 @@ def encoded_chunks(chunks: DataFrame, model_file: str, overlap: int) -> DataFram
     pair = pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model_file)
+        pieces = pieces_of(model_file)
         for b in batches:
             for i in range(b.num_rows):
                 text, begin = b.column("text")[i].as_py(), b.column("begin")[i].as_py()
@@ -152,7 +159,7 @@ def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id",
     rows = rows.withColumn("huge", F.char_length("text") > chunk + overlap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model_file)
+        pieces = pieces_of(model_file)
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)

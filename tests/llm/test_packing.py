@@ -127,14 +127,28 @@ def test_least_squares_uses_most_of_an_even_histogram():
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.sampled_from("aé \n\t'sZ1# 　<|endoftext|>"), max_size=40))
 def test_cached_words_give_the_library_ids(text):
-    got = np.frombuffer(ENCODER.encode(text), "<u4").tolist()
-    assert got == TOKENIZER.encode(text, add_special_tokens=False).ids
+    for encoder in ENCODERS:
+        got = np.frombuffer(encoder.encode(text), "<u4").tolist()
+        assert got == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("text", ["a <|endoftext|> b", "x  y", " x", "x ", "it's  'S", "᠎ ᠎ a"])
 def test_special_strings_and_loose_blanks(text):
-    got = np.frombuffer(ENCODER.encode(text), "<u4").tolist()
-    assert got == TOKENIZER.encode(text, add_special_tokens=False).ids
+    for encoder in ENCODERS:
+        got = np.frombuffer(encoder.encode(text), "<u4").tolist()
+        assert got == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
-ENCODER = P.Encoder(PATH)
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.characters(max_codepoint=0x24F), max_size=60))
+def test_latin_texts(text):
+    test_special_strings_and_loose_blanks(text)
+
+
+def test_ids_of_the_documents_table():
+    import duckdb
+    for (text,) in duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall():
+        test_special_strings_and_loose_blanks(text)
+
+
+ENCODERS = [P.Encoder(PATH), P.Encoder(PATH, public_tokenizers.path("byte_bpe_50k.tiktoken"))]
