@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import exact_dedup, html_extraction, packing, quality_rules, simhash_dedup, suffix_tree, token_counts, warc
+from tallyspark.llm import exact_dedup, html_extraction, mixing, packing, quality_rules, simhash_dedup, suffix_tree, token_counts, warc
 
 QUERIES = {
+    "op1_source_mixing": mixing.op1_source_mixing,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
