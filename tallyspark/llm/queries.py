@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import exact_dedup, html_extraction, mixing, packing, quality_rules, simhash_dedup, suffix_tree, token_counts, warc
+from tallyspark.llm import (
+    exact_dedup,
+    html_extraction,
+    line_dedup,
+    mixing,
+    packing,
+    quality_rules,
+    simhash_dedup,
+    suffix_tree,
+    token_counts,
+    warc,
+)
 
 QUERIES = {
     "op1_source_mixing": mixing.op1_source_mixing,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
     "op6_warc": warc.op6_warc,
