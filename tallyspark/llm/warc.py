@@ -325,8 +325,9 @@ def lookup(index: DataFrame, page_ids: DataFrame) -> DataFrame:
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     index = write_bundles(planned(pages), scratch_root(spark))
-    # an explicit number: by their few bytes the names would all be coalesced into one task
+    # an explicit number on an expression of its own: by their few bytes the names would all be
+    # coalesced into one task
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bundles = index.select("bundle").distinct().repartition(tasks, "bundle")
+    bundles = index.select("bundle").distinct().repartition(tasks, F.xxhash64("bundle"))
     return read_bundles(bundles).select("page_id", "payload_bytes", "payload_digest",
                                         "record_type", "refers_to")
