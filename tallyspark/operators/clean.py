@@ -10,10 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.profile import (NUMERIC, counted_value_counts, exact_quantiles_multi,
-                                         top_values)
-
-INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+from tallyspark.operators.profile import (INTEGRAL, column_mean, counted_value_counts,
+                                         exact_quantiles_multi, is_numeric, top_values)
 
 
 def coerce_numeric(df: DataFrame, cols, to: str = "double") -> DataFrame:
@@ -26,23 +24,20 @@ def parse_dates(df: DataFrame, cols, fmt: str = "yyyy-MM-dd") -> DataFrame:
     return df.withColumns({c: F.try_to_date(F.col(c), fmt) for c in cols})
 
 
-def _mean_expr(c: str, dtype: str, decimals: int, int_mode: str) -> Column:
-    """Column mean from an exact decimal sum, rounded half-up to ``decimals``.
-    Integer columns: ``half_up`` rounds to a whole number; ``truncate`` keeps the
-    rounded-to-``decimals`` mean and drops the fraction, as filling an int column with a
-    float does."""
-    x = F.col(c)
-    exact = F.sum(x.cast("decimal(18,2)")) / F.count(x)
-    if dtype in INTEGRAL:
-        if int_mode == "half_up":
-            return F.round(exact, 0).cast(dtype)
-        return F.round(exact, decimals).cast(dtype)
-    return F.round(exact, decimals).cast(dtype)
+def _mean_expr(c: str, dtype: str, decimals: int, int_mode: str, scale: int | None) -> Column:
+    """Column mean rounded half-up to ``decimals``, summed by the column's own type.  Integer
+    columns: ``half_up`` rounds to a whole number; ``truncate`` keeps the rounded mean and
+    drops the fraction, as filling an int column with a float does."""
+    mean = column_mean(F.col(c), dtype, scale)
+    whole = dtype in INTEGRAL and int_mode == "half_up"
+    return F.round(mean, 0 if whole else decimals).cast(dtype)
 
 
-def column_means(df: DataFrame, cols, decimals: int = 2, int_mode: str = "half_up") -> DataFrame:
+def column_means(df: DataFrame, cols, decimals: int = 2, int_mode: str = "half_up",
+                 scales: dict[str, int] | None = None) -> DataFrame:
     types = dict(df.dtypes)
-    return df.agg(*[_mean_expr(c, types[c], decimals, int_mode).alias(f"__fill_{c}") for c in cols])
+    return df.agg(*[_mean_expr(c, types[c], decimals, int_mode, (scales or {}).get(c))
+                    .alias(f"__fill_{c}") for c in cols])
 
 
 def _fill_from(df: DataFrame, stats: DataFrame, cols) -> DataFrame:
@@ -51,20 +46,26 @@ def _fill_from(df: DataFrame, stats: DataFrame, cols) -> DataFrame:
         .drop(*[f"__fill_{c}" for c in cols])
 
 
-def impute_mean(df: DataFrame, cols, decimals: int = 2, int_mode: str = "half_up") -> DataFrame:
+def impute_mean(df: DataFrame, cols, decimals: int = 2, int_mode: str = "half_up",
+                scales: dict[str, int] | None = None) -> DataFrame:
     """Fill NULLs with the column mean: decimals rounded half-up, integer columns rounded
-    half-up (``int_mode='truncate'`` reproduces filling an int column with a float)."""
-    return _fill_from(df, column_means(df, cols, decimals, int_mode), cols)
+    half-up (``int_mode='truncate'`` reproduces filling an int column with a float).
+    ``scales`` declares DOUBLE columns with a fixed number of decimals (exact sums)."""
+    return _fill_from(df, column_means(df, cols, decimals, int_mode, scales), cols)
 
 
-def impute_median(df: DataFrame, cols) -> DataFrame:
+def impute_median(df: DataFrame, cols, int_mode: str = "widen") -> DataFrame:
     """Fill NULLs with the exact (interpolated) median, computed distributedly: one value
     count of all listed columns (written once, read by the position lookup), one shared
-    bucketed ordering for all medians, then a one-row frame of fill values."""
+    ordering for all medians, then a one-row frame of fill values.  Integer columns become
+    DOUBLE, since a median may lie between two values; ``int_mode='truncate'`` keeps their
+    type and drops the fraction."""
     types = dict(df.dtypes)
-    vc, counts, distinct = counted_value_counts(
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols]), cols)
-    med = exact_quantiles_multi(vc, counts, (0.5,), n_rows=sum(distinct.values()))
+    if int_mode == "widen":
+        df = df.withColumns({c: F.col(c).cast("double") for c in cols if types[c] in INTEGRAL})
+        types = dict(df.dtypes)
+    vc, counts = counted_value_counts(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), cols)
+    med = exact_quantiles_multi(vc, counts, (0.5,))
     stats = med.agg(*[F.max(F.when(F.col("column_name") == c, F.col("q50")))
                       .cast(types[c]).alias(f"__fill_{c}") for c in cols])
     return _fill_from(df, stats, cols)
@@ -91,13 +92,14 @@ def fill_constants(df: DataFrame, values: dict) -> DataFrame:
 
 
 def impute_by_dtype(df: DataFrame, exclude=(), text_fill: str = "Unknown",
-                    decimals: int = 2, int_mode: str = "truncate") -> DataFrame:
-    """Numeric columns -> mean (all in ONE aggregate), string columns -> a constant.
-    Key columns listed in ``exclude`` are left alone."""
+                    decimals: int = 2, int_mode: str = "truncate",
+                    scales: dict[str, int] | None = None) -> DataFrame:
+    """Numeric columns (DECIMAL too) -> mean (all in ONE aggregate), string columns -> a
+    constant.  Key columns listed in ``exclude`` are left alone."""
     types = dict(df.dtypes)
-    nums = [c for c in df.columns if types[c] in NUMERIC and c not in exclude]
+    nums = [c for c in df.columns if is_numeric(types[c]) and c not in exclude]
     texts = [c for c in df.columns if types[c] == "string" and c not in exclude]
-    out = _fill_from(df, column_means(df, nums, decimals, int_mode), nums) if nums else df
+    out = _fill_from(df, column_means(df, nums, decimals, int_mode, scales), nums) if nums else df
     return out.fillna({c: text_fill for c in texts}) if texts else out
 
 

@@ -2,6 +2,10 @@
 
 Every profile is ONE aggregate pass over the data (never a job per column); the
 one-row result is unpivoted into (column, ...) rows.
+
+Means follow the column's own type: integers and DECIMALs are summed exactly, DOUBLEs with the
+built-in ``avg``.  A caller who knows that a DOUBLE column carries a fixed number of decimals
+(money) may say so in ``scales`` and gets exact sums, which don't depend on the row order.
 """
 
 from __future__ import annotations
@@ -9,7 +13,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+NUMERIC = (*INTEGRAL, "float", "double")
+
+
+def is_numeric(dtype: str) -> bool:
+    return dtype in NUMERIC or dtype.startswith("decimal")
+
+
+def summable(x: Column, dtype: str, scale: int | None) -> Column:
+    """The column in the type it is summed in: exact where its type or ``scale`` allows."""
+    if dtype in INTEGRAL:
+        return x.cast("decimal(20,0)")
+    if dtype.startswith("decimal"):
+        return x
+    return x.cast("double") if scale is None else x.cast(f"decimal(18,{scale})")
+
+
+def column_mean(x: Column, dtype: str, scale: int | None = None) -> Column:
+    """The mean as DECIMAL where the sum is exact, else as DOUBLE."""
+    return F.sum(summable(x, dtype, scale)) / F.count(x)
 
 
 def _cols(df: DataFrame, cols):
@@ -57,34 +80,24 @@ def profile_columns(df: DataFrame, cols=None) -> DataFrame:
                        F.col("__total").alias("total_rows"))
 
 
-def exact_moments(x, scale: int = 2):
-    """(mean, sample stddev) from exact decimal sums of x, x*x and the count.
-
-    For columns with at most ``scale`` decimals the sums are exact and order-independent,
-    so the result does not drift with partitioning; the final division and square root
-    are single IEEE operations.  Decimal overflow raises (ANSI) instead of going wrong."""
+def moments(x: Column, dtype: str, scale: int | None = None) -> tuple[Column, Column]:
+    """(mean, sample stddev) as DOUBLE.  With ``scale`` both come from exact decimal power sums
+    and single IEEE operations; DECIMAL overflow raises (ANSI)."""
+    if scale is None:
+        mean = F.sum(summable(x, dtype, None)).cast("double") / F.count(x)
+        return mean, F.stddev_samp(x.cast("double"))
     xd = x.cast(f"decimal(18,{scale})")
-    n = F.count(x)
-    s1 = F.sum(xd)
-    s2 = F.sum(xd * xd)
-    mean = s1.cast("double") / n
+    n, s1, s2 = F.count(x), F.sum(xd), F.sum(xd * xd)
     num = (n * s2 - s1 * s1).cast("double")
-    std = F.when(n > 1, F.sqrt(num / (n * (n - 1)).cast("double")))
-    return mean, std
+    return s1.cast("double") / n, F.when(n > 1, F.sqrt(num / (n * (n - 1)).cast("double")))
 
 
-def describe_numeric(df: DataFrame, cols, exact: bool = True) -> DataFrame:
-    """Typed describe(): (column_name, count, mean, stddev, min, max) per column, one pass.
-
-    ``exact`` uses exact decimal moments (columns with at most 2 decimals); otherwise the
-    built-in streaming avg / stddev_samp."""
-    aggs = []
+def describe_numeric(df: DataFrame, cols, scales: dict[str, int] | None = None) -> DataFrame:
+    """Typed describe(): (column_name, count, mean, stddev, min, max) per column, one pass."""
+    aggs, types = [], dict(df.dtypes)
     for c in cols:
         x = F.col(c)
-        if exact:
-            mean, std = exact_moments(x)
-        else:
-            mean, std = F.avg(x.cast("double")), F.stddev_samp(x.cast("double"))
+        mean, std = moments(x, types[c], (scales or {}).get(c))
         aggs += [F.count(x).alias(f"{c}__count"), mean.alias(f"{c}__mean"),
                  std.alias(f"{c}__stddev"),
                  F.min(x).cast("double").alias(f"{c}__min"),
@@ -129,56 +142,72 @@ def value_counts(df: DataFrame, cols) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("freq"))
 
 
+def _slots(vc: DataFrame) -> list[str]:
+    return [c for c in vc.columns if c.startswith("v_")]
+
+
+def _numeric_slots(vc: DataFrame) -> list[str]:
+    return [f.name for f in vc.schema.fields
+            if f.name.startswith("v_") and is_numeric(f.dataType.simpleString())]
+
+
 def _num(vc: DataFrame) -> Column:
     """The numeric value of a value-count row as DOUBLE (NULL for non-numeric columns)."""
-    cols = [F.col(c).cast("double") for c in vc.columns
-            if c.startswith("v_") and c[2:] in NUMERIC]
-    if not cols:
-        return F.lit(None).cast("double")
-    return F.coalesce(*cols) if len(cols) > 1 else cols[0]
-
-
-def column_stats(vc: DataFrame) -> DataFrame:
-    """Per column from a value-count table: count, n_unique, top (most frequent value,
-    ties -> smallest, as text), freq, exact mean / sample stddev (values with at most two
-    decimals), min, max.  One aggregate over the value counts; at most one row per
-    column is produced and every function has a partial (map-side) form."""
-    slots = [c for c in vc.columns if c.startswith("v_")]
-    x = _num(vc)
-    xd = x.cast("decimal(18,2)")
-    w = F.col("freq")
-    n = F.sum(w)
+    return F.coalesce(*[F.col(c).cast("double") for c in _numeric_slots(vc)],
+                      F.lit(None).cast("double"))
+
+
+def modes(vc: DataFrame) -> DataFrame:
+    """(column_name, count, n_unique, _best): _best is the most frequent value (ties -> smallest)
+    in the slot of its type, with its ``freq``."""
+    slots, w = _slots(vc), F.col("freq")
+    best = F.min_by(F.struct(*slots, w.alias("freq")), F.struct((-w).alias("nf"), *slots))
+    return vc.groupBy("column_name").agg(F.sum(w).alias("count"), F.count(F.lit(1)).alias("n_unique"),
+                                         best.alias("_best"))
+
+
+def column_stats(vc: DataFrame, scales: dict[str, int] | None = None) -> DataFrame:
+    """Per column from a (written) value-count table: count, n_unique, top (most frequent value,
+    ties -> smallest, as text), freq, mean, sample stddev, min, max.
+
+    The mean is summed by the column's own type (or the declared scale); the deviations are
+    taken from it in a second pass over the value counts, at every size the same way."""
+    x, w = _num(vc), F.col("freq")
+    sums = []
+    for f in vc.schema.fields:
+        t = f.dataType.simpleString()
+        if not f.name.startswith("v_") or not is_numeric(t):
+            continue
+        by_scale = sorted({(scales or {}).get(c) for c in scales or {}} - {None}) if t == "double" else []
+        rest = F.lit(True)
+        for scale in by_scale:
+            mine = F.col("column_name").isin([c for c, k in scales.items() if k == scale])
+            sums.append(F.sum(F.when(mine, summable(F.col(f.name), t, scale) * w)).cast("double"))
+            rest = rest & ~mine
+        sums.append(F.sum(F.when(rest, summable(F.col(f.name), t, None) * w)).cast("double"))
     nn = F.sum(F.when(x.isNotNull(), w))
-    # exact decimal power sums while they fit in DECIMAL(38); beyond that (sums past
-    # ~1e17) the same formula in DOUBLE, instead of an overflow error
-    s1, s2 = F.try_sum(xd * w), F.try_sum(xd * xd * w)
-    exact_num = F.try_subtract(F.try_multiply(nn, s2), F.try_multiply(s1, s1)).cast("double")
-    s1d, s2d = F.sum(x * w), F.sum(x * x * w)
-    num = F.coalesce(exact_num, nn * s2d - s1d * s1d)
-    std = F.when(nn > 1, F.sqrt(num / (nn * (nn - 1)).cast("double")))
-    mean = F.coalesce(s1.cast("double"), s1d) / nn
-    best = F.min_by(F.struct(*[F.col(c) for c in slots], w.alias("freq")),
-                    F.struct((-w).alias("nf"), *[F.col(c) for c in slots]))
-    out = vc.groupBy("column_name").agg(
-        n.alias("count"), F.count(F.lit(1)).alias("n_unique"),
-        best.alias("_best"),
-        mean.alias("mean"), std.alias("std"),
-        F.min(x).alias("min"), F.max(x).alias("max"))
-    top = F.coalesce(*[F.col(f"_best.{c}").cast("string") for c in slots])
+    mean = F.coalesce(*sums, F.lit(None).cast("double")) / nn
+    first = vc.groupBy("column_name").agg(mean.alias("mean"), nn.alias("_n"),
+                                          F.min(x).alias("min"), F.max(x).alias("max"))
+    means = first.select(F.col("column_name").alias("_c"), F.col("mean").alias("_mean"))
+    gap = _num(vc) - F.col("_mean")     # one row a column is broadcast
+    spread = (vc.join(F.broadcast(means), F.col("column_name") == F.col("_c"))
+              .groupBy("column_name").agg(F.sum(w * gap * gap).alias("_squares")))
+    top = F.coalesce(*[F.col(f"_best.{c}").cast("string") for c in _slots(vc)])
+    out = modes(vc).join(first, "column_name").join(spread, "column_name")
+    std = F.when(F.col("_n") > 1, F.sqrt(F.col("_squares") / (F.col("_n") - 1)))
     return out.select("column_name", "count", "n_unique", top.alias("top"),
-                      F.col("_best.freq").alias("freq"), "_best", "mean", "std", "min", "max")
+                      F.col("_best.freq").alias("freq"), "mean", std.alias("std"), "min", "max")
 
 
-def exact_quantiles_multi(vc: DataFrame, counts: dict, qs=(0.25, 0.5, 0.75),
-                          n_rows: int | None = None) -> DataFrame:
+def exact_quantiles_multi(vc: DataFrame, counts: dict, qs=(0.25, 0.5, 0.75)) -> DataFrame:
     """Exact linear-interpolated quantiles ``(column_name, q{pct}...)`` of the numeric
     columns in ``counts`` (column -> number of non-NULL values) from a value-count table.
 
-    All columns share ONE bucketed ordering of ``(column_name, value)``; every distinct
-    value is one row weighted by its count, so no task holds a column and a hot value
-    costs one row.  Only the rows covering the (at most two per quantile) wanted positions
-    reach the final aggregate.  ``n_rows`` (value-count rows of these columns, i.e. the
-    sum of their distinct counts) saves a counting job when known."""
+    All columns share ONE ordering of ``(column_name, value)``; every distinct value is one
+    row weighted by its count, so no task holds a column and a hot value costs one row.
+    Only the rows covering the (at most two per quantile) wanted positions reach the final
+    aggregate."""
     from tallyspark.operators.ranking import weighted_positions
 
     names = sorted(c for c, k in counts.items() if k)
@@ -200,8 +229,7 @@ def exact_quantiles_multi(vc: DataFrame, counts: dict, qs=(0.25, 0.5, 0.75),
             lo_pos[(c, q)], hi_pos[(c, q)], fracs[(c, q)] = base + lo + 1, base + hi + 1, pos - lo
             wanted.update({base + lo + 1, base + hi + 1})
         base += nc
-    picked = weighted_positions(vals, ["column_name", "v"], "freq", sorted(wanted),
-                                n_rows=n_rows)
+    picked = weighted_positions(vals, ["column_name", "v"], "freq", sorted(wanted))
 
     def at(table, q):
         m = F.create_map(*[z for c in names for z in (F.lit(c), F.lit(table[(c, q)]))])
@@ -217,42 +245,37 @@ def exact_quantiles_multi(vc: DataFrame, counts: dict, qs=(0.25, 0.5, 0.75),
     return picked.groupBy("column_name").agg(*aggs)
 
 
-def counted_value_counts(df: DataFrame, cols) -> tuple[DataFrame, dict, dict]:
-    """``value_counts`` written once to the shared scratch folder (several jobs read it),
-    with every column's non-NULL count and distinct count observed during that write --
-    no extra pass.  Returns (table, counts, distinct counts)."""
+def counted_value_counts(df: DataFrame, cols) -> tuple[DataFrame, dict]:
+    """``value_counts`` written once to the shared scratch folder (several jobs read it), with
+    every column's non-NULL count observed during that write.  Returns (table, counts)."""
     from tallyspark.operators.materialize import materialize_observed
 
-    metrics = []
-    for i, c in enumerate(cols):
-        hit = F.col("column_name") == c
-        metrics += [F.coalesce(F.sum(F.when(hit, F.col("freq"))), F.lit(0)).alias(f"n{i}"),
-                    F.count_if(hit).alias(f"d{i}")]
+    metrics = [F.coalesce(F.sum(F.when(F.col("column_name") == c, F.col("freq"))), F.lit(0)).alias(f"n{i}")
+               for i, c in enumerate(cols)]
     vc, got = materialize_observed(value_counts(df, cols), *metrics)
-    return (vc, {c: int(got[f"n{i}"]) for i, c in enumerate(cols)},
-            {c: int(got[f"d{i}"]) for i, c in enumerate(cols)})
+    return vc, {c: int(got[f"n{i}"]) for i, c in enumerate(cols)}
 
 
 def exact_quantiles(df: DataFrame, c: str, qs=(0.25, 0.5, 0.75)) -> DataFrame:
     """Exact linear-interpolated quantiles of column ``c`` as one row ``q{pct}`` columns
     (NULL when the column has no value)."""
-    vc, counts, distinct = counted_value_counts(df.select(F.col(c).cast("double").alias(c)), [c])
-    got = exact_quantiles_multi(vc, counts, qs, n_rows=distinct[c])
+    vc, counts = counted_value_counts(df.select(F.col(c).cast("double").alias(c)), [c])
+    got = exact_quantiles_multi(vc, counts, qs)
     one = df.sparkSession.range(1).select(F.lit(c).alias("column_name"))
     return one.join(got, "column_name", "left").drop("column_name")
 
 
 def top_values(df: DataFrame, cols) -> DataFrame:
     """Most frequent non-NULL value per column (ties -> smallest value) as one row with a
-    typed ``__fill_<c>``-style field per column: ``{c}`` holds the value, ``{c}__freq`` its
-    count.  One stacked value count for all columns, one min_by per column."""
+    typed field per column: ``{c}`` holds the value, ``{c}__freq`` its count.  One stacked
+    value count for all columns, one min_by per column."""
     types = dict(df.dtypes)
-    st = column_stats(value_counts(df, cols))
+    st = modes(value_counts(df, cols))
     aggs = []
     for c in cols:
         hit = F.col("column_name") == c
         aggs.append(F.max(F.when(hit, F.col(f"_best.{_slot(types[c])}"))).alias(c))
-        aggs.append(F.max(F.when(hit, F.col("freq"))).alias(f"{c}__freq"))
+        aggs.append(F.max(F.when(hit, F.col("_best.freq"))).alias(f"{c}__freq"))
     return st.agg(*aggs)
 
 
@@ -267,23 +290,20 @@ def top_value(df: DataFrame, c: str) -> DataFrame:
 STAT_COLS = ("mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def describe_all(df: DataFrame, cols, exact: bool = True) -> DataFrame:
+def describe_all(df: DataFrame, cols, scales: dict[str, int] | None = None) -> DataFrame:
     """describe(include='all'): one row per column with count, n_unique, top, freq, mean,
     std, min, quartiles, max.  Numeric statistics are NULL for string columns and
     top/freq NULL for numeric ones.
 
     Built on one value-count table of all columns (written once to the shared scratch
-    folder, since several jobs read it; per-column counts observed during that write):
-    one aggregate gives counts, distinct counts, modes and exact moments; one shared
-    bucketed ordering gives every exact quartile.  The
-    result stays a lazy plan: per-column stats left-joined to per-column quartiles.
-    ``exact`` is kept for API compatibility (moments are always exact here)."""
+    folder, since several jobs read it; per-column counts observed during that write);
+    one shared ordering gives every exact quartile.  The result stays a lazy plan:
+    per-column stats left-joined to per-column quartiles."""
     types = dict(df.dtypes)
-    numeric = [c for c in cols if types[c] in NUMERIC]
-    vc, counts, distinct = counted_value_counts(df, cols)
-    st = column_stats(vc)
-    qt = exact_quantiles_multi(vc, {c: counts[c] for c in numeric},
-                               n_rows=sum(distinct[c] for c in numeric))
+    numeric = [c for c in cols if is_numeric(types[c])]
+    vc, counts = counted_value_counts(df, cols)
+    st = column_stats(vc, scales)
+    qt = exact_quantiles_multi(vc, {c: counts[c] for c in numeric})
     is_num = F.col("column_name").isin(numeric) if numeric else F.lit(False)
     # the described columns as a literal list, so an all-NULL column still gets its row
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")

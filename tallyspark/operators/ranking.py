@@ -1,46 +1,33 @@
 """Global ROW_NUMBER / RANK / DENSE_RANK / NTILE without a single-partition sort.
 
-``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one task.  Here the
-rows are cut into ``k`` buckets by boundaries taken from a bounded sample of the
-*complete* sort key (value columns plus a tie-break), so a value that repeats in a third
-of all rows is still spread over many buckets.  Each bucket is sorted on its own
-(``Window.partitionBy(bucket)``); a single aggregate over the buckets (``k`` rows) gives
-the offsets that turn local numbers into global ones:
-
-* ``row_number = offset[b] + local_row_number``
-* ``rank       = offset[b] + local_rank - E[b]   (only for the leading tie group of b)``
-* ``dense_rank = distinct_before[b] - [E[b] > 0] + local_dense_rank``
-
-where ``E[b]`` counts rows of earlier buckets that tie with the first row of bucket
-``b`` (a tie group may straddle buckets; such groups are the prefix values found in
-several buckets, at most two per bucket).
-
-Bucket assignment.  By default the input is range-partitioned exactly as Spark lays out
-``orderBy`` (``spark.sql.shuffle.partitions`` ranges, merged by AQE into contiguous,
-in-order ranges when small) and the partition id is written out with the rows to the
-shared scratch folder: one write, later passes read the bucket as data and never
-re-sample.  With an explicit bucket count, up to ``CASE_TREE_MAX`` boundaries come from
-a bounded sample as plan literals in a balanced CASE tree (a pure function of the row);
-more than that no longer compiles to bytecode, so the range exchange is used again.
+``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one task.  Here the rows
+are laid out as Spark's own ``orderBy`` lays them out: one range exchange on the *complete* sort
+key (value columns plus a tie-break, so a value that repeats in a third of all rows spreads over
+many ranges), sorted inside each range, and written once together with the range (``_bk``) and
+the position in it (``_pos``).  That is the only shuffle of the rows:
+
+* ROW_NUMBER is the position plus the rows of earlier ranges (one count per range, a small frame
+  that is joined); NTILE follows from it and the row count.
+* RANK over the first keys is the smallest row number of each distinct value of them; DENSE_RANK
+  is the position of that value in the same ordering of the distinct values alone.  Both come
+  from an aggregate over the written rows (partial aggregation collapses a hot value) and are
+  joined back null-safe, in a join of two plain exchanges that AQE can split.
+
+The same steps run at every size.
 """
 
 from __future__ import annotations
 
-import functools
-import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallyspark.operators.materialize import materialize_counted
+from tallyspark.operators.materialize import materialize, materialize_observed
 
-ROWS_PER_BUCKET = 2_000_000   # rows one task sorts at most (on average)
-MAX_BUCKETS = 1 << 16         # bound on buckets: per-bucket offsets are plan literals
-CASE_TREE_MAX = 64            # boundaries evaluated as a literal CASE tree; more -> range exchange
-OVERSAMPLE = 32               # sampled rows per bucket for the boundaries
-SAMPLE_SEED = 20240601
+# monotonically_increasing_id: the partition above these bits, the row's number in it below
+ROW_BITS = 33
 
 
 @dataclass(frozen=True)
@@ -65,289 +52,105 @@ def _keys(spec) -> list[Key]:
     return out
 
 
-def _sort_rows(rows, keys: list[Key]):
-    """Sort collected rows exactly as Spark orders them (nulls last, per-key direction;
-    strings by code point = UTF-8 binary order).  Used on the bounded sample only."""
-
-    def cmp(a, b):
-        for k in keys:
-            x, y = a[k.name], b[k.name]
-            if x is None and y is None:
-                continue
-            if x is None:
-                return 1
-            if y is None:
-                return -1
-            if x == y:
-                continue
-            r = -1 if x < y else 1
-            return -r if k.desc else r
-        return 0
-
-    return sorted(rows, key=functools.cmp_to_key(cmp))
-
-
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _sql_lit(value, dtype) -> str:
-    """SQL text of a literal of Spark type ``dtype`` that parses back to exactly ``value``
-    (doubles by their shortest round-trip text, strings as hex-encoded UTF-8)."""
-    t = dtype.simpleString()
-    if value is None:
-        return f"CAST(NULL AS {t})"
-    if isinstance(dtype, T.BooleanType):
-        return "TRUE" if value else "FALSE"
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return f"CAST({int(value)} AS {t})"
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        v = float(value)
-        text = "NaN" if math.isnan(v) else ("Infinity" if v == math.inf else
-                                             "-Infinity" if v == -math.inf else repr(v))
-        return f"CAST('{text}' AS {t})"
-    if isinstance(dtype, T.DecimalType):
-        return f"CAST('{value}' AS {t})"
-    if isinstance(dtype, T.StringType):
-        return f"CAST(X'{str(value).encode('utf-8').hex()}' AS STRING)"
-    if isinstance(dtype, T.DateType):
-        return f"DATE'{value.isoformat()}'"
-    if isinstance(dtype, T.TimestampNTZType):
-        return f"CAST('{value.isoformat(sep=' ')}' AS TIMESTAMP_NTZ)"
-    if isinstance(dtype, T.TimestampType):
-        # collected as a naive local datetime: back to the exact instant via epoch micros
-        micros = math.floor(value.replace(microsecond=0).timestamp()) * 1_000_000 + value.microsecond
-        return f"timestamp_micros({micros})"
-    raise TypeError(f"no SQL literal for {t}")
-
-
-def _less_sql(keys: list[Key], types: dict, row_vals: dict) -> str:
-    """SQL predicate: row precedes the literal tuple ``row_vals`` in the (nulls-last) order."""
-    terms, prefix = [], []
-    for k in keys:
-        c = _q(k.name)
-        v = row_vals[k.name]
-        if v is None:
-            lt, eq = f"{c} IS NOT NULL", f"{c} IS NULL"
+@dataclass(frozen=True)
+class Ordered:
+    """Rows written in sort order: the frame's columns plus ``_bk`` and ``_pos``."""
+    rows: DataFrame
+    keys: list[Key]
+    n: int
+    metrics: dict
+
+
+def ordered_plan(df: DataFrame, keys) -> DataFrame:
+    """The plan that ``ordered`` writes."""
+    cols = [k.sort_col() for k in _keys(keys)]
+    placed = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+              .withColumn("_id", F.monotonically_increasing_id()))
+    return placed.withColumns({"_bk": F.shiftright("_id", ROW_BITS).cast("int"),
+                               "_pos": F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1))}).drop("_id")
+
+
+def ordered(df: DataFrame, keys, *metrics: Column) -> Ordered:
+    """Write ``df`` in the order ``keys`` (make it total with a unique last key).  ``metrics`` are
+    named aggregates observed during the write."""
+    rows, seen = materialize_observed(ordered_plan(df, keys), *metrics)
+    return Ordered(rows, _keys(keys), int(seen["n"]), seen)
+
+
+def _before(rows: DataFrame, weight: Column, name: str) -> tuple[DataFrame, list[tuple]]:
+    """(``_bk``, weight of all earlier ranges) as a small frame and as a list with the range's own
+    weight: one row for each range, which the session's shuffle partitions bound."""
+    own = sorted((r["_bk"], int(r["w"] or 0)) for r in rows.groupBy("_bk").agg(weight.alias("w")).collect())
+    out, total = [], 0
+    for b, w in own:
+        out.append((b, total, w))
+        total += w
+    return rows.sparkSession.createDataFrame([x[:2] for x in out], f"_bk int, {name} bigint"), out
+
+
+def row_numbers(o: Ordered, name: str) -> DataFrame:
+    offsets, _ = _before(o.rows, F.count(F.lit(1)), "_offset")
+    return (o.rows.join(F.broadcast(offsets), "_bk")
+            .withColumn(name, F.col("_offset") + F.col("_pos") + 1).drop("_bk", "_pos", "_offset"))
+
+
+def _attach(rows: DataFrame, groups: DataFrame, names: list[str]) -> DataFrame:
+    """Join per-value columns back on the (possibly NULL) values ``names``."""
+    g = groups.withColumnsRenamed({c: f"_g_{c}" for c in names})
+    match = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(g[f"_g_{c}"]) for c in names])
+    return rows.join(g, match).drop(*[f"_g_{c}" for c in names])
+
+
+def with_ranks(o: Ordered, rank_prefixes=(), ntiles=(), prefix: str = "_g",
+               dense: bool = True) -> DataFrame:
+    """Add ``{prefix}_rn`` (1-based position), for each ``L`` in ``rank_prefixes`` the RANK over the
+    first ``L`` keys (``{prefix}_rank{L}``) and, with ``dense``, DENSE_RANK (``{prefix}_dense{L}``),
+    and ``{prefix}_ntile{t}`` for each t."""
+    rn = f"{prefix}_rn"
+    out = row_numbers(o, rn)
+    for length in sorted(set(int(x) for x in rank_prefixes)):
+        keys = o.keys[:length]
+        names = [k.name for k in keys]
+        groups = out.groupBy(*names).agg(F.min(rn).alias(f"{prefix}_rank{length}"))
+        if dense:
+            groups = row_numbers(ordered(groups, keys), f"{prefix}_dense{length}")
         else:
-            lv = _sql_lit(v, types[k.name])
-            lt = f"coalesce({c} {'>' if k.desc else '<'} {lv}, false)"
-            eq = f"coalesce({c} = {lv}, false)"
-        terms.append("(" + " AND ".join(prefix + [lt]) + ")")
-        prefix.append(eq)
-    return "(" + " OR ".join(terms) + ")"
-
-
-def _bucket_expr(keys, types, bounds) -> Column:
-    """Number of boundaries <= row, as a balanced CASE tree (log2 k comparisons per row).
-    Written as SQL text and parsed once: building it Column by Column costs a driver
-    round trip per node, minutes for thousands of boundaries."""
-
-    def search(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi + 1) // 2
-        return (f"CASE WHEN {_less_sql(keys, types, bounds[mid - 1])} "
-                f"THEN {search(lo, mid - 1)} ELSE {search(mid, hi)} END")
-
-    return F.expr(search(0, len(bounds)))
-
-
-def _choose_buckets(spark, n: int) -> int:
-    par = spark.sparkContext.defaultParallelism
-    return int(max(2, min(MAX_BUCKETS, max(par, math.ceil(n / ROWS_PER_BUCKET)))))
-
-
-def _long_array(values) -> Column:
-    return F.expr("array(" + ", ".join(f"CAST({int(v)} AS BIGINT)" for v in values) + ")")
-
-
-def _boundaries(df: DataFrame, keys: list[Key], buckets, materialize_input: bool,
-                n: int | None = None):
-    """Row count and up to k-1 strictly increasing boundary tuples from a bounded sample
-    (at most ``k * OVERSAMPLE * 1.5`` rows reach the driver).  ``n`` skips the count when
-    the caller already knows it."""
-    spark = df.sparkSession
-    names = [k.name for k in keys]
-    if materialize_input:
-        df, n = materialize_counted(df)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    if n is None:
-        n = df.count()
-    k = buckets or _choose_buckets(spark, max(n, 1))
-    bounds: list[dict] = []
-    if n > 0 and k > 1:
-        frac = min(1.0, 1.5 * k * OVERSAMPLE / n)
-        sample = _sort_rows([r.asDict() for r in
-                             df.select(*names).sample(False, frac, seed=SAMPLE_SEED).collect()], keys)
-        for i in range(1, k):
-            if not sample:
-                break
-            row = sample[(i * len(sample)) // k]
-            if not bounds or any(row[c] != bounds[-1][c] for c in names):
-                bounds.append(row)
-    return df, types, n, bounds
-
-
-def _bucketed(df: DataFrame, keys: list[Key], buckets, materialize_input: bool,
-              n: int | None = None):
-    """(rows with a ``_bk`` bucket column, row count, number of buckets).
-
-    Buckets are contiguous ranges of the complete sort key, numbered in sort order.  Up
-    to ``CASE_TREE_MAX`` boundaries they come from a bounded sample and are evaluated as
-    a literal CASE tree (a pure function of the row: every later pass agrees).  Beyond
-    that a CASE tree no longer compiles to bytecode, so Spark's range exchange assigns
-    the buckets (its own sample, compiled binary search, any bucket count) and the bucket
-    id is written out with the rows: later passes read it as data, never re-sample."""
-    spark = df.sparkSession
-    if materialize_input and buckets is None:
-        # Spark's own sort layout: range partitions of spark.sql.shuffle.partitions (sized
-        # by the user for the data), merged by AQE into contiguous, in-order ranges when
-        # small; one write, the row count observed during it.  The number of buckets is
-        # known only after the write (None: the caller takes it from the bucket stats).
-        ranged = df.repartitionByRange(*[key.sort_col() for key in keys]) \
-            .withColumn("_bk", F.spark_partition_id())
-        data, n = materialize_counted(ranged)
-        return data, n, None
-    if materialize_input:
-        df, n = materialize_counted(df)
-    if n is None:
-        n = df.count()
-    k = buckets or _choose_buckets(spark, max(n, 1))
-    if n > 0 and k - 1 > CASE_TREE_MAX:
-        ranged = df.repartitionByRange(k, *[key.sort_col() for key in keys]) \
-            .withColumn("_bk", F.spark_partition_id())
-        data, _ = materialize_counted(ranged)
-        return data, n, k
-    df, types, n, bounds = _boundaries(df, keys, k, False, n=n)
-    data = df.withColumn("_bk", _bucket_expr(keys, types, bounds) if bounds else F.lit(0))
-    return data, n, len(bounds) + 1
-
-
-def _straddling_ties(data: DataFrame, prefix: list[str], nb: int) -> list[int]:
-    """``e[b]`` = rows of bucket ``b`` whose first-``L``-key prefix equals that of the first
-    row of bucket ``b + 1`` (a tie group cut by a bucket boundary).  Buckets are contiguous
-    ranges, so such a group is a prefix value present in several (consecutive) buckets;
-    only those groups reach the driver, with one count per bucket they touch (each bucket
-    has at most two cut groups: at most ``2 * nb`` rows)."""
-    per = data.groupBy("_bk", *prefix).agg(F.count(F.lit(1)).alias("c"))
-    cut = per.groupBy(*prefix).agg(F.count(F.lit(1)).alias("nb"),
-                                   F.collect_list(F.struct("_bk", "c")).alias("parts")) \
-        .filter(F.col("nb") > 1).select("parts")
-    e = [0] * nb
-    for r in cut.collect():
-        counts = {int(x["_bk"]): int(x["c"]) for x in r["parts"]}
-        for b, c in counts.items():
-            if b + 1 in counts:
-                e[b] = c
-    return e
-
-
-def weighted_positions(df: DataFrame, keys, weight: str, positions, n_rows: int | None = None,
-                       buckets: int | None = None, start: str = "_start",
+            groups = materialize(groups)
+        out = _attach(out, groups, names)
+    for t in ntiles:
+        out = out.withColumn(f"{prefix}_ntile{t}", ntile_from_rn(F.col(rn), o.n, t))
+    return out
+
+
+def global_order(df: DataFrame, keys, rank_prefixes=(), ntiles=(), prefix: str = "_g",
+                 dense: bool = True) -> DataFrame:
+    """``with_ranks`` of ``df`` written in the order ``keys``."""
+    return with_ranks(ordered(df, keys), rank_prefixes, ntiles, prefix, dense)
+
+
+def weighted_positions(df: DataFrame, keys, weight: str, positions, start: str = "_start",
                        end: str = "_end") -> DataFrame:
-    """Rows of ``df`` in the order ``keys`` where each row stands for ``weight``
-    consecutive positions (e.g. a distinct value and its count): the rows whose span
-    ``[start, end]`` (1-based, inclusive) covers one of the wanted ``positions``.
-
-    ``keys`` should be unique per row.  Buckets are balanced on rows of ``df``, so a value
-    that repeats in a third of the underlying data is one row here, not a hot bucket.
-    One aggregate gives the weight of every bucket (one row per bucket reaches the driver,
-    at most ``MAX_BUCKETS``); only buckets that hold a wanted position are sorted, and
-    inside them a running sum of the weights gives each row's span."""
-    keys = _keys(keys)
-    data, n, nb = _bucketed(df, keys, buckets, False, n=n_rows)
-    bucket = "_bk"
-    wsum = {r[bucket]: int(r["w"] or 0) for r in
-            data.groupBy(bucket).agg(F.sum(weight).alias("w")).collect()} if n else {}
-    offsets, acc = [], 0
-    for b in range(nb):
-        offsets.append(acc)
-        acc += wsum.get(b, 0)
+    """Rows of ``df`` in the order ``keys`` where each row stands for ``weight`` consecutive
+    positions (e.g. a distinct value and its count): the rows whose span ``[start, end]``
+    (1-based, inclusive) covers one of the wanted ``positions``.
+
+    ``keys`` should be unique per row.  Ranges are balanced on rows of ``df``, so a value that
+    repeats in a third of the underlying data is one row here.  Only ranges that hold a wanted
+    position are read again, with a running sum of the weights inside each."""
+    o = ordered(df, keys)
+    offsets, spans = _before(o.rows, F.sum(weight), "_offset")
     wanted = sorted({int(p) for p in positions})
-    need = [b for b in range(nb)
-            if any(offsets[b] < p <= offsets[b] + wsum.get(b, 0) for p in wanted)]
-    w = (Window.partitionBy(bucket).orderBy(*[key.sort_col() for key in keys])
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = (data.filter(F.col(bucket).isin(need) if need else F.lit(False))
-               .withColumn(end, F.get(_long_array(offsets), F.col(bucket)) + F.sum(weight).over(w))
-               .withColumn(start, F.col(end) - F.col(weight) + 1))
+    need = [b for b, before, w in spans if any(before < p <= before + w for p in wanted)]
+    running = (Window.partitionBy("_bk").orderBy("_pos")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = (o.rows.filter(F.col("_bk").isin(need) if need else F.lit(False))
+           .join(F.broadcast(offsets), "_bk")
+           .withColumn(end, F.col("_offset") + F.sum(weight).over(running))
+           .withColumn(start, F.col(end) - F.col(weight) + 1))
     cover = F.lit(False)
     for p in wanted:
         cover = cover | ((F.col(start) <= p) & (F.col(end) >= p))
-    return out.filter(cover).drop(bucket)
-
-
-def global_order(df: DataFrame, keys, rank_prefixes=(), ntiles=(), buckets: int | None = None,
-                 materialize_input: bool = True, prefix: str = "_g",
-                 dense: bool = True) -> DataFrame:
-    """Add ``{prefix}_rn`` (1-based position in the total order ``keys``), and for each
-    ``L`` in ``rank_prefixes`` the RANK / DENSE_RANK over the first ``L`` keys
-    (``{prefix}_rank{L}``, ``{prefix}_dense{L}``), and ``{prefix}_ntile{t}`` for each t.
-
-    ``keys`` must make the order total (end with a unique tie-break) for ``_rn``/NTILE to
-    be deterministic; RANK/DENSE_RANK only depend on the first ``L`` keys.
-    """
-    keys = _keys(keys)
-    data, n, nb = _bucketed(df, keys, buckets, materialize_input)
-    levels = sorted(set(int(x) for x in rank_prefixes))
-    bucket = "_bk"
-
-    # one aggregate over all rows -> at most nb stats rows
-    aggs = [F.count(F.lit(1)).alias("n")]
-    if dense:
-        aggs += [F.count_distinct(F.struct(*[F.col(x.name) for x in keys[:L]])).alias(f"d{L}")
-                 for L in levels]
-    stats = {r[bucket]: r.asDict() for r in data.groupBy(bucket).agg(*aggs).collect()} if n else {}
-    if nb is None:
-        nb = max(stats) + 1 if stats else 1
-    cnt = [int(stats.get(b, {}).get("n", 0) or 0) for b in range(nb)]
-    offsets = [0] * nb
-    for b in range(1, nb):
-        offsets[b] = offsets[b - 1] + cnt[b - 1]
-    nonempty = [b for b in range(nb) if cnt[b] > 0]
-    prev_ne = {b: (nonempty[i - 1] if i else None) for i, b in enumerate(nonempty)}
-    next_ne = {b: (nonempty[i + 1] if i + 1 < len(nonempty) else None) for i, b in enumerate(nonempty)}
-
-    w_all = Window.partitionBy(bucket).orderBy(*[key.sort_col() for key in keys])
-    out = data.withColumn("_lrn", F.row_number().over(w_all))
-    out = out.withColumn(f"{prefix}_rn", F.get(_long_array(offsets), F.col(bucket)) + F.col("_lrn"))
-    tmp_cols = ["_lrn"]
-    for L in levels:
-        d = [int(stats.get(b, {}).get(f"d{L}", 0) or 0) for b in range(nb)]
-        # e[b]: rows of (non-empty) bucket b tied with the first row of the next non-empty one
-        e = _straddling_ties(data, [x.name for x in keys[:L]], nb) if n else [0] * nb
-        ties_before = [0] * nb
-        distinct_before = [0] * nb
-        for b in nonempty:
-            j, acc = prev_ne[b], 0
-            while j is not None and e[j] > 0:
-                acc += e[j]
-                if e[j] != cnt[j]:
-                    break
-                j = prev_ne[j]   # the whole bucket is one tie group: it may continue further
-            ties_before[b] = acc
-            distinct_before[b] = sum(d[:b]) - sum(
-                1 for x in nonempty if x < b and e[x] > 0 and next_ne[x] is not None
-                and next_ne[x] < b)
-        w_l = Window.partitionBy(bucket).orderBy(*[key.sort_col() for key in keys[:L]])
-        lr, ld = f"_lrk{L}", f"_ldr{L}"
-        out = out.withColumn(lr, F.rank().over(w_l))
-        tb = F.get(_long_array(ties_before), F.col(bucket))
-        # the leading tie group of a bucket is exactly the rows with local rank 1
-        out = out.withColumn(
-            f"{prefix}_rank{L}",
-            F.get(_long_array(offsets), F.col(bucket)) + F.col(lr)
-            - F.when(F.col(lr) == 1, tb).otherwise(F.lit(0)))
-        if dense:
-            out = out.withColumn(ld, F.dense_rank().over(w_l)).withColumn(
-                f"{prefix}_dense{L}",
-                F.get(_long_array(distinct_before), F.col(bucket))
-                - F.when(tb > 0, 1).otherwise(0) + F.col(ld))
-        tmp_cols += [lr, ld]
-    for t in ntiles:
-        out = out.withColumn(f"{prefix}_ntile{t}", ntile_from_rn(F.col(f"{prefix}_rn"), n, t))
-    return out.drop(bucket, *tmp_cols)
+    return out.filter(cover).drop("_bk", "_pos", "_offset")
 
 
 def ntile_from_rn(rn: Column, n: int, t: int) -> Column:
@@ -361,25 +164,11 @@ def ntile_from_rn(rn: Column, n: int, t: int) -> Column:
         .otherwise(F.lit(r) + F.ceil((rn - F.lit(big)) / F.lit(q))).cast("bigint")
 
 
-def partitioned_row_number(df: DataFrame, partition_cols, order_keys, prefix: str = "_p",
-                           buckets: int | None = None,
-                           hot_rows: int = ROWS_PER_BUCKET) -> DataFrame:
-    """ROW_NUMBER() OVER (PARTITION BY p ORDER BY o), skew-aware.
-
-    One aggregate finds the largest partition (map-side combined).  If no partition
-    value holds more than ``hot_rows`` rows the ordinary hash-partitioned window is used
-    (each value's rows fit one task).  Otherwise a global order on (p, o) is built with
-    the bucketed ordering, which splits hot values across buckets; the position inside
-    the partition is ``rn - rows_before_partition`` where ``rows_before_partition`` is
-    RANK over the partition columns minus one."""
-    pk = [Key(c) for c in partition_cols]
-    ok = _keys(order_keys)
-    biggest = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("n")) \
-        .agg(F.max("n").alias("m")).collect()[0]["m"] or 0
-    if biggest <= hot_rows and buckets is None:
-        w = Window.partitionBy(*partition_cols).orderBy(*[k.sort_col() for k in ok])
-        return df.withColumn(f"{prefix}_rn", F.row_number().over(w).cast("bigint"))
-    g = global_order(df, pk + ok, rank_prefixes=(len(pk),), buckets=buckets, prefix="_pg",
-                     dense=False)
-    return (g.withColumn(f"{prefix}_rn", F.col("_pg_rn") - F.col(f"_pg_rank{len(pk)}") + 1)
-            .drop("_pg_rn", f"_pg_rank{len(pk)}"))
+def partitioned_row_number(df: DataFrame, partition_cols, order_keys, prefix: str = "_p") -> DataFrame:
+    """ROW_NUMBER() OVER (PARTITION BY p ORDER BY o) with any share of the rows in one partition:
+    the global order on (p, o), less the first row number of the partition."""
+    names = list(partition_cols)
+    rows = row_numbers(ordered(df, [Key(c) for c in names] + _keys(order_keys)), "_rn")
+    firsts = materialize(rows.groupBy(*names).agg(F.min("_rn").alias("_first")))
+    return (_attach(rows, firsts, names)
+            .withColumn(f"{prefix}_rn", F.col("_rn") - F.col("_first") + 1).drop("_rn", "_first"))

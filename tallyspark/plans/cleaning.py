@@ -51,7 +51,7 @@ def clean_orders_pipeline(spark, sf_dir):
     typed = C.coerce_numeric(raw, ["price"])
     filled = C.impute_mode(C.impute_median(typed, ["price", "quantity"]), ["status", "category"])
     deduped = C.dedup_exact(filled)
-    amount = F.round(F.col("price").cast("decimal(18,4)") * F.col("quantity"), 2)
+    amount = F.round(F.col("price").cast("decimal(18,4)") * F.col("quantity").cast("decimal(10,1)"), 2)
     lines = deduped.withColumn("total_amount", amount)
     return (lines.groupBy("category")
                  .agg(F.sum("total_amount").cast("double").alias("total_revenue"),
@@ -70,5 +70,38 @@ def profile_columns(spark, sf_dir):
     return P.profile_columns(_dirty(spark, sf_dir))
 
 
+FRACTIONS = ("mean", "std", "stddev", "p25", "p50", "p75")
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    """Moments and interpolated quartiles to six decimals: their last bits hang on the order of
+    DOUBLE operations."""
+    return df.withColumns({c: F.round(c, 6) for c in FRACTIONS if c in df.columns})
+
+
 def describe_all(spark, sf_dir):
-    return P.describe_all(_dirty(spark, sf_dir), ["price", "quantity", "status", "category"])
+    return _rounded(P.describe_all(_dirty(spark, sf_dir), ["price", "quantity", "status", "category"],
+                                   scales={"price": 2}))
+
+
+def _measures(spark, sf_dir) -> DataFrame:
+    return S.measures(Tables(spark, sf_dir))
+
+
+def describe_all_measures(spark, sf_dir):
+    """DOUBLE with many decimals, DECIMAL(10,2) and DECIMAL(12,4) columns."""
+    return _rounded(P.describe_all(_measures(spark, sf_dir), ["ratio", "amount", "unit"]))
+
+
+def describe_numeric_measures(spark, sf_dir):
+    return _rounded(P.describe_numeric(_measures(spark, sf_dir), ["ratio", "amount", "unit"]))
+
+
+def impute_mean_measures(spark, sf_dir):
+    return C.impute_mean(_measures(spark, sf_dir), ["ratio", "unit"], decimals=4) \
+        .withColumn("unit", F.col("unit").cast("double")).withColumn("amount", F.col("amount").cast("double"))
+
+
+def impute_by_dtype_measures(spark, sf_dir):
+    filled = C.impute_by_dtype(_measures(spark, sf_dir), exclude=("order_id",))
+    return filled.withColumns({c: F.col(c).cast("double") for c in ("amount", "unit")})

@@ -98,6 +98,10 @@ QUERIES = {
     "dense_row_id": cleaning.dense_row_id,
     "profile_columns": cleaning.profile_columns,
     "describe_all": cleaning.describe_all,
+    "describe_all_measures": cleaning.describe_all_measures,
+    "describe_numeric_measures": cleaning.describe_numeric_measures,
+    "impute_mean_measures": cleaning.impute_mean_measures,
+    "impute_by_dtype_measures": cleaning.impute_by_dtype_measures,
     "csv_schema_roundtrip": io_jobs.csv_schema_roundtrip,
     "csv_infer_roundtrip": io_jobs.csv_infer_roundtrip,
     "parquet_roundtrip": io_jobs.parquet_roundtrip,

@@ -24,6 +24,7 @@ ENRICH_BANDS_KEPT = ("Mid", "Senior")
 ENRICH_MIN_RATING = 3.5
 FILL_CONSTANTS = {"experience_years": 0, "rating": 3.0, "region": "Unknown"}
 TEXT_FILL = "Unknown"
+SCALES = {"salary": 2, "rating": 2}     # DOUBLE columns that carry two decimals
 DATE_JUNK_MOD = 13
 
 
@@ -101,7 +102,7 @@ def tenure_months(spark, sf_dir):
 
 def impute_mean(spark, sf_dir):
     st = _staff(spark, sf_dir, dirty=True)
-    return C.impute_mean(st, ["salary", "age", "rating"]).fillna({"region": TEXT_FILL})
+    return C.impute_mean(st, ["salary", "age", "rating"], scales=SCALES).fillna({"region": TEXT_FILL})
 
 
 def impute_approx_median(spark, sf_dir):
@@ -114,7 +115,7 @@ def fill_constants(spark, sf_dir):
 
 
 def impute_by_dtype(spark, sf_dir):
-    return C.impute_by_dtype(_staff(spark, sf_dir, dirty=True), exclude=("emp_id",))
+    return C.impute_by_dtype(_staff(spark, sf_dir, dirty=True), exclude=("emp_id",), scales=SCALES)
 
 
 def drop_null_rows(spark, sf_dir):
@@ -144,18 +145,19 @@ def missing_report(spark, sf_dir):
 
 
 def clean_verify(spark, sf_dir):
-    cleaned = C.impute_by_dtype(_staff(spark, sf_dir, dirty=True), exclude=("emp_id",))
+    cleaned = C.impute_by_dtype(_staff(spark, sf_dir, dirty=True), exclude=("emp_id",), scales=SCALES)
     return P.clean_verify(cleaned)
 
 
 def describe_numeric(spark, sf_dir):
-    return P.describe_numeric(_staff(spark, sf_dir, dirty=True), ["age", "salary", "rating"])
+    return P.describe_numeric(_staff(spark, sf_dir, dirty=True), ["age", "salary", "rating"],
+                              scales={"age": 0, **SCALES})
 
 
 def _summary_detail(spark, sf_dir) -> DataFrame:
     """load -> drop exact duplicates -> fill by dtype -> filter -> rename/cast/band/bonus."""
     st = _staff(spark, sf_dir, dirty=True)
-    cleaned = C.impute_by_dtype(C.dedup_exact(st), exclude=("emp_id",))
+    cleaned = C.impute_by_dtype(C.dedup_exact(st), exclude=("emp_id",), scales=SCALES)
     lo, hi = SUMMARY_AGE_RANGE
     kept = cleaned.filter((F.col("salary") > SUMMARY_MIN_SALARY) & F.col("age").between(lo, hi))
     out = (kept.withColumnsRenamed({"name": "employee_name", "rating": "performance_rating"})

@@ -185,3 +185,16 @@ def dirty_orders(t: Tables) -> DataFrame:
     copies = F.array(F.lit(0), F.when(F.col("order_id") % DUPLICATE_MOD == 0, F.lit(1)))
     return rows.withColumn("_copy", F.explode(copies)).filter(F.col("_copy").isNotNull()) \
         .drop("_copy")
+
+
+def measures(t: Tables) -> DataFrame:
+    """Orders as measurements: a DOUBLE with many decimals and two DECIMALs, NULL on some keys."""
+    o = t.orders("o_orderkey", "o_totalprice", "o_orderpriority")
+    k, amount = F.col("o_orderkey"), F.col("o_totalprice").cast("decimal(10,2)")
+    return o.select(
+        k.alias("order_id"),
+        F.when(k % DIRTY_PRICE_MOD == 1, None).otherwise(F.col("o_totalprice") / 7000).alias("ratio"),
+        F.when(k % DIRTY_QTY_MOD == 2, None).otherwise(amount).alias("amount"),
+        F.when(k % DIRTY_STATUS_MOD == 3, None)
+         .otherwise((amount * F.lit("0.0125").cast("decimal(5,4)")).cast("decimal(12,4)")).alias("unit"),
+        F.when(k % DIRTY_PRIORITY_MOD == 4, None).otherwise(F.col("o_orderpriority")).alias("priority"))

@@ -158,3 +158,24 @@ def test_file_metadata_missing_path(spark):
     by = {r["item_name"]: r for r in rows}
     assert by["x.txt"]["exists"] and by["x.txt"]["size"] == 5
     assert by["nope.csv"]["exists"] is False
+
+
+def test_means_keep_every_decimal_and_decimals_are_profiled(spark):
+    from decimal import Decimal as D
+    fine = spark.createDataFrame([(0.001,), (0.002,), (0.004,), (None,)], "x double")
+    row = P.describe_all(fine, ["x"]).collect()[0]
+    assert abs(row["mean"] - 0.007 / 3) < 1e-15 and abs(row["std"] - 0.0015275252316519468) < 1e-12
+    row = P.describe_numeric(fine, ["x"]).collect()[0]
+    assert abs(row["mean"] - 0.007 / 3) < 1e-15 and abs(row["stddev"] - 0.0015275252316519468) < 1e-12
+    assert {r["x"] for r in C.impute_mean(fine, ["x"], decimals=4).collect()} == {0.001, 0.002, 0.004, 0.0023}
+    money = spark.createDataFrame([(D("1.10"),), (D("2.25"),), (None,)], "m decimal(10,2)")
+    assert P.describe_all(money, ["m"]).collect()[0]["mean"] == 1.675
+    assert {r["m"] for r in C.impute_by_dtype(money).collect()} == {D("1.10"), D("2.25"), D("1.68")}
+    big = spark.createDataFrame([(1e17,), (3e17,)], "x double")
+    assert P.describe_all(big, ["x"]).collect()[0]["mean"] == 2e17
+
+
+def test_median_of_integers_may_lie_between_two(spark):
+    df = spark.createDataFrame([(2,), (3,), (None,)], "n int")
+    assert sorted(r["n"] for r in C.impute_median(df, ["n"]).collect()) == [2.0, 2.5, 3.0]
+    assert sorted(r["n"] for r in C.impute_median(df, ["n"], int_mode="truncate").collect()) == [2, 2, 3]

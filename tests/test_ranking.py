@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyspark.operators.ranking import global_order, partitioned_row_number
+from tallyspark.operators.ranking import global_order, ordered_plan, partitioned_row_number
 
 
 def _frame(spark, n=3000):
@@ -16,17 +16,22 @@ def _frame(spark, n=3000):
     )
 
 
-@pytest.mark.parametrize("buckets", [9, 100, 400, None])
-def test_global_order_matches_builtin(spark, buckets):
-    # 9: sampled boundaries as a CASE tree; 100 and 400: range-exchange buckets (400 on
-    # 3000 rows with a value in a third of them leaves buckets empty); None: the default
-    # range layout of the shuffle-partition count, unmerged here so there are 8 ranges
-    if buckets is None:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    df = _frame(spark)
+@pytest.fixture(params=["1", "8", "100", "3000"])
+def ranges(spark, request):
+    """So many ranges, not merged; 3000 over the same number of rows leave ranges empty."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "200" if request.param == "3000" else request.param)
+    yield int(request.param)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_global_order_matches_builtin(spark, ranges):
+    df = _frame(spark, 150 if ranges == 3000 else 3000)
     for desc in (True, False):
         keys = [("v", desc), ("key", False)]
-        ours = global_order(df, keys, rank_prefixes=(1,), ntiles=(4, 7), buckets=buckets)
+        ours = global_order(df, keys, rank_prefixes=(1,), ntiles=(4, 7))
         o = F.col("v").desc_nulls_last() if desc else F.col("v").asc_nulls_last()
         w = Window.orderBy(o, F.col("key"))
         wr = Window.orderBy(o)
@@ -38,47 +43,30 @@ def test_global_order_matches_builtin(spark, buckets):
                           F.col("_g_ntile7").alias("t7"))
         assert got.exceptAll(ref.select(*got.columns)).count() == 0
         assert ref.select(*got.columns).exceptAll(got).count() == 0
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_global_order_single_bucket_and_empty(spark):
-    df = _frame(spark, 50)
-    ours = global_order(df, [("v", True), ("key", False)], rank_prefixes=(1,), buckets=1)
-    assert ours.count() == 50
-    empty = df.filter(F.lit(False))
+def test_global_order_of_no_rows(spark):
+    empty = _frame(spark, 50).filter(F.lit(False))
     assert global_order(empty, [("v", True), ("key", False)], rank_prefixes=(1,)).count() == 0
+    assert partitioned_row_number(empty, ["grp"], ["key"]).count() == 0
 
 
-@pytest.mark.parametrize("buckets", [6, 120])
-def test_partitioned_row_number(spark, buckets):
-    df = _frame(spark, 2000)
-    ours = partitioned_row_number(df, ["grp"], [("v", True), ("key", False)], buckets=buckets)
+def test_partitioned_row_number(spark, ranges):
+    df = _frame(spark, 2000).withColumn("grp", F.when(F.col("grp") == 0, None).otherwise(F.col("grp") % 2))
+    ours = partitioned_row_number(df, ["grp"], [("v", True), ("key", False)])
     w = Window.partitionBy("grp").orderBy(F.col("v").desc_nulls_last(), F.col("key"))
     ref = df.withColumn("_p_rn", F.row_number().over(w))
+    assert ours.count() == 2000
     assert ours.select("key", "_p_rn").exceptAll(ref.select("key", "_p_rn")).count() == 0
 
 
-def test_no_single_partition_exchange(spark):
+def test_the_written_plan_has_one_shuffle_and_no_single_partition(spark):
     df = _frame(spark, 500)
-    out = global_order(df, [("v", True), ("key", False)], rank_prefixes=(1,), buckets=4)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan
-
-
-def test_partitioned_row_number_adaptive_plain_window(spark):
-    df = _frame(spark, 500)
-    ours = partitioned_row_number(df, ["grp"], [("v", True), ("key", False)])  # no hot group
-    w = Window.partitionBy("grp").orderBy(F.col("v").desc_nulls_last(), F.col("key"))
-    ref = df.withColumn("_p_rn", F.row_number().over(w))
-    assert ours.select("key", "_p_rn").exceptAll(ref.select("key", "_p_rn")).count() == 0
-
-
-def test_partitioned_row_number_hot_group_uses_buckets(spark):
-    df = _frame(spark, 600)
-    ours = partitioned_row_number(df, ["grp"], [("v", True), ("key", False)], hot_rows=10)
-    w = Window.partitionBy("grp").orderBy(F.col("v").desc_nulls_last(), F.col("key"))
-    ref = df.withColumn("_p_rn", F.row_number().over(w))
-    assert ours.select("key", "_p_rn").exceptAll(ref.select("key", "_p_rn")).count() == 0
+    plan = ordered_plan(df, [("v", True), ("key", False)])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and plan.count("Exchange") == 1
+    out = global_order(df, [("v", True), ("key", False)], rank_prefixes=(1,))
+    final = out._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan + final and "Window" not in plan + final
 
 
 def test_exact_quantiles_match_numpy(spark):
@@ -102,7 +90,7 @@ def test_top_k_ranked_keeps_ties(spark):
     assert dense == [(0, 1), (1, 1), (2, 2), (3, 3), (4, 3), (5, 3)]
 
 
-def test_weighted_positions_match_expanded_rows(spark):
+def test_weighted_positions_match_expanded_rows(spark, ranges):
     """Each (value, count) row covers `count` consecutive positions: compare with the
     positions of the expanded rows sorted by value (a brute force on a small fixture)."""
     from tallyspark.operators.ranking import weighted_positions
@@ -110,11 +98,10 @@ def test_weighted_positions_match_expanded_rows(spark):
     df = spark.createDataFrame(pairs, "v double, w bigint")
     expanded = sorted(v for v, w in pairs for _ in range(w))
     wanted = [1, 400, 401, 408, 409, 410, 440, 441]
-    for buckets in (3, 80):  # CASE-tree buckets, range-exchange buckets (mostly empty)
-        got = weighted_positions(df, ["v"], "w", wanted, buckets=buckets).collect()
-        for p in wanted:
-            hit = [r["v"] for r in got if r["_start"] <= p <= r["_end"]]
-            assert hit == [expanded[p - 1]], (buckets, p)
+    got = weighted_positions(df, ["v"], "w", wanted).collect()
+    for p in wanted:
+        hit = [r["v"] for r in got if r["_start"] <= p <= r["_end"]]
+        assert hit == [expanded[p - 1]], p
 
 
 def test_exact_quantiles_hot_value_and_several_columns(spark):
@@ -142,8 +129,7 @@ def test_modes_order_numbers_as_numbers(spark):
 
 
 def test_global_order_typed_keys_match_builtin(spark):
-    """Boundary literals of every key type (string with quotes and non-ASCII text, date,
-    decimal, timestamp) parse back to the exact sampled values."""
+    """Keys of every type: string with quotes and non-ASCII text, date, decimal, timestamp."""
     words = F.element_at(F.array(*[F.lit(w) for w in ["a'b", "Zürich", "x\\y", "", "東京", "b"]]),
                          (F.col("id") % 6 + 1).cast("int"))
     df = spark.range(1200).select(
@@ -154,7 +140,7 @@ def test_global_order_typed_keys_match_builtin(spark):
         F.expr("CAST('2021-03-04 05:06:07' AS TIMESTAMP_NTZ) + make_interval(0, 0, 0, 0, 0, 0, id % 7)")
          .alias("t"))
     keys = [("s", False), ("d", True), ("m", False), ("t", True), ("key", False)]
-    ours = global_order(df, keys, rank_prefixes=(2,), buckets=5)
+    ours = global_order(df, keys, rank_prefixes=(2,))
     order = [F.col("s").asc_nulls_last(), F.col("d").desc_nulls_last(), F.col("m").asc_nulls_last(),
              F.col("t").desc_nulls_last(), F.col("key").asc_nulls_last()]
     ref = df.select("key", F.row_number().over(Window.orderBy(*order)).alias("rn"),
