@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,9 +38,9 @@ from tallyspark.operators.materialize import materialize, materialize_observed
 
 FOLDS = 7
 HELD_OUT_FOLD = 2
-BATCH_TOKENS = 1 << 21
+BATCH_TOKENS = 1 << 20
 MAX_DEPTH = 3
-MIN_SHARE = 5e-4
+MIN_SHARE = 1e-3
 # A cell of the divergence test counts when it is seen or expected this often; the deviance has
 # to exceed its expectation by so many standard deviations.
 MIN_CELL = 5
@@ -53,9 +54,21 @@ def held_out(id_col: Column) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(FOLDS)) == HELD_OUT_FOLD
 
 
+def packed(codes: np.ndarray) -> bytes:
+    """Codes as compressed byte planes: frequent words have small codes, so the upper planes
+    hold next to nothing."""
+    planes = codes.astype("<i4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
 def batches_of(docs: DataFrame, id_col: str, text_col: str, batch_tokens: int) -> DataFrame:
-    """One row per batch: batch, ids, held, lens, codes (little-endian int32), vocab (word keys by
-    code), counts (training tokens by code).  Every text ends with the code of END."""
+    """One row per batch: batch, ids, held, lens, codes (packed), vocab (word keys by code), counts
+    (training tokens by code).  Every text ends with the code of END."""
     rows = docs.select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held"),
                        F.col(text_col).cast("binary").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
@@ -72,7 +85,7 @@ def batches_of(docs: DataFrame, id_col: str, text_col: str, batch_tokens: int) -
             counts = np.bincount(codes[train], minlength=len(known))
             vocab = np.array([xxhash.xxh64_intdigest(w) for w in known], np.uint64).view(np.int64)
             cols = {"batch": [number], "ids": [ids], "held": [held], "lens": [lens],
-                    "codes": [codes.tobytes()], "vocab": [vocab], "counts": [counts]}
+                    "codes": [packed(codes)], "vocab": [vocab], "counts": [counts]}
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(cols.values(), types)], list(cols))
 
@@ -150,24 +163,29 @@ class Contexts:
         at = np.searchsorted(self.words, vocab)
         at[at == len(self.words)] = 0
         word = np.where(self.words[at] == vocab, at, -1) if len(self.words) else np.full(len(vocab), -1)
-        word = word[codes]
-        since = np.arange(len(codes)) - np.repeat(np.cumsum(lens) - lens, lens)   # position in its text
+        word = word.astype(np.int32)[codes]
+        begin = (np.cumsum(lens) - lens).astype(np.int64)      # where each text begins
 
         def before(k: int) -> np.ndarray:
-            out = np.full(len(codes), -1)
-            out[k:] = word[:-k] if k < len(codes) else out[k:]
-            out[since < k] = -1
+            out = np.full(len(codes), -1, np.int32)
+            out[k:] = word[:-k]
+            for i in range(k):                                 # no context reaches over a text's begin
+                at = begin + i
+                out[at[at < len(codes)]] = -1
             return out
 
         out = [before(1)]
         for k, (children, nodes) in enumerate(self.levels[:depth - 1], 2):
             older, shorter = before(k), out[-1]
-            code = shorter * len(self.words) + older
-            code[(shorter < 0) | (older < 0)] = -1
-            at = np.searchsorted(children, code)
-            at[at == len(children)] = 0
-            out.append(np.where((children[at] == code) & (code >= 0), nodes[at], -1)
-                       if len(children) else np.full(len(codes), -1))
+            found = np.full(len(codes), -1, np.int32)
+            on = np.flatnonzero((shorter >= 0) & (older >= 0))
+            if len(children) and len(on):
+                code = shorter[on].astype(np.int64) * len(self.words) + older[on]
+                at = np.searchsorted(children, code)
+                at[at == len(children)] = 0
+                hit = children[at] == code
+                found[on[hit]] = nodes[at[hit]]
+            out.append(found)
         return out
 
     def score(self, codes, lens, vocab, counts: np.ndarray, seen: dict) -> tuple:
@@ -181,7 +199,7 @@ class Contexts:
             on = on[state[node[on]]]
             if not len(on):
                 continue
-            s = node[on]
+            s = node[on].astype(np.int64)
             keys, c = seen.get(depth, (np.zeros(0, np.int64), np.zeros(0)))
             key = s * len(vocab) + codes[on]
             at = np.searchsorted(keys, key)
@@ -193,7 +211,7 @@ class Contexts:
 
 
 def _arrays(row: dict) -> tuple:
-    return (np.frombuffer(row["codes"], "<i4"), np.array(row["lens"], np.int64),
+    return (unpacked(row["codes"]), np.array(row["lens"], np.int64),
             np.array(row["vocab"], np.int64), np.array(row["held"], bool))
 
 
@@ -207,7 +225,7 @@ def next_rows(batches: DataFrame, contexts: Contexts, depth: int) -> DataFrame:
                 codes, lens, vocab, held = _arrays(row)
                 node = contexts.nodes_at(codes, lens, vocab, depth)[-1]
                 on = node >= 0
-                key, inverse = np.unique(node[on] * len(vocab) + codes[on], return_inverse=True)
+                key, inverse = np.unique(node[on].astype(np.int64) * len(vocab) + codes[on], return_inverse=True)
                 n = np.bincount(inverse, weights=np.repeat(~held, lens)[on], minlength=len(key))
                 code = key % len(vocab)
                 yield pa.RecordBatch.from_arrays(
