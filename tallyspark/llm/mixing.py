@@ -32,15 +32,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.text import BLANKS, columns_free_of, let, words
+from tallyspark.llm.text import columns_free_of, let, words
 from tallyspark.operators.materialize import materialize
 
 MAX_LABELLED = 10_000        # labelled documents the classifier is fitted on (smallest id hashes)
-MAX_FEATURES = 400
-MIN_DOCS, MIN_SCORE = 10, 4.0    # a feature counts when so many documents hold it and z is so large
+MAX_FEATURES = 256
+MIN_DOCS, MIN_SCORE = 10, 5.0    # a feature counts when so many documents hold it and z is so large
 SMOOTHING = 0.5
+OTHER_THAN_MARKS = r"[^#*$%&|<>!{}=\\]+"      # fixed value: runs of anything but junk marks
 MAX_STEPS = 100
-LEAST_GAIN = 1e-4            # steps end when one brings the squares down by less than this
+LEAST_GAIN = 1e-6            # steps end when one gains less than this share of the first squares
 TOLERANCE = 1e-6             # largest gap between a domain total and its target, by the budget
 
 # The domains of the labels table and the weights wanted (production parameters).
@@ -56,17 +57,16 @@ def label_domain(labels: DataFrame) -> DataFrame:
 
 def shape_bins(text: Column, word_array: Column) -> Column:
     """One feature for each shape measure: tenths of a share, or the binary length."""
-    chars = F.greatest(F.char_length(F.translate(text, BLANKS, "")), F.lit(1))
-    marks = F.char_length(F.translate(text, "#*$%&|<>!{}=\\", ""))
-    capitals = F.char_length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
-    n = F.char_length(text)
+    n = F.greatest(F.char_length(text), F.lit(1))
+    marks = F.char_length(F.regexp_replace(text, OTHER_THAN_MARKS, ""))
+    capitals = F.char_length(F.regexp_replace(text, "[^A-Z]+", ""))
     distinct = F.size(F.array_distinct(word_array)) / F.greatest(F.size(word_array), F.lit(1))
 
     def tenths(share: Column) -> Column:
         return F.floor(10 * share).cast("int").cast("string")
     return F.array(
-        F.concat(F.lit("\n capitals "), tenths((n - capitals) / chars)),
-        F.concat(F.lit("\n marks "), F.floor(40 * (n - marks) / chars).cast("int").cast("string")),
+        F.concat(F.lit("\n capitals "), tenths(capitals / n)),
+        F.concat(F.lit("\n marks "), F.floor(40 * marks / n).cast("int").cast("string")),
         F.concat(F.lit("\n distinct "), tenths(distinct)),
         F.concat(F.lit("\n length "), F.floor(F.log2(F.size(word_array) + 1)).cast("int").cast("string")))
 
@@ -182,6 +182,7 @@ def fit_rates(members: DataFrame, targets: list[float]) -> list[list[float]]:
     every = np.linalg.pinv(m)            # no rate is zero yet
     steps: list[list[float]] = []
     gap, only_moving = totals - wanted, True
+    first = gap @ every @ gap
     for _ in range(MAX_STEPS):
         if np.abs(gap).max() <= TOLERANCE * budget:
             break
@@ -189,13 +190,13 @@ def fit_rates(members: DataFrame, targets: list[float]) -> list[list[float]]:
         totals, m_new, _ = sums([*steps, step.tolist()])
         new = totals - wanted
         before, after = gap @ every @ gap, new @ every @ new
-        if after >= before and only_moving:
-            only_moving = False          # one step too far: take it again the safe way
-            continue
-        if after >= before * (1 - LEAST_GAIN):
+        small = after >= before - LEAST_GAIN * first
+        if small and not only_moving:
             break                        # the least squares: no rates meet the targets
-        steps.append(step.tolist())
-        gap, m = new, m_new
+        if not small:
+            steps.append(step.tolist())
+            gap, m = new, m_new
+        only_moving = not small          # a step too far is taken again the safe way
     return steps
 
 
