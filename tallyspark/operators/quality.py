@@ -1,5 +1,9 @@
 """Declarative data-quality rules.
 
+UNIQUE has one meaning everywhere: NULL keys are ignored, and every row of a key that occurs more
+than once is a violation (none of the copies is kept).  ``new_key`` rejects keys that a stored
+table already has.
+
 A rule is data: ``Rule(name, kind, column, arg)``.  Row-level rules (not_null, range,
 domain, max_length) are evaluated together in ONE aggregate pass; uniqueness and
 foreign-key rules each need one shuffle (an aggregate by key, an anti join).
@@ -17,10 +21,10 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class Rule:
     name: str
-    kind: str              # not_null | check | domain | max_length | unique | foreign_key
+    kind: str              # not_null | check | domain | max_length | unique | foreign_key | new_key
     column: str | tuple
     arg: object = None     # check: SQL predicate text; domain: values; max_length: int;
-    parent: object = field(default=None, compare=False)  # foreign_key: (DataFrame, column)
+    parent: object = field(default=None, compare=False)  # foreign_key, new_key: (DataFrame, column)
 
 
 def row_violation(rule: Rule) -> Column:
@@ -41,9 +45,9 @@ ROW_KINDS = ("not_null", "check", "domain", "max_length")
 
 
 def duplicate_keys(df: DataFrame, key) -> DataFrame:
-    """Key values that occur more than once, with their count."""
+    """Key values (none of them NULL) that occur more than once, with their count."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).filter(F.col("cnt") > 1)
+    return df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).filter(F.col("cnt") > 1)
 
 
 def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
@@ -60,7 +64,6 @@ def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str
 def run_suite(df: DataFrame, table: str, rules) -> DataFrame:
     """(check_name, table_name, violations, status) for every rule; row-level rules share a
     single aggregate pass."""
-    spark = df.sparkSession
     row_rules = [r for r in rules if r.kind in ROW_KINDS]
     parts = []
     if row_rules:
@@ -71,18 +74,21 @@ def run_suite(df: DataFrame, table: str, rules) -> DataFrame:
         parts.append(stacked)
     for r in rules:
         if r.kind == "unique":
-            v = duplicate_keys(df, r.column).agg(F.coalesce(F.sum(F.col("cnt") - 1), F.lit(0))
+            v = duplicate_keys(df, r.column).agg(F.coalesce(F.sum("cnt"), F.lit(0))
                                                  .cast("bigint").alias("violations"))
         elif r.kind == "foreign_key":
             parent_df, parent_col = r.parent
             v = orphans(df, r.column, parent_df, parent_col).agg(F.count(F.lit(1)).alias("violations"))
+        elif r.kind == "new_key":
+            stored = r.parent[0].select(F.col(r.parent[1]).alias("__pk")).distinct()
+            v = df.join(stored, df[r.column] == stored["__pk"], "left_semi") \
+                .agg(F.count(F.lit(1)).alias("violations"))
         else:
             continue
         parts.append(v.select(F.lit(r.name).alias("check_name"), "violations"))
-    out = parts[0]
-    for p in parts[1:]:
+    out = df.sparkSession.createDataFrame([], "check_name string, violations bigint")
+    for p in parts:
         out = out.unionByName(p)
-    del spark
     return out.select("check_name", F.lit(table).alias("table_name"), "violations",
                       F.when(F.col("violations") == 0, "PASS").otherwise("FAIL").alias("status"))
 
@@ -99,9 +105,13 @@ def split_valid(df: DataFrame, rules, key=None) -> DataFrame:
             reasons.append(F.when(row_violation(r), F.lit(r.name)))
         elif r.kind == "unique":
             keys = [r.column] if isinstance(r.column, str) else list(r.column)
-            counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"__u{i}"))
+            counts = duplicate_keys(df, keys).withColumnRenamed("cnt", f"__u{i}")
             out = out.join(counts, keys, "left")
             reasons.append(F.when(F.col(f"__u{i}") > 1, F.lit(r.name)))
+        elif r.kind == "new_key":
+            stored = r.parent[0].select(F.col(r.parent[1]).alias(f"__sk{i}")).distinct()
+            out = out.join(stored, out[r.column] == stored[f"__sk{i}"], "left")
+            reasons.append(F.when(F.col(f"__sk{i}").isNotNull(), F.lit(r.name)))
         elif r.kind == "foreign_key":
             parent_df, parent_col = r.parent
             pk = parent_df.select(F.col(parent_col).alias(f"__fk{i}")).distinct() \
@@ -115,14 +125,15 @@ def split_valid(df: DataFrame, rules, key=None) -> DataFrame:
 
 
 def reconcile(headers: DataFrame, lines: DataFrame, key: str, header_total: str,
-              line_amount, tolerance: float = 0.01, line_key: str | None = None) -> DataFrame:
+              line_amount, tolerance: float = 0.01, line_key: str | None = None,
+              total_type: str = "decimal(18,2)") -> DataFrame:
     """Header total vs the sum of its lines (rounded half-up to cents): every header whose
-    gap exceeds ``tolerance``.  Lines are aggregated per key before the join, so the join
+    gap exceeds ``tolerance``.  ``total_type`` is the DECIMAL that the header totals carry.  Lines are aggregated per key before the join, so the join
     runs at header grain; amounts are exact decimals."""
     lk = line_key or key
     per = lines.groupBy(F.col(lk).alias("__k")).agg(F.round(F.sum(line_amount), 2).alias("computed"))
     j = headers.join(per, headers[key] == per["__k"])
-    gap = F.abs(F.col(header_total).cast("decimal(18,2)") - F.col("computed"))
+    gap = F.abs(F.col(header_total).cast(total_type) - F.col("computed"))
     return j.filter(gap > tolerance).select(
         F.col(key).alias("order_id"), F.col(header_total).cast("double").alias("header_total"),
         F.col("computed").cast("double").alias("computed_total"))

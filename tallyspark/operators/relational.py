@@ -14,7 +14,13 @@ def left_outer_join(left: DataFrame, right: DataFrame, left_key: str, right_key:
     matching row.  Here the matches come from an INNER join, which adaptive execution
     may split on both sides, and the unmatched preserved rows from a LEFT ANTI join
     against the *distinct* right keys (a hot key collapses map-side)."""
-    matched = left.join(right, left[left_key] == right[right_key], "inner")
+    if not set(left.columns) & set(right.columns):
+        matched = left.join(right, left[left_key] == right[right_key], "inner")
+    elif set(left.columns) & set(right.columns) == {left_key} and left_key == right_key:
+        matched = left.join(right, left_key, "inner")
+    else:
+        raise ValueError(f"both sides have {sorted(set(left.columns) & set(right.columns))}: "
+                         "rename all but a join key of the same name")
     keys = right.select(F.col(right_key).alias("__rk")).distinct()
     unmatched = left.join(keys, left[left_key] == keys["__rk"], "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)

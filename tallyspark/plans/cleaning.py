@@ -5,10 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspark.functions.money import money
 from tallyspark.operators import clean as C
 from tallyspark.operators import profile as P
+from tallyspark.session import scratch_root
+from tallyspark.sources import files as FS
 from tallyspark.sources import standins as S
 from tallyspark.sources.tables import Tables
 
@@ -37,28 +40,48 @@ def derive_amount(spark, sf_dir):
     return d.withColumn("total_amount", F.round(money("price") * F.col("quantity"), 2).cast("double"))
 
 
-def _raw_text_orders(spark, sf_dir) -> DataFrame:
-    """The order view as loaded from text: price arrives as a string (blank or junk)."""
+RAW_SCHEMA = T._parse_datatype_string(
+    "order_id bigint, customer_id bigint, status string, price string, quantity int, order_date date, "
+    "category string")
+MIN_PRICE = 1000.0
+
+
+def _raw_file(spark, sf_dir) -> str:
+    """The order view as a CSV file: the price is text (blank or junk)."""
     d = _dirty(spark, sf_dir)
-    return d.withColumn("price", F.when(F.col("price").isNull(), None).otherwise(F.col("price_text"))) \
-        .drop("price_text")
+    raw = d.withColumn("price", F.when(F.col("price").isNotNull(), F.col("price_text"))).select(RAW_SCHEMA.names)
+    path = scratch_root(spark)
+    FS.write_csv(raw, path)
+    return path
 
 
-def clean_orders_pipeline(spark, sf_dir):
-    """coerce -> median fill (price, quantity) -> mode fill (status, category) -> drop exact
-    duplicates -> total_amount -> revenue by category."""
-    raw = _raw_text_orders(spark, sf_dir)
+def clean_orders(spark, sf_dir) -> DataFrame:
+    """load CSV -> coerce -> median fill (price, quantity) -> mode fill (status, category) -> drop
+    exact duplicates -> price and category filters -> total_amount -> save -> read back."""
+    raw = FS.read_csv(spark, _raw_file(spark, sf_dir), schema=RAW_SCHEMA)
     typed = C.coerce_numeric(raw, ["price"])
     filled = C.impute_mode(C.impute_median(typed, ["price", "quantity"]), ["status", "category"])
-    deduped = C.dedup_exact(filled)
+    kept = C.dedup_exact(filled).filter((F.col("price") > MIN_PRICE) & (F.col("category") != "5-LOW"))
     amount = F.round(F.col("price").cast("decimal(18,4)") * F.col("quantity").cast("decimal(10,1)"), 2)
-    lines = deduped.withColumn("total_amount", amount)
-    return (lines.groupBy("category")
-                 .agg(F.sum("total_amount").cast("double").alias("total_revenue"),
-                      F.round(F.sum("total_amount") / F.count(F.lit(1)), 2).cast("double")
-                      .alias("avg_order_value"),
-                      F.count(F.lit(1)).alias("order_count"))
-                 .orderBy(F.desc("total_revenue")))
+    out = kept.withColumn("total_amount", amount.cast("decimal(18,2)"))
+    path = scratch_root(spark)
+    FS.write_csv(out, path)
+    return FS.read_csv(spark, path, schema=out.schema, mode="FAILFAST")
+
+
+def clean_orders_detail(spark, sf_dir):
+    """The saved orders."""
+    return clean_orders(spark, sf_dir).withColumn("total_amount", F.col("total_amount").cast("double"))
+
+
+def clean_orders_pipeline(spark, sf_dir):
+    """Revenue by category of the saved orders."""
+    return (clean_orders(spark, sf_dir).groupBy("category")
+            .agg(F.sum("total_amount").cast("double").alias("total_revenue"),
+                 F.round(F.sum("total_amount") / F.count(F.lit(1)), 2).cast("double")
+                 .alias("avg_order_value"),
+                 F.count(F.lit(1)).alias("order_count"))
+            .orderBy(F.desc("total_revenue")))
 
 
 def dense_row_id(spark, sf_dir):

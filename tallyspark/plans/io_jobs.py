@@ -5,6 +5,7 @@ root (a fresh folder per call) and returns the DataFrame read back from what it
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,10 +19,15 @@ from tallyspark.sources import standins as S
 from tallyspark.sources.tables import SCHEMAS, TABLES, Tables, table_path
 
 
+TEXT_SCHEMA = T._parse_datatype_string("page_id bigint, url string, text string")
+
+
 def csv_schema_roundtrip(spark, sf_dir):
+    """Text with quotes, commas, backslashes, line breaks, empty strings and NULLs, through CSV
+    and back."""
     out = scratch_root(spark)
-    FS.write_csv(Tables(spark, sf_dir).orders(), out)
-    return FS.read_csv(spark, out, schema=SCHEMAS["orders"])
+    FS.write_csv(S.awkward_text(Tables(spark, sf_dir)), out, null_value=FS.NULL_TEXT)
+    return FS.read_csv(spark, out, schema=TEXT_SCHEMA, null_value=FS.NULL_TEXT, mode="FAILFAST")
 
 
 def csv_infer_roundtrip(spark, sf_dir):
@@ -95,21 +101,52 @@ def partition_inventory(spark, sf_dir):
     return spark.read.parquet(out).groupBy("department").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def format_compare(spark, sf_dir):
-    """Same table as CSV and as Parquet: (format, rows, files, bytes) from file metadata."""
+def _two_formats(spark, sf_dir) -> tuple[DataFrame, dict[str, str]]:
     o = Tables(spark, sf_dir).orders()
-    csv_p, pq_p = scratch_root(spark), scratch_root(spark)
-    FS.write_csv(o, csv_p)
-    FS.write_parquet(o, pq_p)
-    a = FS.file_stats(spark.read.text(csv_p)).select(F.lit("csv").alias("format"), "*")
-    b = FS.file_stats(spark.read.parquet(pq_p)).select(F.lit("parquet").alias("format"), "*")
-    # the text reader counts the header line of every CSV file as a row
-    a = a.withColumn("rows", F.col("rows") - F.col("files"))
+    return o, {"csv": scratch_root(spark), "parquet": scratch_root(spark)}
+
+
+def _read_format(spark, fmt: str, path: str, schema: T.StructType) -> DataFrame:
+    return FS.read_csv(spark, path, schema=schema) if fmt == "csv" else spark.read.schema(schema).parquet(path)
+
+
+def format_report(spark, sf_dir) -> DataFrame:
+    """Same table as CSV and as Parquet: (format, rows, files, bytes, write_s, read_s).  Rows are
+    counted by the format's own reader, files and bytes listed; the seconds are wall clock."""
+    o, paths = _two_formats(spark, sf_dir)
+    rows = []
+    for fmt, path in paths.items():
+        began = time.perf_counter()
+        (FS.write_csv if fmt == "csv" else FS.write_parquet)(o, path)
+        written = time.perf_counter()
+        n = _read_format(spark, fmt, path, o.schema).agg(F.count("o_orderkey")).first()[0]
+        read = time.perf_counter()
+        at = FS.file_metadata(spark, [path]).first()
+        rows.append((fmt, n, at["n_files"], at["size"], written - began, read - written))
+    return spark.createDataFrame(rows, "format string, rows bigint, files bigint, bytes bigint, "
+                                       "write_s double, read_s double")
+
+
+def format_compare(spark, sf_dir):
+    """(format, rows, keys) as each format gives them back."""
+    o, paths = _two_formats(spark, sf_dir)
+    FS.write_csv(o, paths["csv"])
+    FS.write_parquet(o, paths["parquet"])
+    a, b = (_read_format(spark, fmt, path, o.schema).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"))
+        .select(F.lit(fmt).alias("format"), "*") for fmt, path in paths.items())
     return a.unionByName(b)
 
 
 def file_metadata(spark, sf_dir):
-    return FS.file_metadata(spark, [table_path(sf_dir, n) for n in TABLES])
+    """(item_name, exists, is_folder) of the tables, a path that isn't there and an empty folder."""
+    empty = f"{scratch_root(spark)}/empty_folder"
+    fs, path = FS._status(spark, empty)
+    fs.mkdirs(path)
+    paths = [table_path(sf_dir, n) for n in TABLES] + [f"{sf_dir}/no_such_table.parquet", empty]
+    return FS.file_metadata(spark, paths).select(
+        "item_name", "exists", F.when(F.col("item_name") == "empty_folder", F.col("n_files"))
+        .alias("files_in_empty_folder"))
 
 
 def _copy(spark, sf_dir):
@@ -125,18 +162,39 @@ def guarded_copy(spark, sf_dir):
     return spark.read.parquet(dst)
 
 
+def differing_rows(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(missing_in_copy, extra_in_copy): both EXCEPT ALL counts from one signed aggregate."""
+    signed = a.withColumn("_sign", F.lit(1)).unionByName(b.withColumn("_sign", F.lit(-1)))
+    per = signed.groupBy(*a.columns).agg(F.sum("_sign").alias("s"))
+    return per.agg(F.coalesce(F.sum(F.greatest("s", F.lit(0))), F.lit(0)).alias("missing_in_copy"),
+                   F.coalesce(F.sum(F.greatest(-F.col("s"), F.lit(0))), F.lit(0)).alias("extra_in_copy"))
+
+
+# The rows a damaged copy has lost, and those it has twice.
+LOST_MOD, LOST_REM, TWICE_REM = 11, 3, 5
+
+
 def copy_verify(spark, sf_dir):
-    """Source and copy are equal iff both EXCEPT ALL directions are empty."""
+    """A true copy and a damaged one, each held against its source."""
     src, dst, _ = _copy(spark, sf_dir)
     a, b = spark.read.parquet(src), spark.read.parquet(dst)
-    missing = a.exceptAll(b).agg(F.count(F.lit(1)).alias("missing_in_copy"))
-    extra = b.exceptAll(a).agg(F.count(F.lit(1)).alias("extra_in_copy"))
-    return missing.crossJoin(extra)
+    key = F.col("s_suppkey") % LOST_MOD
+    damaged = scratch_root(spark)
+    FS.write_parquet(b.filter(key != LOST_REM).unionAll(b.filter(key == TWICE_REM)), damaged)
+    true = differing_rows(a, b).select(F.lit("true").alias("copy"), "*")
+    bad = differing_rows(a, spark.read.parquet(damaged)).select(F.lit("damaged").alias("copy"), "*")
+    return true.unionByName(bad)
+
+
+PRICE_SCHEMA = T._parse_datatype_string("order_id bigint, customer_id bigint, price double")
 
 
 def copy_report(spark, sf_dir):
-    _, _, report = _copy(spark, sf_dir)
-    return FS.copy_report(spark, report)
+    """A CSV source with rows that don't fit the schema: they are counted as skipped."""
+    src, dst = scratch_root(spark), scratch_root(spark)
+    FS.write_csv(S.dirty_orders(Tables(spark, sf_dir)).select("order_id", "customer_id", "price_text"), src)
+    report = FS.guarded_copy(spark, src, dst, fmt="csv", schema=PRICE_SCHEMA)
+    return FS.copy_report(spark, report).select("status", "rows_read", "rows_copied", "rows_skipped")
 
 
 def pushdown_scan(spark, sf_dir):
@@ -152,29 +210,76 @@ NEW_LINE_ROWS = [(-1, 1, 1, 1, 1.0, 999.00, 0.0, 0.0, "N", "O", dt.datetime(1998
 
 
 def _load_checks(current, batch):
-    """Order keys stay unique over the whole table (a key-column shuffle); the new lines
-    must reference an existing order (anti join of the batch only)."""
+    """Order keys stay unique over the whole table (a key-column shuffle); the new lines must
+    reference an existing order (anti join of the batch only); no stock below zero."""
     o = current["orders"]
     key = Q.run_suite(o, "orders", [Q.Rule("order_key_unique", "unique", "o_orderkey")])
     status = Q.run_suite(batch["orders"], "orders", [Q.Rule("status_domain", "domain", "o_orderstatus",
                                                             [s for s, _ in STATUS_LABELS])])
     fk = Q.run_suite(batch["lineitem"], "lineitem", [Q.Rule("line_order_fk", "foreign_key", "l_orderkey",
                                                             parent=(o, "o_orderkey"))])
-    return key.unionByName(status).unionByName(fk)
+    stock = Q.run_suite(batch["stock"], "stock", [Q.Rule("stock_left", "check", "stock_qty", "stock_qty >= 0")])
+    return key.unionByName(status).unionByName(fk).unionByName(stock)
 
 
-def staged_load(spark, sf_dir):
-    """A new order header and its lines, validated together and appended all-or-nothing
-    on top of the registered base tables; returns the published orders table."""
-    root = scratch_root(spark)
-    FS.register_base(spark, root, "orders", table_path(sf_dir, "orders"))
-    FS.register_base(spark, root, "lineitem", table_path(sf_dir, "lineitem"))
-    new_lines = spark.createDataFrame(NEW_LINE_ROWS, SCHEMAS["lineitem"])
-    result = FS.publish(spark, root, {"orders": _new_orders(spark), "lineitem": new_lines},
-                        checks=_load_checks)
+def _stock(t: Tables) -> DataFrame:
+    return t.part("p_partkey", "p_size").select("p_partkey", (F.col("p_size").cast("bigint") * 100).alias("stock_qty"))
+
+
+def _take_stock(stock: DataFrame, lines: DataFrame) -> DataFrame:
+    """UPDATE stock SET stock_qty = stock_qty - sold for the parts of the new lines."""
+    sold = lines.groupBy(F.col("l_partkey").alias("k")).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("sold"))
+    return stock.join(sold, stock["p_partkey"] == sold["k"], "left").select(
+        "p_partkey", (F.col("stock_qty") - F.coalesce("sold", F.lit(0))).alias("stock_qty"))
+
+
+def _loaded(spark, sf_dir, orders: DataFrame, line_rows) -> tuple[str, dict]:
+    """A batch over the registered base tables: order headers, their lines and the stock they
+    take, published all together or not at all."""
+    t = Tables(spark, sf_dir)
+    root, stock = scratch_root(spark), scratch_root(spark)
+    FS.write_parquet(_stock(t), stock)
+    for name, path in (("orders", table_path(sf_dir, "orders")), ("lineitem", table_path(sf_dir, "lineitem")),
+                       ("stock", stock)):
+        FS.register_base(spark, root, name, path)
+    lines = spark.createDataFrame(line_rows, SCHEMAS["lineitem"])
+    result = FS.publish(spark, root, {"orders": orders, "lineitem": lines}, checks=_load_checks,
+                        replaces={"stock": _take_stock(FS.resolve(spark, root, "stock"), lines)})
+    return root, result
+
+
+def _accepted(spark, sf_dir) -> str:
+    root, result = _loaded(spark, sf_dir, _new_orders(spark), NEW_LINE_ROWS)
     if not result["published"]:
         raise RuntimeError(f"load rejected: {result['violations']} violations")
-    return FS.resolve(spark, root, "orders")
+    return root
+
+
+def staged_load(spark, sf_dir):
+    """The orders after the batch."""
+    return FS.resolve(spark, _accepted(spark, sf_dir), "orders")
+
+
+def staged_load_lines(spark, sf_dir):
+    """The lines after the batch."""
+    return FS.resolve(spark, _accepted(spark, sf_dir), "lineitem")
+
+
+def staged_load_stock(spark, sf_dir):
+    """The stock after the batch."""
+    return FS.resolve(spark, _accepted(spark, sf_dir), "stock")
+
+
+def staged_load_rejected(spark, sf_dir):
+    """A batch with a line of an order that doesn't exist and more pieces than there are in stock:
+    rows and sums of the three tables afterwards, and the violations it was turned down for."""
+    bad = [(-77, *NEW_LINE_ROWS[0][1:4], 1e9, *NEW_LINE_ROWS[0][5:])]
+    root, result = _loaded(spark, sf_dir, _new_orders(spark), NEW_LINE_ROWS + bad)
+    parts = [FS.resolve(spark, root, name).agg(F.count(F.lit(1)).alias("row_count"), F.sum(key).alias("key_sum"))
+             .select(F.lit(name).alias("tbl"), "*")
+             for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("stock", "stock_qty"))]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.withColumn("violations", F.lit(result["violations"]).cast("bigint"))
 
 
 def _incoming_rules(t: Tables):
@@ -196,3 +301,50 @@ def dq_suite(spark, sf_dir):
     t = Tables(spark, sf_dir)
     incoming = S.dirty_orders(t)
     return Q.run_suite(incoming, "orders", _incoming_rules(t))
+
+
+def validate_counts(spark, sf_dir):
+    """The rows that the split rejects, by rule: the same numbers as the suite's."""
+    t = Tables(spark, sf_dir)
+    rules = _incoming_rules(t)
+    split = Q.split_valid(S.dirty_orders(t), rules)
+    per = split.select(F.explode(F.split("reject_reason", ";")).alias("check_name")) \
+        .groupBy("check_name").agg(F.count(F.lit(1)).alias("violations"))
+    names = spark.createDataFrame([(r.name,) for r in rules], "check_name string")
+    return names.join(per, "check_name", "left").select(
+        "check_name", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))
+
+
+def validate_new_keys(spark, sf_dir):
+    """Incoming orders against the stored table: keys that are stored already are rejected."""
+    t = Tables(spark, sf_dir)
+    incoming = t.orders("o_orderkey").select((F.col("o_orderkey") * 2).alias("order_id"))
+    rules = [Q.Rule("order_is_new", "new_key", "order_id", parent=(t.orders("o_orderkey"), "o_orderkey"))]
+    return Q.split_valid(incoming, rules)
+
+
+def integrity_suite(spark, sf_dir):
+    """All four tables in one frame, over the views with planted faults."""
+    t = Tables(spark, sf_dir)
+    orders, lines = S.audit_orders(t), S.audit_lines(t, "l_partkey", "l_quantity", "l_discount")
+    suites = [
+        Q.run_suite(t.customer(), "customer", [
+            Q.Rule("customer_key_unique", "unique", "c_custkey"), Q.Rule("name_not_null", "not_null", "c_name"),
+            Q.Rule("balance_non_negative", "check", "c_acctbal", "c_acctbal >= 0")]),
+        Q.run_suite(t.part(), "part", [
+            Q.Rule("part_key_unique", "unique", "p_partkey"), Q.Rule("part_name_unique", "unique", "p_name"),
+            Q.Rule("price_positive", "check", "p_retailprice", "p_retailprice > 0"),
+            Q.Rule("name_length", "max_length", "p_name", 10)]),
+        Q.run_suite(orders, "orders", [
+            Q.Rule("order_key_unique", "unique", "o_orderkey"),
+            Q.Rule("status_domain", "domain", "o_orderstatus", [s for s, _ in STATUS_LABELS]),
+            Q.Rule("customer_fk", "foreign_key", "o_custkey", parent=(t.customer("c_custkey"), "c_custkey"))]),
+        Q.run_suite(lines, "lineitem", [
+            Q.Rule("quantity_positive", "check", "l_quantity", "l_quantity > 0"),
+            Q.Rule("discount_range", "check", "l_discount", "l_discount BETWEEN 0 AND 0.08"),
+            Q.Rule("order_fk", "foreign_key", "l_orderkey", parent=(orders, "o_orderkey")),
+            Q.Rule("part_fk", "foreign_key", "l_partkey", parent=(t.part("p_partkey"), "p_partkey"))])]
+    out = suites[0]
+    for s in suites[1:]:
+        out = out.unionByName(s)
+    return out

@@ -116,6 +116,13 @@ QUERIES = {
     "copy_report": io_jobs.copy_report,
     "pushdown_scan": io_jobs.pushdown_scan,
     "staged_load": io_jobs.staged_load,
+    "staged_load_lines": io_jobs.staged_load_lines,
+    "staged_load_stock": io_jobs.staged_load_stock,
+    "staged_load_rejected": io_jobs.staged_load_rejected,
+    "validate_counts": io_jobs.validate_counts,
+    "validate_new_keys": io_jobs.validate_new_keys,
+    "integrity_suite": io_jobs.integrity_suite,
+    "clean_orders_detail": cleaning.clean_orders_detail,
     "validate_split": io_jobs.validate_split,
     "dq_suite": io_jobs.dq_suite,
     "filter_in": staff.filter_in,

@@ -7,7 +7,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyspark.functions import tiers
 from tallyspark.functions.dates import ts_literal, year_range
@@ -230,7 +229,7 @@ def join_inner(spark, sf_dir):
     o = t.orders("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     c = t.customer("c_custkey", "c_name")
     return (o.join(c, o.o_custkey == c.c_custkey, "inner")
-             .select("o_orderkey", "o_orderdate", "c_name", "o_totalprice").orderBy("o_orderdate"))
+             .select("o_orderkey", "o_orderdate", "c_name", "o_totalprice").orderBy("o_orderdate", "o_orderkey"))
 
 
 def join_three_way(spark, sf_dir):
@@ -246,7 +245,7 @@ def join_three_way(spark, sf_dir):
 
 def _customers_vs_orders(t: Tables):
     c = t.customer("c_custkey", "c_name")
-    o = t.orders("o_orderkey", "o_custkey", "o_totalprice")
+    o = S.orders_of_some(t, "o_orderkey", "o_custkey", "o_totalprice")
     return c, o
 
 
@@ -254,7 +253,8 @@ def join_left(spark, sf_dir):
     """Every customer with its orders (NULLs when none); skew-tolerant outer join."""
     c, o = _customers_vs_orders(Tables(spark, sf_dir))
     return (left_outer_join(c, o, "c_custkey", "o_custkey")
-            .select("c_custkey", "c_name", "o_orderkey", "o_totalprice").orderBy("c_custkey"))
+            .select("c_custkey", "c_name", "o_orderkey", "o_totalprice")
+            .orderBy("c_custkey", "o_orderkey"))
 
 
 def join_right(spark, sf_dir):
@@ -267,7 +267,7 @@ def join_full_audit(spark, sf_dir):
     """FULL OUTER join of orders and their line items in one pass: every order with its
     line count, orders without lines and lines without an order, tagged."""
     t = Tables(spark, sf_dir)
-    per_order = t.lineitem("l_orderkey").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    per_order = S.audit_lines(t).groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     o = t.orders("o_orderkey", "o_custkey")
     j = o.join(per_order, o.o_orderkey == per_order.l_orderkey, "full")
     return j.select(
@@ -282,14 +282,14 @@ def join_full_audit(spark, sf_dir):
 
 def orphan_items(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    li = t.lineitem("l_orderkey", "l_linenumber", "l_partkey")
+    li = S.audit_lines(t, "l_partkey")
     return Q.orphans(li, "l_orderkey", t.orders("o_orderkey"), "o_orderkey")
 
 
 def orders_without_items(spark, sf_dir):
     t = Tables(spark, sf_dir)
     o = t.orders("o_orderkey", "o_custkey", "o_orderdate")
-    return Q.orphans(o, "o_orderkey", t.lineitem("l_orderkey"), "l_orderkey")
+    return Q.orphans(o, "o_orderkey", S.audit_lines(t), "l_orderkey")
 
 
 def dq_duplicate_key(spark, sf_dir):
@@ -305,7 +305,7 @@ def dq_range(spark, sf_dir):
 
 
 def dq_domain(spark, sf_dir):
-    o = Tables(spark, sf_dir).orders("o_orderkey", "o_orderstatus")
+    o = S.audit_orders(Tables(spark, sf_dir)).select("o_orderkey", "o_orderstatus")
     return o.filter(Q.row_violation(Q.Rule("status_domain", "domain", "o_orderstatus",
                                            [s for s, _ in STATUS_LABELS])))
 
@@ -371,5 +371,3 @@ def cross_pivot(spark, sf_dir):
     wide = st.groupBy("department").pivot("region", REGIONS).count()
     return wide.fillna(0, subset=REGIONS)
 
-
-del T

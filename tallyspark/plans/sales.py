@@ -6,23 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions import tiers
-from tallyspark.functions.money import cents, mean_of
-from tallyspark.operators.ranking import global_order
+from tallyspark.functions.money import cents, mean_of, whole_units
+from tallyspark.operators.materialize import materialize, materialize_observed
+from tallyspark.operators.ranking import global_order, ordered, partitioned_row_number, with_ranks
 from tallyspark.sources import standins as S
 from tallyspark.sources.tables import Tables
 
 
+# Customers by sales level (totals within one level tie), then by key.
+BY_LEVEL = [("sales_level", True), ("customer_id", False)]
+
+
 def customer_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-customer totals, profit, order count, averages and extremes, global RANK and
     NTILE(4) by total sales, an above/below-average tier and a buyer type."""
     t = Tables(spark, sf_dir)
-    m = S.customer_sales(t, with_profit=True)
-    # average of customer totals as an exact (sum, count) pair; one row, broadcast
-    avg = m.agg(F.sum("total_sales_dec").alias("sum_all"), F.count(F.lit(1)).alias("n_cust"))
-    m = m.crossJoin(F.broadcast(avg))
-    m = m.withColumn("above", F.col("total_sales_dec") * F.col("n_cust") > F.col("sum_all"))
-    ranked = global_order(m, [("total_sales_dec", True), ("customer_id", False)],
-                          rank_prefixes=(1,), ntiles=(4,), dense=False)
+    # the totals are written once, in sales order; their sum and count are observed on the way
+    totals = ordered(S.customer_sales(t, with_profit=True), BY_LEVEL,
+                     F.sum("total_sales_dec").alias("sum_all"))
+    ranked = with_ranks(totals, rank_prefixes=(1,), ntiles=(4,), dense=False)
+    sum_all = F.lit(totals.metrics["sum_all"])
+    ranked = ranked.withColumn("above", F.col("total_sales_dec") * F.lit(totals.n) > sum_all)
     dim = S.customer_dim(t)
     out = ranked.join(dim, "customer_id").select(
         "customer_id", "customer_name", "segment", "region",
@@ -57,7 +61,6 @@ def top_k_ranked(df: DataFrame, value: str, k: int, descending: bool = True,
     kept row, so rank = 1 + (number of those k values strictly better).  No window over
     the whole set, and a value repeated in millions of rows costs nothing extra."""
     if materialize_input:  # read twice below (top-k values, then the filter)
-        from tallyspark.operators.materialize import materialize
         df = materialize(df)
     order = F.col(value).desc() if descending else F.col(value).asc()
     src = df.select(value).filter(F.col(value).isNotNull())
@@ -88,16 +91,15 @@ def customer_totals(spark, sf_dir):
 
 
 def above_avg_orders(spark, sf_dir):
-    """Lines whose sales exceed the average line sales (scalar subquery -> one-row
-    aggregate broadcast to every row; compared exactly as sales * n > sum)."""
+    """Lines whose sales exceed the average line sales.  The joined lines are written once; the
+    sum and count behind the average are observed during that write."""
     t = Tables(spark, sf_dir)
-    # for integer cents c: c * n > s  <=>  c > floor(s / n); the floor is taken once in the
-    # one-row aggregate, so every line does an exact BIGINT comparison
-    stats = S.order_sales(t).agg(F.sum("sales_cents").alias("s"), F.sum("n_lines").alias("n")) \
-        .select(F.when(F.col("s") >= 0, F.expr("s div n"))
-                 .otherwise(-F.expr("(n - 1 - s) div n")).alias("cut"))
-    lines = S.sales_lines(t)
-    hit = lines.crossJoin(F.broadcast(stats)).filter(cents("sales") > F.col("cut"))
+    lines, seen = materialize_observed(
+        S.sales_lines(t).select("order_id", "line_no", "customer_id", "product_id", "sales"),
+        F.sum(cents("sales")).alias("s"))
+    # for integer cents c: c * n > s  <=>  c > floor(s / n)
+    cut = (seen["s"] or 0) // max(seen["n"], 1)
+    hit = lines.filter(cents("sales") > F.lit(cut))
     return (hit.join(S.customer_dim(t).select("customer_id", "customer_name"), "customer_id")
                .join(S.product_dim(t).select("product_id", "product_name"), "product_id")
                .select("order_id", "line_no", "customer_name", "product_name", "sales")
@@ -105,13 +107,16 @@ def above_avg_orders(spark, sf_dir):
 
 
 def max_order_per_customer_ties(spark, sf_dir):
-    """Lines equal to their customer's maximum line sales, ties kept.  The correlated
-    MAX becomes a pre-aggregated per-customer max joined back on (customer, value)."""
+    """Lines in the highest line level (LINE_LEVEL wide) of their customer, ties kept.  The
+    correlated MAX becomes a pre-aggregated per-customer level joined back on it."""
     t = Tables(spark, sf_dir)
+
+    def level(c):
+        return whole_units(cents(c), 100 * S.LINE_LEVEL)
     per_cust = S.order_sales(t).groupBy(F.col("o_custkey").alias("customer_id")) \
-        .agg(F.max("max_line_sales").alias("sales"))
-    lines = S.sales_lines(t)
-    hit = lines.join(per_cust, ["customer_id", "sales"], "left_semi")
+        .agg(level(F.max("max_line_sales")).alias("level"))
+    lines = S.sales_lines(t).withColumn("level", level("sales"))
+    hit = lines.join(per_cust, ["customer_id", "level"], "left_semi")
     return (hit.join(S.customer_dim(t).select("customer_id", "customer_name"), "customer_id")
                .select("order_id", "line_no", "customer_name", F.col("sales").alias("highest_sale"))
                .orderBy(F.desc("highest_sale"), "order_id", "line_no"))
@@ -134,10 +139,10 @@ def above_avg_customers(spark, sf_dir):
 
 def _ranked_customers(t: Tables, with_profit: bool = False, ntiles=(), rank: bool = True,
                       dense: bool = False) -> DataFrame:
-    """Customers in the order (total sales DESC, id); RANK / DENSE_RANK over total sales
-    only when asked for (each adds a window, DENSE_RANK also a distinct count)."""
+    """Customers in the order (sales level DESC, id); RANK / DENSE_RANK over the level only
+    when asked for."""
     m = S.customer_sales(t, with_profit)
-    return global_order(m, [("total_sales_dec", True), ("customer_id", False)],
+    return global_order(m, BY_LEVEL,
                         rank_prefixes=(1,) if (rank or dense) else (), ntiles=ntiles,
                         dense=dense)
 
@@ -186,7 +191,6 @@ def customer_scorecard(spark, sf_dir):
 def order_sequence(spark, sf_dir):
     """ROW_NUMBER per customer by (order date, order id), line key as final tie-break;
     balanced even when one customer owns a large share of all lines."""
-    from tallyspark.operators.ranking import partitioned_row_number
     t = Tables(spark, sf_dir)
     lines = S.sales_lines(t)
     seq = partitioned_row_number(lines, ["customer_id"],
@@ -201,7 +205,7 @@ def order_sequence(spark, sf_dir):
 def dense_top3(spark, sf_dir):
     t = Tables(spark, sf_dir)
     m = S.customer_sales(t).withColumn("total_sales", F.col("total_sales_dec").cast("double"))
-    top = top_k_ranked(m, "total_sales_dec", 3, dense=True, rank_name="sales_rank")
+    top = top_k_ranked(m, "sales_level", 3, dense=True, rank_name="sales_rank")
     return (top.join(S.customer_dim(t), "customer_id")
                .select("customer_id", "customer_name", "total_sales", "sales_rank")
                .orderBy("sales_rank", "customer_id"))
@@ -210,7 +214,7 @@ def dense_top3(spark, sf_dir):
 def rank_top5(spark, sf_dir):
     t = Tables(spark, sf_dir)
     m = S.customer_sales(t, with_profit=True)
-    top = top_k_ranked(m, "total_sales_dec", 5, rank_name="rnk")
+    top = top_k_ranked(m, "sales_level", 5, rank_name="rnk")
     return (top.join(S.customer_dim(t), "customer_id")
                .select("customer_id", "customer_name", "segment",
                        F.col("total_sales_dec").cast("double").alias("total_sales"),
@@ -222,7 +226,7 @@ def rank_top5(spark, sf_dir):
 def rank_bottom5(spark, sf_dir):
     t = Tables(spark, sf_dir)
     m = S.customer_sales(t)
-    low = top_k_ranked(m, "total_sales_dec", 5, descending=False, rank_name="rnk")
+    low = top_k_ranked(m, "sales_level", 5, descending=False, rank_name="rnk")
     return (low.join(S.customer_dim(t), "customer_id")
                .select("customer_id", "customer_name", "segment",
                        F.col("total_sales_dec").cast("double").alias("total_sales"),

@@ -7,28 +7,47 @@ machine-local folder except through the Spark writers/readers themselves.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import os
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
+# One set of options for both directions.  Text with quotes, commas, backslashes and line breaks
+# comes back as it was; blanks at the ends are kept.
+CSV = {"header": True, "quote": '"', "escape": '"', "lineSep": "\n", "encoding": "UTF-8",
+       "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# How NULL is written where the empty string has to stay different from it: a character of the
+# private use area, which text to be exchanged doesn't hold.
+NULL_TEXT = "\ue000"
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Header row, overwrite.  ``single_file`` only for small (aggregated) results."""
+
+def write_csv(df: DataFrame, path: str, single_file: bool = False, null_value: str = "") -> None:
+    """Header row, overwrite.  ``single_file`` gives exactly one file, only for small (aggregated)
+    results.  With the default ``null_value`` an empty string reads back as NULL; use NULL_TEXT on
+    both sides to keep them apart."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True) \
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).csv(path)
+    w = out.write.mode("overwrite").options(**CSV).option("nullValue", null_value) \
+        .option("emptyValue", "" if null_value == "" else '""')
+    if not single_file:
+        w = w.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    w.csv(path)
+
+
+def csv_reader(spark: SparkSession, null_value: str = "", mode: str = "PERMISSIVE"):
+    """Values may hold line breaks, so a file is read by one task; the writer bounds the files."""
+    return spark.read.options(**CSV).option("nullValue", null_value).option("emptyValue", "") \
+        .option("mode", mode).option("multiLine", True)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              infer: bool = False, null_value: str = "", mode: str = "PERMISSIVE") -> DataFrame:
-    r = spark.read.option("header", True).option("nullValue", null_value).option("mode", mode) \
-        .option("quote", '"').option("escape", '"')
+    r = csv_reader(spark, null_value, mode)
     if schema is not None:
         r = r.schema(schema)
     elif infer:
@@ -66,35 +85,37 @@ def file_stats(df: DataFrame) -> DataFrame:
 METADATA_SCHEMA = T.StructType([
     T.StructField("item_name", T.StringType()), T.StructField("path", T.StringType()),
     T.StructField("size", T.LongType()), T.StructField("exists", T.BooleanType()),
-    T.StructField("last_modified", T.TimestampType())])
+    T.StructField("last_modified", T.TimestampType()), T.StructField("is_folder", T.BooleanType()),
+    T.StructField("n_files", T.LongType())])
+
+
+def _status(spark: SparkSession, path: str):
+    """(file system, Hadoop path) of a URI."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def file_metadata(spark: SparkSession, paths) -> DataFrame:
-    """Get-metadata probe: one row per file found under each path (name, size, exists,
-    last modified); a missing path yields one row with ``exists = false``.  The
-    ``binaryFile`` reader lists files without reading their content."""
-    found, missing = [], []
-    for p in paths:
-        try:
-            df = spark.read.format("binaryFile").load(p).select(
-                F.lit(os.path.basename(p.rstrip("/"))).alias("item_name"), F.col("path"),
-                F.col("length").alias("size"), F.lit(True).alias("exists"),
-                F.col("modificationTime").alias("last_modified"))
-            found.append(df)
-        except AnalysisException:
-            missing.append((os.path.basename(p.rstrip("/")), p, None, False, None))
-    out = spark.createDataFrame(missing, METADATA_SCHEMA)
-    for df in found:
-        out = out.unionByName(df)
-    return out
+    """Get-metadata probe: one row per path, whether a file or a folder (nested or empty): name,
+    bytes and files in it, existence, last change.  Only the file system's listing is read."""
+    rows = []
+    for path in paths:
+        fs, p = _status(spark, path)
+        name = os.path.basename(path.rstrip("/"))
+        if not fs.exists(p):
+            rows.append((name, path, None, False, None, None, None))
+            continue
+        status, content = fs.getFileStatus(p), fs.getContentSummary(p)
+        changed = dt.datetime.fromtimestamp(status.getModificationTime() / 1000, dt.UTC)
+        rows.append((name, path, content.getLength(), True, changed, status.isDirectory(),
+                     content.getFileCount()))
+    return spark.createDataFrame(rows, METADATA_SCHEMA)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path).limit(1).count()
-        return True
-    except AnalysisException:
-        return False
+    fs, p = _status(spark, path)
+    return bool(fs.exists(p))
 
 
 REPORT_SCHEMA = T.StructType([
@@ -115,10 +136,10 @@ def guarded_copy(spark: SparkSession, src: str, dst: str, fmt: str = "parquet",
                 "rows_skipped": 0, "files_read": 0, "files_written": 0, "bytes_read": 0,
                 "bytes_written": 0}
     if fmt == "csv":
-        reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+        reader = csv_reader(spark)
         if schema is not None:
-            reader = reader.schema(schema.add("_corrupt_record", T.StringType())) \
-                .option("columnNameOfCorruptRecord", "_corrupt_record")
+            with_bad = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+            reader = reader.schema(with_bad).option("columnNameOfCorruptRecord", "_corrupt_record")
         data = reader.csv(src)
     else:
         data = spark.read.parquet(src)
@@ -133,83 +154,114 @@ def guarded_copy(spark: SparkSession, src: str, dst: str, fmt: str = "parquet",
     else:
         write_parquet(observed, dst)
     m = obs.get
-    src_stats = file_stats(spark.read.parquet(src) if fmt != "csv" else spark.read.text(src)) \
-        .collect()[0]
-    dst_stats = file_stats(spark.read.parquet(dst) if fmt != "csv" else spark.read.text(dst)) \
-        .collect()[0]
+    read, written = (r.asDict() for r in file_metadata(spark, [src, dst]).collect())
     return {"source": src, "sink": dst, "status": "copied", "rows_read": int(m["rows_read"]),
             "rows_copied": int(m["rows_read"]) - int(m["rows_skipped"]),
-            "rows_skipped": int(m["rows_skipped"]), "files_read": int(src_stats["files"]),
-            "files_written": int(dst_stats["files"]), "bytes_read": int(src_stats["bytes"]),
-            "bytes_written": int(dst_stats["bytes"])}
+            "rows_skipped": int(m["rows_skipped"]), "files_read": read["n_files"],
+            "files_written": written["n_files"], "bytes_read": read["size"],
+            "bytes_written": written["size"]}
 
 
 def copy_report(spark: SparkSession, report: dict) -> DataFrame:
     return spark.createDataFrame([tuple(report[f.name] for f in REPORT_SCHEMA.fields)], REPORT_SCHEMA)
 
 
-# --- versioned, all-or-nothing, append-only publish --------------------------------
+# --- versioned, all-or-nothing publish ----------------------------------------------
 
 MANIFEST = "_manifest"
-
-
-def _manifest(spark: SparkSession, root: str):
+FOLD_AFTER = 64      # commits after which the manifest starts from one file again
+MANIFEST_SCHEMA = "commit bigint, table_name string, path string, replaces boolean"
+
+
+class Conflict(RuntimeError):
+    """Another batch was published since this one read the tables."""
+
+
+def _manifest(spark: SparkSession, root: str) -> tuple[int, dict[str, list[str]]]:
+    """(number of the last commit, paths of each table's current content).  A commit is one file
+    named by its number; a folded commit holds the whole state, so at most FOLD_AFTER are read."""
+    fs, folder = _status(spark, f"{root}/{MANIFEST}")
+    if not fs.exists(folder):
+        return 0, {}
+    numbers = sorted(int(f.getPath().getName()) for f in fs.listStatus(folder)
+                     if f.getPath().getName().isdigit())
+    if not numbers:
+        return 0, {}
+    last = numbers[-1]
+    start = max((n for n in numbers if n % FOLD_AFTER == 0), default=numbers[0])
+    state: dict[str, list[str]] = {}
+    rows = spark.read.schema(MANIFEST_SCHEMA).json([f"{root}/{MANIFEST}/{n}" for n in numbers if n >= start])
+    for r in sorted(rows.collect(), key=lambda r: (r["commit"], not r["replaces"])):
+        if r["replaces"]:
+            state[r["table_name"]] = [r["path"]]
+        else:
+            state.setdefault(r["table_name"], []).append(r["path"])
+    return last, state
+
+
+def _commit(spark: SparkSession, root: str, after: int, state: dict[str, list[str]],
+            added: dict[str, tuple[str, bool]]) -> int:
+    """Create the file of commit ``after + 1``; fails if another writer has created it."""
+    number = after + 1
+    rows = [(n, p, replaces) for n, (p, replaces) in added.items()]
+    if number % FOLD_AFTER == 0:     # the whole state: later readers start here
+        rows = [(n, p, i == 0) for n, paths in state.items() if n not in added or not added[n][1]
+                for i, p in enumerate(paths)] + rows
+    text = "".join(json.dumps({"commit": number, "table_name": n, "path": p, "replaces": bool(r)}) + "\n"
+                   for n, p, r in rows)
+    fs, path = _status(spark, f"{root}/{MANIFEST}/{number}")
     try:
-        return spark.read.parquet(f"{root}/{MANIFEST}")
-    except AnalysisException:
-        return None
+        out = fs.create(path, False)
+    except Exception as e:
+        if "already exists" in str(e):
+            raise Conflict(f"commit {number} of {root} exists") from e
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return number
 
 
 def register_base(spark: SparkSession, root: str, name: str, path: str) -> None:
-    """Make an existing dataset the first version of ``name`` by reference (no copy)."""
-    _commit(spark, root, uuid.uuid4().hex, {name: path})
-
-
-def _commit(spark: SparkSession, root: str, version: str, paths: dict) -> None:
-    rows = [(version, n, p) for n, p in paths.items()]
-    entry = spark.createDataFrame(rows, "version string, table_name string, path string") \
-        .withColumn("committed_at", F.current_timestamp())
-    entry.coalesce(1).write.mode("append").parquet(f"{root}/{MANIFEST}")
+    """Make an existing dataset the first version of ``name`` by reference (no copy).  Registering
+    the same path again changes nothing."""
+    last, state = _manifest(spark, root)
+    if path not in state.get(name, []):
+        _commit(spark, root, last, state, {name: (path, False)})
 
 
 def resolve(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The current content of ``name``: the union of every committed version folder."""
-    m = _manifest(spark, root)
-    paths = [] if m is None else [r["path"] for r in
-                                  m.filter(F.col("table_name") == name).select("path").collect()]
+    """The current content of ``name``: the union of its version folders."""
+    paths = _manifest(spark, root)[1].get(name)
     if not paths:
         raise FileNotFoundError(f"no published version of {name} under {root}")
     return spark.read.parquet(*paths)
 
 
-def publish(spark: SparkSession, root: str, appends: dict, checks=None) -> dict:
-    """Append a batch to several tables all-or-nothing.
+def publish(spark: SparkSession, root: str, appends: dict, checks=None, replaces: dict | None = None) -> dict:
+    """Append rows to several tables and replace the content of others, all-or-nothing.
 
-    Each table's new rows are staged into their own version folder; ``checks(current,
-    batch)`` receives, per table, the would-be content (published versions + staged
-    rows, read lazily) and the staged rows alone, and returns rows with a ``violations``
-    column.  Only with zero violations is one manifest entry per table appended, in a
-    single write, after all data is in place; readers resolve through the manifest, so
-    they see the whole batch or none of it.  Versions hold only new rows: publishing
-    never rewrites the existing data.  (The manifest list is bounded by the number of
-    committed batches and is read on the driver.)
-    """
+    Each table's new rows are staged into their own version folder; ``checks(current, batch)``
+    receives, per table, the would-be content (published versions + staged rows, or the staged
+    replacement, read lazily) and the staged rows alone, and returns rows with a ``violations``
+    column.  Only with zero violations is one commit file created, after all data is in place;
+    readers resolve through the commits, so they see the whole batch or none of it.  The commit
+    takes the number after the last one that this batch has read, and fails with ``Conflict`` if
+    another writer got it first.  Appended versions hold only new rows."""
+    last, state = _manifest(spark, root)
     version = uuid.uuid4().hex
-    staged, current = {}, {}
-    for name, df in appends.items():
+    staged, current, added = {}, {}, {}
+    for name, df in {**appends, **(replaces or {})}.items():
         path = f"{root}/{name}/v_{version}"
         write_parquet(df, path)
         staged[name] = spark.read.parquet(path)
-        try:
-            current[name] = resolve(spark, root, name).unionByName(staged[name])
-        except FileNotFoundError:
-            current[name] = staged[name]
+        whole = name in (replaces or {}) or not state.get(name)
+        current[name] = staged[name] if whole else spark.read.parquet(*state[name]).unionByName(staged[name])
+        added[name] = (path, name in (replaces or {}))
     violations = 0
     if checks is not None:
-        total = checks(current, staged).agg(
-            F.coalesce(F.sum("violations"), F.lit(0)).alias("v")).collect()[0]
+        total = checks(current, staged).agg(F.coalesce(F.sum("violations"), F.lit(0)).alias("v")).collect()[0]
         violations = int(total["v"])
     if violations:
         return {"version": version, "published": False, "violations": violations}
-    _commit(spark, root, version, {n: f"{root}/{n}/v_{version}" for n in appends})
+    _commit(spark, root, last, state, added)
     return {"version": version, "published": True, "violations": 0}

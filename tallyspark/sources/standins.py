@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.money import cents, from_cents, money, profit_units
+from tallyspark.functions.money import cents, from_cents, money, profit_units, whole_units
 from tallyspark.sources.tables import Tables
 
 # The key rules that make stand-in rows dirty (null / duplicate / re-keyed).
@@ -27,6 +27,14 @@ DIRTY_STATUS_MOD, DIRTY_STATUS_REM = 25, 2
 DIRTY_QTY_MOD, DIRTY_QTY_REM = 45, 3
 DUPLICATE_MOD = 21
 TEXT_JUNK_MOD = 13
+AUDIT_STATUS = (53, 7, "X")             # orders with a status outside the domain
+AUDIT_CUSTOMER = (61, 5, 1_000_000_000)  # orders whose customer doesn't exist (key shifted by)
+AUDIT_ORPHAN = (47, 9)                  # first lines of such orders name an order that doesn't exist
+AUDIT_NO_LINES = (59, 4)                # orders that have lost their lines
+AUDIT_NO_ORDERS = (10, 3)               # customers whose orders are left out
+LEVEL = 100_000                         # a sales level is so many money units wide: totals tie
+LINE_LEVEL = 10_000
+TEXT_RULES = (7, 0, 1, 2)               # page keys whose text is NULL, empty, full of backslashes
 STAFF_SALARY_NULL = (35, 0)
 STAFF_RATING_NULL = (40, 1)
 STAFF_REGION_NULL = (25, 2)
@@ -85,6 +93,7 @@ def customer_sales(t: Tables, with_profit: bool = False) -> DataFrame:
     """Per-customer totals: exact decimal sums, order count, line count, extremes."""
     per_order = order_sales(t, with_profit)
     aggs = [from_cents(F.sum("sales_cents")).alias("total_sales_dec"),
+            whole_units(F.sum("sales_cents"), 100 * LEVEL).alias("sales_level"),
             F.count(F.lit(1)).alias("total_orders"),
             F.sum("n_lines").alias("n_lines"),
             F.max("max_line_sales").alias("max_single_order"),
@@ -198,3 +207,38 @@ def measures(t: Tables) -> DataFrame:
         F.when(k % DIRTY_STATUS_MOD == 3, None)
          .otherwise((amount * F.lit("0.0125").cast("decimal(5,4)")).cast("decimal(12,4)")).alias("unit"),
         F.when(k % DIRTY_PRIORITY_MOD == 4, None).otherwise(F.col("o_orderpriority")).alias("priority"))
+
+
+def audit_orders(t: Tables) -> DataFrame:
+    """Orders with planted faults: statuses outside the domain, customers that don't exist."""
+    k = F.col("o_orderkey")
+    mod, rem, status = AUDIT_STATUS
+    c_mod, c_rem, shift = AUDIT_CUSTOMER
+    return t.orders().withColumns({
+        "o_orderstatus": F.when(k % mod == rem, status).otherwise(F.col("o_orderstatus")),
+        "o_custkey": F.when(k % c_mod == c_rem, F.col("o_custkey") + shift).otherwise(F.col("o_custkey"))})
+
+
+def audit_lines(t: Tables, *columns: str) -> DataFrame:
+    """Line items with planted faults: lines of orders that don't exist, orders without lines."""
+    li = t.lineitem(*dict.fromkeys(("l_orderkey", "l_linenumber", *columns)))
+    k = F.col("l_orderkey")
+    orphan = (k % AUDIT_ORPHAN[0] == AUDIT_ORPHAN[1]) & (F.col("l_linenumber") == 1)
+    return (li.filter(k % AUDIT_NO_LINES[0] != AUDIT_NO_LINES[1])
+            .withColumn("l_orderkey", F.when(orphan, -k).otherwise(k)))
+
+
+def orders_of_some(t: Tables, *columns: str) -> DataFrame:
+    """Orders without those of the customers that are left out."""
+    mod, rem = AUDIT_NO_ORDERS
+    return t.orders(*columns).filter(F.col("o_custkey") % mod != rem)
+
+
+def awkward_text(t: Tables) -> DataFrame:
+    """Page sources (quotes, commas, line breaks) with backslashes, empty texts and NULLs."""
+    mod, null, empty, slashes = TEXT_RULES
+    k = F.col("page_id") % mod
+    text = (F.when(k == null, None).when(k == empty, "")
+            .when(k == slashes, F.concat(F.lit('\\ "\\" ,\r\n '), F.col("html"), F.lit(" \\")))
+            .otherwise(F.col("html")))
+    return t.pages("page_id", "url", "html").select("page_id", "url", text.alias("text"))
