@@ -116,7 +116,7 @@ def test_publish_is_all_or_nothing(spark):
     ok = FS.publish(spark, root, {"t": spark.range(10, 15).withColumnRenamed("id", "k")}, checks)
     assert ok["published"] and FS.resolve(spark, root, "t").count() == 15
     bad = FS.publish(spark, root, {"t": spark.range(0, 3).withColumnRenamed("id", "k")}, checks)
-    assert not bad["published"] and bad["violations"] == 3
+    assert not bad["published"] and bad["violations"] == 6  # three keys, two rows each
     assert FS.resolve(spark, root, "t").count() == 15  # readers never see the rejected batch
 
 
@@ -150,14 +150,108 @@ def test_partitioned_write_splits_a_hot_value(spark):
         spark.read.parquet(out).count() == 30000
 
 
-def test_file_metadata_missing_path(spark):
+def test_file_metadata_of_files_folders_and_missing_paths(spark):
     d = tempfile.mkdtemp()
-    with open(os.path.join(d, "x.txt"), "w") as fh:
-        fh.write("hello")
-    rows = FS.file_metadata(spark, [os.path.join(d, "x.txt"), os.path.join(d, "nope.csv")]).collect()
+    os.makedirs(os.path.join(d, "nested", "deep"))
+    os.mkdir(os.path.join(d, "empty"))
+    for name in ("x.txt", "nested/deep/y.txt"):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write("hello")
+    rows = FS.file_metadata(spark, [os.path.join(d, n) for n in ("x.txt", "nope.csv", "nested", "empty")]).collect()
     by = {r["item_name"]: r for r in rows}
-    assert by["x.txt"]["exists"] and by["x.txt"]["size"] == 5
+    assert by["x.txt"]["exists"] and by["x.txt"]["size"] == 5 and not by["x.txt"]["is_folder"]
     assert by["nope.csv"]["exists"] is False
+    assert by["nested"]["exists"] and by["nested"]["size"] == 5 and by["nested"]["n_files"] == 1
+    assert by["empty"]["exists"] and by["empty"]["is_folder"] and by["empty"]["n_files"] == 0
+
+
+AWKWARD = ['say "hi", ok', 'back\\slash \\" end\\', "two\nlines", "dos\r\nline", "", None, " blanks ", ",", '"', "ü€"]
+
+
+def test_csv_is_lossless(spark):
+    df = spark.createDataFrame(list(enumerate(AWKWARD)), "id int, t string")
+    out = scratch_root(spark)
+    FS.write_csv(df, out, null_value=FS.NULL_TEXT)
+    back = FS.read_csv(spark, out, schema=df.schema, null_value=FS.NULL_TEXT, mode="FAILFAST")
+    assert dict(map(tuple, back.collect())) == dict(enumerate(AWKWARD))
+    FS.write_csv(df, out)   # the default: empty and NULL are one
+    back = dict(map(tuple, FS.read_csv(spark, out, schema=df.schema).collect()))
+    assert back == dict(enumerate(x or None for x in AWKWARD))
+    FS.write_csv(df, out, single_file=True)
+    assert len([f for f in os.listdir(out) if f.startswith("part-")]) == 1
+
+
+def test_guarded_copy_of_csv_leaves_the_schema_alone(spark):
+    schema = spark.createDataFrame([], "id int, v double").schema
+    src, dst = scratch_root(spark), scratch_root(spark)
+    FS.write_csv(spark.createDataFrame([(1, "1.5"), (2, "n/a"), (3, 'x"\ny')], "id int, v string"), src)
+    rep = FS.guarded_copy(spark, src, dst, fmt="csv", schema=schema)
+    assert (rep["rows_read"], rep["rows_copied"], rep["rows_skipped"]) == (3, 1, 2)
+    assert schema.names == ["id", "v"]
+
+
+def test_commits_are_numbered_folded_and_checked(spark, monkeypatch):
+    import pytest
+    monkeypatch.setattr(FS, "FOLD_AFTER", 4)
+    root, base = scratch_root(spark), scratch_root(spark)
+    spark.range(10).write.parquet(base)
+    FS.register_base(spark, root, "t", base)
+    FS.register_base(spark, root, "t", base)    # again: nothing changes
+    assert FS.resolve(spark, root, "t").count() == 10
+    for i in range(5):
+        FS.publish(spark, root, {"t": spark.range(100 + i, 101 + i)})
+    assert FS.resolve(spark, root, "t").count() == 15
+    last, state = FS._manifest(spark, root)
+    FS.publish(spark, root, {}, replaces={"t": spark.range(3)})
+    assert FS.resolve(spark, root, "t").count() == 3
+    with pytest.raises(FS.Conflict):             # this writer has not seen the replacement
+        FS._commit(spark, root, last, state, {"t": (base, False)})
+
+
+def test_unique_means_the_same_in_suite_and_split(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "k int, v string")
+    stored = spark.createDataFrame([(2,), (2,), (9,)], "k int")
+    rules = [Q.Rule("k_unique", "unique", "k"), Q.Rule("k_new", "new_key", "k", parent=(stored, "k"))]
+    suite = {r["check_name"]: r["violations"] for r in Q.run_suite(df, "t", rules).collect()}
+    split = {r["v"]: r["reject_reason"] for r in Q.split_valid(df, rules).collect()}
+    assert suite == {"k_unique": 2, "k_new": 1}
+    assert split == {"a": "k_unique", "b": "k_unique", "c": "k_new", "d": None, "e": None}
+    assert Q.run_suite(df, "t", []).count() == 0
+
+
+def test_left_outer_join_with_a_shared_key_name(spark):
+    from tallyspark.operators.relational import left_outer_join
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, a string")
+    b = spark.createDataFrame([(1, "p"), (1, "q"), (3, "r")], "k int, b string")
+    assert sorted(map(tuple, left_outer_join(a, b, "k", "k").collect()), key=str) == [
+        (1, "x", "p"), (1, "x", "q"), (2, "y", None)]
+
+
+def test_scratch_tables_are_deleted_and_settings_kept(spark):
+    import pytest
+    from tallyspark import session as SS
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "123")
+    SS.apply_scale_conf(spark)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "123"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    with SS.scratch(spark):
+        path = scratch_root(spark)
+        spark.range(3).write.parquet(path)
+        assert FS.path_exists(spark, path)
+    assert not FS.path_exists(spark, path)
+
+    class Elsewhere:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Elsewhere
+        conf = {}
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        SS.checkpoint_dir(Session)
 
 
 def test_means_keep_every_decimal_and_decimals_are_profiled(spark):
