@@ -35,14 +35,14 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm.components import components
 from tallyspark.llm.runs import sorted_runs
-from tallyspark.llm.text import BLANKS, columns_free_of
+from tallyspark.llm.text import BLANKS, NOT_BLANK, columns_free_of
 from tallyspark.operators.materialize import materialize, materialize_observed
 
 MAX_EDITS = 2
 LENGTH_PER_EDIT = 5
 HOT_RUN = 4096
 LINE_SEED = 42          # of Spark's xxhash64
-MANY = 12               # from so many candidates on they are compared side by side
+MANY, WIDE = 12, 4096   # so many lines, none of them longer, are compared side by side
 
 
 def edits_allowed(length: int) -> int:
@@ -90,18 +90,27 @@ BAND = 2 * MAX_EDITS + 1
 FULL = (1 << BAND) - 1
 
 
+def shared_start(x: str, y: str) -> int:
+    """Length of the common start, found by halving."""
+    low, high = 0, min(len(x), len(y))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if x[low:middle] == y[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
 def within(x: str, y: str) -> bool:
     """Are the lines linked?  Bit d of ``rows[e]``: the part of x read so far and a part of y
     that is d - MAX_EDITS longer are at most e edits apart."""
     edits = edits_allowed(max(len(x), len(y)))
     if abs(len(x) - len(y)) > edits:
         return False
-    start, stop = 0, min(len(x), len(y))
-    while start < stop and x[start] == y[start]:
-        start += 1
-    x, y = x[start:], y[start:]
-    while x and y and x[-1] == y[-1]:
-        x, y = x[:-1], y[:-1]
+    start = shared_start(x, y)
+    end = shared_start(x[start:][::-1], y[start:][::-1])
+    x, y = x[start:len(x) - end], y[start:len(y) - end]
     rows = [((2 << e) - 1) << MAX_EDITS for e in range(edits + 1)]
     for i, c in enumerate(x):
         same = 0
@@ -121,18 +130,18 @@ def within(x: str, y: str) -> bool:
 
 
 class Block:
-    """Lines side by side as rows of code points."""
+    """Lines side by side, a column of code points each."""
 
     def __init__(self, lines: list[str]):
         self.lengths = np.array([len(line) for line in lines])
         width = int(self.lengths.max()) + BAND
-        self.codes = np.zeros((len(lines), width), np.uint32)
-        for row, line in zip(self.codes, lines):
-            row[:len(line)] = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
+        self.codes = np.zeros((width, len(lines)), np.uint32)
+        for i, line in enumerate(lines):
+            self.codes[:len(line), i] = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
         self.edits = np.array([edits_allowed(n) for n in range(int(self.lengths.max()) + 1)])
 
     def linked(self, x: int, others: np.ndarray) -> np.ndarray:
-        """Which of the rows ``others`` are linked to row x; the same steps as in ``within``."""
+        """Which of the lines ``others`` are linked to line x; the same steps as in ``within``."""
         n = int(self.lengths[x])
         allowed = self.edits[np.maximum(self.lengths[others], n)]
         near = np.abs(self.lengths[others] - n) <= allowed
@@ -140,20 +149,20 @@ class Block:
         out = np.zeros(len(others), bool)
         rows = [np.full(len(ids), (((2 << e) - 1) << MAX_EDITS) & FULL, np.uint8)
                 for e in range(MAX_EDITS + 1)]
-        pattern, codes = self.codes[x], self.codes[others[ids]]
+        pattern, at = self.codes[:, x], others[ids]
         for i in range(n):
             if not len(ids):
                 return out
             same = np.zeros(len(ids), np.uint8)
             for d in range(max(-MAX_EDITS, -i), MAX_EDITS + 1):
-                same |= (codes[:, i + d] == pattern[i]).astype(np.uint8) << (d + MAX_EDITS)
+                same |= (self.codes[i + d, at] == pattern[i]).astype(np.uint8) << (d + MAX_EDITS)
             new = [rows[0] & same]
             for e in range(1, MAX_EDITS + 1):
                 new.append((rows[e] & same | rows[e - 1] | rows[e - 1] >> 1 | new[-1] << 1) & FULL)
             rows = new
             alive = rows[MAX_EDITS] != 0
             if not alive.all():
-                ids, codes, rows = ids[alive], codes[alive], [r[alive] for r in rows]
+                ids, at, rows = ids[alive], at[alive], [r[alive] for r in rows]
         table = np.stack(rows) if len(ids) else np.zeros((MAX_EDITS + 1, 0), np.uint8)
         reached = table[allowed[ids], np.arange(len(ids))]
         out[ids] = reached >> (self.lengths[others[ids]] - n + MAX_EDITS).astype(np.uint8) & 1 == 1
@@ -163,7 +172,7 @@ class Block:
 def reached(lines: list[str]) -> list[tuple[int, int]]:
     """Edges (positions) of a breadth-first forest over the linked lines."""
     edges: list[tuple[int, int]] = []
-    if len(lines) < MANY:
+    if len(lines) < MANY or max(map(len, lines)) > WIDE:
         left = list(range(len(lines)))
         while left:
             queue, left = [left[0]], left[1:]
@@ -198,7 +207,7 @@ def occurrences(docs: DataFrame, text_col: str, *columns: Column) -> DataFrame:
     """One row per line with a word: ``columns``, line_no (from 0), line."""
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
     rows = docs.select(*columns, F.posexplode(lines).alias("line_no", "line"))
-    return rows.filter(F.translate("line", BLANKS, "") != "")
+    return rows.filter(F.col("line").rlike(NOT_BLANK))
 
 
 def entries(docs: DataFrame, text_col: str) -> DataFrame:

@@ -10,6 +10,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = "[ \\t-\\r]+"
+NOT_BLANK = "[^ \\t-\\r]"
 
 
 def lower_ascii(text: Column) -> Column:
