@@ -20,10 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.text import BLANK_RUN, BLANKS, columns_free_of, let, lower_ascii, text_key, words
+from tallyspark.llm.text import BLANK_RUN, NOT_BLANK, columns_free_of, let, lower_ascii, text_key, words
 from tallyspark.operators.materialize import materialize
 
-SYMBOLS = "#*$%&|<>"     # fixed value: the characters that count as symbols
+NO_SYMBOLS = "[^#*$%&|<>]+"   # fixed value: runs without a character that counts as a symbol
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW = 3
@@ -68,11 +68,11 @@ def repeated_window_words(word_array: Column) -> Column:
 def base_counts(text: Column) -> Column:
     """Struct of n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of one text."""
     t = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(t, "\n", -1), lambda line: F.translate(line, BLANKS, "") != "")
+    lines = F.filter(F.split(t, "\n", -1), lambda line: line.rlike(NOT_BLANK))
     return let(words(t), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"),
-        F.char_length(F.translate(t, BLANKS, "")).cast("long").alias("word_chars"),
-        (F.char_length(t) - F.char_length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.char_length(F.regexp_replace(t, BLANK_RUN, "")).cast("long").alias("word_chars"),
+        F.char_length(F.regexp_replace(t, NO_SYMBOLS, "")).cast("long").alias("n_symbols"),
         let(lines, lambda a: (F.size(a) - F.size(F.array_distinct(a))).cast("long")).alias("n_dup_lines"),
         repeated_window_words(w).alias("n_repeat_words")))
 
@@ -90,7 +90,7 @@ def line_table(docs: DataFrame, text_col: str, host_col: str) -> DataFrame:
     t = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(host_col).alias("host"), text_key(t).alias("doc"),
                        F.explode(F.split(t, "\n", -1)).alias("raw"))
-    rows = rows.filter(F.translate("raw", BLANKS, "") != "")
+    rows = rows.filter(F.col("raw").rlike(NOT_BLANK))
     return rows.select("host", "doc", line_key(F.col("raw")).alias("line"),
                        F.size(words(F.col("raw"))).cast("long").alias("line_words"))
 
