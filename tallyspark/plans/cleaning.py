@@ -40,9 +40,11 @@ def derive_amount(spark, sf_dir):
     return d.withColumn("total_amount", F.round(money("price") * F.col("quantity"), 2).cast("double"))
 
 
-RAW_SCHEMA = T._parse_datatype_string(
-    "order_id bigint, customer_id bigint, status string, price string, quantity int, order_date date, "
-    "category string")
+RAW_SCHEMA = T.StructType([
+    T.StructField("order_id", T.LongType()), T.StructField("customer_id", T.LongType()),
+    T.StructField("status", T.StringType()), T.StructField("price", T.StringType()),
+    T.StructField("quantity", T.IntegerType()), T.StructField("order_date", T.DateType()),
+    T.StructField("category", T.StringType())])
 MIN_PRICE = 1000.0
 
 

@@ -19,7 +19,7 @@ from tallyspark.sources import standins as S
 from tallyspark.sources.tables import SCHEMAS, TABLES, Tables, table_path
 
 
-TEXT_SCHEMA = T._parse_datatype_string("page_id bigint, url string, text string")
+TEXT_SCHEMA = "page_id bigint, url string, text string"
 
 
 def csv_schema_roundtrip(spark, sf_dir):
@@ -186,7 +186,8 @@ def copy_verify(spark, sf_dir):
     return true.unionByName(bad)
 
 
-PRICE_SCHEMA = T._parse_datatype_string("order_id bigint, customer_id bigint, price double")
+PRICE_SCHEMA = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("customer_id", T.LongType()),
+                             T.StructField("price", T.DoubleType())])
 
 
 def copy_report(spark, sf_dir):
