@@ -1,11 +1,12 @@
 """Exact dedup by a tree-merge of digest runs.
 
 Every document becomes ``(id, digest of its normalised text)``.  Documents are dealt into
-``RUNS`` runs by their id; within a run equal digests collapse to one entry (best id, count).
-Then, in rounds, ``FAN_IN`` neighbouring runs at a time are merged into one, each merge keeping
-the best identifier and the summed count of every digest, until a single (distributed) run is
-left: a binomial tree with ``FAN_IN`` children to a node.  A group that holds a third of all
-rows arrives at each round as at most one entry for each run, so no merge task sees it whole.
+``RUNS`` runs by a hash of id and digest, and each run is written in digest order; within a run
+equal digests collapse to one entry (best id, count).  Then, in rounds, ``FAN_IN`` neighbouring
+runs at a time are merged into one, each merge keeping the best identifier and the summed count of
+every digest, until a single (distributed) run is left: a tree with ``FAN_IN`` children to a node.
+A group that holds a third of all rows arrives at each round as at most one entry for each run, so
+no merge task sees it whole.
 The verdicts travel back down the same way: root -> runs -> documents, joined on
 ``(run, digest)``, so a hot digest is spread over ``RUNS`` keys.
 
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from tallyspark.llm.text import columns_free_of, lower_ascii
 from tallyspark.operators.materialize import materialize_observed
 
-RUNS = 256
-FAN_IN = 16
+RUNS = 1024
+FAN_IN = 32
 ENTRY = ["digest", "nbytes", "proof"]
 
 
@@ -37,7 +38,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     d = d.select("id", F.unhex(F.sha2("norm", 256)).alias("digest"),
                  F.octet_length("norm").alias("nbytes"), F.xxhash64("norm").alias("proof"))
     d = d.groupBy("id", *ENTRY).agg(F.count(F.lit(1)).alias("copies"))
-    return d.withColumn("run", F.pmod(F.xxhash64("id"), F.lit(RUNS)).cast("int"))
+    return d.withColumn("run", F.pmod(F.xxhash64("id", "digest"), F.lit(RUNS)).cast("int"))
 
 
 def merge_runs(runs: DataFrame, best) -> DataFrame:
@@ -55,8 +56,9 @@ def decided(docs: DataFrame, id_col: str, text_col: str, keep: str):
     """The written entries, each with the best id and size of its group; the most copies of
     one (id, text) pair."""
     best = {"max": F.max, "min": F.min}[keep]
-    entries, seen = materialize_observed(digests(docs, id_col, text_col),
-                                         F.max("copies").alias("most"))
+    sorted_runs = (digests(docs, id_col, text_col).repartition("run")
+                   .sortWithinPartitions("run", *ENTRY))
+    entries, seen = materialize_observed(sorted_runs, F.max("copies").alias("most"))
     runs = entries.groupBy("run", *ENTRY).agg(best("id").alias("keep_id"),
                                               F.sum("copies").alias("size"))
     down = runs.select("run", *ENTRY).join(merge_runs(runs, best), ENTRY)

@@ -284,7 +284,8 @@ def links(docs: DataFrame, text_col: str, hot_run: int = HOT_RUN) -> DataFrame:
     """Edges that connect exactly the linked lines."""
     found, seen = materialize_observed(shared(entries(docs, text_col), hot_run),
                                        F.sum(F.col("hot").cast("long")).alias("hot"))
-    wanted = found.select(F.col("line").alias("wanted")).distinct()
+    # both sides of the semi join are plain exchanges, so AQE can split a line of many documents
+    wanted = found.select(F.col("line").alias("wanted"))
     lines = occurrences(docs, text_col).select(line_id("line").alias("line"), F.col("line").alias("text"))
     texts = materialize(lines.join(wanted, lines["line"] == wanted["wanted"], "left_semi")
                         .dropDuplicates(["line"]))
@@ -310,7 +311,9 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = materialize(rows.join(r, "line", "left")
                        .select("id", "line_no", F.coalesce("root", "line").alias("class")))
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("line_no")))
-    classes = rows.groupBy("class").agg(first.alias("first"), F.count(F.lit(1)).alias("class_lines"))
+    # written, so that the join below is one of two plain exchanges too
+    classes = materialize(rows.groupBy("class").agg(first.alias("first"),
+                                                    F.count(F.lit(1)).alias("class_lines")))
     return rows.join(classes, "class").select(
         "id", "line_no", F.col("first.id").alias("first_id"), F.col("first.line_no").alias("first_line_no"),
         "class_lines", (F.col("id").eqNullSafe(F.col("first.id"))
