@@ -83,3 +83,67 @@ def test_no_orphans_and_orders_have_items(retail):
     _, orders, items = retail
     assert Q.orphans(items, "order_id", orders, "order_id").count() == 0
     assert Q.orphans(orders, "order_id", items, "order_id").count() == 0
+
+
+# Fixture values: thirty staff records each, as published with their results (NULL where empty).
+ENRICH_ROWS = """1,Aarav Sharma,Engineering,85000,2019-03-15,Mumbai,5,4.2
+2,Priya Patel,Marketing,62000,2020-07-22,Delhi,3,3.8
+3,Rohan Gupta,Engineering,92000,2018-01-10,Bangalore,6,4.5
+4,Sneha Reddy,HR,58000,2021-05-18,Hyderabad,2,3.5
+5,Vikram Singh,Engineering,105000,2016-11-03,Pune,8,4.7
+6,Ananya Iyer,Data Science,95000,2019-09-12,Chennai,5,4.3
+7,Karthik Nair,Marketing,67000,2020-02-28,Mumbai,3,3.9
+8,Divya Joshi,Engineering,78000,2021-08-14,Delhi,,3.6
+9,Amit Kumar,HR,55000,2022-01-25,Bangalore,1,
+10,Neha Verma,Data Science,98000,2018-06-30,Hyderabad,6,4.6
+11,Rahul Mehta,Finance,72000,2019-12-05,Pune,4,4.0
+12,Pooja Agarwal,Engineering,88000,2017-04-20,Chennai,7,4.4
+13,Suresh Rao,Finance,69000,2020-10-15,Mumbai,3,3.7
+14,Meera Krishnan,Data Science,101000,2018-03-08,Bangalore,6,4.8
+15,Arjun Desai,Marketing,,2021-11-22,Delhi,2,3.4
+16,Lakshmi Menon,HR,61000,2019-07-14,Hyderabad,4,4.1
+17,Sanjay Tiwari,Engineering,83000,2020-05-30,Pune,,3.9
+18,Ritu Saxena,Finance,75000,2019-01-18,Chennai,5,4.2
+19,Deepak Chauhan,Data Science,97000,2017-09-25,Mumbai,7,4.5
+20,Kavita Bhatt,Marketing,64000,2022-03-10,Delhi,1,3.3
+21,Manish Pandey,Engineering,110000,2015-08-12,Bangalore,9,4.9
+22,Swati Kulkarni,HR,,2021-04-05,Hyderabad,2,
+23,Nikhil Jain,Finance,71000,2020-06-17,Pune,3,3.8
+24,Anjali Mishra,Data Science,93000,2019-02-28,Chennai,5,4.3
+25,Rajesh Shetty,Engineering,86000,2018-12-10,Mumbai,6,4.1
+26,Nandini Das,Marketing,66000,2020-09-03,Delhi,3,3.6
+27,Varun Kapoor,Finance,78000,2017-05-22,Bangalore,7,4.4
+28,Shruti Hegde,HR,59000,2021-07-30,Hyderabad,2,3.5
+29,Aditya Malhotra,Engineering,94000,2018-10-14,Pune,6,4.6
+30,Pallavi Sharma,Data Science,100000,2019-04-20,Chennai,5,4.7"""
+# emp_id: (salary, bonus, band, experience, tenure in months)
+ENRICHED = {1: (85000.0, 12750.0, "Mid", 5, 87), 3: (92000.0, 13800.0, "Mid", 6, 102),
+            5: (105000.0, 15750.0, "Senior", 8, 116), 6: (95000.0, 14250.0, "Mid", 5, 82),
+            8: (78000.0, 11700.0, "Mid", 0, 58), 10: (98000.0, 14700.0, "Mid", 6, 96),
+            12: (88000.0, 13200.0, "Mid", 7, 110), 14: (101000.0, 15150.0, "Senior", 6, 100),
+            17: (83000.0, 12450.0, "Mid", 0, 73), 18: (75000.0, 11250.0, "Mid", 5, 89),
+            19: (97000.0, 14550.0, "Mid", 7, 105), 21: (110000.0, 16500.0, "Senior", 9, 131),
+            24: (93000.0, 13950.0, "Mid", 5, 88), 25: (86000.0, 12900.0, "Mid", 6, 91),
+            27: (78000.0, 11700.0, "Mid", 7, 109), 29: (94000.0, 14100.0, "Mid", 6, 92),
+            30: (100000.0, 15000.0, "Senior", 5, 86)}
+
+
+def from_text(spark, rows: str, schema: str):
+    """The rows written as a CSV file and read with their schema."""
+    from tallyspark.session import scratch_root
+    from tallyspark.sources import files as FS
+    names = [c.split()[0] for c in schema.split(", ")]
+    text = spark.createDataFrame([tuple(x or None for x in line.split(",")) for line in rows.split("\n")],
+                                 ", ".join(f"{n} string" for n in names))
+    path = scratch_root(spark)
+    FS.write_csv(text, path)
+    return FS.read_csv(spark, path, schema=schema)
+
+
+def test_enrichment_pipeline(spark):
+    from tallyspark.plans.staff import enrich
+    st = from_text(spark, ENRICH_ROWS, "emp_id bigint, name string, department string, salary double, "
+                                       "joining_date string, city string, experience_years int, rating double")
+    got = enrich(st).collect()
+    assert {r["emp_id"]: (r["salary"], r["annual_bonus"], r["salary_band"], r["experience_years"],
+                          r["tenure_months"]) for r in got} == ENRICHED
