@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.text import columns_free_of, lower_ascii
+from tallyspark.llm.text import as_they_are, columns_free_of, lower_ascii
 from tallyspark.operators.materialize import materialize_observed
 
 RUNS = 1024
@@ -85,18 +85,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     entries, most = decided(docs, id_col, text_col, keep)
     stay = entries.filter(F.col("id").eqNullSafe(F.col("keep_id")))
     norm = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
-    n = columns_free_of(columns, "id_", "digest", "nbytes", "proof")
+    n = columns_free_of(columns, "id_", "digest", "nbytes", "proof", "stay")
     keyed = docs.withColumns({
         n["id_"]: F.col(id_col), n["digest"]: F.unhex(F.sha2(norm, 256)),
         n["nbytes"]: F.octet_length(norm), n["proof"]: F.xxhash64(norm)})
-    stay = stay.select(F.struct("id", *ENTRY).alias("s")).alias("stay")
-    match = keyed[n["id_"]].eqNullSafe(F.col("s.id"))
+    stay = stay.select(F.struct("id", *ENTRY).alias(n["stay"]))
+    match = F.col(n["id_"]).eqNullSafe(F.col(n["stay"])["id"])
     for c in ENTRY:
-        match = match & (keyed[n[c]] == F.col(f"s.{c}"))
+        match = match & (F.col(n[c]) == F.col(n["stay"])[c])
     kept = keyed.join(stay, match, "left_semi")
     if most > 1:  # the staying row itself may be repeated
         kept = kept.dropDuplicates([n[c] for c in ENTRY])
-    return kept.select(*columns)
+    return kept.select(*as_they_are(columns))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm.components import components
 from tallyspark.llm.runs import sorted_runs
-from tallyspark.llm.text import BLANKS, NOT_BLANK, columns_free_of
+from tallyspark.llm.text import BLANKS, NOT_BLANK, as_they_are, columns_free_of
 from tallyspark.operators.materialize import materialize, materialize_observed
 
 MAX_EDITS = 2
@@ -329,7 +329,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.join(gone, F.col(id_col).eqNullSafe(F.col(n["gone_id"])), "left")
     left = F.filter(F.split(text_col, "\n", -1), lambda line, i: ~F.array_contains(n["gone"], i))
     text = F.when(F.col(n["gone"]).isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
-    return rows.withColumn(text_col, text).select(*docs.columns)
+    return rows.withColumn(text_col, text).select(*as_they_are(docs.columns))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

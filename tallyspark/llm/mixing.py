@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.text import columns_free_of, let, words
+from tallyspark.llm.text import as_they_are, columns_free_of, let, words
 from tallyspark.operators.materialize import materialize
 
 MAX_LABELLED = 10_000        # labelled documents the classifier is fitted on (smallest id hashes)
@@ -232,7 +232,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     rate = let(p, lambda q: rate_column(q, steps))
     rows = rows.withColumn(n["copies"], copies_of(rate, F.col(id_col))).filter(F.col(n["copies"]) > 0)
     return rows.withColumn(n["copy_no"], F.explode(F.sequence(F.lit(1), F.col(n["copies"])))
-                           ).select(*docs.columns)
+                           ).select(*as_they_are(docs.columns))
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

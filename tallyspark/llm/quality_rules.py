@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm.text import BLANK_RUN, NOT_BLANK, columns_free_of, let, lower_ascii, text_key, words
+from tallyspark.llm.text import (BLANK_RUN, NOT_BLANK, as_they_are, columns_free_of, let,
+                                 lower_ascii, text_key, words)
 from tallyspark.operators.materialize import materialize
 
 NO_SYMBOLS = "[^#*$%&|<>]+"   # fixed value: runs without a character that counts as a symbol
@@ -142,14 +143,14 @@ def with_verdict(docs: DataFrame, text_col: str = "text", host_col: str = "sourc
                        (~failed & ~F.coalesce(hit["depleted"], F.lit(False))).alias("kept"),
                        F.coalesce((hit["words_removed"] * c["n_words"] / hit["words"]).cast("long"),
                                   F.lit(0).cast("long")).alias("words_removed"))
-    return joined.select(*docs.columns, verdict.alias(n["verdict"])), n["verdict"]
+    return joined.select(*as_they_are(docs.columns), verdict.alias(n["verdict"])), n["verdict"]
 
 
 def clean(docs: DataFrame, text_col: str = "text", host_col: str = "source",
           **limits) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns and whole texts."""
     rows, verdict = with_verdict(docs, text_col, host_col, **limits)
-    return rows.filter(F.col(verdict)["kept"]).select(*docs.columns)
+    return rows.filter(F.col(verdict)["kept"]).select(*as_they_are(docs.columns))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm.components import components
 from tallyspark.llm.runs import sorted_runs
-from tallyspark.llm.text import columns_free_of, text_key
+from tallyspark.llm.text import as_they_are, columns_free_of, text_key
 from tallyspark.operators.materialize import materialize, materialize_observed
 
 SHINGLE_WORDS = 4
@@ -210,15 +210,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     their columns."""
     columns = docs.columns
     prints, groups = grouped(docs, id_col, text_col, shingle_words, radius)
-    keepers = groups.select(F.struct("keeper.id", "keeper.key").alias("s")).distinct()
-    n = columns_free_of(columns, "id_", "key_")
+    n = columns_free_of(columns, "id_", "key_", "stay")
+    keepers = groups.select(F.struct("keeper.id", "keeper.key").alias(n["stay"])).distinct()
     keyed = docs.withColumns({n["id_"]: F.col(id_col), n["key_"]: text_key(F.col(text_col))})
-    kept = keyed.join(keepers, keyed[n["id_"]].eqNullSafe(F.col("s.id"))
-                      & (keyed[n["key_"]] == F.col("s.key")), "left_semi")
+    kept = keyed.join(keepers, F.col(n["id_"]).eqNullSafe(F.col(n["stay"])["id"])
+                      & (F.col(n["key_"]) == F.col(n["stay"])["key"]), "left_semi")
     repeated = prints.groupBy("id", "key").count().filter("count > 1")
     if not repeated.isEmpty():  # the staying row itself may be repeated
         kept = kept.dropDuplicates([n["id_"], n["key_"]])
-    return kept.select(*columns)
+    return kept.select(*as_they_are(columns))
 
 
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,6 +35,11 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def as_they_are(columns: list[str]) -> list[Column]:
+    """The columns by their names, whatever characters these hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
 def columns_free_of(columns: list[str], *wanted: str) -> dict[str, str]:
     """Working names for columns that ``columns`` (compared without case) does not have."""
     taken = {c.lower() for c in columns}

@@ -6,7 +6,8 @@ LONG = " ".join(f"w{i % 97}x{i % 31}" for i in range(30_000))
 
 # doc_id, text, lang, source, n_chars, and columns whose names the operators use inside
 DOCS_SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
-               "id string, digest int, run string, n_words string, kept string, batch int")
+               "id string, digest int, run string, n_words string, kept string, batch int, "
+               "`a.b` int, stay string, s string, verdict string")
 PARAGRAPH = " ".join(f"alpha{i} beta{i % 7}" for i in range(60))
 
 
@@ -20,7 +21,7 @@ def doc_rows():
         (12, PARAGRAPH, "en", "a"), (13, PARAGRAPH + " tail", "en", "a"), (14, "one", "en", "a"),
         (15, "a b c a b c a b c\nx\nx\n\n x", "en", "a"), (16, "#*$%&|<> " * 30, "en", "b"),
     ]
-    return [(i, t, lang, s, None, "clash", 0, "clash", "clash", "clash", 0)
+    return [(i, t, lang, s, None, "clash", 0, "clash", "clash", "clash", 0, 1, "clash", None, "clash")
             for i, t, lang, s in texts]
 
 
