@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -349,3 +350,20 @@ def integrity_suite(spark, sf_dir):
     for s in suites[1:]:
         out = out.unionByName(s)
     return out
+
+
+def table_lifecycle(spark, sf_dir):
+    """CREATE DATABASE, CREATE TABLE, INSERT ... SELECT, CREATE OR REPLACE, DROP: the rows that the
+    replaced table held."""
+    db = f"tally_{uuid.uuid4().hex}"
+    rows = Tables(spark, sf_dir).customer("c_custkey", "c_name", "c_acctbal")
+    first, second = scratch_root(spark), scratch_root(spark)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_root(spark)}'")
+    try:
+        FS.create_table(spark, f"{db}.accounts", rows.schema, first)
+        FS.insert_rows(rows, f"{db}.accounts")
+        FS.create_table(spark, f"{db}.accounts", rows.schema, second, replace=True)
+        FS.insert_rows(spark.read.schema(rows.schema).parquet(first).filter("c_acctbal > 0"), f"{db}.accounts")
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    return spark.read.schema(rows.schema).parquet(second)

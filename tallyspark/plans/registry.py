@@ -121,6 +121,7 @@ QUERIES = {
     "staged_load_rejected": io_jobs.staged_load_rejected,
     "validate_counts": io_jobs.validate_counts,
     "validate_new_keys": io_jobs.validate_new_keys,
+    "table_lifecycle": io_jobs.table_lifecycle,
     "integrity_suite": io_jobs.integrity_suite,
     "clean_orders_detail": cleaning.clean_orders_detail,
     "validate_split": io_jobs.validate_split,

@@ -57,6 +57,11 @@ def apply_scale_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+def plan_text(df, mode: str = "formatted") -> str:
+    """What ``df.explain(mode)`` prints, as text: simple, extended, codegen, cost or formatted."""
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder, as configured (with its scheme)."""
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

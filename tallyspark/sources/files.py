@@ -166,6 +166,28 @@ def copy_report(spark: SparkSession, report: dict) -> DataFrame:
     return spark.createDataFrame([tuple(report[f.name] for f in REPORT_SCHEMA.fields)], REPORT_SCHEMA)
 
 
+# --- named tables ---------------------------------------------------------------------
+
+def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str,
+                 replace: bool = False) -> None:
+    """CREATE TABLE with declared columns over Parquet files at ``path``; with ``replace`` a table
+    of that name is dropped first, without it an existing one is an error."""
+    if replace:
+        drop_table(spark, name)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")
+
+
+def insert_rows(df: DataFrame, name: str) -> None:
+    """INSERT INTO ... SELECT, columns by position as declared."""
+    df.write.insertInto(name)
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """DROP TABLE IF EXISTS; the files of the table stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 # --- versioned, all-or-nothing publish ----------------------------------------------
 
 MANIFEST = "_manifest"

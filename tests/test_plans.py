@@ -53,3 +53,29 @@ def test_pre_aggregation_before_join(spark):
 def test_top_order_uses_aggregate_not_window(spark):
     p = _plan(spark, "top_order_per_customer")
     assert "min_by" in p and "Window" not in p
+
+
+def test_the_job_that_writes_the_dashboard_totals(spark):
+    """Each table is read once, and the totals are moved once more: into sales order."""
+    from tallyspark.operators.ranking import ordered_plan
+    from tallyspark.plans.sales import BY_LEVEL
+    from tallyspark.session import plan_text
+    from tallyspark.sources import standins as S
+    from tallyspark.sources.tables import Tables
+    p = plan_text(ordered_plan(S.customer_sales(Tables(spark, SF), with_profit=True), BY_LEVEL), "simple")
+    assert p.count("FileScan parquet") == 3
+    assert p.count("Exchange rangepartitioning") == 1 and "SinglePartition" not in p
+
+
+def test_small_dimensions_are_broadcast(spark):
+    from tallyspark.session import plan_text
+    from tallyspark.sources import standins as S
+    from tallyspark.sources.tables import Tables
+    assert plan_text(S.customer_dim(Tables(spark, SF))).count("BroadcastHashJoin") >= 2
+
+
+def test_above_average_lines_are_joined_once(spark):
+    from tallyspark.session import plan_text
+    from tallyspark.plans.sales import above_avg_orders
+    p = plan_text(above_avg_orders(spark, SF), "simple")   # the written lines and two dimensions
+    assert p.count("lineitem.parquet") == 0 and p.count("FileScan parquet") == 5
