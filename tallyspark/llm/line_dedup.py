@@ -10,8 +10,9 @@ a few places (shifted by no more than the edits to its left and to its right), s
 under the hash of (t, l, segment number, segment) and probes those substrings of its own for every
 length down to l - t.  Rows are (hash, line id); runs of equal hashes that hold a single line,
 nearly all of them, end there.  For the others the texts are fetched once, and each run is
-searched breadth-first with a banded bit-parallel edit distance: one bit a diagonal, one word for
-each number of errors; a run of k lines gives at most k-1 edges.  A run beyond HOT_RUN lines is
+searched breadth-first; a pair that a comparison of slices doesn't turn away is verified with a
+banded bit-parallel edit distance: one bit a diagonal, one word for each number of errors.  A run
+of k lines gives at most k-1 edges.  A run beyond HOT_RUN lines is
 dealt out in pairs of blocks, each a run of its own.  Components are found on the
 distributed edges.
 
@@ -40,9 +41,8 @@ from tallyspark.operators.materialize import materialize, materialize_observed
 
 MAX_EDITS = 2
 LENGTH_PER_EDIT = 5
-HOT_RUN = 4096
+HOT_RUN = 1024
 LINE_SEED = 42          # of Spark's xxhash64
-MANY, WIDE = 12, 4096   # so many lines, none of them longer, are compared side by side
 
 
 def edits_allowed(length: int) -> int:
@@ -102,15 +102,39 @@ def shared_start(x: str, y: str) -> int:
     return low
 
 
+OPERATIONS = ((1, 1), (1, 0), (0, 1))     # characters of x and of y that an edit takes
+
+
+def equal_between(x: str, y: str, edits: int) -> bool:
+    """Can these cores, which differ at both ends, be ``edits`` (one or two) edits apart?  One edit
+    stands at either end then, and what lies between is equal: a few comparisons of slices,
+    which turn nearly all candidates away."""
+    for a, b in OPERATIONS:
+        if x[a:] == y[b:]:
+            return True
+    if edits == 1:
+        return False
+    m, n = len(x), len(y)
+    for a, b in OPERATIONS:
+        for c, d in OPERATIONS:
+            if m - a - c == n - b - d >= 0 and x[a:m - c] == y[b:n - d]:
+                return True
+    return False
+
+
 def within(x: str, y: str) -> bool:
     """Are the lines linked?  Bit d of ``rows[e]``: the part of x read so far and a part of y
     that is d - MAX_EDITS longer are at most e edits apart."""
     edits = edits_allowed(max(len(x), len(y)))
     if abs(len(x) - len(y)) > edits:
         return False
+    if x == y or not edits:
+        return x == y
     start = shared_start(x, y)
     end = shared_start(x[start:][::-1], y[start:][::-1])
     x, y = x[start:len(x) - end], y[start:len(y) - end]
+    if not equal_between(x, y, edits):
+        return False
     rows = [((2 << e) - 1) << MAX_EDITS for e in range(edits + 1)]
     for i, c in enumerate(x):
         same = 0
@@ -129,71 +153,19 @@ def within(x: str, y: str) -> bool:
     return bool(rows[edits] >> (len(y) - len(x) + MAX_EDITS) & 1)
 
 
-class Block:
-    """Lines side by side, a column of code points each."""
-
-    def __init__(self, lines: list[str]):
-        self.lengths = np.array([len(line) for line in lines])
-        width = int(self.lengths.max()) + BAND
-        self.codes = np.zeros((width, len(lines)), np.uint32)
-        for i, line in enumerate(lines):
-            self.codes[:len(line), i] = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
-        self.edits = np.array([edits_allowed(n) for n in range(int(self.lengths.max()) + 1)])
-
-    def linked(self, x: int, others: np.ndarray) -> np.ndarray:
-        """Which of the lines ``others`` are linked to line x; the same steps as in ``within``."""
-        n = int(self.lengths[x])
-        allowed = self.edits[np.maximum(self.lengths[others], n)]
-        near = np.abs(self.lengths[others] - n) <= allowed
-        ids = np.flatnonzero(near)
-        out = np.zeros(len(others), bool)
-        rows = [np.full(len(ids), (((2 << e) - 1) << MAX_EDITS) & FULL, np.uint8)
-                for e in range(MAX_EDITS + 1)]
-        pattern, at = self.codes[:, x], others[ids]
-        for i in range(n):
-            if not len(ids):
-                return out
-            same = np.zeros(len(ids), np.uint8)
-            for d in range(max(-MAX_EDITS, -i), MAX_EDITS + 1):
-                same |= (self.codes[i + d, at] == pattern[i]).astype(np.uint8) << (d + MAX_EDITS)
-            new = [rows[0] & same]
-            for e in range(1, MAX_EDITS + 1):
-                new.append((rows[e] & same | rows[e - 1] | rows[e - 1] >> 1 | new[-1] << 1) & FULL)
-            rows = new
-            alive = rows[MAX_EDITS] != 0
-            if not alive.all():
-                ids, at, rows = ids[alive], at[alive], [r[alive] for r in rows]
-        table = np.stack(rows) if len(ids) else np.zeros((MAX_EDITS + 1, 0), np.uint8)
-        reached = table[allowed[ids], np.arange(len(ids))]
-        out[ids] = reached >> (self.lengths[others[ids]] - n + MAX_EDITS).astype(np.uint8) & 1 == 1
-        return out
-
-
 def reached(lines: list[str]) -> list[tuple[int, int]]:
     """Edges (positions) of a breadth-first forest over the linked lines."""
     edges: list[tuple[int, int]] = []
-    if len(lines) < MANY or max(map(len, lines)) > WIDE:
-        left = list(range(len(lines)))
-        while left:
-            queue, left = [left[0]], left[1:]
-            while queue and left:
-                x = queue.pop()
-                new = [y for y in left if within(lines[x], lines[y])]
-                edges += [(x, y) for y in new]
-                queue += new
-                gone = set(new)
-                left = [y for y in left if y not in gone]
-        return edges
-    block, left = Block(lines), np.arange(len(lines))
-    while len(left) > 1:
-        queue, left = [int(left[0])], left[1:]
-        while queue and len(left):
+    left = list(range(len(lines)))
+    while left:
+        queue, left = [left[0]], left[1:]
+        while queue and left:
             x = queue.pop()
-            hit = block.linked(x, left)
-            new = left[hit].tolist()
+            new = [y for y in left if within(lines[x], lines[y])]
             edges += [(x, y) for y in new]
             queue += new
-            left = left[~hit]
+            gone = set(new)
+            left = [y for y in left if y not in gone] if gone else left
     return edges
 
 
@@ -284,8 +256,9 @@ def links(docs: DataFrame, text_col: str, hot_run: int = HOT_RUN) -> DataFrame:
     """Edges that connect exactly the linked lines."""
     found, seen = materialize_observed(shared(entries(docs, text_col), hot_run),
                                        F.sum(F.col("hot").cast("long")).alias("hot"))
-    # both sides of the semi join are plain exchanges, so AQE can split a line of many documents
-    wanted = found.select(F.col("line").alias("wanted"))
+    # both sides of the semi join are plain exchanges, at every size, so that AQE can split a line
+    # of many documents
+    wanted = found.select(F.col("line").alias("wanted")).hint("merge")
     lines = occurrences(docs, text_col).select(line_id("line").alias("line"), F.col("line").alias("text"))
     texts = materialize(lines.join(wanted, lines["line"] == wanted["wanted"], "left_semi")
                         .dropDuplicates(["line"]))
