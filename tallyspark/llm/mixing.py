@@ -37,7 +37,10 @@ from tallyspark.operators.materialize import materialize
 
 MAX_LABELLED = 10_000        # labelled documents the classifier is fitted on (smallest id hashes)
 MAX_FEATURES = 256
-MIN_DOCS, MIN_SCORE = 10, 5.0    # a feature counts when so many documents hold it and z is so large
+# A feature counts when so many documents hold it, its share in a domain is off by so many standard
+# deviations, and by so large a factor (natural logarithm): common words that hang on the length
+# or the language of a text, and on each other, are left out.
+MIN_DOCS, MIN_SCORE, MIN_EFFECT = 10, 5.0, 1.0
 SMOOTHING = 0.5
 OTHER_THAN_MARKS = r"[^#*$%&|<>!{}=\\]+"      # fixed value: runs of anything but junk marks
 MAX_STEPS = 50
@@ -88,6 +91,14 @@ class Classifier:
                  ratios: list[list[float]]):
         self.domains, self.priors = domains, priors
         self.features, self.ratios = features, ratios
+        # the features of a domain, and what their absence says for each domain
+        self.own = [[f for f, r in zip(features, ratios) if r[j] >= MIN_EFFECT] for j in range(len(domains))]
+        self.without = [[0.0] * len(domains) for _ in domains]
+
+    def holds(self, features: Column, j: int) -> Column:
+        """Is a feature of domain j among these?"""
+        own = F.split(F.lit("\t".join(self.own[j])), "\t")
+        return F.arrays_overlap(features, own) if self.own[j] else F.lit(False)
 
     def posteriors(self, features: Column) -> Column:
         """Array of the posterior of each domain, in the order of ``domains``."""
@@ -101,9 +112,16 @@ class Classifier:
         places = F.transform(F.array_intersect(features, known),
                              lambda f: F.array_position(known, f).cast("int"))
 
+        flags = [F.split(F.lit("\t".join(str(f in set(own)) for f in self.features)), "\t").cast("array<boolean>")
+                 for own in self.own]
+
         def log(at: Column, j: int) -> Column:
-            return F.aggregate(at, F.lit(float(self.priors[j])),
-                               lambda acc, i: acc + F.element_at(tables[j], i))
+            out = F.aggregate(at, F.lit(float(self.priors[j])),
+                              lambda acc, i: acc + F.element_at(tables[j], i))
+            for g in range(k):
+                some = F.exists(at, lambda i: F.element_at(flags[g], i))
+                out = out + F.when(some, 0.0).otherwise(float(self.without[g][j]))
+            return out
 
         def shares(logs: Column) -> Column:
             top = F.array_max(logs)
@@ -139,12 +157,26 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domains: list[str],
     z = F.greatest(F.lit(0.0), *(F.abs(F.col(f"n{j}") / max(c, 1) - share)
                                  / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-9)) / max(c, 1))
                                  for j, c in enumerate(n_k)))
-    kept = (counts.withColumn("z", z).filter(F.col("z") >= MIN_SCORE).filter(~F.col("f").contains("\t"))
+    usual = F.log((F.col("n") + SMOOTHING) / (n + 2 * SMOOTHING))
+    effect = F.greatest(F.lit(0.0), *(F.abs(F.log((F.col(f"n{j}") + SMOOTHING) / (c + 2 * SMOOTHING)) - usual)
+                                      for j, c in enumerate(n_k)))
+    kept = (counts.withColumns({"z": z, "effect": effect})
+            .filter((F.col("z") >= MIN_SCORE) & (F.col("effect") >= MIN_EFFECT) & ~F.col("f").contains("\t"))
             .orderBy(F.desc("z"), "f").limit(MAX_FEATURES).collect())
     ratios = [[math.log((r[f"n{j}"] + SMOOTHING) / (c + 2 * SMOOTHING))
                - math.log((r["n"] + SMOOTHING) / (n + 2 * SMOOTHING)) for j, c in enumerate(n_k)]
               for r in kept]
-    return Classifier(domains, priors, [r["f"] for r in kept], ratios)
+    model = Classifier(domains, priors, [r["f"] for r in kept], ratios)
+    # that a text holds none of the features of a domain speaks too: once a domain, since the
+    # features hang on each other
+    none = rows.groupBy("k").agg(*(F.sum((~model.holds(F.col("features"), g)).cast("long")).alias(f"g{g}")
+                                   for g in range(k))).collect()
+    for g in range(k):
+        missing = {r["k"] - 1: r[f"g{g}"] for r in none}
+        usual_missing = (sum(missing.values()) + SMOOTHING) / (n + 2 * SMOOTHING)
+        model.without[g] = [math.log((missing.get(j, 0) + SMOOTHING) / (c + 2 * SMOOTHING) / usual_missing)
+                            for j, c in enumerate(n_k)]
+    return model
 
 
 def rate_column(p: Column, steps: list[list[float]]) -> Column:
