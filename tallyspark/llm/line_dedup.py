@@ -42,6 +42,7 @@ from tallyspark.operators.materialize import materialize, materialize_observed
 MAX_EDITS = 2
 LENGTH_PER_EDIT = 5
 HOT_RUN = 1024
+SALTS = 16
 LINE_SEED = 42          # of Spark's xxhash64
 
 
@@ -256,12 +257,16 @@ def links(docs: DataFrame, text_col: str, hot_run: int = HOT_RUN) -> DataFrame:
     """Edges that connect exactly the linked lines."""
     found, seen = materialize_observed(shared(entries(docs, text_col), hot_run),
                                        F.sum(F.col("hot").cast("long")).alias("hot"))
-    # both sides of the semi join are plain exchanges, at every size, so that AQE can split a line
-    # of many documents
-    wanted = found.select(F.col("line").alias("wanted")).hint("merge")
-    lines = occurrences(docs, text_col).select(line_id("line").alias("line"), F.col("line").alias("text"))
-    texts = materialize(lines.join(wanted, lines["line"] == wanted["wanted"], "left_semi")
-                        .dropDuplicates(["line"]))
+    # a line that a third of all documents hold is fetched by SALTS keys, each collapsed on its own
+    # before the texts meet by line; a sort-merge at every size
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("wanted_salt")
+    wanted = found.select(F.col("line").alias("wanted")).distinct().select("wanted", salts).hint("merge")
+    lines = occurrences(docs, text_col).select(
+        line_id("line").alias("line"), F.col("line").alias("text"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt"))
+    texts = materialize(lines.join(wanted, (lines["line"] == wanted["wanted"])
+                                   & (lines["salt"] == wanted["wanted_salt"]), "left_semi")
+                        .dropDuplicates(["line"]).select("line", "text"))
     edges = searched(found.filter(~F.col("hot")).join(texts, "line"), "key")
     if seen["hot"]:
         hot = found.filter("hot").select("key", "line").distinct()
