@@ -8,12 +8,16 @@
    (words).
 3. Nonnegative rates are fitted so that the expected domain token totals
    ``S_k = sum_d rate_d * tokens_d * p_dk`` match the targets ``T_k``: projected gradient steps of
-   the least squares, ``rate_d <- max(0, rate_d - sum_k p_dk * m_k)`` with
-   ``m = M^-1 (S - T)``, ``M_kl = sum_d tokens_d p_dk p_dl`` (the step length of each direction,
-   summed over the documents whose rate isn't zero while that brings the totals closer, over
-   all of them otherwise, which always does).  A step is one aggregate of a few sums; a rate is a
-   fold over the K-vectors m of the steps so far, so no rate is ever collected, joined or shuffled.
-   Where no rates meet the targets the steps end at the least squares.
+   the least squares with the projection taken after the summed moves,
+   ``rate_d = max(0, 1 - sum_k p_dk * l_k)``, ``l <- l + a (M + e M0)^-1 (S - T - e M0 l)``,
+   ``M_kl = sum_d tokens_d p_dk p_dl`` over the documents whose rate isn't zero, M0 the same over all.
+   These are the rates that minimise the misfit ``(S - T) M0^-1 (S - T)`` plus e = NEARNESS times the
+   squared distance from one, which picks among rates that meet the targets equally well.  A
+   step is one aggregate of a few sums and is halved until the objective falls; a rate needs only
+   the K-vector l, so no rate is ever collected, joined or shuffled.  The steps end when the
+   targets are met to TOLERANCE or, where no rates meet them, when the projected gradient
+   vanishes to TOLERANCE: the least squares, with a warning that names the gap left.  Steps
+   that do neither in MAX_SUMS aggregates are an error.
 4. A document is taken floor(rate) times, and once more with the fraction's probability, decided
    by a hash of its id.
 
@@ -27,6 +31,9 @@ gives an empty result; extra columns are ignored (``rates``) or carried (``mix``
 from __future__ import annotations
 
 import math
+import warnings
+from functools import reduce
+from operator import add
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,9 +50,10 @@ MAX_FEATURES = 256
 MIN_DOCS, MIN_SCORE, MIN_EFFECT = 10, 5.0, 1.0
 SMOOTHING = 0.5
 OTHER_THAN_MARKS = r"[^#*$%&|<>!{}=\\]+"      # fixed value: runs of anything but junk marks
-MAX_STEPS = 50
-LEAST_GAIN = 0.01            # steps end when a safe one takes off less than this share of the squares
-TOLERANCE = 1e-4             # largest gap between a domain total and its target, by the budget
+MAX_SUMS = 300               # safety bound: more aggregates than that are an error
+NEARNESS = 1e-9              # weight of the squared distance of the rates from one
+LEAST_SLOPE = 1e-4           # share of the foreseen fall that a step has to bring
+TOLERANCE = 1e-6             # largest gap between a domain total and its target, by the budget
 
 # The domains of the labels table and the weights wanted (production parameters).  With soft
 # memberships a weight can't fall below what the other domains' documents bring along: these are
@@ -180,16 +188,11 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domains: list[str],
 
 
 def rate_column(p: Column, steps: list[list[float]]) -> Column:
-    """The rate after the steps: a fold of the projected moves, starting from one."""
-    rate = F.lit(1.0)
+    """The rate after the steps: their sum moves it from one, projected once."""
     if not steps:
-        return rate
-    moves = F.array(*(F.array(*map(F.lit, m)) for m in steps))
-
-    def move(acc: Column, m: Column) -> Column:
-        along = F.aggregate(F.zip_with(p, m, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-        return F.greatest(F.lit(0.0), acc - along)
-    return F.aggregate(moves, rate, move)
+        return F.lit(1.0)
+    along = (F.get(p, j) * float(l) for j, l in enumerate(np.sum(steps, axis=0)))
+    return F.greatest(F.lit(0.0), F.lit(1.0) - reduce(add, along))
 
 
 def fit_rates(members: DataFrame, targets: list[float]) -> list[list[float]]:
@@ -199,37 +202,48 @@ def fit_rates(members: DataFrame, targets: list[float]) -> list[list[float]]:
     t = F.col("tokens").cast("double")
     upper = [(i, j) for i in range(k) for j in range(i, k)]
 
-    def sums(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray, float]:
+    def sums(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray, float, float]:
+        """Domain totals, M of the moving documents, half the squared rates, all tokens."""
         rows = members.select(t.alias("t"), "p", rate_column(F.col("p"), steps).alias("rate"))
         p = [F.get("p", j) for j in range(k)]
         moving = F.when(F.col("rate") > 0, F.col("t"))
-        r = rows.agg(F.sum("t").alias("all"),
+        r = rows.agg(F.sum("t").alias("all"), F.sum(F.col("t") * F.col("rate") * F.col("rate") / 2).alias("v"),
                      *(F.sum(F.col("t") * F.col("rate") * p[j]).alias(f"s{j}") for j in range(k)),
                      *(F.sum(moving * p[i] * p[j]).alias(f"m{i}_{j}") for i, j in upper)).first()
         m = np.array([[r[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
-        return np.array([r[f"s{j}"] or 0.0 for j in range(k)]), m, r["all"] or 0.0
+        return np.array([r[f"s{j}"] or 0.0 for j in range(k)]), m, r["v"] or 0.0, r["all"] or 0.0
 
-    totals, m, budget = sums([])
+    totals, m, value, budget = sums([])
     if not budget:
         return []
-    wanted = np.array(targets) * budget
-    every = np.linalg.pinv(m)            # no rate is zero yet
+    every = m                            # no rate is zero yet
+    asked = np.array(targets) * budget
+    # what no rates can bring (no token has such memberships) is left out of the steps
+    wanted = every @ np.linalg.pinv(every, 1e-12, hermitian=True) @ asked
     steps: list[list[float]] = []
-    gap, only_moving = totals - wanted, True
-    for _ in range(MAX_STEPS):
-        if np.abs(gap).max() <= TOLERANCE * budget:
-            break
-        step = (np.linalg.pinv(m) if only_moving else every) @ gap
-        totals, m_new, _ = sums([*steps, step.tolist()])
-        new = totals - wanted
-        before, after = gap @ every @ gap, new @ every @ new
-        small = after >= before * (1 - LEAST_GAIN)
-        if small and not only_moving:
+    moved, taken = np.zeros(k), 1
+    while True:
+        slope = totals - wanted - NEARNESS * every @ moved
+        if np.abs(totals - asked).max() <= TOLERANCE * budget:
+            return steps
+        if np.abs(slope).max() <= TOLERANCE * budget:
             break                        # the least squares: no rates meet the targets
-        if not small:
-            steps.append(step.tolist())
-            gap, m = new, m_new
-        only_moving = not small          # a step too far is taken again the safe way
+        step = np.linalg.pinv(m + NEARNESS * every, 1e-15, hermitian=True) @ slope
+        share = 1.0
+        while True:
+            if taken >= MAX_SUMS:
+                raise RuntimeError(f"rates not settled after {taken} sums: gap {(totals - asked) / budget}")
+            trial = [*steps, (share * step).tolist()]
+            new = moved + share * step
+            totals_new, m_new, half, _ = sums(trial)
+            taken += 1
+            value_new = half + new @ wanted + NEARNESS / 2 * new @ every @ new
+            if value_new <= value - LEAST_SLOPE * share * (slope @ step):
+                break
+            share /= 2                   # a step too far is taken again by half
+        steps, moved, totals, m, value = trial, new, totals_new, m_new, value_new
+    warnings.warn(f"no rates meet the targets {targets}: domain totals are off by "
+                  f"{((totals - asked) / budget).tolist()} of all tokens", stacklevel=2)
     return steps
 
 

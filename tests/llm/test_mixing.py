@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.llm import mixing as M
@@ -111,3 +112,36 @@ def test_query_columns(spark):
     out = M.op1_source_mixing(spark, "/root/testdata/sf0.001")
     assert out.columns == ["doc_id", "tokens", "p_high", "p_low", "p_toxic", "rate", "copies"]
     assert out.count() == 200
+
+
+def soft(spark, n=4000):
+    """Members whose memberships are soft: the first targets are met by large rates of few."""
+    draw = np.random.default_rng(1)
+    p = draw.dirichlet(np.array([0.6, 0.25, 0.15]) * 9, n)
+    t = draw.integers(20, 500, n)
+    rows = [(int(a), [float(x) for x in b]) for a, b in zip(t, p)]
+    return t.astype(float), p, spark.createDataFrame(rows, "tokens long, p array<double>").repartition(2).cache()
+
+
+def test_soft_memberships_meet_reachable_targets(spark):
+    t, p, members = soft(spark)
+    steps = M.fit_rates(members, [0.90, 0.07, 0.03])
+    rate = members.select(M.rate_column(F.col("p"), steps).alias("r"), "tokens", "p").collect()
+    totals = sum(r["r"] * r["tokens"] * np.array(r["p"]) for r in rate)
+    assert np.abs(totals / t.sum() - [0.90, 0.07, 0.03]).max() <= 1e-6
+
+
+def test_out_of_reach_the_projected_gradient_vanishes_and_the_gap_is_told(spark):
+    t, p, members = soft(spark)
+    wanted = np.array([0.2, 0.0, 0.8]) * t.sum()
+    with pytest.warns(UserWarning, match="off by"):
+        steps = M.fit_rates(members, [0.2, 0.0, 0.8])
+    r = np.maximum(0, 1 - p @ np.sum(steps, axis=0))
+    gradient = p @ np.linalg.pinv((p * t[:, None]).T @ p) @ ((r * t) @ p - wanted)
+    assert gradient.min() >= -1e-3 and np.abs(gradient[r > 0]).max() <= 1e-3
+
+
+def test_steps_without_an_end_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(M, "MAX_SUMS", 3)
+    with pytest.raises(RuntimeError, match="not settled"):
+        M.fit_rates(soft(spark)[2], [0.90, 0.07, 0.03])
