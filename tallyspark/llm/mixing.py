@@ -43,11 +43,11 @@ from tallyspark.llm.text import as_they_are, columns_free_of, let, words
 from tallyspark.operators.materialize import materialize
 
 MAX_LABELLED = 10_000        # labelled documents the classifier is fitted on (smallest id hashes)
-MAX_FEATURES = 256
+MAX_FEATURES = 400
 # A feature counts when so many documents hold it, its share in a domain is off by so many standard
 # deviations, and by so large a factor (natural logarithm): common words that hang on the length
 # or the language of a text, and on each other, are left out.
-MIN_DOCS, MIN_SCORE, MIN_EFFECT = 10, 5.0, 1.0
+MIN_DOCS, MIN_SCORE, MIN_EFFECT = 10, 4.0, 1.0
 SMOOTHING = 0.5
 OTHER_THAN_MARKS = r"[^#*$%&|<>!{}=\\]+"      # fixed value: runs of anything but junk marks
 MAX_SUMS = 300               # safety bound: more aggregates than that are an error
@@ -55,10 +55,8 @@ NEARNESS = 1e-9              # weight of the squared distance of the rates from
 LEAST_SLOPE = 1e-4           # share of the foreseen fall that a step has to bring
 TOLERANCE = 1e-6             # largest gap between a domain total and its target, by the budget
 
-# The domains of the labels table and the weights wanted (production parameters).  With soft
-# memberships a weight can't fall below what the other domains' documents bring along: these are
-# within reach on whole and on cleaned corpora, and leave clean documents at rates of one or more.
-TARGETS = {"high": 0.86, "low": 0.06, "toxic": 0.08}
+# The domains of the labels table and the weights wanted (production parameters).
+TARGETS = {"high": 0.90, "low": 0.07, "toxic": 0.03}
 
 
 def label_domain(labels: DataFrame) -> DataFrame:

@@ -123,6 +123,10 @@ def soft(spark, n=4000):
     return t.astype(float), p, spark.createDataFrame(rows, "tokens long, p array<double>").repartition(2).cache()
 
 
+def test_production_targets():
+    assert M.TARGETS == {"high": 0.90, "low": 0.07, "toxic": 0.03} and M.TOLERANCE <= 1e-6
+
+
 def test_soft_memberships_meet_reachable_targets(spark):
     t, p, members = soft(spark)
     steps = M.fit_rates(members, [0.90, 0.07, 0.03])
