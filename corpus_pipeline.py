@@ -1,7 +1,7 @@
 """The training-data pipeline: documents through five stages to packed token windows.
 
 Each stage takes all that its predecessor kept, as a Parquet table in the shared folder, and its
-decisions take effect: rejected and duplicate documents are gone, mixing leaves out or repeats
+decisions take effect: rejected and duplicate documents and boilerplate lines are gone, mixing leaves out or repeats
 documents by their rates, and packing lays the rest into windows.
 """
 
@@ -15,7 +15,7 @@ from tallyspark.operators.materialize import materialize
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules accept (operator 2)."""
+    """Documents that the quality rules accept, without boilerplate lines (operator 2)."""
     return quality_rules.clean(docs)
 
 

@@ -3,8 +3,10 @@
 Per document: word and symbol counts, duplicated lines, words inside repeated three-word
 windows (the base rules).  Across documents: every line is normalised (ASCII lower case, blanks
 folded) and hashed; for each host the distinct documents that hold the line are counted, where
-copies of one text are one document.  A line above the limits of its host is boilerplate and
-is taken out; a document that loses nearly all its words that way is depleted and rejected.
+copies of one text are one document.  A line above the limits of its host is boilerplate:
+``with_verdict`` counts its words as removed and rejects a document that loses nearly all its
+words that way (depleted), ``clean`` takes the lines out of the texts it keeps.  The base rules
+always see whole texts.
 
 Everything is built from column expressions: the per-text rules run inside the row (no
 shuffle), the line table is aggregated before it is shuffled, and only the few lines above
@@ -98,9 +100,11 @@ def line_table(docs: DataFrame, text_col: str, host_col: str) -> DataFrame:
 
 def depleted_texts(docs: DataFrame, text_col: str, host_col: str,
                    min_docs: int = MIN_LINE_DOCS, max_percent: int = MAX_LINE_PERCENT,
-                   min_left_percent: int = MIN_LEFT_PERCENT) -> DataFrame:
+                   min_left_percent: int = MIN_LEFT_PERCENT, with_lines: bool = False) -> DataFrame:
     """(host, doc, words, words_removed, depleted) of the texts that hold boilerplate lines;
-    both counts are summed over the copies of the text."""
+    both counts are summed over the copies of the text.  ``with_lines`` adds the keys of these
+    lines (no more than the text has lines)."""
+    found = [F.collect_list("line").alias("lines")] if with_lines else []
     lines = materialize(line_table(docs, text_col, host_col)
                         .groupBy("host", "doc", "line").agg(F.sum("line_words").alias("words")))
     totals = lines.groupBy("host", "doc").agg(F.sum("words").alias("words"))
@@ -114,25 +118,32 @@ def depleted_texts(docs: DataFrame, text_col: str, host_col: str,
     # an inner join, so that AQE can split a line which a large share of the documents holds
     removed = (lines.join(frequent, (lines["line"] == frequent["f_line"])
                           & lines["host"].eqNullSafe(frequent["f_host"]))
-               .groupBy("host", "doc").agg(F.sum("words").alias("words_removed"))
-               .select(F.col("host").alias("r_host"), F.col("doc").alias("r_doc"), "words_removed"))
+               .groupBy("host", "doc").agg(F.sum("words").alias("words_removed"), *found)
+               .withColumnsRenamed({"host": "r_host", "doc": "r_doc"}))
     left = F.col("words") - F.col("words_removed")
     return (totals.join(removed, (totals["doc"] == removed["r_doc"])
                         & totals["host"].eqNullSafe(removed["r_host"]))
             .select("host", "doc", "words", "words_removed",
-                    (100 * left < min_left_percent * F.col("words")).alias("depleted")))
+                    (100 * left < min_left_percent * F.col("words")).alias("depleted"),
+                    *(["lines"] if with_lines else [])))
 
 
-def with_verdict(docs: DataFrame, text_col: str = "text", host_col: str = "source",
-                 **limits) -> tuple[DataFrame, str]:
-    """``docs`` with one struct column more (base counts, base_failed, words_removed, kept),
-    and the free name it got."""
+def without_lines(text: Column, keys: Column) -> Column:
+    """The text without the lines of these keys; blank lines stay."""
+    left = F.filter(F.split(text, "\n", -1), lambda line: ~F.array_contains(keys, line_key(line)))
+    return F.array_join(left, "\n")
+
+
+def judged(docs: DataFrame, text_col: str, host_col: str, with_lines: bool, **limits
+           ) -> tuple[DataFrame, str, Column]:
+    """``docs`` with the verdict struct, its name, and the text without its boilerplate lines (whole
+    unless ``with_lines``)."""
     n = columns_free_of(docs.columns, "verdict", "doc_key", "host_key", "counts", "hit")
-    texts = depleted_texts(docs, text_col, host_col, **limits)
+    texts = depleted_texts(docs, text_col, host_col, with_lines=with_lines, **limits)
     rows = docs.withColumns({n["doc_key"]: text_key(F.col(text_col)),
                              n["host_key"]: F.col(host_col),
                              n["counts"]: base_counts(F.col(text_col))})
-    hits = texts.select(F.struct("host", "doc", "words", "words_removed", "depleted").alias(n["hit"]))
+    hits = texts.select(F.struct(*texts.columns).alias(n["hit"]))
     joined = rows.join(hits, (F.col(n["doc_key"]) == F.col(n["hit"])["doc"])
                        & F.col(n["host_key"]).eqNullSafe(F.col(n["hit"])["host"]), "left")
     c, hit = F.col(n["counts"]), F.col(n["hit"])
@@ -143,14 +154,27 @@ def with_verdict(docs: DataFrame, text_col: str = "text", host_col: str = "sourc
                        (~failed & ~F.coalesce(hit["depleted"], F.lit(False))).alias("kept"),
                        F.coalesce((hit["words_removed"] * c["n_words"] / hit["words"]).cast("long"),
                                   F.lit(0).cast("long")).alias("words_removed"))
-    return joined.select(*as_they_are(docs.columns), verdict.alias(n["verdict"])), n["verdict"]
+    text = F.col(text_col)
+    if with_lines:
+        text = F.when(hit["lines"].isNull(), text).otherwise(without_lines(text, hit["lines"]))
+    return joined.withColumn(n["verdict"], verdict), n["verdict"], text
+
+
+def with_verdict(docs: DataFrame, text_col: str = "text", host_col: str = "source",
+                 **limits) -> tuple[DataFrame, str]:
+    """``docs`` with one struct column more (base counts, base_failed, words_removed, kept),
+    and the free name it got."""
+    rows, verdict, _ = judged(docs, text_col, host_col, False, **limits)
+    return rows.select(*as_they_are(docs.columns), verdict), verdict
 
 
 def clean(docs: DataFrame, text_col: str = "text", host_col: str = "source",
           **limits) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their columns and whole texts."""
-    rows, verdict = with_verdict(docs, text_col, host_col, **limits)
-    return rows.filter(F.col(verdict)["kept"]).select(*as_they_are(docs.columns))
+    """The rows of ``docs`` that the rules keep, with their columns, the boilerplate lines taken out
+    of the texts."""
+    rows, verdict, text = judged(docs, text_col, host_col, True, **limits)
+    return (rows.filter(F.col(verdict)["kept"]).withColumn(text_col, text)
+            .select(*as_they_are(docs.columns)))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,6 +62,16 @@ def test_depleted_documents_go_and_clean_copies_stay(spark):
     assert sorted(r["doc_id"] for r in Q.clean(docs).collect()) == sorted(kept)
 
 
+def test_boilerplate_lines_are_taken_out_of_the_kept_texts(spark):
+    docs = spark.createDataFrame([(i, "\n\n" + t + "\n", h) for i, t, h in corpus()],
+                                 "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in Q.clean(docs).collect()}
+    whole = {i: t for i, t, _ in corpus()}
+    banner = whole[0].split("\n")[0]
+    assert all(got[i] == "\n\n" + whole[i].removeprefix(banner + "\n") + "\n" for i in got)
+    assert not any("banner" in t for t in got.values()) and set(range(28)) <= set(got)
+
+
 def test_line_of_another_host_is_not_touched(spark):
     rows = corpus() + [(400 + i, f"text {i}\n" + corpus()[0][1], "other") for i in range(4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
