@@ -1,21 +1,22 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-A state is a context of up to MAX_DEPTH words.  Candidate contexts are those that make up at
-least MIN_SHARE of the training tokens (so there are at most 1 / MIN_SHARE of each length, however
-large the corpus); a candidate becomes a state when the distribution of its next tokens
-diverges significantly from that of its suffix.  A state's distribution is interpolated with that
-of its next shorter state, down to add-one smoothed unigrams, and a token is scored in the
-longest suffix of its history that is a state.
+A state is a context of up to MAX_DEPTH words.  Candidate contexts are those seen MIN_SUPPORT times in
+the training tokens (in a small corpus already those that make up MIN_SHARE of it), so that their
+number grows with the corpus; a candidate becomes a state when the distribution of its next
+tokens diverges significantly from that of its suffix.  A state's distribution is interpolated
+with that of its next shorter state, down to add-one smoothed unigrams, and a token is scored
+in the longest suffix of its history that is a state.
 
 How the work is laid out: texts are tokenised once into batches of about BATCH_TOKENS tokens
 (a row each: token codes into the batch's own vocabulary).  What the model needs from the corpus
 - the count of every word and of every (context, next word) - is summed by a window over
 (key) on rows (batch, key, count): at most one row a batch for each key, so a frequent word is
 not hot.  The same rows then carry the sums back to the batches that asked, and a batch is
-scored next to exactly the counts it needs.  No vocabulary or model table is ever broadcast or
-collected; only the candidate contexts and their totals (bounded by MIN_SHARE) reach the driver.
+scored next to exactly the counts it needs.  The candidates go the same way: a batch is sent
+which of its own (context, next word) pairs are the contexts of the next length, and numbers
+them for itself.  No vocabulary, candidate or state table is ever broadcast by hand or collected.
 
-Words are keyed by XXH64.  Defined results: NULL text counts as empty (its one token is the
+Words are keyed by XXH64, contexts by a mix of the keys of their words.  Defined results: NULL text counts as empty (its one token is the
 end); a NULL id counts as the empty string for the held-out rule; repeated rows each count and
 each give a row; without training documents every probability is 1; an empty table gives an
 empty result; extra columns are ignored.
@@ -23,11 +24,11 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -40,7 +41,8 @@ FOLDS = 7
 HELD_OUT_FOLD = 2
 BATCH_TOKENS = 1 << 20
 MAX_DEPTH = 3
-MIN_SHARE = 1e-3
+MIN_SUPPORT = 400            # a context seen so often is a candidate, however large the corpus
+MIN_SHARE = 1e-3             # in a small corpus: so large a share of its training tokens
 # A cell of the divergence test counts when it is seen or expected this often; the deviance has
 # to exceed its expectation by so many standard deviations.
 MIN_CELL = 5
@@ -113,127 +115,87 @@ def batches_of(docs: DataFrame, id_col: str, text_col: str, batch_tokens: int) -
     return rows.mapInArrow(run, schema)
 
 
+def mixed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Keys of contexts that are one (newest) word longer; the empty context is 0."""
+    with np.errstate(over="ignore"):
+        x = context.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.view(np.uint64)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
+
+
+def places(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The positions of ``keys`` among ``sorted_keys``, or -1."""
+    if not len(sorted_keys):
+        return np.full(len(keys), -1, np.int64)
+    at = np.searchsorted(sorted_keys, keys)
+    at[at == len(sorted_keys)] = 0
+    return np.where(sorted_keys[at] == keys, at, -1)
+
+
 class Contexts:
-    """The candidate contexts and, of those that are states, what their distributions need.  A
-    context is the tuple of its words' positions, newest first; its suffix is the tuple without
-    the last."""
-
-    def __init__(self, words: list[tuple[int, int]], n_tokens: int, n_words: int):
-        self.n_tokens, self.n_words = n_tokens, n_words
-        self.words = np.array([w for w, _ in words], np.int64)       # sorted keys
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []        # sorted child codes, nodes
-        self.node: dict[tuple[int, ...], int] = {}
-        self.paths: list[tuple[int, ...]] = []
-        self.total: list[int] = []       # training tokens that follow the context
-        self.state: list[bool] = []
-        self.kept: list[int] = []        # of them, those whose word is seen MIN_NEXT times there
-        self.kinds: list[int] = []       # how many such words there are
-        for i, (_, c) in enumerate(words):
-            self._add((i,), c)
-
-    def _add(self, path: tuple[int, ...], total: int) -> int:
-        self.node[path] = len(self.paths)
-        self.paths.append(path)
-        self.total.append(total)
-        self.state.append(False)
-        self.kept.append(0)
-        self.kinds.append(0)
-        return self.node[path]
-
-    def suffix(self, node: int) -> int:
-        return self.node.get(self.paths[node][:-1], -1)
-
-    def add_level(self, pairs: list[tuple[int, int, int]]) -> None:
-        """Contexts one word longer, from (node, next word, count)."""
-        position = {int(w): i for i, w in enumerate(self.words)}
-        children = []
-        for node, word, c in sorted(pairs):
-            if word in position:
-                path = (position[word], *self.paths[node])
-                shorter = self.node.get(path[:-1])
-                if shorter is not None:
-                    children.append((shorter * len(self.words) + path[-1], self._add(path, c)))
-        children.sort()
-        self.levels.append((np.array([c for c, _ in children], np.int64),
-                            np.array([n for _, n in children], np.int64)))
-
-    def nodes_at(self, codes: np.ndarray, lens: np.ndarray, vocab: np.ndarray, depth: int
-                 ) -> list[np.ndarray]:
-        """For each depth up to ``depth``: the node of the context before each token, or -1."""
-        at = np.searchsorted(self.words, vocab)
-        at[at == len(self.words)] = 0
-        word = np.where(self.words[at] == vocab, at, -1) if len(self.words) else np.full(len(vocab), -1)
-        word = word.astype(np.int32)[codes]
-        begin = (np.cumsum(lens) - lens).astype(np.int64)      # where each text begins
-
-        def before(k: int) -> np.ndarray:
-            out = np.full(len(codes), -1, np.int32)
-            out[k:] = word[:-k]
-            for i in range(k):                                 # no context reaches over a text's begin
-                at = begin + i
-                out[at[at < len(codes)]] = -1
-            return out
-
-        out = [before(1)]
-        for k, (children, nodes) in enumerate(self.levels[:depth - 1], 2):
-            older, shorter = before(k), out[-1]
-            found = np.full(len(codes), -1, np.int32)
-            on = np.flatnonzero((shorter >= 0) & (older >= 0))
-            if len(children) and len(on):
-                code = shorter[on].astype(np.int64) * len(self.words) + older[on]
-                at = np.searchsorted(children, code)
-                at[at == len(children)] = 0
-                hit = children[at] == code
-                found[on[hit]] = nodes[at[hit]]
+    """The candidate contexts of a batch.  One of length k is a (context of length k-1, next word)
+    pair; its number is its place among the sorted pairs of its length."""
+
+    def __init__(self, pairs: pa.Table, vocab: np.ndarray, depth: int):
+        length, node, code = (pairs.column(c).to_numpy() for c in ("depth", "node", "code"))
+        self.size, self.depth = len(vocab), depth
+        self.pairs: list[np.ndarray] = []
+        self.keys, self.suffixes = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
+        for k in range(1, depth + 1):
+            on = length == k
+            pair = np.sort(node[on].astype(np.int64) * self.size + code[on])
+            up, word = pair // self.size, vocab[pair % self.size]
+            self.pairs.append(pair)
+            self.keys.append(mixed(self.keys[-1][up], word))
+            self.suffixes.append(mixed(self.suffixes[-1][up], word) if k > 1 else np.zeros(len(pair), np.int64))
+
+    def nodes_at(self, codes: np.ndarray) -> list[np.ndarray]:
+        """For each length: the number of the context before each token, or -1.  The end of a text
+        is in no context, so none reaches over it."""
+        out, last = [], np.zeros(len(codes), np.int64)
+        for pair in self.pairs:
+            found = np.full(len(codes), -1, np.int64)
+            on = np.flatnonzero(last[:-1] >= 0)
+            found[on + 1] = places(pair, last[on] * self.size + codes[on])
             out.append(found)
+            last = found
         return out
 
-    def score(self, codes, lens, vocab, counts: np.ndarray, seen: dict) -> tuple:
-        """(base, score) as log10 by token; counts: by code; seen: depth -> (sorted keys, counts)."""
-        state, total, kept, kinds = (np.array(x, t) for x, t in (
-            (self.state, bool), (self.total, float), (self.kept, float), (self.kinds, float)))
-        p = (counts[codes] + 1) / (self.n_tokens + self.n_words + 1)
-        base = np.log10(p)
-        for depth, node in enumerate(self.nodes_at(codes, lens, vocab, MAX_DEPTH), 1):
-            on = np.flatnonzero(node >= 0)
-            on = on[state[node[on]]]
-            if not len(on):
-                continue
-            s = node[on].astype(np.int64)
-            keys, c = seen.get(depth, (np.zeros(0, np.int64), np.zeros(0)))
-            key = s * len(vocab) + codes[on]
-            at = np.searchsorted(keys, key)
-            at[at == len(keys)] = 0
-            own = np.where(keys[at] == key, c[at], 0.0) if len(keys) else np.zeros(len(on))
-            rest = total[s] - kept[s] + kinds[s]
-            p[on] = (own + rest * p[on]) / (total[s] + kinds[s])
-        return base, np.log10(p)
-
 
 def _arrays(row: dict) -> tuple:
     return (unpacked(row["codes"]), np.array(row["lens"], np.int64),
             np.array(row["vocab"], np.int64), np.array(row["held"], bool))
 
 
-def next_rows(batches: DataFrame, contexts: Contexts, depth: int) -> DataFrame:
-    """Rows (batch, node, next, code, n): the distinct (context, next word) of each batch with their
-    training count, for the contexts of length ``depth``."""
-    def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in rows_in:
-            for i in range(b.num_rows):
-                row = {c: b.column(c)[i].as_py() for c in b.schema.names}
-                codes, lens, vocab, held = _arrays(row)
-                node = contexts.nodes_at(codes, lens, vocab, depth)[-1]
-                on = node >= 0
-                key, inverse = np.unique(node[on].astype(np.int64) * len(vocab) + codes[on], return_inverse=True)
-                n = np.bincount(inverse, weights=np.repeat(~held, lens)[on], minlength=len(key))
-                code = key % len(vocab)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(key), row["batch"])), pa.array((key // len(vocab)).astype(np.int32)),
-                     pa.array(vocab[code]), pa.array(code.astype(np.int32)), pa.array(n.astype(np.int64))],
-                    ["batch", "node", "next", "code", "n"])
-    return batches.select("batch", "held", "lens", "codes", "vocab").mapInArrow(
-        run, "batch long, node int, next long, code int, n long")
+def next_rows(batches: DataFrame, candidates: DataFrame, depth: int) -> DataFrame:
+    """Rows (batch, node, context, up, next, code, n): the distinct (context, next word) of each batch
+    with their training count, for the contexts of length ``depth``; ``node`` is the batch's own
+    number of the context, ``context`` and ``up`` are the keys of it and its suffix.  A row
+    with code -1 stands for the context itself."""
+    names = ["batch", "node", "context", "up", "next", "code", "n"]
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for row in left.to_pylist():
+            codes, lens, vocab, held = _arrays(row)
+            ctx = Contexts(right, vocab, depth)
+            node = ctx.nodes_at(codes)[-1]
+            on = node >= 0
+            key, inverse = np.unique(node[on] * len(vocab) + codes[on], return_inverse=True)
+            n = np.bincount(inverse, weights=np.repeat(~held, lens)[on], minlength=len(key)).astype(np.int64)
+            own = np.unique(key // len(vocab))
+            node = np.concatenate([key // len(vocab), own])
+            code = np.concatenate([key % len(vocab), np.full(len(own), -1)])
+            cols = [np.full(len(node), row["batch"]), node.astype(np.int32), ctx.keys[-1][node],
+                    ctx.suffixes[-1][node], pa.array(vocab[code], mask=code < 0), code.astype(np.int32),
+                    np.concatenate([n, np.zeros(len(own), np.int64)])]
+            out.append(pa.Table.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in cols], names))
+        return pa.concat_tables(out)
+
+    return (batches.select("batch", "held", "lens", "codes", "vocab").groupBy("batch")
+            .cogroup(candidates.groupBy("batch"))
+            .applyInArrow(run, "batch long, node int, context long, up long, next long, code int, n long"))
 
 
 def summed(rows: DataFrame, *key: str) -> DataFrame:
@@ -243,31 +205,27 @@ def summed(rows: DataFrame, *key: str) -> DataFrame:
                              "one": F.row_number().over(same.orderBy("batch")) == 1}).drop("n")
 
 
-def fit_states(level: DataFrame, shorter: DataFrame, ctx: Contexts, nodes: range) -> None:
-    """The divergence test of the contexts ``nodes``.  ``level`` has their counts (node, next, c),
-    ``shorter`` those of their suffixes, node -1 being the empty context."""
-    info = level.sparkSession.createDataFrame(
-        [(i, ctx.suffix(i), float(ctx.total[i]),
-          float(ctx.total[ctx.suffix(i)] if ctx.suffix(i) >= 0 else ctx.n_tokens)) for i in nodes],
-        "node int, up int, total double, up_total double")   # at most 1 / MIN_SHARE rows
-    cells = (level.join(F.broadcast(info), "node")
-             .join(shorter.select(F.col("node").alias("up"), "next", F.col("c").alias("up_c")),
-                   ["up", "next"]))
+def fit_states(level: DataFrame, shorter: DataFrame) -> DataFrame:
+    """(context, total, kept, kinds) of the contexts that pass the divergence test: the training tokens
+    that follow, of them those whose word is seen MIN_NEXT times there, and how many such
+    words there are.  ``level`` has (context, up, next, c, total), ``shorter`` the same of the suffixes."""
+    cells = level.join(shorter.select(F.col("context").alias("up"), "next", F.col("c").alias("up_c"),
+                                      F.col("total").alias("up_total")), ["up", "next"])
     expected = F.col("total") * F.col("up_c") / F.col("up_total")
     counts = F.greatest(F.col("c").cast("double"), expected) >= MIN_CELL
     deviance = 2 * (F.col("c") * F.log(F.col("c") / expected) - (F.col("c") - expected))
     often = F.col("c") >= MIN_NEXT
-    found = cells.groupBy("node").agg(
+    found = cells.groupBy("context").agg(
         F.sum(F.when(counts, deviance)).alias("deviance"), F.count(F.when(counts, True)).alias("cells"),
-        F.sum(F.when(often, F.col("c"))).alias("kept"), F.count(F.when(often, True)).alias("kinds"))
-    for r in found.collect():                                # at most 1 / MIN_SHARE rows
-        i, d = r["node"], r["cells"]
-        ctx.state[i] = bool(d) and r["deviance"] > d + DEVIATIONS * math.sqrt(2 * d)
-        ctx.kept[i], ctx.kinds[i] = r["kept"] or 0, r["kinds"]
+        F.first("total").alias("total"),
+        F.coalesce(F.sum(F.when(often, F.col("c"))), F.lit(0)).alias("kept"),
+        F.count(F.when(often, True)).alias("kinds"))
+    return found.filter(F.col("deviance") > F.col("cells") + DEVIATIONS * F.sqrt(2 * F.col("cells"))).select(
+        "context", "total", "kept", "kinds")
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          min_share: float = MIN_SHARE, batch_tokens: int = BATCH_TOKENS) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_share: float = MIN_SHARE,
+          batch_tokens: int = BATCH_TOKENS, min_support: int = MIN_SUPPORT) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     batches = materialize(batches_of(docs, id_col, text_col, batch_tokens))
     word_rows = (batches.select("batch", F.posexplode(F.arrays_zip("vocab", "counts")).alias("code", "w"))
@@ -277,57 +235,80 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         summed(word_rows, "next"), F.sum(F.when(once, F.col("c"))).alias("tokens"),
         F.count(F.when(once, True)).alias("words"))
     n_tokens = seen["tokens"] or 0
-    least = max(min_share * n_tokens, 1)
-    often = words.filter(once & (F.col("c") >= least) & (F.col("next") != END)).select("next", "c")
-    ctx = Contexts(sorted(map(tuple, often.collect())),       # at most 1 / MIN_SHARE rows
-                   n_tokens, seen["words"] or 0)
-    shorter = words.filter(once).select(F.lit(-1).alias("node"), "next", "c")
-    answers = words.filter("c > 0").select("batch", F.lit(0).alias("depth"), F.lit(-1).alias("node"),
-                                           "code", "c")
-    start = 0
+    least = max(min(min_share * n_tokens, min_support), 1)
+    often = (F.col("c") >= least) & (F.col("next") != END)
+
+    def answer(rows: DataFrame, depth: int) -> DataFrame:
+        none = [F.lit(0).cast("long").alias(c) for c in ("total", "kept", "kinds") if c not in rows.columns]
+        return rows.select("*", F.lit(depth).alias("depth"), *none).select(
+            "batch", "depth", "node", "code", "c", "total", "kept", "kinds")
+
+    def pairs(rows: DataFrame, depth: int) -> DataFrame:
+        return rows.filter(often).select("batch", F.lit(depth).alias("depth"), "node", "code")
+
+    words = words.withColumns({"node": F.lit(0), "context": F.lit(0).cast("long")})
+    shorter = words.filter(once).select("context", "next", "c", F.lit(n_tokens).cast("long").alias("total"))
+    answers = answer(words.filter("c > 0"), 0)
+    candidates = pairs(words, 1)
     for depth in range(1, MAX_DEPTH + 1):
-        nodes = range(start, len(ctx.paths))
-        if not nodes:
-            break
-        start = len(ctx.paths)
-        rows = materialize(summed(next_rows(batches, ctx, depth), "node", "next").filter("c > 0"))
-        level = rows.filter("one").select("node", "next", "c")
-        fit_states(level, shorter, ctx, nodes)
-        states = [i for i in nodes if ctx.state[i]]
-        wanted = rows.filter(F.col("node").isin(states) & (F.col("c") >= MIN_NEXT))
-        answers = answers.unionByName(wanted.select("batch", F.lit(depth).alias("depth"), "node", "code", "c"))
+        rows = materialize(summed(next_rows(batches, candidates, depth), "context", "next")
+                           .filter("c > 0 OR code < 0"))
+        level = rows.filter(once).select("context", "up", "next", "c")
+        level = level.join(level.groupBy("context").agg(F.sum("c").alias("total")), "context")
+        states = materialize(fit_states(level, shorter))
+        answers = answers.unionByName(answer(
+            rows.filter(f"code < 0 OR c >= {MIN_NEXT}").join(states, "context"), depth))
+        shorter = level
         if depth < MAX_DEPTH:
-            longer = level.filter((F.col("c") >= least) & (F.col("next") != END))
-            ctx.add_level(list(map(tuple, longer.collect())))   # at most 1 / MIN_SHARE rows
-            shorter = level
-    return _scored(batches, answers, ctx)
+            candidates = candidates.unionByName(pairs(rows, depth + 1))
+    return _scored(batches, answers, candidates, n_tokens, seen["words"] or 0)
 
 
-def _scored(batches: DataFrame, answers: DataFrame, tree: Contexts) -> DataFrame:
+def _scored(batches: DataFrame, answers: DataFrame, candidates: DataFrame, n_tokens: int, n_words: int
+            ) -> DataFrame:
     id_type = batches.schema["ids"].dataType.elementType.simpleString()
+    # a row without a count is a candidate
+    none = [F.lit(None).cast("long").alias(c) for c in ("c", "total", "kept", "kinds")]
+    told = answers.unionByName(candidates.select("*", *none))
+
+    def scores(codes, vocab, answers: pa.Table, ctx: Contexts) -> tuple:
+        """(base, score) as log10, and whether the word is known, by token."""
+        depth, node, code, c, total, kept, kinds = (
+            answers.column(k).to_numpy() for k in ("depth", "node", "code", "c", "total", "kept", "kinds"))
+        counts = np.zeros(len(vocab))
+        on = depth == 0
+        counts[code[on]] = c[on]
+        p = (counts[codes] + 1) / (n_tokens + n_words + 1)
+        base = np.log10(p)
+        for k, at in enumerate(ctx.nodes_at(codes), 1):
+            is_state = np.flatnonzero((depth == k) & (code < 0))
+            is_state = is_state[np.argsort(node[is_state])]
+            state = places(node[is_state].astype(np.int64), at)
+            on = np.flatnonzero((at >= 0) & (state >= 0))
+            s = is_state[state[on]]
+            seen = np.flatnonzero((depth == k) & (code >= 0))
+            keys = node[seen].astype(np.int64) * len(vocab) + code[seen]
+            order = np.argsort(keys)
+            found = places(keys[order], at[on] * len(vocab) + codes[on])
+            own = np.where(found >= 0, c[seen][order][found], 0) if len(seen) else np.zeros(len(on))
+            rest = total[s] - kept[s] + kinds[s]
+            p[on] = (own + rest * p[on]) / (total[s] + kinds[s])
+        return base, np.log10(p), counts[codes] > 0
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        depth, node, code, c = (right.column(k).to_numpy() for k in ("depth", "node", "code", "c"))
+        known_counts = pc.is_valid(right.column("c"))
+        answers, pairs = right.filter(known_counts), right.filter(pc.invert(known_counts))
         out = []
         for row in left.select(["ids", "held", "lens", "codes", "vocab"]).to_batches():
             for i in range(row.num_rows):
                 r = {k: row.column(k)[i].as_py() for k in row.schema.names if k != "ids"}
                 codes, lens, vocab, held = _arrays(r)
-                counts = np.zeros(len(vocab))
-                on = depth == 0
-                counts[code[on]] = c[on]
-                seen = {}
-                for k in range(1, MAX_DEPTH + 1):
-                    on = depth == k
-                    keys = node[on].astype(np.int64) * len(vocab) + code[on]
-                    order = np.argsort(keys)
-                    seen[k] = keys[order], c[on][order].astype(float)
-                base, full = tree.score(codes, lens, vocab, counts, seen)
+                base, full, known = scores(codes, vocab, answers, Contexts(pairs, vocab, MAX_DEPTH))
                 of = np.repeat(np.arange(len(lens)), lens)
-                known = np.bincount(of, weights=counts[codes] > 0, minlength=len(lens))
                 out.append(pa.Table.from_arrays(
                     [row.column("ids")[i].values, pa.array(held), pa.array(lens),
-                     pa.array(known.astype(np.int64)), pa.array(np.full(len(lens), tree.n_tokens)),
+                     pa.array(np.bincount(of, weights=known, minlength=len(lens)).astype(np.int64)),
+                     pa.array(np.full(len(lens), n_tokens)),
                      pa.array(np.bincount(of, weights=base, minlength=len(lens))),
                      pa.array(np.bincount(of, weights=full, minlength=len(lens)))],
                     ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
@@ -335,7 +316,7 @@ def _scored(batches: DataFrame, answers: DataFrame, tree: Contexts) -> DataFrame
 
     schema = (f"id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double")
-    return batches.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(run, schema)
+    return batches.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(run, schema)
 
 
 def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

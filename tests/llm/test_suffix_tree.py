@@ -75,6 +75,18 @@ def test_odd_rows_match_brute_force(spark):
     compare(S.score(docs_frame(spark, rows), min_share=0.005, batch_tokens=2000), want)
 
 
+def test_support_stays_when_the_corpus_grows(spark):
+    """A context seen often enough is a candidate however small its share of the corpus is."""
+    rows = [(i, f"rare{i % 3} then{i % 3} " + " ".join(f"w{(i * j) % 89}" for j in range(60)))
+            for i in range(400)]
+    n = brute(rows, 1)[0][0][4]      # training tokens
+    want, states = brute(rows, 50 / n)
+    assert {c for c in states if c[0].startswith(b"rare")} and not brute(rows, 0.05)[1]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    compare(S.score(docs, min_share=0.05, min_support=50, batch_tokens=3000), want)
+    assert S.MIN_SUPPORT <= 400
+
+
 def test_documents_match_brute_force_and_beat_the_base_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
