@@ -11,6 +11,7 @@ from tallyspark.llm import (
     quality_rules,
     simhash_dedup,
     suffix_tree,
+    token_alignment,
     token_counts,
     warc,
 )
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_html_extraction": html_extraction.op9_html_extraction,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_token_alignment": token_alignment.op11_token_alignment,
 }
 
 ORACLE = {
