@@ -59,7 +59,8 @@ class ByteBpe:
         self.begins[[i for piece, i in self.vocab.items() if piece.startswith(BLANK_PIECE)]] = True
 
     def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        # the batch call without offsets gives the same ids in less time
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def wordwise(self, text: str) -> bool:
         """Whether the ids are those of the words between blanks, one after another."""

@@ -41,10 +41,11 @@ from pyspark.sql import functions as F
 from tallyspark.llm.bpe_words import ByteBpe
 from tallyspark.operators.materialize import materialize
 
-BLOCK_LINKS = 1 << 22        # links after which a block is closed
+BLOCK_LINKS = 3 << 20        # links after which a block is closed
 BLOCK_DOCS = 1 << 16         # document numbers of a block fit two bytes
 BLOCK_WORDS = 1 << 19        # different words after which a block is closed
-BLOCK_BYTES = 1 << 26        # bytes of different words after which a block is closed
+BLOCK_BYTES = 1 << 25        # bytes of different words after which a block is closed
+UNITS = 1 << 14              # units that are encoded at a time
 MOST_TEXTS = 256             # texts taken out of a batch at a time
 DOC_COLUMNS = ("n_a", "n_b", "n_groups")
 
@@ -95,25 +96,51 @@ class Aligner:
         return a, self.b.model.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
 
     def aligned(self, units: list[str]) -> "Units":
-        a, b = self.encode(units)
-        good = np.array([self.same(x, y, u) for x, y, u in zip(a, b, units)], bool)
-        for i in np.flatnonzero(~good):
-            a[i] = b[i] = []
-        return Units(a, b, good, self.a_len, self.b_len)
-
-    def same(self, a: list[int], b: list[int], unit: str) -> bool:
-        want = (unit if unit[0] == " " else " " + unit).encode()
-        return (b"".join([self.a_bytes[i] for i in a]) == want
-                and b"".join([self.b.bytes[i] for i in b]) == want)
+        out = Units()
+        for at in range(0, len(units), UNITS):
+            part = units[at:at + UNITS]
+            a, b = self.encode(part)
+            good = self.good(a, b, part)
+            for i in np.flatnonzero(~good):
+                a[i] = b[i] = []
+            out.add(a, b, good, self.a_len, self.b_len)
+        return out.closed()
+
+    def good(self, a: list[list[int]], b: list[list[int]], units: list[str]) -> np.ndarray:
+        """Whether the bytes of the tokens are those of the unit, on both sides."""
+        want = [(u if u[0] == " " else " " + u).encode() for u in units]
+        size = np.array([len(w) for w in want], np.int64)
+        sides = ((a, self.a_bytes, self.a_len), (b, self.b.bytes, self.b_len))
+
+        def all_good(side: list[list[int]], known: list[bytes], length: np.ndarray) -> bool:
+            ids = list(chain.from_iterable(side))
+            ends = np.concatenate([[0], np.cumsum(length[ids])])[np.cumsum([len(x) for x in side])]
+            return b"".join([known[i] for i in ids]) == b"".join(want) and (ends == np.cumsum(size)).all()
+
+        if all(all_good(*side) for side in sides):
+            return np.ones(len(units), bool)
+        return np.array([all(b"".join([known[i] for i in side[k]]) == w for side, known, _ in sides)
+                         for k, w in enumerate(want)], bool)
 
 
 class Units:
     """Aligned units: counts, links (flat, by unit) and the groups as text."""
 
-    def __init__(self, a: list, b: list, good: np.ndarray, a_len: np.ndarray, b_len: np.ndarray):
+    def __init__(self):
+        none = np.zeros(0, np.int64)
+        self.parts = {k: [none] for k in ("n_a", "n_b", "n_groups", "n_links", "pairs")}
+        self.parts["good"], self.groups = [none.astype(bool)], []
+
+    def closed(self) -> "Units":
+        for name, parts in self.parts.items():
+            setattr(self, name, np.concatenate(parts))
+        self.first_link = np.cumsum(self.n_links) - self.n_links
+        del self.parts
+        return self
+
+    def add(self, a: list, b: list, good: np.ndarray, a_len: np.ndarray, b_len: np.ndarray) -> None:
         n = len(a)
-        self.good = good
-        self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
+        n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
         flat_a, flat_b = (np.fromiter(chain.from_iterable(side), np.int64) for side in (a, b))
         end_a, end_b = np.cumsum(a_len[flat_a]), np.cumsum(b_len[flat_b])
         start_a, start_b = end_a - a_len[flat_a], end_b - b_len[flat_b]
@@ -123,27 +150,33 @@ class Units:
         counts = np.searchsorted(start_b, end_a, side="left") - low
         link_a = np.repeat(np.arange(len(flat_a)), counts)
         link_b = np.arange(len(link_a)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)
-        self.pairs = flat_a[link_a] << 32 | flat_b[link_b]
         by_a = np.concatenate([[0], np.cumsum(counts)])
-        at_a = np.concatenate([[0], np.cumsum(self.n_a)])
-        self.first_link = by_a[at_a]
+        at_a = np.concatenate([[0], np.cumsum(n_a)])
         common = np.intersect1d(end_a, end_b, assume_unique=True)
         group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
         size_a, size_b = (np.bincount(g, minlength=len(common)) for g in (group_a, group_b))
         first = np.unique(group_a, return_index=True)[1] if len(group_a) else np.zeros(0, np.int64)
-        unit_of = np.repeat(np.arange(n), self.n_a)[first] if len(first) else first
-        self.n_groups = np.bincount(unit_of, minlength=n)
-        self.groups = self._text(flat_a, flat_b, size_a, size_b)
-
-    def _text(self, flat_a, flat_b, size_a, size_b) -> list[str]:
+        unit_of = np.repeat(np.arange(n), n_a)[first] if len(first) else first
+        n_groups = np.bincount(unit_of, minlength=n)
+        for name, part in {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": np.diff(by_a[at_a]), "good": good,
+                           "pairs": flat_a[link_a] << 32 | flat_b[link_b]}.items():
+            self.parts[name].append(part)
+        self.groups += self._text(flat_a, flat_b, size_a, size_b, n_groups)
+
+    @staticmethod
+    def _text(flat_a, flat_b, size_a, size_b, n_groups) -> list[str]:
         a, b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
         groups, i, j = [], 0, 0
         for k, m in zip(size_a.tolist(), size_b.tolist()):
-            groups.append(f"{a[i] if k == 1 else ','.join(a[i:i + k])}|"
-                          f"{b[j] if m == 1 else ','.join(b[j:j + m])}")
-            i, j = i + k, j + m
+            if k == m == 1:
+                groups.append(a[i] + "|" + b[j])
+                i += 1
+                j += 1
+            else:
+                groups.append(",".join(a[i:i + k]) + "|" + ",".join(b[j:j + m]))
+                i, j = i + k, j + m
         out, at = [], 0
-        for k in self.n_groups.tolist():
+        for k in n_groups.tolist():
             out.append(";".join(groups[at:at + k]))
             at += k
         return out
@@ -248,8 +281,8 @@ class Block:
             shas.append(hashlib.sha256(text.encode()).hexdigest() if text else "")
             at += k
         pairs, pair_of = np.unique(units.pairs, return_inverse=True)
-        count = np.diff(units.first_link)[codes]
-        first = np.repeat(units.first_link[:-1][codes] - (np.cumsum(count) - count), count)
+        count = units.n_links[codes]
+        first = np.repeat(units.first_link[codes] - (np.cumsum(count) - count), count)
         key = pair_of[first + np.arange(len(first))] * n + np.repeat(doc_of, count)
         key, times = np.unique(key, return_counts=True)
         pair, doc = key // max(n, 1), key % max(n, 1)
