@@ -70,8 +70,3 @@ def profit_units(ext, disc, qty, unit_cost) -> Column:
 def mean_of(sum_col: Column, count_col: Column) -> Column:
     """Average as DOUBLE from an exact sum and a count (no decimal-scale surprises)."""
     return sum_col.cast("double") / count_col.cast("double")
-
-
-def whole_units(c: Column, unit: int) -> Column:
-    """``floor(c / unit)`` of a BIGINT, exactly."""
-    return ((c - F.pmod(c, F.lit(unit))) / unit).cast("bigint")

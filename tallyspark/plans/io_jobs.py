@@ -17,6 +17,7 @@ from tallyspark.plans.retail import STATUS_LABELS, _new_orders, agg_by_status
 from tallyspark.session import scratch_root
 from tallyspark.sources import files as FS
 from tallyspark.sources import standins as S
+from tallyspark.sources import versions as V
 from tallyspark.sources.tables import SCHEMAS, TABLES, Tables, table_path
 
 
@@ -142,7 +143,7 @@ def format_compare(spark, sf_dir):
 def file_metadata(spark, sf_dir):
     """(item_name, exists, is_folder) of the tables, a path that isn't there and an empty folder."""
     empty = f"{scratch_root(spark)}/empty_folder"
-    fs, path = FS._status(spark, empty)
+    fs, path = FS.file_system(spark, empty)
     fs.mkdirs(path)
     paths = [table_path(sf_dir, n) for n in TABLES] + [f"{sf_dir}/no_such_table.parquet", empty]
     return FS.file_metadata(spark, paths).select(
@@ -211,45 +212,96 @@ NEW_LINE_ROWS = [(-1, 1, 1, 1, 1.0, 999.00, 0.0, 0.0, "N", "O", dt.datetime(1998
                  (-1, 2, 2, 2, 1.0, 599.00, 0.0, 0.0, "N", "O", dt.datetime(1998, 8, 3))]
 
 
-def _load_checks(current, batch):
-    """Order keys stay unique over the whole table (a key-column shuffle); the new lines must
-    reference an existing order (anti join of the batch only); no stock below zero."""
-    o = current["orders"]
-    key = Q.run_suite(o, "orders", [Q.Rule("order_key_unique", "unique", "o_orderkey")])
-    status = Q.run_suite(batch["orders"], "orders", [Q.Rule("status_domain", "domain", "o_orderstatus",
-                                                            [s for s, _ in STATUS_LABELS])])
-    fk = Q.run_suite(batch["lineitem"], "lineitem", [Q.Rule("line_order_fk", "foreign_key", "l_orderkey",
-                                                            parent=(o, "o_orderkey"))])
-    stock = Q.run_suite(batch["stock"], "stock", [Q.Rule("stock_left", "check", "stock_qty", "stock_qty >= 0")])
-    return key.unionByName(status).unionByName(fk).unionByName(stock)
+def _load_checks(spark, root: str):
+    """Order keys are new and unique in the batch (stored keys are looked up, not aggregated anew); the new
+    lines reference an existing order; no stock below zero."""
+    def check(current, batch):
+        orders = batch["orders"]
+        again = V.stored_keys(spark, root, "orders", orders.select("o_orderkey"), "o_orderkey")
+        key = Q.run_suite(orders, "orders", [Q.Rule("order_key_unique", "unique", "o_orderkey"),
+                                             Q.Rule("order_key_new", "new_key", "o_orderkey", parent=(again, "o_orderkey")),
+                                             Q.Rule("status_domain", "domain", "o_orderstatus",
+                                                    [s for s, _ in STATUS_LABELS])])
+        lines = batch["lineitem"]
+        known = V.stored_keys(spark, root, "orders", lines.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
+        fk = Q.run_suite(lines, "lineitem", [Q.Rule("line_order_fk", "foreign_key", "l_orderkey", parent=(
+            known.unionByName(orders.select("o_orderkey")), "o_orderkey"))])
+        if "stock" not in batch:
+            return key.unionByName(fk)
+        stock = Q.run_suite(batch["stock"], "stock", [Q.Rule("stock_left", "check", "stock_qty", "stock_qty >= 0")])
+        return key.unionByName(fk).unionByName(stock)
+    return check
 
 
 def _stock(t: Tables) -> DataFrame:
     return t.part("p_partkey", "p_size").select("p_partkey", (F.col("p_size").cast("bigint") * 100).alias("stock_qty"))
 
 
-def _take_stock(stock: DataFrame, lines: DataFrame) -> DataFrame:
-    """UPDATE stock SET stock_qty = stock_qty - sold for the parts of the new lines."""
-    sold = lines.groupBy(F.col("l_partkey").alias("k")).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("sold"))
-    return stock.join(sold, stock["p_partkey"] == sold["k"], "left").select(
-        "p_partkey", (F.col("stock_qty") - F.coalesce("sold", F.lit(0))).alias("stock_qty"))
+STOCK_FILES = 16
+
+
+def _write_stock(t: Tables) -> str:
+    """The stock in files of neighbouring parts, so that an update touches few of them."""
+    path = scratch_root(t.spark)
+    FS.write_parquet(_stock(t).repartitionByRange(STOCK_FILES, "p_partkey"), path)
+    return path
+
+
+def _take_stock(spark, root: str, lines: DataFrame) -> V.Rewrite | None:
+    """UPDATE stock SET stock_qty = stock_qty - sold for the parts of the lines."""
+    sold = lines.groupBy(F.col("l_partkey").alias("part")).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("sold"))
+    return V.update_touched(spark, root, "stock", sold.withColumnRenamed("part", "p_partkey"), "p_partkey",
+                            {"stock_qty": F.col("stock_qty") - F.col("new_sold")})
 
 
 def _loaded(spark, sf_dir, orders: DataFrame, line_rows) -> tuple[str, dict]:
     """A batch over the registered base tables: order headers, their lines and the stock they
     take, published all together or not at all."""
     t = Tables(spark, sf_dir)
-    root, stock = scratch_root(spark), scratch_root(spark)
-    FS.write_parquet(_stock(t), stock)
-    for name, path in (("orders", table_path(sf_dir, "orders")), ("lineitem", table_path(sf_dir, "lineitem")),
-                       ("stock", stock)):
-        FS.register_base(spark, root, name, path)
+    root, stock = scratch_root(spark), _write_stock(t)
+    for name, path, schema in (("orders", table_path(sf_dir, "orders"), SCHEMAS["orders"]),
+                               ("lineitem", table_path(sf_dir, "lineitem"), SCHEMAS["lineitem"]),
+                               ("stock", stock, _stock(t).schema)):
+        V.register_base(spark, root, name, path, schema)
     lines = spark.createDataFrame(line_rows, SCHEMAS["lineitem"])
-    result = FS.publish(spark, root, {"orders": orders, "lineitem": lines}, checks=_load_checks,
-                        replaces={"stock": _take_stock(FS.resolve(spark, root, "stock"), lines)})
+    result = V.publish(spark, root, {"orders": orders, "lineitem": lines}, checks=_load_checks(spark, root),
+                       rewrites={"stock": _take_stock(spark, root, lines)}, keys={"orders": "o_orderkey"})
     return root, result
 
 
+def merge_touched_files(spark, sf_dir):
+    """UPDATE of the stock by the lines of a few orders: only the files that hold their parts are written
+    anew.  The stock afterwards."""
+    t = Tables(spark, sf_dir)
+    root = scratch_root(spark)
+    V.register_base(spark, root, "stock", _write_stock(t), _stock(t).schema)
+    lines = t.lineitem("l_orderkey", "l_partkey", "l_quantity").filter(F.col("l_orderkey") < 3)
+    V.publish(spark, root, {}, rewrites={"stock": _take_stock(spark, root, lines)})
+    return V.resolve(spark, root, "stock")
+
+
+KEY_VERSIONS = 4
+BATCH_MOD = 50                  # every 50th order key is sent again, and a new one with each
+
+
+def load_key_check(spark, sf_dir):
+    """Orders published in versions with key filters, then a batch that sends some orders again: by
+    version, the keys of the batch that it holds already."""
+    t = Tables(spark, sf_dir)
+    root, orders = scratch_root(spark), t.orders("o_orderkey", "o_custkey", "o_totalprice")
+    names = {}
+    for v in range(KEY_VERSIONS):
+        done = V.publish(spark, root, {"orders": orders.filter(F.col("o_orderkey") % (KEY_VERSIONS + 1) == v)},
+                         keys={"orders": "o_orderkey"})
+        names[done["version"]] = v
+    sent = orders.filter(F.col("o_orderkey") % BATCH_MOD == 0).select("o_orderkey")
+    batch = sent.unionByName(sent.select((-F.col("o_orderkey") - 1).alias("o_orderkey")))
+    held = V.holders(spark, root, "orders", batch, "o_orderkey").groupBy("version").agg(F.count(F.lit(1)).alias("n"))
+    known = spark.createDataFrame(list(names.items()), "version string, version_no int")
+    return known.join(held, "version", "left").select(
+        "version_no", F.coalesce("n", F.lit(0)).cast("bigint").alias("sent_again"))
+
+
 def _accepted(spark, sf_dir) -> str:
     root, result = _loaded(spark, sf_dir, _new_orders(spark), NEW_LINE_ROWS)
     if not result["published"]:
@@ -259,17 +311,17 @@ def _accepted(spark, sf_dir) -> str:
 
 def staged_load(spark, sf_dir):
     """The orders after the batch."""
-    return FS.resolve(spark, _accepted(spark, sf_dir), "orders")
+    return V.resolve(spark, _accepted(spark, sf_dir), "orders")
 
 
 def staged_load_lines(spark, sf_dir):
     """The lines after the batch."""
-    return FS.resolve(spark, _accepted(spark, sf_dir), "lineitem")
+    return V.resolve(spark, _accepted(spark, sf_dir), "lineitem")
 
 
 def staged_load_stock(spark, sf_dir):
     """The stock after the batch."""
-    return FS.resolve(spark, _accepted(spark, sf_dir), "stock")
+    return V.resolve(spark, _accepted(spark, sf_dir), "stock")
 
 
 def staged_load_rejected(spark, sf_dir):
@@ -277,7 +329,7 @@ def staged_load_rejected(spark, sf_dir):
     rows and sums of the three tables afterwards, and the violations it was turned down for."""
     bad = [(-77, *NEW_LINE_ROWS[0][1:4], 1e9, *NEW_LINE_ROWS[0][5:])]
     root, result = _loaded(spark, sf_dir, _new_orders(spark), NEW_LINE_ROWS + bad)
-    parts = [FS.resolve(spark, root, name).agg(F.count(F.lit(1)).alias("row_count"), F.sum(key).alias("key_sum"))
+    parts = [V.resolve(spark, root, name).agg(F.count(F.lit(1)).alias("row_count"), F.sum(key).alias("key_sum"))
              .select(F.lit(name).alias("tbl"), "*")
              for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("stock", "stock_qty"))]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])

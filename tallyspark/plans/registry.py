@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyspark.plans import cleaning, io_jobs, retail, sales, staff
+from tallyspark.plans import cleaning, io_jobs, retail, sales, staff, stored
 
 QUERIES = {
     "customer_dashboard": sales.customer_dashboard,
@@ -119,6 +119,8 @@ QUERIES = {
     "staged_load_lines": io_jobs.staged_load_lines,
     "staged_load_stock": io_jobs.staged_load_stock,
     "staged_load_rejected": io_jobs.staged_load_rejected,
+    "merge_touched_files": io_jobs.merge_touched_files,
+    "load_key_check": io_jobs.load_key_check,
     "validate_counts": io_jobs.validate_counts,
     "validate_new_keys": io_jobs.validate_new_keys,
     "table_lifecycle": io_jobs.table_lifecycle,
@@ -132,4 +134,5 @@ QUERIES = {
     "dq_not_null": staff.dq_not_null,
     "buyer_type": sales.buyer_type,
     "sales_tier": sales.sales_tier,
+    **stored.QUERIES,
 }

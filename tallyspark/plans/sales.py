@@ -6,28 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions import tiers
-from tallyspark.functions.money import cents, mean_of, whole_units
+from tallyspark.functions.money import cents, mean_of
 from tallyspark.operators.materialize import materialize, materialize_observed
 from tallyspark.operators.ranking import global_order, ordered, partitioned_row_number, with_ranks
 from tallyspark.sources import standins as S
 from tallyspark.sources.tables import Tables
 
 
-# Customers by sales level (totals within one level tie), then by key.
-BY_LEVEL = [("sales_level", True), ("customer_id", False)]
+# Customers by total sales (twins tie), then by key.
+BY_SALES = [("total_sales_dec", True), ("customer_id", False)]
 
 
 def customer_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-customer totals, profit, order count, averages and extremes, global RANK and
     NTILE(4) by total sales, an above/below-average tier and a buyer type."""
     t = Tables(spark, sf_dir)
+    return dashboard(S.twin_sales(t, with_profit=True), S.twin_dim(t))
+
+
+def dashboard(sales: DataFrame, dim: DataFrame) -> DataFrame:
+    """The dashboard of customers' totals (``customer_sales`` columns) and their dimension."""
     # the totals are written once, in sales order; their sum and count are observed on the way
-    totals = ordered(S.customer_sales(t, with_profit=True), BY_LEVEL,
-                     F.sum("total_sales_dec").alias("sum_all"))
+    totals = ordered(sales, BY_SALES, F.sum("total_sales_dec").alias("sum_all"))
     ranked = with_ranks(totals, rank_prefixes=(1,), ntiles=(4,), dense=False)
     sum_all = F.lit(totals.metrics["sum_all"])
     ranked = ranked.withColumn("above", F.col("total_sales_dec") * F.lit(totals.n) > sum_all)
-    dim = S.customer_dim(t)
     out = ranked.join(dim, "customer_id").select(
         "customer_id", "customer_name", "segment", "region",
         F.col("total_sales_dec").cast("double").alias("total_sales"),
@@ -107,16 +110,12 @@ def above_avg_orders(spark, sf_dir):
 
 
 def max_order_per_customer_ties(spark, sf_dir):
-    """Lines in the highest line level (LINE_LEVEL wide) of their customer, ties kept.  The
-    correlated MAX becomes a pre-aggregated per-customer level joined back on it."""
+    """Lines whose sales are the highest of their customer, ties kept.  The correlated MAX becomes a
+    pre-aggregated per-customer maximum joined back on it."""
     t = Tables(spark, sf_dir)
-
-    def level(c):
-        return whole_units(cents(c), 100 * S.LINE_LEVEL)
     per_cust = S.order_sales(t).groupBy(F.col("o_custkey").alias("customer_id")) \
-        .agg(level(F.max("max_line_sales")).alias("level"))
-    lines = S.sales_lines(t).withColumn("level", level("sales"))
-    hit = lines.join(per_cust, ["customer_id", "level"], "left_semi")
+        .agg(F.max("max_line_sales").alias("sales"))
+    hit = S.repeated_lines(t).join(per_cust, ["customer_id", "sales"], "left_semi")
     return (hit.join(S.customer_dim(t).select("customer_id", "customer_name"), "customer_id")
                .select("order_id", "line_no", "customer_name", F.col("sales").alias("highest_sale"))
                .orderBy(F.desc("highest_sale"), "order_id", "line_no"))
@@ -139,10 +138,10 @@ def above_avg_customers(spark, sf_dir):
 
 def _ranked_customers(t: Tables, with_profit: bool = False, ntiles=(), rank: bool = True,
                       dense: bool = False) -> DataFrame:
-    """Customers in the order (sales level DESC, id); RANK / DENSE_RANK over the level only
+    """Customers in the order (total sales DESC, id); RANK / DENSE_RANK over the total only
     when asked for."""
-    m = S.customer_sales(t, with_profit)
-    return global_order(m, BY_LEVEL,
+    m = S.twin_sales(t, with_profit)
+    return global_order(m, BY_SALES,
                         rank_prefixes=(1,) if (rank or dense) else (), ntiles=ntiles,
                         dense=dense)
 
@@ -150,7 +149,7 @@ def _ranked_customers(t: Tables, with_profit: bool = False, ntiles=(), rank: boo
 def rank_customers(spark, sf_dir):
     t = Tables(spark, sf_dir)
     r = _ranked_customers(t)
-    return (r.join(S.customer_dim(t), "customer_id")
+    return (r.join(S.twin_dim(t), "customer_id")
              .select("customer_id", "customer_name",
                      F.col("total_sales_dec").cast("double").alias("total_sales"),
                      F.col("_g_rank1").alias("sales_rank"))
@@ -160,7 +159,7 @@ def rank_customers(spark, sf_dir):
 def dense_rank_customers(spark, sf_dir):
     t = Tables(spark, sf_dir)
     r = _ranked_customers(t, rank=False, dense=True)
-    return (r.join(S.customer_dim(t), "customer_id")
+    return (r.join(S.twin_dim(t), "customer_id")
              .select("customer_id", "customer_name",
                      F.col("total_sales_dec").cast("double").alias("total_sales"),
                      F.col("_g_dense1").alias("dense_rank"))
@@ -178,7 +177,7 @@ def customer_scorecard(spark, sf_dir):
     """Totals + RANK + DENSE_RANK on one ordering (one bucketed sort) + segment/region."""
     t = Tables(spark, sf_dir)
     r = _ranked_customers(t, with_profit=True, dense=True)
-    return (r.join(S.customer_dim(t), "customer_id")
+    return (r.join(S.twin_dim(t), "customer_id")
              .select("customer_id", "customer_name", "segment", "region",
                      F.col("total_sales_dec").cast("double").alias("total_sales"),
                      "total_orders",
@@ -204,18 +203,18 @@ def order_sequence(spark, sf_dir):
 
 def dense_top3(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    m = S.customer_sales(t).withColumn("total_sales", F.col("total_sales_dec").cast("double"))
-    top = top_k_ranked(m, "sales_level", 3, dense=True, rank_name="sales_rank")
-    return (top.join(S.customer_dim(t), "customer_id")
+    m = S.twin_sales(t).withColumn("total_sales", F.col("total_sales_dec").cast("double"))
+    top = top_k_ranked(m, "total_sales_dec", 3, dense=True, rank_name="sales_rank")
+    return (top.join(S.twin_dim(t), "customer_id")
                .select("customer_id", "customer_name", "total_sales", "sales_rank")
                .orderBy("sales_rank", "customer_id"))
 
 
 def rank_top5(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    m = S.customer_sales(t, with_profit=True)
-    top = top_k_ranked(m, "sales_level", 5, rank_name="rnk")
-    return (top.join(S.customer_dim(t), "customer_id")
+    m = S.twin_sales(t, with_profit=True)
+    top = top_k_ranked(m, "total_sales_dec", 5, rank_name="rnk")
+    return (top.join(S.twin_dim(t), "customer_id")
                .select("customer_id", "customer_name", "segment",
                        F.col("total_sales_dec").cast("double").alias("total_sales"),
                        F.col("total_profit_dec").cast("double").alias("total_profit"),
@@ -225,9 +224,9 @@ def rank_top5(spark, sf_dir):
 
 def rank_bottom5(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    m = S.customer_sales(t)
-    low = top_k_ranked(m, "sales_level", 5, descending=False, rank_name="rnk")
-    return (low.join(S.customer_dim(t), "customer_id")
+    m = S.twin_sales(t)
+    low = top_k_ranked(m, "total_sales_dec", 5, descending=False, rank_name="rnk")
+    return (low.join(S.twin_dim(t), "customer_id")
                .select("customer_id", "customer_name", "segment",
                        F.col("total_sales_dec").cast("double").alias("total_sales"),
                        F.col("total_orders").alias("order_count"), "rnk")

@@ -1,5 +1,5 @@
 """File sources and sinks: CSV / Parquet read and write, partitioned layout, file
-metadata, guarded copies with metrics, and an all-or-nothing versioned publish.
+metadata, guarded copies with metrics, named tables.
 
 Paths are URIs on the cluster's shared file system; nothing here touches a
 machine-local folder except through the Spark writers/readers themselves.
@@ -8,9 +8,7 @@ machine-local folder except through the Spark writers/readers themselves.
 from __future__ import annotations
 
 import datetime as dt
-import json
 import os
-import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -89,7 +87,7 @@ METADATA_SCHEMA = T.StructType([
     T.StructField("n_files", T.LongType())])
 
 
-def _status(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """(file system, Hadoop path) of a URI."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -101,7 +99,7 @@ def file_metadata(spark: SparkSession, paths) -> DataFrame:
     bytes and files in it, existence, last change.  Only the file system's listing is read."""
     rows = []
     for path in paths:
-        fs, p = _status(spark, path)
+        fs, p = file_system(spark, path)
         name = os.path.basename(path.rstrip("/"))
         if not fs.exists(p):
             rows.append((name, path, None, False, None, None, None))
@@ -114,7 +112,7 @@ def file_metadata(spark: SparkSession, paths) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _status(spark, path)
+    fs, p = file_system(spark, path)
     return bool(fs.exists(p))
 
 
@@ -186,104 +184,3 @@ def insert_rows(df: DataFrame, name: str) -> None:
 def drop_table(spark: SparkSession, name: str) -> None:
     """DROP TABLE IF EXISTS; the files of the table stay."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
-# --- versioned, all-or-nothing publish ----------------------------------------------
-
-MANIFEST = "_manifest"
-FOLD_AFTER = 64      # commits after which the manifest starts from one file again
-MANIFEST_SCHEMA = "commit bigint, table_name string, path string, replaces boolean"
-
-
-class Conflict(RuntimeError):
-    """Another batch was published since this one read the tables."""
-
-
-def _manifest(spark: SparkSession, root: str) -> tuple[int, dict[str, list[str]]]:
-    """(number of the last commit, paths of each table's current content).  A commit is one file
-    named by its number; a folded commit holds the whole state, so at most FOLD_AFTER are read."""
-    fs, folder = _status(spark, f"{root}/{MANIFEST}")
-    if not fs.exists(folder):
-        return 0, {}
-    numbers = sorted(int(f.getPath().getName()) for f in fs.listStatus(folder)
-                     if f.getPath().getName().isdigit())
-    if not numbers:
-        return 0, {}
-    last = numbers[-1]
-    start = max((n for n in numbers if n % FOLD_AFTER == 0), default=numbers[0])
-    state: dict[str, list[str]] = {}
-    rows = spark.read.schema(MANIFEST_SCHEMA).json([f"{root}/{MANIFEST}/{n}" for n in numbers if n >= start])
-    for r in sorted(rows.collect(), key=lambda r: (r["commit"], not r["replaces"])):
-        if r["replaces"]:
-            state[r["table_name"]] = [r["path"]]
-        else:
-            state.setdefault(r["table_name"], []).append(r["path"])
-    return last, state
-
-
-def _commit(spark: SparkSession, root: str, after: int, state: dict[str, list[str]],
-            added: dict[str, tuple[str, bool]]) -> int:
-    """Create the file of commit ``after + 1``; fails if another writer has created it."""
-    number = after + 1
-    rows = [(n, p, replaces) for n, (p, replaces) in added.items()]
-    if number % FOLD_AFTER == 0:     # the whole state: later readers start here
-        rows = [(n, p, i == 0) for n, paths in state.items() if n not in added or not added[n][1]
-                for i, p in enumerate(paths)] + rows
-    text = "".join(json.dumps({"commit": number, "table_name": n, "path": p, "replaces": bool(r)}) + "\n"
-                   for n, p, r in rows)
-    fs, path = _status(spark, f"{root}/{MANIFEST}/{number}")
-    try:
-        out = fs.create(path, False)
-    except Exception as e:
-        if "already exists" in str(e):
-            raise Conflict(f"commit {number} of {root} exists") from e
-        raise
-    out.write(bytearray(text.encode()))
-    out.close()
-    return number
-
-
-def register_base(spark: SparkSession, root: str, name: str, path: str) -> None:
-    """Make an existing dataset the first version of ``name`` by reference (no copy).  Registering
-    the same path again changes nothing."""
-    last, state = _manifest(spark, root)
-    if path not in state.get(name, []):
-        _commit(spark, root, last, state, {name: (path, False)})
-
-
-def resolve(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The current content of ``name``: the union of its version folders."""
-    paths = _manifest(spark, root)[1].get(name)
-    if not paths:
-        raise FileNotFoundError(f"no published version of {name} under {root}")
-    return spark.read.parquet(*paths)
-
-
-def publish(spark: SparkSession, root: str, appends: dict, checks=None, replaces: dict | None = None) -> dict:
-    """Append rows to several tables and replace the content of others, all-or-nothing.
-
-    Each table's new rows are staged into their own version folder; ``checks(current, batch)``
-    receives, per table, the would-be content (published versions + staged rows, or the staged
-    replacement, read lazily) and the staged rows alone, and returns rows with a ``violations``
-    column.  Only with zero violations is one commit file created, after all data is in place;
-    readers resolve through the commits, so they see the whole batch or none of it.  The commit
-    takes the number after the last one that this batch has read, and fails with ``Conflict`` if
-    another writer got it first.  Appended versions hold only new rows."""
-    last, state = _manifest(spark, root)
-    version = uuid.uuid4().hex
-    staged, current, added = {}, {}, {}
-    for name, df in {**appends, **(replaces or {})}.items():
-        path = f"{root}/{name}/v_{version}"
-        write_parquet(df, path)
-        staged[name] = spark.read.parquet(path)
-        whole = name in (replaces or {}) or not state.get(name)
-        current[name] = staged[name] if whole else spark.read.parquet(*state[name]).unionByName(staged[name])
-        added[name] = (path, name in (replaces or {}))
-    violations = 0
-    if checks is not None:
-        total = checks(current, staged).agg(F.coalesce(F.sum("violations"), F.lit(0)).alias("v")).collect()[0]
-        violations = int(total["v"])
-    if violations:
-        return {"version": version, "published": False, "violations": violations}
-    _commit(spark, root, last, state, added)
-    return {"version": version, "published": True, "violations": 0}

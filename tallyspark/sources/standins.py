@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.money import cents, from_cents, money, profit_units, whole_units
+from tallyspark.functions.money import cents, from_cents, money, profit_units
 from tallyspark.sources.tables import Tables
 
 # The key rules that make stand-in rows dirty (null / duplicate / re-keyed).
@@ -32,8 +32,10 @@ AUDIT_CUSTOMER = (61, 5, 1_000_000_000)  # orders whose customer doesn't exist (
 AUDIT_ORPHAN = (47, 9)                  # first lines of such orders name an order that doesn't exist
 AUDIT_NO_LINES = (59, 4)                # orders that have lost their lines
 AUDIT_NO_ORDERS = (10, 3)               # customers whose orders are left out
-LEVEL = 100_000                         # a sales level is so many money units wide: totals tie
-LINE_LEVEL = 10_000
+TWINS = (3, 1, 1_000_000_000, " (twin)")  # customers with a twin of the same sales: key shifted by, name
+DRIFT = (4, 1, "1995-01-01", "1997-01-01", "MOVED", 6, 2)  # customers who change segment on the first
+#                                         day and back on the second; orders % 6 = 2 show an old region
+REPEATED = (7, 3, 100)                  # orders whose lines were entered twice: line numbers shifted by
 TEXT_RULES = (7, 0, 1, 2)               # page keys whose text is NULL, empty, full of backslashes
 STAFF_SALARY_NULL = (35, 0)
 STAFF_RATING_NULL = (40, 1)
@@ -93,7 +95,6 @@ def customer_sales(t: Tables, with_profit: bool = False) -> DataFrame:
     """Per-customer totals: exact decimal sums, order count, line count, extremes."""
     per_order = order_sales(t, with_profit)
     aggs = [from_cents(F.sum("sales_cents")).alias("total_sales_dec"),
-            whole_units(F.sum("sales_cents"), 100 * LEVEL).alias("sales_level"),
             F.count(F.lit(1)).alias("total_orders"),
             F.sum("n_lines").alias("n_lines"),
             F.max("max_line_sales").alias("max_single_order"),
@@ -104,6 +105,42 @@ def customer_sales(t: Tables, with_profit: bool = False) -> DataFrame:
     return per_order.groupBy(F.col("o_custkey").alias("customer_id")).agg(*aggs)
 
 
+def _again(df: DataFrame, key: str, rule, number: str, shift: int) -> DataFrame:
+    """``df`` with a second row, ``number`` shifted, for each row whose ``key`` meets the rule."""
+    both = F.array(F.col(number), (F.col(number) + shift).cast(df.schema[number].dataType))
+    return df.withColumn(number, F.explode(F.when(_key_is(key, rule), both).otherwise(F.array(number))))
+
+
+def twin_sales(t: Tables, with_profit: bool = False) -> DataFrame:
+    """``customer_sales`` with the twins, whose totals tie."""
+    return _again(customer_sales(t, with_profit), "customer_id", TWINS[:2], "customer_id", TWINS[2])
+
+
+def twin_dim(t: Tables) -> DataFrame:
+    """``customer_dim`` with the twins."""
+    both = _again(customer_dim(t).withColumn("first", F.col("customer_id")), "customer_id", TWINS[:2],
+                  "customer_id", TWINS[2])
+    twin = F.col("customer_id") != F.col("first")
+    return both.withColumn("customer_name", F.concat("customer_name", F.when(twin, TWINS[3]).otherwise(""))).drop("first")
+
+
+def repeated_lines(t: Tables) -> DataFrame:
+    """``sales_lines`` with lines that were entered twice, whose sales tie."""
+    return _again(sales_lines(t), "order_id", REPEATED[:2], "line_no", REPEATED[2])
+
+
+def drifting_sales(t: Tables) -> DataFrame:
+    """Sales lines with the customer attributes that they show: some customers change their segment and
+    back, and some of their orders show another region than the rest of the day."""
+    mod, rem, first, second, name, order_mod, order_rem = DRIFT
+    lines = sales_lines(t).join(customer_dim(t).select("customer_id", "segment", "region"), "customer_id")
+    moves = _key_is("customer_id", (mod, rem))
+    away = moves & (F.col("order_date") >= F.lit(first).cast("date")) & (F.col("order_date") < F.lit(second).cast("date"))
+    odd = moves & _key_is("order_id", (order_mod, order_rem))
+    return lines.withColumns({"segment": F.when(away, F.lit(name)).otherwise(F.col("segment")),
+                              "region": F.when(odd, F.upper(F.concat("region", F.lit("*")))).otherwise(F.col("region"))})
+
+
 def customer_dim(t: Tables) -> DataFrame:
     c = t.customer("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = t.nation("n_nationkey", "n_name", "n_regionkey")

@@ -9,6 +9,7 @@ from tallyspark.operators import clean as C
 from tallyspark.operators import profile as P
 from tallyspark.operators import quality as Q
 from tallyspark.sources import files as FS
+from tallyspark.sources import versions as V
 from tallyspark.session import scratch_root
 
 
@@ -111,13 +112,13 @@ def test_publish_is_all_or_nothing(spark):
     root = scratch_root(spark)
     base = scratch_root(spark)
     spark.range(10).withColumnRenamed("id", "k").write.parquet(base)
-    FS.register_base(spark, root, "t", base)
+    V.register_base(spark, root, "t", base)
     checks = lambda cur, batch: Q.run_suite(cur["t"], "t", [Q.Rule("k_unique", "unique", "k")])
-    ok = FS.publish(spark, root, {"t": spark.range(10, 15).withColumnRenamed("id", "k")}, checks)
-    assert ok["published"] and FS.resolve(spark, root, "t").count() == 15
-    bad = FS.publish(spark, root, {"t": spark.range(0, 3).withColumnRenamed("id", "k")}, checks)
+    ok = V.publish(spark, root, {"t": spark.range(10, 15).withColumnRenamed("id", "k")}, checks)
+    assert ok["published"] and V.resolve(spark, root, "t").count() == 15
+    bad = V.publish(spark, root, {"t": spark.range(0, 3).withColumnRenamed("id", "k")}, checks)
     assert not bad["published"] and bad["violations"] == 6  # three keys, two rows each
-    assert FS.resolve(spark, root, "t").count() == 15  # readers never see the rejected batch
+    assert V.resolve(spark, root, "t").count() == 15  # readers never see the rejected batch
 
 
 def test_partitioned_write_prunes(spark):
@@ -192,20 +193,20 @@ def test_guarded_copy_of_csv_leaves_the_schema_alone(spark):
 
 def test_commits_are_numbered_folded_and_checked(spark, monkeypatch):
     import pytest
-    monkeypatch.setattr(FS, "FOLD_AFTER", 4)
+    monkeypatch.setattr(V, "FOLD_AFTER", 4)
     root, base = scratch_root(spark), scratch_root(spark)
     spark.range(10).write.parquet(base)
-    FS.register_base(spark, root, "t", base)
-    FS.register_base(spark, root, "t", base)    # again: nothing changes
-    assert FS.resolve(spark, root, "t").count() == 10
+    V.register_base(spark, root, "t", base)
+    V.register_base(spark, root, "t", base)    # again: nothing changes
+    assert V.resolve(spark, root, "t").count() == 10
     for i in range(5):
-        FS.publish(spark, root, {"t": spark.range(100 + i, 101 + i)})
-    assert FS.resolve(spark, root, "t").count() == 15
-    last, state = FS._manifest(spark, root)
-    FS.publish(spark, root, {}, replaces={"t": spark.range(3)})
-    assert FS.resolve(spark, root, "t").count() == 3
-    with pytest.raises(FS.Conflict):             # this writer has not seen the replacement
-        FS._commit(spark, root, last, state, {"t": (base, False)})
+        V.publish(spark, root, {"t": spark.range(100 + i, 101 + i)})
+    assert V.resolve(spark, root, "t").count() == 15
+    last, state = V.manifest(spark, root)
+    V.publish(spark, root, {}, replaces={"t": spark.range(3)})
+    assert V.resolve(spark, root, "t").count() == 3
+    with pytest.raises(V.Conflict):             # this writer has not seen the replacement
+        V.commit(spark, root, last, state, {"t": V.Change(base)})
 
 
 def test_unique_means_the_same_in_suite_and_split(spark):

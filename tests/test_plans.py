@@ -58,11 +58,11 @@ def test_top_order_uses_aggregate_not_window(spark):
 def test_the_job_that_writes_the_dashboard_totals(spark):
     """Each table is read once, and the totals are moved once more: into sales order."""
     from tallyspark.operators.ranking import ordered_plan
-    from tallyspark.plans.sales import BY_LEVEL
+    from tallyspark.plans.sales import BY_SALES
     from tallyspark.session import plan_text
     from tallyspark.sources import standins as S
     from tallyspark.sources.tables import Tables
-    p = plan_text(ordered_plan(S.customer_sales(Tables(spark, SF), with_profit=True), BY_LEVEL), "simple")
+    p = plan_text(ordered_plan(S.twin_sales(Tables(spark, SF), with_profit=True), BY_SALES), "simple")
     assert p.count("FileScan parquet") == 3
     assert p.count("Exchange rangepartitioning") == 1 and "SinglePartition" not in p
 
