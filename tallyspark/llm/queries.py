@@ -8,11 +8,13 @@ from tallyspark.llm import (
     line_dedup,
     mixing,
     packing,
+    phrases,
     quality_rules,
     simhash_dedup,
     suffix_tree,
     token_alignment,
     token_counts,
+    toxicity,
     warc,
 )
 
@@ -28,9 +30,12 @@ QUERIES = {
     "op9_html_extraction": html_extraction.op9_html_extraction,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op11_token_alignment": token_alignment.op11_token_alignment,
+    "op12_phrase_mining": phrases.op12_phrase_mining,
+    "op13_toxicity": toxicity.op13_toxicity,
 }
 
 ORACLE = {
     "op2_quality_rules": quality_rules.ORACLE_SQL,
     "op10_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op12_phrase_mining": phrases.ORACLE_SQL,
 }
