@@ -20,9 +20,6 @@ of their own; an empty table gives no pieces; extra columns are ignored.
 
 from __future__ import annotations
 
-import base64
-import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyspark.llm.bpe_words import ByteBpe
 from tallyspark.llm.text import text_key
 from tallyspark.operators.materialize import materialize
 
@@ -40,10 +38,9 @@ END_ID = 0
 DEPTH = 3
 STEPS = 300          # projected gradient steps of the least squares
 BUCKETS = 4096         # row buckets in which a length's pieces are ranked
-CACHE_WORDS = 400_000
-BLANK_PIECE = "\u0120"   # fixed value: how the vocabulary writes a blank
-LOOSE_BLANKS = re.compile(r" [\s\u180e]|[\s\u180e] |^\s|\s$")
-NOT_LATIN = re.compile("[^\u0000-\u024f]")
+CACHE_BYTES = 1 << 27     # of words and their ids that a worker remembers
+ENTRY_BYTES = 200         # what an entry of the cache takes besides
+NEW_WORDS = 1 << 14       # words that are encoded together
 # How far the two smaller lengths of a combination of three lie apart; fixed values that keep
 # the combinations few enough for whole repeat counts.
 SPREADS = (0, 2, 6, 20, 62, 200, 632)
@@ -52,66 +49,55 @@ SPREADS = (0, 2, 6, 20, 62, 200, 632)
 class Encoder:
     """Ids of the ``tokenizers`` library for whole texts, as little-endian unsigned 32-bit.
 
-    The byte-level pattern never joins a word with the blank after it, so a text whose blanks are
-    all single is the concatenation of its words, each with the blank before it; words seen
-    before come from a bounded cache, new ones are encoded together and told apart by the tokens
-    that begin with a blank.  Any other text, and one that holds a special string, is encoded in
-    one call.  Where the same vocabulary is also given as ranks, new words of Latin letters,
-    digits and marks (whose classes every library agrees on) are merged by them, which is several
-    times faster and gives the same ids."""
-
-    def __init__(self, path: str, ranks: str | None = None):
-        from tokenizers import Tokenizer
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+    Texts whose blanks all stand alone are encoded word by word (``bpe_words``): words seen before come
+    from a cache of bounded bytes, the new ones of many texts are encoded together.  All other
+    texts, and those that hold a special string, are encoded whole."""
+
+    def __init__(self, path: str):
+        self.bpe = ByteBpe(path)
         self.cache: dict[str, bytes] = {}
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.begins = np.zeros(max(vocab.values()) + 1, bool)
-        self.begins[[i for piece, i in vocab.items() if piece.startswith(BLANK_PIECE)]] = True
-        self.merger = None
-        if ranks is not None:
-            import public_tokenizers
-            import tiktoken
-            with open(ranks, "rb") as lines:
-                pairs = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            self.merger = tiktoken.Encoding("latin", pat_str=public_tokenizers.PATTERN,
-                                            mergeable_ranks=pairs, special_tokens={})
-
-    def plain(self, text: str) -> np.ndarray:
-        if self.merger is not None and not NOT_LATIN.search(text):
-            return np.array(self.merger.encode_ordinary(text), "<u4")
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        self.size = 0
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        single = len(text.split()) == text.count(" ") + text.count("\n") + 1 and "\u180e" not in text
-        if not single and LOOSE_BLANKS.search(text) or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        first, *rest = text.split(" ")
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        split = [t.split(" ") if t and self.bpe.wordwise(t) else None for t in texts]
         cache = self.cache
-        new = {w for w in rest if w not in cache}
-        if len(cache) + len(new) > CACHE_WORDS:
-            cache.clear()
-            new = set(rest)
-        if new:
-            ids = self.plain(" " + " ".join(new))
-            ends = [*(4 * np.flatnonzero(self.begins[ids])).tolist(), 4 * len(ids)]
-            data = ids.tobytes()
-            for w, start, end in zip(new, ends, ends[1:]):
-                cache[w] = data[start:end]
-        return self.plain(first).tobytes() + b"".join([cache[w] for w in rest])
+        new = list({w for words in split if words for w in words[1:] if w not in cache})
+        own = {}
+        for at in range(0, len(new), NEW_WORDS):
+            part = new[at:at + NEW_WORDS]
+            ids, starts = self.bpe.words(part)
+            data, starts = ids.tobytes(), (4 * starts).tolist()
+            own.update(zip(part, [data[a:b] for a, b in zip(starts, starts[1:])]))
+        # the first word has no blank before it
+        whole = iter(self.bpe.wholes([t if words is None else words[0] for t, words in zip(texts, split)]))
+        out = []
+        for words in split:
+            first = next(whole).tobytes()
+            out.append(first if words is None else
+                       first + b"".join([own[w] if w in own else cache[w] for w in words[1:]]))
+        self._remember(own)
+        return out
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_many([text])[0]
+
+    def _remember(self, own: dict[str, bytes]) -> None:
+        size = sum(map(len, own)) + sum(map(len, own.values())) + ENTRY_BYTES * len(own)
+        if self.size + size > CACHE_BYTES:
+            self.cache, self.size = {}, 0
+        if size <= CACHE_BYTES:
+            self.cache.update(own)
+            self.size += size
 
 
 @lru_cache(maxsize=1)
-def encoder_of(path: str, ranks: str | None = None) -> Encoder:
+def encoder_of(path: str) -> Encoder:
     """One a worker process, which runs many tasks."""
-    return Encoder(path, ranks)
+    return Encoder(path)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-           window: int = WINDOW, ranks: str | None = None) -> DataFrame:
+           window: int = WINDOW) -> DataFrame:
     """One row per piece: id, key, start, length, crc, doc_tokens, tail (ids of a piece shorter
     than the window, little-endian unsigned 32-bit)."""
     rows = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"),
@@ -120,13 +106,13 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
               "crc long, doc_tokens long, tail binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = encoder_of(tokenizer_path, ranks), np.array([END_ID], "<u4").tobytes()
+        encoder, end = encoder_of(tokenizer_path), np.array([END_ID], "<u4").tobytes()
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
                 of, start, length, crc, total, tail = [], [], [], [], [], []
-                for i, text in enumerate(part.column("text").to_pylist()):
-                    ids = encoder.encode(text) + end
+                for i, ids in enumerate(encoder.encode_many(part.column("text").to_pylist())):
+                    ids += end
                     n = len(ids) // 4
                     for s in range(0, n, window):
                         piece = ids[4 * s:4 * (s + window)]
@@ -314,9 +300,9 @@ def ranked(rows: DataFrame) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-         window: int = WINDOW, ranks: str | None = None) -> DataFrame:
+         window: int = WINDOW) -> DataFrame:
     """One row per packed piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    rows = materialize(pieces(docs, tokenizer_path, id_col, text_col, window, ranks))
+    rows = materialize(pieces(docs, tokenizer_path, id_col, text_col, window))
     histogram = np.zeros(window + 1, np.int64)
     for r in rows.groupBy("length").count().collect():  # at most ``window`` rows
         histogram[r["length"]] = r["count"]
@@ -347,6 +333,5 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    packed = pack(docs, public_tokenizers.path("byte_bpe_50k.json"),
-                  ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    packed = pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return packed.withColumnRenamed("id", "doc_id")

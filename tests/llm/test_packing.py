@@ -151,4 +151,30 @@ def test_ids_of_the_documents_table():
         test_special_strings_and_loose_blanks(text)
 
 
-ENCODERS = [P.Encoder(PATH), P.Encoder(PATH, public_tokenizers.path("byte_bpe_50k.tiktoken"))]
+BLANKS = [" ", "  ", "\t", "\t\t", "\xa0", " \xa0", "\xa0 ", "\n", "\n\n", " \n", "\r\n", "\u2003", "\x85", "\u180e", "\x1c"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["one", "42", "the", "é", "it's", "!", "x1", "日本"]), st.sampled_from(BLANKS)),
+                max_size=12))
+def test_mixed_blanks(parts):
+    test_special_strings_and_loose_blanks("".join(word + blank for word, blank in parts))
+
+
+@pytest.mark.parametrize("text", ["one \xa0 \xa0 two three\t\tfour\xa0five", "thecat \xa0 \xa0 cat 42\t\t\tacat\xa042"])
+def test_blanks_whose_counts_cancel(text):
+    test_special_strings_and_loose_blanks(text)
+
+
+def test_many_texts_at_once_and_a_small_cache(monkeypatch):
+    monkeypatch.setattr(P, "CACHE_BYTES", 2000)
+    monkeypatch.setattr(P, "NEW_WORDS", 3)
+    texts = ["", "a b c d e f g", " lead", "a b", "b <|endoftext|> a", "long words here again", "a b c", "x  y"] * 3
+    encoder = P.Encoder(PATH)
+    for _ in range(2):
+        got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_many(texts)]
+        assert got == [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encoder.size <= 2000
+
+
+ENCODERS = [P.Encoder(PATH)]
