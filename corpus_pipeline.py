@@ -37,8 +37,7 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces in windows (operator 8)."""
-    packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"),
-                          ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return packed.withColumnRenamed("id", "doc_id")
 
 
