@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.operators.profile import (INTEGRAL, column_mean, counted_value_counts,
-                                         exact_quantiles_multi, is_numeric, top_values)
+from tallyspark.operators.profile import INTEGRAL, bracketed_quantiles, column_mean, is_numeric, top_values
 
 
 def coerce_numeric(df: DataFrame, cols, to: str = "double") -> DataFrame:
@@ -55,20 +54,15 @@ def impute_mean(df: DataFrame, cols, decimals: int = 2, int_mode: str = "half_up
 
 
 def impute_median(df: DataFrame, cols, int_mode: str = "widen") -> DataFrame:
-    """Fill NULLs with the exact (interpolated) median, computed distributedly: one value
-    count of all listed columns (written once, read by the position lookup), one shared
-    ordering for all medians, then a one-row frame of fill values.  Integer columns become
-    DOUBLE, since a median may lie between two values; ``int_mode='truncate'`` keeps their
-    type and drops the fraction."""
+    """Fill NULLs with the exact (interpolated) median in the column's own type: DECIMAL medians are
+    DECIMAL arithmetic.  Integer columns become DOUBLE, since a median may lie between two
+    values; ``int_mode='truncate'`` keeps their type and drops the fraction."""
     types = dict(df.dtypes)
+    fills = {c: v for (c, _), v in bracketed_quantiles(df, cols).items()}
     if int_mode == "widen":
         df = df.withColumns({c: F.col(c).cast("double") for c in cols if types[c] in INTEGRAL})
-        types = dict(df.dtypes)
-    vc, counts = counted_value_counts(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), cols)
-    med = exact_quantiles_multi(vc, counts, (0.5,))
-    stats = med.agg(*[F.max(F.when(F.col("column_name") == c, F.col("q50")))
-                      .cast(types[c]).alias(f"__fill_{c}") for c in cols])
-    return _fill_from(df, stats, cols)
+    now = dict(df.dtypes)
+    return df.withColumns({c: F.coalesce(F.col(c), fills[c].cast(now[c])) for c in cols})
 
 
 def impute_approx_median(df: DataFrame, cols, accuracy: int = 1_000_000) -> DataFrame:

@@ -245,6 +245,76 @@ def exact_quantiles_multi(vc: DataFrame, counts: dict, qs=(0.25, 0.5, 0.75)) ->
     return picked.groupBy("column_name").agg(*aggs)
 
 
+BRACKET = 10_000         # accuracy of the approximate quantiles that bracket an exact one
+BRACKET_SLACK = 2.0      # how many times their error the bracket reaches to either side
+
+
+def bracketed_quantiles(df: DataFrame, cols, qs=(0.5,)) -> dict[tuple[str, float], Column]:
+    """The exact interpolated quantiles of the columns as literals in the column's own type (integers: DOUBLE;
+    DECIMAL stays DECIMAL, half-up); NULL where a column has no value.
+
+    Approximate quantiles bracket each wanted position (one aggregate for all columns); a second pass
+    counts the rows below the brackets and the values inside them, a few rows in BRACKET, and
+    only those are ordered.  A bracket that misses its positions is widened."""
+    from tallyspark.operators.materialize import materialize_observed
+    from tallyspark.operators.ranking import weighted_positions
+
+    types, out, slack = dict(df.dtypes), {}, BRACKET_SLACK / BRACKET
+    slots = sorted({types[c] for c in cols})
+    todo = [(c, q) for c in cols for q in qs]
+    while todo:
+        ends = df.agg(*[F.count(c).alias(f"n{i}") for i, (c, _) in enumerate(todo)],
+                      *[F.percentile_approx(c, [max(0.0, q - slack), min(1.0, q + slack)], BRACKET).alias(f"b{i}")
+                        for i, (c, q) in enumerate(todo)]).first()
+        items, brackets = [], []
+        for i, (c, q) in enumerate(todo):
+            if not ends[f"n{i}"]:
+                out[c, q] = F.lit(None).cast("double" if types[c] in INTEGRAL else types[c])
+                continue
+            brackets.append(i)
+            low, high = (F.lit(x).cast(types[c]) for x in ends[f"b{i}"])
+            # all rows below the bracket are one value, NULL; at either end it is open
+            under = F.col(c) < low if q > slack else F.lit(False)
+            values = [(F.when(~under, F.col(c)) if types[c] == t else F.lit(None).cast(t)).alias(_slot(t)) for t in slots]
+            items.append(F.when(F.col(c) <= high if q + slack < 1 else F.col(c).isNotNull(), F.struct(F.lit(i).alias("k"), under.alias("under"), *values)))
+        if not items:
+            break
+        names = [_slot(t) for t in slots]
+        inside, held = materialize_observed(
+            df.select(F.inline(F.array(*items))).filter("k IS NOT NULL").groupBy("k", "under", *names)
+            .agg(F.count(F.lit(1)).alias("freq")),
+            *[F.sum(F.when((F.col("k") == i) & (F.col("under") == u), F.col("freq"))).alias(f"{'u' if u else 'n'}{i}")
+              for i in brackets for u in (True, False)])
+        inside = inside.filter(~F.col("under")).drop("under")
+        wanted, missed, base = {}, [], 0
+        for i in brackets:
+            c, q = todo[i]
+            first, inner, at = held[f"u{i}"] or 0, held[f"n{i}"] or 0, (ends[f"n{i}"] - 1) * q
+            lo, hi = int(at), int(at) + (at > int(at))
+            if first <= lo and hi < first + inner:
+                wanted[i] = (base + lo - first + 1, base + hi - first + 1, at - lo)
+            else:
+                missed.append((c, q))
+            base += inner
+        spans = weighted_positions(inside, ["k", *names], "freq", [p for w in wanted.values() for p in w[:2]]).collect() \
+            if wanted else []       # at most two rows a quantile
+        for i, (lo, hi, share) in wanted.items():
+            kind = types[todo[i][0]]
+            a, b = (F.lit(next(r[_slot(kind)] for r in spans if r["_start"] <= p <= r["_end"])) for p in (lo, hi))
+            out[todo[i]] = _between(a, b, share, kind)
+        todo, slack = missed, slack * 8
+    return out
+
+
+def _between(a: Column, b: Column, share: float, kind: str) -> Column:
+    """The point that divides a and b by ``share``."""
+    if kind.startswith("decimal"):
+        a, b = a.cast(kind), b.cast(kind)
+        return (a + (b - a) * F.lit(repr(round(share, 6))).cast("decimal(7,6)")).cast(kind)
+    return (a.cast("double") + (b.cast("double") - a.cast("double")) * F.lit(float(share))).cast(
+        "double" if kind in INTEGRAL else kind)
+
+
 def counted_value_counts(df: DataFrame, cols) -> tuple[DataFrame, dict]:
     """``value_counts`` written once to the shared scratch folder (several jobs read it), with
     every column's non-NULL count observed during that write.  Returns (table, counts)."""

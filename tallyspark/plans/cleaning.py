@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from tallyspark.functions.money import money
 from tallyspark.operators import clean as C
 from tallyspark.operators import profile as P
+from tallyspark.operators.materialize import materialize
 from tallyspark.session import scratch_root
 from tallyspark.sources import files as FS
 from tallyspark.sources import standins as S
@@ -61,7 +62,8 @@ def clean_orders(spark, sf_dir) -> DataFrame:
     """load CSV -> coerce -> median fill (price, quantity) -> mode fill (status, category) -> drop
     exact duplicates -> price and category filters -> total_amount -> save -> read back."""
     raw = FS.read_csv(spark, _raw_file(spark, sf_dir), schema=RAW_SCHEMA)
-    typed = C.coerce_numeric(raw, ["price"])
+    # parsed once: the fill values and the result are read from the typed rows
+    typed = materialize(C.coerce_numeric(raw, ["price"]))
     filled = C.impute_mode(C.impute_median(typed, ["price", "quantity"]), ["status", "category"])
     kept = C.dedup_exact(filled).filter((F.col("price") > MIN_PRICE) & (F.col("category") != "5-LOW"))
     amount = F.round(F.col("price").cast("decimal(18,4)") * F.col("quantity").cast("decimal(10,1)"), 2)

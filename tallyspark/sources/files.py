@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,20 +38,46 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, null_value: s
     w.csv(path)
 
 
-def csv_reader(spark: SparkSession, null_value: str = "", mode: str = "PERMISSIVE"):
-    """Values may hold line breaks, so a file is read by one task; the writer bounds the files."""
+def csv_reader(spark: SparkSession, null_value: str = "", mode: str = "PERMISSIVE", multi_line: bool = True):
+    """With ``multi_line`` values may hold line breaks and a file is read by one task; without, files are
+    split."""
     return spark.read.options(**CSV).option("nullValue", null_value).option("emptyValue", "") \
-        .option("mode", mode).option("multiLine", True)
+        .option("mode", mode).option("multiLine", multi_line)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             infer: bool = False, null_value: str = "", mode: str = "PERMISSIVE") -> DataFrame:
-    r = csv_reader(spark, null_value, mode)
-    if schema is not None:
-        r = r.schema(schema)
-    elif infer:
-        r = r.option("inferSchema", True)
-    return r.csv(path)
+def line_break_files(spark: SparkSession, path: str) -> dict[str, bool]:
+    """For every file under ``path``: whether a value may hold a line break.  A record that goes on in the
+    next line leaves an odd number of quotes in the line that it begins in (a quote inside a value
+    is doubled), so a file whose lines all have an even number has none.  One pass over text splits."""
+    lines = spark.read.option("lineSep", CSV["lineSep"]).text(path)
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit(CSV["quote"]), F.lit("")))
+    per_file = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.max(quotes % 2).alias("odd"))
+    return {unquote(r["file"]): r["odd"] == 1 for r in per_file.collect()}      # a row a file
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, infer: bool = False,
+             null_value: str = "", mode: str = "PERMISSIVE", multi_line: bool | None = None) -> DataFrame:
+    """Files without line breaks inside values are read in splits, the others whole; ``multi_line`` says so
+    for all files and spares the pass that finds out."""
+    def read(whole: bool, paths) -> DataFrame:
+        r = csv_reader(spark, null_value, mode, whole)
+        if schema is not None:
+            r = r.schema(schema)
+        elif infer:
+            r = r.option("inferSchema", True)
+        if paths != [path] and file_system(spark, path)[0].getFileStatus(file_system(spark, path)[1]).isDirectory():
+            r = r.option("basePath", path)
+        return r.csv(paths)
+
+    if multi_line is not None:
+        return read(multi_line, [path])
+    broken = line_break_files(spark, path)
+    if not any(broken.values()) or all(broken.values()):
+        return read(any(broken.values()), [path])
+    if schema is None:      # one inference over all files
+        return read(True, [path])
+    return read(False, sorted(f for f, b in broken.items() if not b)).unionByName(
+        read(True, sorted(f for f, b in broken.items() if b)))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by=None) -> None:
@@ -134,11 +161,9 @@ def guarded_copy(spark: SparkSession, src: str, dst: str, fmt: str = "parquet",
                 "rows_skipped": 0, "files_read": 0, "files_written": 0, "bytes_read": 0,
                 "bytes_written": 0}
     if fmt == "csv":
-        reader = csv_reader(spark)
-        if schema is not None:
-            with_bad = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-            reader = reader.schema(with_bad).option("columnNameOfCorruptRecord", "_corrupt_record")
-        data = reader.csv(src)
+        # a field of this name takes the text of records that don't fit
+        with_bad = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())]) if schema else None
+        data = read_csv(spark, src, with_bad)
     else:
         data = spark.read.parquet(src)
     obs = Observation("copy")

@@ -274,3 +274,59 @@ def test_median_of_integers_may_lie_between_two(spark):
     df = spark.createDataFrame([(2,), (3,), (None,)], "n int")
     assert sorted(r["n"] for r in C.impute_median(df, ["n"]).collect()) == [2.0, 2.5, 3.0]
     assert sorted(r["n"] for r in C.impute_median(df, ["n"], int_mode="truncate").collect()) == [2, 2, 3]
+
+
+def test_medians_in_the_columns_own_type(spark):
+    from decimal import Decimal as D
+    wide = spark.createDataFrame([(D("90071992547409930.1"),), (D("90071992547409930.3"),), (None,)], "m decimal(20,1)")
+    assert sorted(r["m"] for r in C.impute_median(wide, ["m"]).collect())[1] == D("90071992547409930.2")
+    rows = [(i % 7 or None, D(i) / 4, float(i * i % 101), None) for i in range(4001)]
+    df = spark.createDataFrame(rows, "a int, b decimal(12,2), c double, d double").repartition(5)
+    got = P.bracketed_quantiles(df, ["a", "b", "c", "d"], (0.25, 0.5, 0.9))
+    one = spark.range(1).select(*[v.cast("double").alias(f"{c}{q}") for (c, q), v in got.items()]).first()
+    for i, c in enumerate("abc"):
+        values = sorted(float(r[i]) for r in rows if r[i] is not None)
+        for q in (0.25, 0.5, 0.9):
+            at = (len(values) - 1) * q
+            want = values[int(at)] + (values[min(int(at) + 1, len(values) - 1)] - values[int(at)]) * (at - int(at))
+            assert abs(one[f"{c}{q}"] - want) < 0.011, (c, q)
+    assert one["d0.5"] is None
+    assert P.bracketed_quantiles(df.limit(0), ["a"]) and P.bracketed_quantiles(df, []) == {}
+
+
+def test_a_missed_bracket_is_widened(spark, monkeypatch):
+    monkeypatch.setattr(P, "BRACKET", 10)
+    monkeypatch.setattr(P, "BRACKET_SLACK", 0.001)
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
+    (value,) = P.bracketed_quantiles(df, ["x"]).values()
+    assert spark.range(1).select(value).first()[0] == 499.5
+
+
+def test_csv_without_line_breaks_is_read_in_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        one, other = scratch_root(spark), scratch_root(spark)
+        df = spark.range(20_000).select("id", F.concat(F.lit('a "quoted", text '), F.col("id")).alias("t")).coalesce(1)
+        FS.write_csv(df, one)
+        assert list(FS.line_break_files(spark, one).values()) == [False]
+        back = FS.read_csv(spark, one, schema=df.schema, mode="FAILFAST")
+        assert back.rdd.getNumPartitions() > 3 and back.count() == 20_000
+        assert back.exceptAll(df).count() == 0
+        FS.write_csv(df.filter("id < 3").withColumn("t", F.concat("t", F.lit("\nx"))), other)
+        assert list(FS.line_break_files(spark, other).values()) == [True]
+        both = FS.read_csv(spark, scratch_folder_of(spark, one, other), schema=df.schema, mode="FAILFAST")
+        assert both.count() == 20_003 and both.filter("t LIKE '%\nx'").count() == 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def scratch_folder_of(spark, *folders):
+    """One folder with the files of several."""
+    import shutil
+    out = scratch_root(spark).removeprefix("file://")
+    os.makedirs(out)
+    for i, folder in enumerate(folders):
+        for name in os.listdir(folder.removeprefix("file://")):
+            if name.startswith("part-"):
+                shutil.copy(os.path.join(folder.removeprefix("file://"), name), os.path.join(out, f"part-{i}-{name}"))
+    return out
