@@ -17,6 +17,7 @@ import numpy as np
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 BREAK, OTHER, SIZE = 0, 27, 28      # a break between words, any other letter, letters in all
+CONTEXTS = SIZE ** 3                # what three letters can be
 CELLS = SIZE ** 4                   # counts of the character model, whatever the corpus
 # Costs of the channel (natural logarithms of how unlikely the writer's step is); fixed values.
 LEET, DOUBLE, REPEAT, DROP, SPLIT, MARK = 2.0, 2.5, 1.0, 2.0, 0.5, 1.5
@@ -113,6 +114,12 @@ class Restorer:
             ways = options.get((c, n))
             if ways is None:
                 ways = options[c, n] = readings(c, n)
+            if len(ways) == 1 and len(states) == 1:         # nothing to choose
+                ((code, letter),), step = ways[0]
+                ((at, (so_far, path)),) = states.items()
+                at = at * SIZE + code
+                states = {at % CONTEXTS: (so_far + step + cost[at], (letter, path))}
+                continue
             then: dict[int, tuple] = {}
             for at, (so_far, path) in states.items():
                 for letters, step in ways:
@@ -123,8 +130,9 @@ class Restorer:
                                 total += cost[last * SIZE]
                                 last, way = 0, (" ", way)
                         else:
-                            total += cost[last * SIZE + code]
-                            last, way = (last * SIZE + code) % (SIZE ** 3), (letter, way)
+                            last = last * SIZE + code
+                            total += cost[last]
+                            last, way = last % CONTEXTS, (letter, way)
                     if last not in then or total < then[last][0]:
                         then[last] = (total, way)
             states = then

@@ -19,6 +19,7 @@ toxic ones (0.5 without any); an empty table gives an empty result; extra column
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -37,7 +38,7 @@ LEAST_DOCS = 3               # toxic documents that hold a candidate word
 LEAST_DEVIANCE = 8.0         # twice the log likelihood ratio that a word has to reach, beyond the
 #                              largest that chance brings among V words, 2 log V
 RIDGE = 0.02
-CACHED = 400_000             # units whose restoration a task remembers
+CACHED = 400_000             # units whose restoration a worker remembers
 CACHED_LENGTH = 64
 
 
@@ -84,13 +85,25 @@ class Reader:
         return out
 
 
+_reader: dict[bytes, Reader] = {}
+
+
+def reader_of(cost: np.ndarray) -> Reader:
+    """One a worker process, which runs many tasks."""
+    key = hashlib.blake2b(cost.tobytes()).digest()
+    if key not in _reader:
+        _reader.clear()
+        _reader[key] = Reader(cost)
+    return _reader[key]
+
+
 def restored_words(docs: DataFrame, cost: np.ndarray) -> DataFrame:
     """``docs`` (id, text, more columns) with the array of its different restored words instead of the text."""
     kept = [f for f in docs.schema.fields if f.name != "text"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", words array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(cost)
+        reader = reader_of(cost)
         for b in batches:
             for at in range(0, b.num_rows, 64):
                 part = b.slice(at, 64)
@@ -190,7 +203,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     schema = f"id {rows.schema['id'].dataType.simpleString()}, score double, words array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, weights = Reader(model.cost), model.weights
+        reader, weights = reader_of(model.cost), model.weights
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
