@@ -13,10 +13,13 @@ A CHECK-style predicate passes on NULL (SQL semantics): only ``pred IS FALSE`` c
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.operators.materialize import materialize
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -93,35 +96,43 @@ def run_suite(df: DataFrame, table: str, rules) -> DataFrame:
                       F.when(F.col("violations") == 0, "PASS").otherwise("FAIL").alias("status"))
 
 
-def split_valid(df: DataFrame, rules, key=None) -> DataFrame:
-    """Tag every row with the names of the rules it breaks (``reject_reason``, NULL when
-    the row is accepted).  Uniqueness uses an aggregate by key joined back; foreign keys
-    a left join against the distinct parent keys -- both shuffle-based and skew-tolerant
-    (AQE splits a hot key)."""
-    out = df
-    reasons = []
-    for i, r in enumerate(rules):
-        if r.kind in ROW_KINDS:
-            reasons.append(F.when(row_violation(r), F.lit(r.name)))
-        elif r.kind == "unique":
-            keys = [r.column] if isinstance(r.column, str) else list(r.column)
-            counts = duplicate_keys(df, keys).withColumnRenamed("cnt", f"__u{i}")
-            out = out.join(counts, keys, "left")
-            reasons.append(F.when(F.col(f"__u{i}") > 1, F.lit(r.name)))
-        elif r.kind == "new_key":
-            stored = r.parent[0].select(F.col(r.parent[1]).alias(f"__sk{i}")).distinct()
-            out = out.join(stored, out[r.column] == stored[f"__sk{i}"], "left")
-            reasons.append(F.when(F.col(f"__sk{i}").isNotNull(), F.lit(r.name)))
-        elif r.kind == "foreign_key":
-            parent_df, parent_col = r.parent
-            pk = parent_df.select(F.col(parent_col).alias(f"__fk{i}")).distinct() \
-                .withColumn(f"__fkok{i}", F.lit(True))
-            out = out.join(pk, out[r.column] == pk[f"__fk{i}"], "left")
-            reasons.append(F.when(F.col(r.column).isNotNull() & F.col(f"__fkok{i}").isNull(),
-                                  F.lit(r.name)))
-    reason = F.concat_ws(";", F.array_compact(F.array(*reasons)))
-    tmp = [c for c in out.columns if c.startswith("__")]
-    return out.withColumn("reject_reason", F.when(reason == "", None).otherwise(reason)).drop(*tmp)
+def _breaking(rows: DataFrame, rule: Rule) -> DataFrame:
+    """The ``__row`` of the rows that break a rule on keys; only the rule's columns move."""
+    keys = [rule.column] if isinstance(rule.column, str) else list(rule.column)
+    narrow = rows.select("__row", *keys)
+    if rule.kind == "unique":
+        return narrow.join(duplicate_keys(narrow, keys).select(*keys), keys, "left_semi").select("__row")
+    if rule.kind == "new_key":
+        stored = rule.parent[0].select(F.col(rule.parent[1]).alias("__key")).distinct()
+        return narrow.join(stored, F.col(rule.column) == F.col("__key"), "left_semi").select("__row")
+    if rule.kind == "foreign_key":
+        return orphans(narrow, rule.column, *rule.parent).select("__row")
+    raise ValueError(rule.kind)
+
+
+def split_valid(df: DataFrame, rules) -> DataFrame:
+    """Tag every row with the names of the rules it breaks (``reject_reason``, NULL when the row is
+    accepted).  Row-level rules are expressions.  Rules on keys join their key columns alone, each
+    giving the numbers of the rows that break it; those are put together and joined to the whole
+    rows once, however many rules there are."""
+    own = [F.when(row_violation(r), F.struct(F.lit(i).alias("i"), F.lit(r.name).alias("name")))
+           for i, r in enumerate(rules) if r.kind in ROW_KINDS]
+    found = F.array_compact(F.array(*own)) if own else F.lit(None).cast("array<struct<i:int,name:string>>")
+    keyed = [(i, r) for i, r in enumerate(rules) if r.kind not in ROW_KINDS]
+    rows = df
+    if keyed:
+        # written with its row numbers, which every rule reads
+        rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()))
+        broken = reduce(DataFrame.unionByName, [
+            _breaking(rows, r).select("__row", F.struct(F.lit(i).alias("i"), F.lit(r.name).alias("name")).alias("__why"))
+            for i, r in keyed])
+        per_row = broken.groupBy("__row").agg(F.collect_set("__why").alias("__why"))    # at most a rule each
+        rows = rows.join(per_row, "__row", "left")
+        found = F.concat(F.coalesce(found, F.array().cast("array<struct<i:int,name:string>>")),
+                         F.coalesce("__why", F.array().cast("array<struct<i:int,name:string>>")))
+    names = F.transform(F.array_sort(found), lambda x: x["name"])
+    reason = F.when(F.size(found) > 0, F.array_join(names, ";"))
+    return rows.withColumn("reject_reason", reason).select(*[f"`{c}`" for c in df.columns], "reject_reason")
 
 
 def reconcile(headers: DataFrame, lines: DataFrame, key: str, header_total: str,

@@ -121,6 +121,7 @@ QUERIES = {
     "staged_load_rejected": io_jobs.staged_load_rejected,
     "merge_touched_files": io_jobs.merge_touched_files,
     "load_key_check": io_jobs.load_key_check,
+    "format_measured": io_jobs.format_measured,
     "validate_counts": io_jobs.validate_counts,
     "validate_new_keys": io_jobs.validate_new_keys,
     "table_lifecycle": io_jobs.table_lifecycle,

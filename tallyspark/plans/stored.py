@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions.money import cents, from_cents
 from tallyspark.operators import digest as D
 from tallyspark.operators import history as H
+from tallyspark.operators import lattice as Y
 from tallyspark.operators import sketches as K
 from tallyspark.operators.materialize import materialize
 from tallyspark.plans import incremental as I
@@ -17,6 +18,7 @@ from tallyspark.plans.sales import dashboard
 from tallyspark.session import scratch_root
 from tallyspark.sources import files as FS
 from tallyspark.sources import layout as L
+from tallyspark.sources import ledger as LG
 from tallyspark.sources import standins as S
 from tallyspark.sources.tables import Tables
 
@@ -189,7 +191,91 @@ def sales_by_valid_segment(spark, sf_dir):
         from_cents(F.sum(cents("sales"))).cast("double").alias("total_sales"), F.count(F.lit(1)).alias("n_lines"))
 
 
+# --- types with evidence ----------------------------------------------------------------------------------
+
+def column_types(spark, sf_dir):
+    """The type that the values of each text column agree on."""
+    return Y.chosen(Y.evidence(S.text_orders(Tables(spark, sf_dir))))
+
+
+def column_type_evidence(spark, sf_dir):
+    """For each column and candidate type: the share of values that fit and the smallest that doesn't."""
+    found = Y.evidence(S.text_orders(Tables(spark, sf_dir)))
+    return found.select("column_name", "candidate", "n_values", "n_fit",
+                        F.try_divide("n_fit", "n_values").alias("share"), "example")
+
+
+# --- copy by ledger -----------------------------------------------------------------------------------------
+
+COPY_FILES = 8
+
+
+class Stopped(RuntimeError):
+    """The copy was cut off."""
+
+
+def _copied(spark, sf_dir) -> tuple[str, list[tuple]]:
+    """Five runs over customers in COPY_FILES files: one cut off after its second batch, one that goes on, one with
+    nothing to do, one after a file changed, one after a file went."""
+    customers = Tables(spark, sf_dir).customer()
+    src, dst, runs = scratch_root(spark), scratch_root(spark), []
+    customers.repartitionByRange(COPY_FILES, "c_custkey").write.parquet(src)
+
+    def cut(number):
+        if number == 2:
+            raise Stopped
+    files = sorted(LG.source_files(spark, src))
+    largest = max(size for size, _ in LG.source_files(spark, src).values())
+
+    def run(**kw):
+        before = LG.read_ledger(spark, dst)[0]
+        try:
+            done = LG.sync(spark, src, dst, customers.schema, **kw)
+        except Stopped:
+            done = {"files_copied": LG.read_ledger(spark, dst)[0] - before, "files_left": 0, "files_gone": 0}
+        runs.append((len(runs) + 1, *done.values()))
+    run(batch_bytes=largest, after_batch=cut)
+    run()
+    run()
+    # the last file changes: its customers' balances go up by one
+    fs, last = FS.file_system(spark, files[-1])
+    changed = scratch_root(spark)
+    spark.read.schema(customers.schema).parquet(files[-1]).withColumn("c_acctbal", F.col("c_acctbal") + 1) \
+        .coalesce(1).write.parquet(changed)
+    (part,) = LG.source_files(spark, changed)
+    fs.delete(last, False)
+    fs.rename(FS.file_system(spark, part)[1], last)
+    run()
+    fs.delete(FS.file_system(spark, files[0])[1], False)
+    run()
+    return dst, runs
+
+
+def copy_ledger_runs(spark, sf_dir):
+    """What each run copied, left alone and took out."""
+    _, runs = _copied(spark, sf_dir)
+    return spark.createDataFrame(runs, "run int, files_copied int, files_left int, files_gone int")
+
+
+def copy_ledger(spark, sf_dir):
+    """The copy after the five runs: the rows of the files that are there, each once; how many of them hold the
+    changed balance."""
+    t = Tables(spark, sf_dir)
+    dst, _ = _copied(spark, sf_dir)
+    copy = LG.read_copy(spark, dst, t.customer().schema)
+    was = t.customer("c_custkey", "c_acctbal").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("was"))
+    both = copy.join(was, copy["c_custkey"] == was["k"], "full")
+    return both.agg(F.count("c_custkey").alias("n_rows"), F.count_distinct("c_custkey").alias("n_keys"),
+                    (F.max("k") == F.max(F.when(F.round(F.col("c_acctbal") - F.col("was"), 2) == 1, F.col("k")))).alias("change_seen"),
+                    F.min(F.when(F.col("c_custkey").isNull(), F.col("k"))).alias("first_gone")) \
+        .select(F.col("n_rows") == F.col("n_keys"), "change_seen", "first_gone").toDF("each_once", "change_seen", "first_gone")
+
+
 QUERIES = {
+    "column_types": column_types,
+    "column_type_evidence": column_type_evidence,
+    "copy_ledger_runs": copy_ledger_runs,
+    "copy_ledger": copy_ledger,
     "sketch_months": sketch_months,
     "sketch_range": sketch_range,
     "dashboard_incremental": dashboard_incremental,

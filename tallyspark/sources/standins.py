@@ -141,6 +141,20 @@ def drifting_sales(t: Tables) -> DataFrame:
                               "region": F.when(odd, F.upper(F.concat("region", F.lit("*")))).otherwise(F.col("region"))})
 
 
+def text_orders(t: Tables) -> DataFrame:
+    """Orders as text columns of several types, some with values that don't fit the rest."""
+    key, price = F.col("o_orderkey"), money("o_totalprice").cast("string")
+    day = F.col("o_orderdate").cast("date")
+    return t.orders().select(
+        key.cast("string").alias("whole"), (key * 10_000_000_000).cast("string").alias("large"), price.alias("price"),
+        F.when(key % 3 == 0, F.concat(price, F.lit("e-3"))).otherwise(price).alias("ratio"),
+        F.when(key % 9 == 0, "").otherwise(day.cast("string")).alias("day"),
+        F.date_format(day, "dd/MM/yyyy").alias("day_first"),
+        F.when(key % 997 == 5, "unknown").otherwise(day.cast("string")).alias("dirty_day"),
+        (key % 2 == 0).cast("string").alias("flag"), F.when(key % 991 == 7, "n/a").otherwise(key.cast("string")).alias("dirty"),
+        F.lit(None).cast("string").alias("nothing"))
+
+
 def customer_dim(t: Tables) -> DataFrame:
     c = t.customer("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = t.nation("n_nationkey", "n_name", "n_regionkey")

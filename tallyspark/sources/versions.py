@@ -117,11 +117,11 @@ def commit(spark: SparkSession, root: str, after: int, state: dict[str, Content]
     if number % FOLD_AFTER == 0:     # the whole state: later readers start here
         rows = [_row(number, n, c) for n, content in state.items() if n not in added or not added[n].replaces
                 for c in _folded(content)] + rows
-    _create_once(spark, f"{root}/{MANIFEST}", str(number), "".join(rows))
+    create_once(spark, f"{root}/{MANIFEST}", str(number), "".join(rows))
     return number
 
 
-def _create_once(spark: SparkSession, folder: str, name: str, text: str) -> None:
+def create_once(spark: SparkSession, folder: str, name: str, text: str) -> None:
     """A file with ``text``, which nobody sees before all of it is written; ``Conflict`` if it exists."""
     jvm = spark.sparkContext._jvm
     draft, path = f"{folder}/_draft-{uuid.uuid4().hex}", f"{folder}/{name}"

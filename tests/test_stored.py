@@ -182,3 +182,53 @@ def test_history_against_brute_force(spark):
         assert any(f <= r["day"] and (t is None or r["day"] < t) and s == r["valid_s"] for f, t, s in want[r["k"]])
     p = plan_text(found, "simple")
     assert "NestedLoop" not in p and "Cartesian" not in p
+
+
+def test_type_evidence_merges_and_widens(spark):
+    from tallyspark.operators import lattice as Y
+    a = spark.createDataFrame([("1", "1.5", "2020-01-31", "true"), ("-7", "", None, "FALSE")], "a string, b string, c string, d string")
+    b = spark.createDataFrame([("3000000000", "20.25", "2020-02-30", "x")], a.schema)
+
+    def types(found):
+        return {r["column_name"]: r["type"] for r in Y.chosen(found).collect()}
+    ea, eb = Y.evidence(a), Y.evidence(b)
+    assert types(ea) == {"a": "int", "b": "decimal(2,1)", "c": "date(yyyy-MM-dd)", "d": "boolean"}
+    both = Y.merged(ea, eb)
+    assert types(both) == {"a": "bigint", "b": "decimal(4,2)", "c": "string", "d": "string"}
+    assert types(both) == types(Y.evidence(a.unionByName(b)))
+    why = {(r["column_name"], r["candidate"]): r["example"] for r in both.collect()}
+    assert why["a", "int"] == "3000000000" and why["c", "date(yyyy-MM-dd)"] == "2020-02-30" and why["d", "boolean"] == "x"
+    out = Y.typed(a, types(ea))
+    assert [t for _, t in out.dtypes] == ["int", "decimal(2,1)", "date", "boolean"]
+    assert out.filter("b IS NULL AND c IS NULL").count() == 1
+    huge = spark.createDataFrame([("9" * 30,), ("0.5",)], "a string")
+    assert types(Y.evidence(huge)) == {"a": "decimal(31,1)"}
+    assert types(Y.evidence(spark.createDataFrame([("9" * 30,), ("0." + "1" * 20,)], "a string"))) == {"a": "double"}
+    assert types(Y.evidence(a.limit(0))) == dict.fromkeys("abcd", "string")
+
+
+def test_a_killed_copy_leaves_no_double_rows(spark):
+    from tallyspark.sources import ledger as LG
+    src, dst = scratch_root(spark), scratch_root(spark)
+    spark.range(1000).repartition(5).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    size = max(s for s, _ in LG.source_files(spark, src).values())
+    real, calls = LG.create_once, []
+
+    def fails(spark, folder, name, text):       # the rows of the third batch are written, its entry isn't
+        calls.append(name)
+        if len(calls) == 3:
+            raise RuntimeError("killed")
+        return real(spark, folder, name, text)
+    LG.create_once = fails
+    try:
+        with pytest.raises(RuntimeError, match="killed"):
+            LG.sync(spark, src, dst, schema, batch_bytes=size)
+    finally:
+        LG.create_once = real
+    assert LG.read_copy(spark, dst, schema).count() < 1000
+    done = LG.sync(spark, src, dst, schema, batch_bytes=size)
+    assert done["files_left"] == 2 and done["files_copied"] == 3
+    copy = LG.read_copy(spark, dst, schema)
+    assert copy.count() == 1000 and copy.distinct().count() == 1000
+    assert LG.sync(spark, src, dst, schema) == {"files_copied": 0, "files_left": 5, "files_gone": 0}
