@@ -46,8 +46,10 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
             "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}, "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPE = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select", "datalist"}}
 TABLE_SCOPE = {"table"}
+OUTSIDE = frozenset("html head body frameset".split())     # elements that no body is opened for
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
+GENERIC = frozenset(("div", "section"))
 MARK = "data-content"        # attribute of labelled pages: "1" content, "0" boilerplate
 NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 MOST_MARKS = 2               # more sentences than this say nothing more
@@ -55,13 +57,13 @@ SENTENCE = re.compile(r"[.!?。！？…](?:\s|$)")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "parts", "chars", "link_chars", "links", "marks")
+    __slots__ = ("tag", "attrs", "parent", "children", "parts", "chars", "link_chars", "links", "marks", "own")
 
     def __init__(self, tag: str, attrs: dict, parent):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node] = []
         self.parts: list = []          # text and child nodes in page order
-        self.chars = self.link_chars = self.links = self.marks = 0
+        self.chars = self.link_chars = self.links = self.marks = self.own = 0
 
 
 class TreeBuilder(HTMLParser):
@@ -91,6 +93,8 @@ class TreeBuilder(HTMLParser):
             self.open.pop()
         if tag in ("html", "body") and any(n.tag == tag for n in self.open):
             return
+        if tag not in OUTSIDE:
+            self._in_body()
         parent = self.open[-1]
         node = Node(tag, {k: v or "" for k, v in attrs}, parent)
         parent.children.append(node)
@@ -127,7 +131,19 @@ class TreeBuilder(HTMLParser):
         # the end of a container ends what is open in it; the end of a paragraph stays inside
         self._close(tag, frozenset() if tag != "p" else BLOCK - {"p"})
 
+    def _in_body(self) -> None:
+        """What stands outside of every element is in the body, as in browsers."""
+        if self.open[-1].tag in ("#root", "html"):
+            body = next((n for n in self.open[-1].children if n.tag == "body"), None)
+            if body is None:
+                body = Node("body", {}, self.open[-1])
+                self.open[-1].children.append(body)
+                self.open[-1].parts.append(body)
+            self.open.append(body)
+
     def handle_data(self, data):
+        if not data.isspace():
+            self._in_body()
         self.open[-1].parts.append(data)
 
     def unknown_decl(self, data):
@@ -158,7 +174,8 @@ def measure(nodes: list[Node]) -> None:
             continue
         own = "".join(p for p in node.parts if isinstance(p, str))
         if own and not own.isspace():
-            node.chars += sum(map(len, own.split()))
+            node.own = sum(map(len, own.split()))
+            node.chars += node.own
             node.marks += sum(1 for _ in islice(SENTENCE.finditer(own), MOST_MARKS))
         if node.tag == "a":
             node.link_chars = node.chars
@@ -176,6 +193,8 @@ def features(node: Node) -> list[str]:
     for key in ("class", "id", "role", "aria-label", "itemprop"):
         for word in NAME_WORD.findall(node.attrs.get(key, "")):
             out.append("name=" + word.lower())
+    if node.tag in GENERIC:         # boilerplate in a container without a meaning of its own mostly has a name
+        out.append("bare=" + ("no" if out else "yes"))
     if "hidden" in node.attrs or "display:none" in node.attrs.get("style", "").replace(" ", "").lower():
         out.append("hidden")
     if node.tag in BLOCK and not any(c.tag in BLOCK for c in node.children):
@@ -183,12 +202,14 @@ def features(node: Node) -> list[str]:
         share = 10 * node.link_chars // node.chars if node.chars else 0
         out.append("links=" + ("none" if not node.links else "few" if share < 3 else "half" if share < 7 else "most"))
         out.append("sentences=" + str(min(MOST_MARKS, node.marks)))
+    elif node.tag in BLOCK:         # text of its own between the blocks in it
+        out.append("own=" + str(min(3, len(str(node.own)) if node.own else 0)))
     return out
 
 
 BOILERPLATE, CONTENT, FRAME = LABELS = (0, 1, 2)
 SMOOTHING = 0.1              # added to each feature's count
-SIZES = frozenset(("length", "links", "sentences"))
+SIZES = frozenset(("length", "links", "sentences", "own"))
 
 
 class Model:
@@ -301,8 +322,8 @@ def main_text(html: str | None, model: Model | None = None) -> str:
     nodes = in_order(root)
     measure(nodes)
     p = model.marginals(nodes)
-    if len(nodes) == 1:                        # text without any element
-        return " ".join("".join(root.parts).split())
+    if all(n.tag in ("#root", "html", "body") for n in nodes):      # text without any element in it
+        return " ".join(" ".join(t for n in nodes for t in n.parts if isinstance(t, str)).split())
     blocks, current = [], []
 
     def end_block() -> None:

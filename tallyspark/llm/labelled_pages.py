@@ -3,7 +3,8 @@
 Every page is written out as mark-up with ``data-content`` set to "1" on the elements that hold
 the article and to "0" where boilerplate begins again inside it; an element without the mark has
 its parent's label.  ``{p}`` stands for a paragraph, ``{s}`` for a sentence, ``{w}`` for a few words:
-filler by rule, so that lengths and sentence marks vary as on real pages.
+filler by rule, so that lengths and sentence marks vary as on real pages.  ``{c}`` marks an element as
+content, ``{n}`` as boilerplate.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ def paragraph(seed: int) -> str:
 
 def filled(template: str) -> str:
     seeds = count(1)
+    template = template.replace("{c}", ' data-content="1"').replace("{n}", ' data-content="0"')
     for mark, make in (("{p}", paragraph), ("{s}", sentence), ("{w}", lambda s: words(s, 1 + s % 3).title())):
         head, *rest = template.split(mark)
         template = head + "".join(make(next(seeds)) + part for part in rest)
@@ -120,5 +122,55 @@ def named(template: str, i: int, name: str) -> str:
     return made.replace("\0", "{").replace("\1", "}")
 
 
-PAGES = [filled(t) for t in TEMPLATES + [named(t, i, name) for i, name in enumerate(ASIDE)
+# Pages without an element for the article: its blocks lie in the body, in unnamed containers, in table
+# cells, or the text lies in the body itself.
+TEXT = "<p{c}>{p}</p><p{c}>{p}</p>"
+LOOSE = "{s} {p}<br><br>{p}<br>{s}"
+BAR = '<div><a href="/">{w}</a> | <a href="/">{w}</a> | <a href="/">{w}</a></div>'
+PLAIN = [
+    "<html><body><h1{c}>{w}</h1>" + TEXT + "</body></html>",
+    "<html><body><h1{c}>{w}</h1><h2{c}>{s}</h2>" + TEXT + "<ul{c}><li>{s}</li><li>{w}</li></ul><p{c}>{s}</p></body></html>",
+    HEAD + NAV + "<h1{c}>{w}</h1>" + TEXT + "<p{c}>{s}</p>" + FOOT,
+    HEAD + "<header><h2>{w}</h2>" + NAV + "</header><h1{c}>{s}</h1>" + TEXT + '<div class="ad">{s}</div>' + TEXT + FOOT,
+    HEAD + '<div id="menu"><ul>' + LINKS + "</ul></div><h2{c}>{w}</h2>" + TEXT + "<blockquote{c}>{p}</blockquote>"
+    '<div class="sidebar"><p>{s}</p></div><p{c}>{p}</p><address>{w}</address></body></html>',
+    TEXT, "<h1{c}>{w}</h1>" + TEXT, "<p{c}>{s}</p>", "<h3{c}>{w}</h3><p{c}>{p}</p><pre{c}>{s}</pre><p{c}>{s}</p>",
+    TEXT + NAV + FOOT,
+    "<html><body{c}>" + LOOSE + "</body></html>", "<html><body{c}><b>{w}</b><br>" + LOOSE + "<hr>{p}</body></html>",
+    "<html><body{c}><h1>{w}</h1>" + LOOSE + "<p>{p}</p></body></html>",
+    "<html><head><title>{w}</title></head><body{c}><nav{n}><ul>" + LINKS + "</ul></nav>" + LOOSE + "<footer{n}>{s}</footer></body></html>",
+    "<html><body{c}><center><h2>{w}</h2></center>" + LOOSE + "<blockquote>{p}</blockquote>{p}<hr><address{n}>{w}</address></body></html>",
+    "<html><body{c}>" + BAR.replace("<div>", "<div{n}>") + "<h1>{w}</h1>" + LOOSE + "<div class=\"ad\"{n}>{s}</div>{p}</body></html>",
+    "<html><body{c}><center{n}><a href=\"/\">{w}</a> <a href=\"/\">{w}</a></center><h3>{w}</h3>{p}<p>{p}<p>{p}<p>{s}"
+    "<div class=\"footer\"{n}>{s}</div></body></html>",
+    "<body><section{c}><h1>{w}</h1><p>{p}</p><p>{p}</p></section></body>",
+    HEAD + NAV + "<section{c}><h2>{w}</h2><p>{p}</p></section><section{c}><h2>{w}</h2><p>{p}</p><p>{s}</p></section>" + FOOT,
+    "<body><div{c}><h1>{w}</h1><p>{p}</p><p>{p}</p></div></body>",
+    HEAD + BAR + "<div><div{c}><p>{p}</p><p>{p}</p><p>{s}</p></div></div>" + FOOT,
+    "<body><div><div><div{c}><h2>{w}</h2><p>{p}</p><div><p>{p}</p><p>{s}</p></div></div></div></div></body>",
+    "<body>" + BAR + "<div{c}>{p}</div><div{c}>{p}</div><div{c}>{s}</div><div>{w} <a href=\"/\">{w}</a></div></body>",
+    "<html><body><table><tr><td><a href=\"/\">{w}</a><br><a href=\"/\">{w}</a><br><a href=\"/\">{w}</a></td>"
+    "<td{c}><h1>{w}</h1><p>{p}</p><p>{p}</p></td></tr></table></body></html>",
+    "<html><body><table><tr><td>" + BAR + "</td></tr><tr><td{c}>{p}<br><br>{p}</td></tr><tr><td>{w} <a href=\"/\">{w}</a></td></tr>"
+    "</table></body></html>",
+    "<html><body><center>" + BAR + "</center><table><tr><td width=1><ul>" + LINKS + "</ul></td><td{c}><p>{p}<p>{p}<p>{s}</td></tr></table>"
+    "<center><small>&copy; {w}</small></center></body></html>",
+    "<body><h1{c}>{w}</h1><p{c}>{p}</p><table{c}><tr><th>{w}</th><th>{w}</th></tr><tr><td>{w}</td><td>{s}</td></tr></table><p{c}>{p}</p></body>",
+    "<body><dl{c}><dt>{w}</dt><dd>{s}</dd><dt>{w}</dt><dd>{p}</dd></dl><p{c}>{p}</p></body>",
+    "<body><form action=\"/\"><p>{w}</p></form><h1{c}>{w}</h1>" + TEXT + '<div class="comments"><p>{p}</p><p>{s}</p></div></body>',
+    "<body><main{c}><section><h1>{w}</h1><p>{p}</p><p>{p}</p></section><section><p>{p}</p><p>{s}</p></section></main><footer>{s}</footer></body>",
+    HEAD + "<header>{w}</header><main{c}><div><h2>{w}</h2><p>{p}</p></div><section><h3>{s}</h3><p>{p}</p></section></main>" + FOOT,
+    "<body><article{c}><section><h2>{w}</h2><p>{p}</p></section><section><h2>{w}</h2><p>{p}</p><p>{p}</p></section></article></body>",
+    HEAD + "<header><p>{w}</p></header><section{c}><h1>{w}</h1><p>{p}</p></section>" + FOOT,
+    "<body><section{c}><h2>{w}</h2><p>{p}</p></section><section{c}><p>{p}</p><p>{p}</p></section><aside><p>{s}</p></aside></body>",
+    "<html><body><center{c}><h1>{w}</h1></center>" + TEXT + "<p{c}>{s}</p></body></html>",
+    "<html><body><center{c}><b>{s}</b></center><hr>" + TEXT + TEXT + "<center>" + BAR + "</center></body></html>",
+    "<body><p{c}>{p}</p><ul{c}><li>{s}</li><li>{s}</li></ul><form><p>{w}</p></form></body>",
+    "<body><h1{c}>{w}</h1><p{c}>{p}</p><ol{c}><li>{p}</li><li>{s}</li><li>{s}</li></ol><p{c}>{p}</p></body>",
+    HEAD + NAV + "<p{c}>{p}</p><ol{c}><li>{s}</li><li>{s}</li><li>{s}</li></ol><ul{c}><li>{w}</li><li>{s}</li></ul><p{c}>{p}</p>" + FOOT,
+    "<body><ul{c}><li><p>{p}</p></li><li><p>{s}</p></li></ul><p{c}>{p}</p><ul><li><a href=\"/\">{w}</a></li></ul></body>",
+    "<body><p{c}>{p}</p><aside><p>{s}</p></aside><p{c}>{p}</p><nav><a href=\"/\">{w}</a></nav></body>",
+]
+
+PAGES = [filled(t) for t in TEMPLATES + PLAIN + PLAIN + [named(t, i, name) for i, name in enumerate(ASIDE)
                                          for t in (BESIDE, INSIDE, NESTED, BARE)]]
