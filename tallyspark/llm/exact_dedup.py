@@ -1,14 +1,15 @@
 """Exact dedup by a tree-merge of digest runs.
 
 Every document becomes ``(id, digest of its normalised text)``.  Documents are dealt into
-``RUNS`` runs by a hash of id and digest, and each run is written in digest order; within a run
-equal digests collapse to one entry (best id, count).  Then, in rounds, ``FAN_IN`` neighbouring
-runs at a time are merged into one, each merge keeping the best identifier and the summed count of
-every digest, until a single (distributed) run is left: a tree with ``FAN_IN`` children to a node.
-A group that holds a third of all rows arrives at each round as at most one entry for each run, so
-no merge task sees it whole.
-The verdicts travel back down the same way: root -> runs -> documents, joined on
-``(run, digest)``, so a hot digest is spread over ``RUNS`` keys.
+``RUNS`` runs by a hash of id and digest; within a run equal digests collapse to one entry (best
+id, count).  The runs are cut at the same digests, so that a partition holds the same digest range
+of every run, and then merged in binomial rounds: in each, every run meets its neighbour, run
+numbers are halved, and each digest keeps its best identifier and summed count, until after log2
+RUNS rounds a single (distributed) run is left.  The cut is the one exchange of the rounds: their
+aggregates find the entries of a digest in one partition already.  A group that holds a third of
+all rows has at most one entry for each run there, so no merge task sees it whole.
+The verdicts travel back down: root -> runs -> documents, joined on ``(run, digest)``, so a hot
+digest is spread over ``RUNS`` keys.
 
 An entry is *verified*: SHA-256, byte length and an independent 64-bit hash must all agree
 for two entries to merge.
@@ -26,8 +27,7 @@ from pyspark.sql import functions as F
 from tallyspark.llm.text import as_they_are, columns_free_of, lower_ascii
 from tallyspark.operators.materialize import materialize_observed
 
-RUNS = 1024
-FAN_IN = 32
+RUNS = 1024              # a power of two
 ENTRY = ["digest", "nbytes", "proof"]
 
 
@@ -42,12 +42,12 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def merge_runs(runs: DataFrame, best) -> DataFrame:
-    """Merge rounds: each brings FAN_IN runs together, until run 0 holds everything."""
+    """Binomial rounds: each merges neighbouring runs, until run 0 holds everything."""
+    runs = runs.repartitionByRange(*ENTRY)
     left = RUNS
     while left > 1:
-        left = -(-left // FAN_IN)
-        runs = (runs.withColumn("run", (F.col("run") / FAN_IN).cast("int"))
-                .groupBy("run", *ENTRY)
+        left //= 2
+        runs = (runs.withColumn("run", F.shiftright("run", 1)).groupBy("run", *ENTRY)
                 .agg(best("keep_id").alias("keep_id"), F.sum("size").alias("size")))
     return runs.drop("run")
 
@@ -56,9 +56,8 @@ def decided(docs: DataFrame, id_col: str, text_col: str, keep: str):
     """The written entries, each with the best id and size of its group; the most copies of
     one (id, text) pair."""
     best = {"max": F.max, "min": F.min}[keep]
-    sorted_runs = (digests(docs, id_col, text_col).repartition("run")
-                   .sortWithinPartitions("run", *ENTRY))
-    entries, seen = materialize_observed(sorted_runs, F.max("copies").alias("most"))
+    entries, seen = materialize_observed(digests(docs, id_col, text_col).repartition("run"),
+                                         F.max("copies").alias("most"))
     runs = entries.groupBy("run", *ENTRY).agg(best("id").alias("keep_id"),
                                               F.sum("copies").alias("size"))
     down = runs.select("run", *ENTRY).join(merge_runs(runs, best), ENTRY)

@@ -68,3 +68,19 @@ def test_query_matches_its_sql(spark):
     sql = con.execute(X.ORACLE_SQL)
     names = [c[0] for c in sql.description]
     assert sorted(tuple(r[c] for c in names) for r in q.collect()) == sorted(sql.fetchall())
+
+
+def test_merge_rounds_need_one_exchange(spark):
+    """The runs are cut by digest once; the rounds find their entries in place."""
+    from pyspark.sql import functions as F
+
+    from tallyspark.session import plan_text
+    runs = spark.range(5000).select((F.col("id") % X.RUNS).cast("int").alias("run"), F.unhex(F.sha2((F.col("id") % 300).cast("string"), 256)).alias("digest"),
+                                    (F.col("id") % 300 * 2).cast("int").alias("nbytes"), (F.col("id") % 300).alias("proof"), F.col("id").alias("keep_id"),
+                                    F.lit(1).cast("long").alias("size"))
+    merged = X.merge_runs(runs, F.max)
+    p = plan_text(merged, "simple")
+    assert p.count("Exchange") == 1 and "rangepartitioning" in p
+    rows = merged.collect()
+    assert len(rows) == 300 and sum(r["size"] for r in rows) == 5000
+    assert all(r["keep_id"] == max(i for i in range(5000) if i % 300 == r["proof"]) for r in rows)
