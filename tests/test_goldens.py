@@ -147,3 +147,53 @@ def test_enrichment_pipeline(spark):
     got = enrich(st).collect()
     assert {r["emp_id"]: (r["salary"], r["annual_bonus"], r["salary_band"], r["experience_years"],
                           r["tenure_months"]) for r in got} == ENRICHED
+
+
+SUMMARY_ROWS = """1,Aarav Sharma,28,Engineering,75000,North,2021-03-15,4.5
+2,Priya Singh,35,Marketing,62000,South,2019-07-22,3.8
+3,Rohan Patel,42,Engineering,95000,West,2017-01-10,4.2
+4,Sneha Gupta,29,HR,55000,East,2022-06-01,4.0
+5,Vikram Reddy,31,Engineering,82000,South,2020-09-18,4.7
+6,Ananya Iyer,26,Marketing,58000,North,2023-02-14,3.5
+7,Karan Mehta,38,Finance,78000,West,2018-11-30,4.1
+8,Divya Nair,33,HR,60000,East,2019-04-25,3.9
+9,Arjun Das,45,Finance,92000,North,2016-08-12,4.6
+10,Meera Joshi,27,Engineering,70000,South,2022-01-05,4.3
+11,Rahul Verma,30,Marketing,61000,West,2021-10-20,3.7
+12,Pooja Kulkarni,36,Finance,85000,East,2018-05-08,4.4
+13,Amit Saxena,40,Engineering,90000,North,2017-06-19,4.8
+14,Neha Bhat,29,HR,54000,South,2022-09-11,3.6
+15,Suresh Kumar,50,Finance,98000,West,2015-03-28,4.9
+16,Kavita Rao,32,Marketing,63000,East,2020-12-03,4.0
+17,Deepak Tiwari,28,Engineering,72000,North,2022-04-17,4.1
+18,Ritu Agarwal,34,HR,57000,South,2019-08-22,3.8
+19,Manish Pandey,41,Finance,88000,West,2017-10-05,4.5
+20,Swati Deshmukh,25,Marketing,56000,East,2023-01-20,3.4
+21,Aarav Sharma,28,Engineering,75000,North,2021-03-15,4.5
+22,Sanjay Mishra,37,Engineering,87000,South,2018-02-14,4.3
+23,Lakshmi Venkat,30,Marketing,,North,2021-05-10,3.9
+24,Rajesh Khanna,44,Finance,91000,West,2016-11-08,
+25,Gaurav Singh,,HR,53000,East,2023-03-01,3.5
+26,Nisha Kapoor,31,Engineering,79000,,2020-07-15,4.2
+27,Tarun Bose,35,Marketing,64000,North,2019-09-22,
+28,Pallavi Jain,29,HR,,South,2022-08-05,3.7
+29,Vikas Choudhary,39,Finance,86000,East,2018-01-18,4.4
+30,Aisha Khan,27,Engineering,71000,West,2022-11-30,4.0"""
+# department: (employees, average salary, total salary, average rating, total bonus, lowest, highest salary)
+SUMMARY = {"Finance": (7, 88285.71, 618000.0, 4.43, 27447.0, 78000, 98000),
+           "Engineering": (9, 80111.11, 721000.0, 4.34, 31400.0, 70000, 95000),
+           "Marketing": (7, 62486.71, 437407.0, 3.77, 16553.87, 56000, 73407),
+           "HR": (6, 58734.5, 352407.0, 3.75, 13221.06, 53000, 73407)}
+
+
+def test_summary_pipeline(spark):
+    """One record is there twice under two ids; the published result counts it once."""
+    from tallyspark.operators.clean import dedup_keep_first
+    from tallyspark.plans.staff import summary_by_department, summary_detail
+    st = from_text(spark, SUMMARY_ROWS, "emp_id int, name string, age int, department string, salary int, region string, "
+                                        "joining_date date, rating double")
+    once = dedup_keep_first(st, [c for c in st.columns if c != "emp_id"], "emp_id")
+    assert once.count() == 29
+    got = summary_by_department(summary_detail(once)).collect()
+    assert [r["department"] for r in got] == list(SUMMARY)
+    assert {r["department"]: tuple(r)[1:] for r in got} == SUMMARY
