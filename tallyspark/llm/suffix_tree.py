@@ -1,6 +1,6 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-A state is a context of up to MAX_DEPTH words.  Candidate contexts are those seen MIN_SUPPORT times in
+A state is a context of up to ``max_depth`` words.  Candidate contexts are those seen MIN_SUPPORT times in
 the training tokens (in a small corpus already those that make up MIN_SHARE of it), so that their
 number grows with the corpus; a candidate becomes a state when the distribution of its next
 tokens diverges significantly from that of its suffix.  A state's distribution is interpolated
@@ -8,18 +8,20 @@ with that of its next shorter state, down to add-one smoothed unigrams, and a to
 in the longest suffix of its history that is a state.
 
 How the work is laid out: texts are tokenised once into batches of about BATCH_TOKENS tokens
-(a row each: token codes into the batch's own vocabulary).  What the model needs from the corpus
-- the count of every word and of every (context, next word) - is summed by a window over
-(key) on rows (batch, key, count): at most one row a batch for each key, so a frequent word is
-not hot.  The same rows then carry the sums back to the batches that asked, and a batch is
-scored next to exactly the counts it needs.  The candidates go the same way: a batch is sent
-which of its own (context, next word) pairs are the contexts of the next length, and numbers
-them for itself.  No vocabulary, candidate or state table is ever broadcast by hand or collected.
-
-Words are keyed by XXH64, contexts by a mix of the keys of their words.  Defined results: NULL text counts as empty (its one token is the
-end); a NULL id counts as the empty string for the held-out rule; repeated rows each count and
-each give a row; without training documents every probability is 1; an empty table gives an
-empty result; extra columns are ignored.
+(a row each: token codes into the batch's own vocabulary).  The words' counts are summed over the
+corpus, and every batch is told the ids and counts of its words that other batches hold too (it
+knows the others itself).  Then, length by length, a batch counts the next tokens of its candidate
+contexts and hands them out as compressed sorted runs, dealt by context (by next word too where a
+context alone makes up a partition's share).  Beside its own count a row carries what the divergence
+test needs of the suffix, so the partition that merges the runs of a context can test it on the
+spot.  The sums of pairs that several batches hold, and the ids of those that are candidates of
+the next length, go back to these batches the same way.  No vocabulary, candidate or state table
+is broadcast or collected.
+
+Words and contexts are told apart by ids, not by hashes.  Defined results: NULL text counts as empty (its
+one token is the end); a NULL id counts as the empty string for the held-out rule; repeated rows each
+count and each give a row; without training documents every probability is 1; an empty table
+gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,17 +31,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.llm.phrases import mixed, packed_run, unpacked_run
 from tallyspark.operators.materialize import materialize, materialize_observed
 
 FOLDS = 7
 HELD_OUT_FOLD = 2
-BATCH_TOKENS = 1 << 20
+BATCH_TOKENS = 1 << 22
+PART_TOKENS = 1 << 22        # training tokens whose contexts a partition merges
+LEAST_PARTS = 256
 MAX_DEPTH = 3
 MIN_SUPPORT = 400            # a context seen so often is a candidate, however large the corpus
 MIN_SHARE = 1e-3             # in a small corpus: so large a share of its training tokens
@@ -48,7 +52,7 @@ MIN_SHARE = 1e-3             # in a small corpus: so large a share of its traini
 MIN_CELL = 5
 DEVIATIONS = 3.0
 MIN_NEXT = 2                 # a next word seen less often is left to the shorter state
-END = xxhash.xxh64_intdigest(b"") - (1 << 64 if xxhash.xxh64_intdigest(b"") >> 63 else 0)
+CODE_BITS = 24               # of the ids that a batch gives to words of its own
 
 
 def held_out(id_col: Column) -> Column:
@@ -69,35 +73,32 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def batches_of(docs: DataFrame, id_col: str, text_col: str, batch_tokens: int) -> DataFrame:
-    """One row per batch: batch, ids, held, lens, codes (packed), vocab (word keys by code), counts
-    (training tokens by code).  Every text ends with the code of END."""
+    """One row per batch: batch, ids, held, lens, codes (packed), vocab (words by code), counts
+    (training tokens by code).  Every text ends with code 0, the empty word."""
     rows = docs.select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held"),
                        F.col(text_col).cast("binary").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     schema = (f"batch long, ids array<{id_type}>, held array<boolean>, lens array<int>, codes binary, "
-              "vocab array<long>, counts array<long>")
+              "vocab array<binary>, counts array<long>")
 
     def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 14
         ids, held, lens, parts, known, size = [], [], [], [], {b"": 0}, 0
+        types = None
 
         def made() -> pa.RecordBatch:
             codes = np.concatenate(parts)
             train = np.repeat(~np.array(held, bool), lens)
             counts = np.bincount(codes[train], minlength=len(known))
-            vocab = np.array([xxhash.xxh64_intdigest(w) for w in known], np.uint64).view(np.int64)
             cols = {"batch": [number], "ids": [ids], "held": [held], "lens": [lens],
-                    "codes": [packed(codes)], "vocab": [vocab], "counts": [counts]}
-            return pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(cols.values(), types)], list(cols))
+                    "codes": [packed(codes)], "vocab": [list(known)], "counts": [counts]}
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols.values(), types)], list(cols))
 
-        types = None
         for b in rows_in:
             if types is None:
                 types = [pa.int64(), pa.list_(b.schema.field("id").type), pa.list_(pa.bool_()),
-                         pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            for i, h, text in zip(b.column("id").to_pylist(), b.column("held").to_pylist(),
-                                  b.column("text")):
+                         pa.list_(pa.int32()), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+            for i, h, text in zip(b.column("id").to_pylist(), b.column("held").to_pylist(), b.column("text")):
                 words = (text.as_py() or b"").lower().split()
                 code = known.setdefault
                 parts.append(np.array([*[code(w, len(known)) for w in words], 0], "<i4"))
@@ -115,13 +116,29 @@ def batches_of(docs: DataFrame, id_col: str, text_col: str, batch_tokens: int) -
     return rows.mapInArrow(run, schema)
 
 
-def mixed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Keys of contexts that are one (newest) word longer; the empty context is 0."""
-    with np.errstate(over="ignore"):
-        x = context.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.view(np.uint64)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (x ^ (x >> np.uint64(31))).view(np.int64)
+def with_words(batches: DataFrame, told: DataFrame) -> DataFrame:
+    """The batches with ``words`` (packed: id and corpus count by code) in place of vocabulary and counts.
+    ``told`` has (of, code, id, c) of the words that several batches hold; a batch's own words get ids
+    that no other batch gives."""
+    id_type = batches.schema["ids"].dataType.simpleString()
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        code, ids, c = (right.column(n).to_numpy() for n in ("code", "id", "c"))
+        out = []
+        for b in left.to_batches():
+            for i in range(b.num_rows):
+                row = b.slice(i, 1)
+                total = row.column("counts")[0].values.to_numpy().copy()
+                own = np.arange(len(total), dtype=np.int64)
+                own = -1 - (row.column("batch")[0].as_py() << CODE_BITS) - own
+                own[code], total[code] = ids, c
+                out.append(pa.Table.from_batches([row.drop_columns(["counts"])]).append_column(
+                    "words", pa.array([packed_run(own, total)], pa.binary())))
+        return pa.concat_tables(out)
+
+    return (batches.select("batch", "ids", "held", "lens", "codes", "counts").groupBy("batch")
+            .cogroup(told.groupBy("of"))
+            .applyInArrow(run, f"batch long, ids {id_type}, held array<boolean>, lens array<int>, codes binary, words binary"))
 
 
 def places(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -133,180 +150,230 @@ def places(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
-class Contexts:
-    """The candidate contexts of a batch.  One of length k is a (context of length k-1, next word)
-    pair; its number is its place among the sorted pairs of its length."""
-
-    def __init__(self, pairs: pa.Table, vocab: np.ndarray, depth: int):
-        length, node, code = (pairs.column(c).to_numpy() for c in ("depth", "node", "code"))
-        self.size, self.depth = len(vocab), depth
-        self.pairs: list[np.ndarray] = []
-        self.keys, self.suffixes = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
+class Level:
+    """The contexts of one length in a batch and their (context, next word) pairs.
+
+    ``node`` is the number of the context before each token, or -1; a pair is a number of the context
+    times the vocabulary plus the word's code."""
+
+    def __init__(self, node: np.ndarray, ids: np.ndarray, total: np.ndarray, batch: "Batch"):
+        self.node, self.ids, self.total = node, ids, total
+        self.on = np.flatnonzero(node >= 0)
+        self.pairs, self.pair_at = np.unique(node[self.on] * batch.size + batch.codes[self.on], return_inverse=True)
+        self.n = np.bincount(self.pair_at, weights=batch.train[self.on], minlength=len(self.pairs)).astype(np.int64)
+        self.c, self.pair_ids = self.n.copy(), np.full(len(self.pairs), -1, np.int64)
+        self.pair = np.full(len(node), -1, np.int64)         # of each token
+        self.pair[self.on] = self.pair_at
+
+    def answered(self, blobs: list[bytes], batch: "Batch") -> None:
+        """Take in the corpus counts (and ids) of pairs that other batches hold as well."""
+        for blob in blobs:
+            prefix, word, c, ids = unpacked_run(blob, 4)
+            order = np.argsort(self.ids)
+            node = order[np.searchsorted(self.ids[order], prefix)]
+            code = batch.by_id[np.searchsorted(batch.word_ids[batch.by_id], word)]
+            at = np.searchsorted(self.pairs, node * batch.size + code)
+            self.c[at], self.pair_ids[at] = c, ids
+
+
+class Batch:
+    def __init__(self, row: dict, told: pa.Table, depth: int, least: float, n_tokens: int):
+        self.codes = unpacked(row["codes"]).astype(np.int64)
+        self.lens, held = np.array(row["lens"], np.int64), np.array(row["held"], bool)
+        self.train = np.repeat(~held, self.lens)
+        self.word_ids, self.word_c = unpacked_run(row["words"], 2)
+        self.size, self.by_id = len(self.word_ids), np.argsort(self.word_ids)
+        level_of = told.column("level").to_numpy()
+        blobs = told.column("blob")
+        often = np.flatnonzero((self.word_c >= least) & (np.arange(self.size) > 0))
+        rank = np.full(self.size, -1, np.int64)
+        rank[often] = np.arange(len(often))
+        node = np.concatenate([[-1], rank[self.codes[:-1]]])
+        self.levels = [Level(node, self.word_ids[often], self.word_c[often], self)]
         for k in range(1, depth + 1):
-            on = length == k
-            pair = np.sort(node[on].astype(np.int64) * self.size + code[on])
-            up, word = pair // self.size, vocab[pair % self.size]
-            self.pairs.append(pair)
-            self.keys.append(mixed(self.keys[-1][up], word))
-            self.suffixes.append(mixed(self.suffixes[-1][up], word) if k > 1 else np.zeros(len(pair), np.int64))
-
-    def nodes_at(self, codes: np.ndarray) -> list[np.ndarray]:
-        """For each length: the number of the context before each token, or -1.  The end of a text
-        is in no context, so none reaches over it."""
-        out, last = [], np.zeros(len(codes), np.int64)
-        for pair in self.pairs:
-            found = np.full(len(codes), -1, np.int64)
-            on = np.flatnonzero(last[:-1] >= 0)
-            found[on + 1] = places(pair, last[on] * self.size + codes[on])
-            out.append(found)
-            last = found
-        return out
-
-
-def _arrays(row: dict) -> tuple:
-    return (unpacked(row["codes"]), np.array(row["lens"], np.int64),
-            np.array(row["vocab"], np.int64), np.array(row["held"], bool))
-
-
-def next_rows(batches: DataFrame, candidates: DataFrame, depth: int) -> DataFrame:
-    """Rows (batch, node, context, up, next, code, n): the distinct (context, next word) of each batch
-    with their training count, for the contexts of length ``depth``; ``node`` is the batch's own
-    number of the context, ``context`` and ``up`` are the keys of it and its suffix.  A row
-    with code -1 stands for the context itself."""
-    names = ["batch", "node", "context", "up", "next", "code", "n"]
+            last = self.levels[-1]
+            last.answered([b.as_py() for b in blobs.filter(pa.array((level_of == k))) if b.is_valid], self)
+            if k < depth:
+                # a context that is one word longer is a pair that is seen often enough
+                longer = np.flatnonzero((last.c >= least) & (last.pairs % self.size > 0) & (last.pair_ids >= 0))
+                rank = np.full(len(last.pairs) + 1, -1, np.int64)
+                rank[longer] = np.arange(len(longer))
+                node = np.concatenate([[-1], rank[last.pair[:-1]]])
+                self.levels.append(Level(node, last.pair_ids[longer], last.c[longer], self))
+        self.n_tokens = n_tokens
+
+    def run_columns(self) -> list[np.ndarray]:
+        """Of the pairs of the greatest length: context, word, own count, the count of the suffix's pair, and
+        the totals of the context and its suffix."""
+        top = self.levels[-1]
+        first = np.zeros(len(top.pairs), np.int64)
+        first[top.pair_at] = top.on                     # some token of each pair
+        node, code = top.pairs // self.size, top.pairs % self.size
+        if len(self.levels) == 1:
+            up_c, up_total = self.word_c[code], np.full(len(code), self.n_tokens, np.int64)
+        else:
+            up = self.levels[-2]
+            up_c, up_total = up.c[up.pair[first]], up.total[up.node[first]]
+        return [top.ids[node], self.word_ids[code], top.n, up_c, top.total[node], up_total]
+
+
+def context_runs(batches: DataFrame, told: DataFrame, depth: int, least: float, n_tokens: int, parts: int) -> DataFrame:
+    """Sorted runs (part, batch, contexts, blob) of the next words of the candidate contexts of length ``depth``."""
+    hot = max(n_tokens // parts, 1)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
+        out = {"part": [], "batch": [], "contexts": [], "blob": []}
         for row in left.to_pylist():
-            codes, lens, vocab, held = _arrays(row)
-            ctx = Contexts(right, vocab, depth)
-            node = ctx.nodes_at(codes)[-1]
-            on = node >= 0
-            key, inverse = np.unique(node[on] * len(vocab) + codes[on], return_inverse=True)
-            n = np.bincount(inverse, weights=np.repeat(~held, lens)[on], minlength=len(key)).astype(np.int64)
-            own = np.unique(key // len(vocab))
-            node = np.concatenate([key // len(vocab), own])
-            code = np.concatenate([key % len(vocab), np.full(len(own), -1)])
-            cols = [np.full(len(node), row["batch"]), node.astype(np.int32), ctx.keys[-1][node],
-                    ctx.suffixes[-1][node], pa.array(vocab[code], mask=code < 0), code.astype(np.int32),
-                    np.concatenate([n, np.zeros(len(own), np.int64)])]
-            out.append(pa.Table.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in cols], names))
-        return pa.concat_tables(out)
-
-    return (batches.select("batch", "held", "lens", "codes", "vocab").groupBy("batch")
-            .cogroup(candidates.groupBy("batch"))
-            .applyInArrow(run, "batch long, node int, context long, up long, next long, code int, n long"))
-
-
-def summed(rows: DataFrame, *key: str) -> DataFrame:
-    """``rows`` with c, the sum of n over the key, and ``one``, true on one row of each key."""
-    same = Window.partitionBy(*key)
-    return rows.withColumns({"c": F.sum("n").over(same),
-                             "one": F.row_number().over(same.orderBy("batch")) == 1}).drop("n")
-
-
-def fit_states(level: DataFrame, shorter: DataFrame) -> DataFrame:
-    """(context, total, kept, kinds) of the contexts that pass the divergence test: the training tokens
-    that follow, of them those whose word is seen MIN_NEXT times there, and how many such
-    words there are.  ``level`` has (context, up, next, c, total), ``shorter`` the same of the suffixes."""
-    cells = level.join(shorter.select(F.col("context").alias("up"), "next", F.col("c").alias("up_c"),
-                                      F.col("total").alias("up_total")), ["up", "next"])
-    expected = F.col("total") * F.col("up_c") / F.col("up_total")
-    counts = F.greatest(F.col("c").cast("double"), expected) >= MIN_CELL
-    deviance = 2 * (F.col("c") * F.log(F.col("c") / expected) - (F.col("c") - expected))
-    often = F.col("c") >= MIN_NEXT
-    found = cells.groupBy("context").agg(
-        F.sum(F.when(counts, deviance)).alias("deviance"), F.count(F.when(counts, True)).alias("cells"),
-        F.first("total").alias("total"),
-        F.coalesce(F.sum(F.when(often, F.col("c"))), F.lit(0)).alias("kept"),
-        F.count(F.when(often, True)).alias("kinds"))
-    return found.filter(F.col("deviance") > F.col("cells") + DEVIATIONS * F.sqrt(2 * F.col("cells"))).select(
-        "context", "total", "kept", "kinds")
+            cols = Batch(row, right, depth, least, n_tokens).run_columns()
+            prefix, word, total = cols[0], cols[1], cols[4]
+            part = mixed(np.where(total >= hot, prefix * 1_000_003 + word, prefix), parts)
+            order = np.lexsort((word, prefix, part))
+            cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
+            for a, b in zip(cuts, np.append(cuts[1:], len(order))):
+                rows = order[a:b]
+                out["part"].append(int(part[rows[0]]))
+                out["batch"].append(row["batch"])
+                out["contexts"].append(np.unique(prefix[rows]))
+                out["blob"].append(packed_run(*(c[rows] for c in cols)))
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+        return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds)})
+
+    of = told.withColumnRenamed("batch", "of")
+    return (batches.select("batch", "held", "lens", "codes", "words").groupBy("batch").cogroup(of.groupBy("of"))
+            .applyInArrow(run, "part long, batch long, contexts array<long>, blob binary"))
+
+
+def merged_runs(runs: DataFrame, least: float) -> DataFrame:
+    """Rows (context, deviance, cells, total, kept, kinds): what a partition finds of a context; and rows (batch,
+    blob of context, word, count, id): the answers to the batches.  A batch gets what it can't know: counts of
+    pairs that others hold too, and ids (-1: none) of pairs that are candidates of the next length."""
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        part, read = key[0].as_py(), [unpacked_run(b.as_py(), 6) for b in group.column("blob")]
+        prefix, word, n, up_c, total, up_total = np.concatenate(read, axis=1)
+        batch = np.repeat(group.column("batch").to_numpy(), [r.shape[1] for r in read])
+        order = np.lexsort((word, prefix))                  # along the sorted runs
+        starts = np.flatnonzero((np.diff(prefix[order], prepend=prefix[order[0]] - 1) != 0)
+                                | (np.diff(word[order], prepend=word[order[0]] - 1) != 0))
+        c, holders = np.add.reduceat(n[order], starts), np.diff(starts, append=len(order))
+        one = order[starts]
+        seen = np.flatnonzero(c > 0)
+        out = []
+        if len(seen):
+            k, expected = c[seen], total[one[seen]] * (up_c[one[seen]] / up_total[one[seen]])
+            cell = np.maximum(k, expected) >= MIN_CELL
+            kept = np.where(k >= MIN_NEXT, k, 0)
+            at = np.flatnonzero(np.diff(prefix[one[seen]], prepend=prefix[one[seen[0]]] - 1))
+            gain = np.where(cell, 2 * (k * np.log(k / expected) - (k - expected)), 0.0)
+            add = lambda x: np.add.reduceat(x, at)
+            out.append(_told(len(at), context=prefix[one[seen[at]]], total=total[one[seen[at]]], deviance=add(gain),
+                             cells=add(cell.astype(np.int64)), kept=add(kept), kinds=add((kept > 0).astype(np.int64))))
+        told = (holders > 1) & (c > 0) | (c >= least)
+        if told.any():
+            ids = np.where(c >= least, (part << 32) + np.arange(len(c)), -1)
+            of = np.repeat(np.arange(len(c)), holders)
+            sel = np.flatnonzero(told[of])
+            by_batch = sel[np.argsort(batch[order][sel], kind="stable")]
+            holder = batch[order][by_batch]
+            cuts = np.flatnonzero(np.diff(holder, prepend=holder[0] - 1))
+            blobs = []
+            for a, b in zip(cuts, np.append(cuts[1:], len(by_batch))):
+                g = of[by_batch[a:b]]
+                blobs.append(packed_run(prefix[one[g]], word[one[g]], c[g], ids[g]))
+            out.append(_told(len(blobs), batch=holder[cuts], blob=blobs))
+        return pa.concat_tables(out) if out else _told(0)
+
+    return runs.select("part", "batch", "blob").groupBy("part").applyInArrow(run, ", ".join(
+        f"{n} {t}" for n, t in TOLD))
+
+
+TOLD = (("batch", "long"), ("blob", "binary"), ("context", "long"), ("total", "long"), ("deviance", "double"),
+        ("cells", "long"), ("kept", "long"), ("kinds", "long"))
+ARROW = {"long": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
+
+
+def _told(n: int, **cols) -> pa.Table:
+    return pa.table({c: pa.array(cols[c], ARROW[t]) if c in cols else pa.nulls(n, ARROW[t]) for c, t in TOLD})
+
+
+def states_of(found: DataFrame) -> DataFrame:
+    """(context, total, kept, kinds) of the contexts that pass the divergence test: the training tokens that
+    follow, of them those whose word is seen MIN_NEXT times there, and how many such words there are."""
+    all_parts = found.filter("context IS NOT NULL").groupBy("context").agg(
+        F.sum("deviance").alias("deviance"), F.sum("cells").alias("cells"), F.first("total").alias("total"),
+        F.sum("kept").alias("kept"), F.sum("kinds").alias("kinds"))
+    passes = (F.col("cells") > 0) & (F.col("deviance") > F.col("cells") + DEVIATIONS * F.sqrt(2 * F.col("cells")))
+    return all_parts.filter(passes).select("context", "total", "kept", "kinds")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_share: float = MIN_SHARE,
-          batch_tokens: int = BATCH_TOKENS, min_support: int = MIN_SUPPORT) -> DataFrame:
+          batch_tokens: int = BATCH_TOKENS, min_support: int = MIN_SUPPORT, max_depth: int = MAX_DEPTH,
+          least_parts: int = LEAST_PARTS) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     batches = materialize(batches_of(docs, id_col, text_col, batch_tokens))
-    word_rows = (batches.select("batch", F.posexplode(F.arrays_zip("vocab", "counts")).alias("code", "w"))
-                 .select("batch", "code", F.col("w.vocab").alias("next"), F.col("w.counts").alias("n")))
-    once = F.col("one") & (F.col("c") > 0)
+    rows = (batches.select("batch", F.posexplode(F.arrays_zip("vocab", "counts")).alias("code", "w"))
+            .select("batch", "code", F.col("w.vocab").alias("word"), F.col("w.counts").alias("n")))
     words, seen = materialize_observed(
-        summed(word_rows, "next"), F.sum(F.when(once, F.col("c"))).alias("tokens"),
-        F.count(F.when(once, True)).alias("words"))
-    n_tokens = seen["tokens"] or 0
+        rows.groupBy("word").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("holders"))
+        .withColumn("id", F.monotonically_increasing_id()),
+        F.sum("c").alias("tokens"), F.count_if(F.col("c") > 0).alias("words"))
+    n_tokens, n_words = seen["tokens"] or 0, seen["words"] or 0
     least = max(min(min_share * n_tokens, min_support), 1)
-    often = (F.col("c") >= least) & (F.col("next") != END)
-
-    def answer(rows: DataFrame, depth: int) -> DataFrame:
-        none = [F.lit(0).cast("long").alias(c) for c in ("total", "kept", "kinds") if c not in rows.columns]
-        return rows.select("*", F.lit(depth).alias("depth"), *none).select(
-            "batch", "depth", "node", "code", "c", "total", "kept", "kinds")
-
-    def pairs(rows: DataFrame, depth: int) -> DataFrame:
-        return rows.filter(often).select("batch", F.lit(depth).alias("depth"), "node", "code")
-
-    words = words.withColumns({"node": F.lit(0), "context": F.lit(0).cast("long")})
-    shorter = words.filter(once).select("context", "next", "c", F.lit(n_tokens).cast("long").alias("total"))
-    answers = answer(words.filter("c > 0"), 0)
-    candidates = pairs(words, 1)
-    for depth in range(1, MAX_DEPTH + 1):
-        rows = materialize(summed(next_rows(batches, candidates, depth), "context", "next")
-                           .filter("c > 0 OR code < 0"))
-        level = rows.filter(once).select("context", "up", "next", "c")
-        level = level.join(level.groupBy("context").agg(F.sum("c").alias("total")), "context")
-        states = materialize(fit_states(level, shorter))
-        answers = answers.unionByName(answer(
-            rows.filter(f"code < 0 OR c >= {MIN_NEXT}").join(states, "context"), depth))
-        shorter = level
-        if depth < MAX_DEPTH:
-            candidates = candidates.unionByName(pairs(rows, depth + 1))
-    return _scored(batches, answers, candidates, n_tokens, seen["words"] or 0)
-
-
-def _scored(batches: DataFrame, answers: DataFrame, candidates: DataFrame, n_tokens: int, n_words: int
-            ) -> DataFrame:
+    parts = least_parts + n_tokens // PART_TOKENS
+    several = words.filter("holders > 1").select("word", "id", "c")
+    told = rows.select(F.col("batch").alias("of"), "code", "word").join(several, "word").select("of", "code", "id", "c")
+    batches = materialize(with_words(batches, told))
+    nothing = batches.sparkSession.createDataFrame(
+        [], "batch long, level int, blob binary, context long, total long, kept long, kinds long")
+    told = nothing
+    for depth in range(1, max_depth + 1):
+        runs = materialize(context_runs(batches, told, depth, least, n_tokens, parts))
+        found = materialize(merged_runs(runs, least))
+        answers = found.filter("batch IS NOT NULL").select("batch", F.lit(depth).alias("level"), "blob", "context", "total",
+                                                           "kept", "kinds")
+        holders = runs.select("batch", F.explode("contexts").alias("context")).distinct()
+        states = holders.join(states_of(found), "context").select(
+            "batch", F.lit(depth).alias("level"), F.lit(None).cast("binary").alias("blob"), "context", "total", "kept", "kinds")
+        told = told.unionByName(answers).unionByName(materialize(states))
+    return _scored(batches, told, max_depth, least, n_tokens, n_words)
+
+
+def _scored(batches: DataFrame, told: DataFrame, depth: int, least: float, n_tokens: int, n_words: int) -> DataFrame:
     id_type = batches.schema["ids"].dataType.elementType.simpleString()
-    # a row without a count is a candidate
-    none = [F.lit(None).cast("long").alias(c) for c in ("c", "total", "kept", "kinds")]
-    told = answers.unionByName(candidates.select("*", *none))
 
-    def scores(codes, vocab, answers: pa.Table, ctx: Contexts) -> tuple:
+    def scores(b: Batch, right: pa.Table) -> tuple:
         """(base, score) as log10, and whether the word is known, by token."""
-        depth, node, code, c, total, kept, kinds = (
-            answers.column(k).to_numpy() for k in ("depth", "node", "code", "c", "total", "kept", "kinds"))
-        counts = np.zeros(len(vocab))
-        on = depth == 0
-        counts[code[on]] = c[on]
-        p = (counts[codes] + 1) / (n_tokens + n_words + 1)
+        level_of, context, total, kept, kinds = (right.column(c).to_numpy() for c in
+                                                 ("level", "context", "total", "kept", "kinds"))
+        p = (b.word_c[b.codes] + 1) / (n_tokens + n_words + 1)
         base = np.log10(p)
-        for k, at in enumerate(ctx.nodes_at(codes), 1):
-            is_state = np.flatnonzero((depth == k) & (code < 0))
-            is_state = is_state[np.argsort(node[is_state])]
-            state = places(node[is_state].astype(np.int64), at)
-            on = np.flatnonzero((at >= 0) & (state >= 0))
-            s = is_state[state[on]]
-            seen = np.flatnonzero((depth == k) & (code >= 0))
-            keys = node[seen].astype(np.int64) * len(vocab) + code[seen]
-            order = np.argsort(keys)
-            found = places(keys[order], at[on] * len(vocab) + codes[on])
-            own = np.where(found >= 0, c[seen][order][found], 0) if len(seen) else np.zeros(len(on))
+        state = ~np.isnan(context) if context.dtype.kind == "f" else np.ones(len(context), bool)
+        for k, level in enumerate(b.levels, 1):
+            mine = np.flatnonzero((level_of == k) & state)
+            ids = context[mine].astype(np.int64)
+            order = np.argsort(ids)
+            at = places(ids[order], level.ids)              # the state of each context, or -1
+            found = np.where(at >= 0, mine[order][at] if len(mine) else -1, -1)
+            on = level.on[found[level.node[level.on]] >= 0]
+            s = found[level.node[on]]
+            c = level.c[level.pair[on]]
+            own = np.where(c >= MIN_NEXT, c, 0)
             rest = total[s] - kept[s] + kinds[s]
             p[on] = (own + rest * p[on]) / (total[s] + kinds[s])
-        return base, np.log10(p), counts[codes] > 0
+        return base, np.log10(p), b.word_c[b.codes] > 0
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        known_counts = pc.is_valid(right.column("c"))
-        answers, pairs = right.filter(known_counts), right.filter(pc.invert(known_counts))
         out = []
-        for row in left.select(["ids", "held", "lens", "codes", "vocab"]).to_batches():
+        blobs = right.filter(pc.is_valid(right.column("blob")))
+        states = right.filter(pc.is_null(right.column("blob")))
+        for row in left.to_batches():
             for i in range(row.num_rows):
                 r = {k: row.column(k)[i].as_py() for k in row.schema.names if k != "ids"}
-                codes, lens, vocab, held = _arrays(r)
-                base, full, known = scores(codes, vocab, answers, Contexts(pairs, vocab, MAX_DEPTH))
+                b = Batch(r, blobs, depth, least, n_tokens)
+                base, full, known = scores(b, states)
+                lens, held = b.lens, pa.array(r["held"], pa.bool_())
                 of = np.repeat(np.arange(len(lens)), lens)
                 out.append(pa.Table.from_arrays(
-                    [row.column("ids")[i].values, pa.array(held), pa.array(lens),
+                    [row.column("ids")[i].values, held, pa.array(lens),
                      pa.array(np.bincount(of, weights=known, minlength=len(lens)).astype(np.int64)),
                      pa.array(np.full(len(lens), n_tokens)),
                      pa.array(np.bincount(of, weights=base, minlength=len(lens))),
@@ -316,7 +383,8 @@ def _scored(batches: DataFrame, answers: DataFrame, candidates: DataFrame, n_tok
 
     schema = (f"id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double")
-    return batches.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(run, schema)
+    of = told.withColumnRenamed("batch", "of")
+    return batches.groupBy("batch").cogroup(of.groupBy("of")).applyInArrow(run, schema)
 
 
 def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,7 +72,7 @@ def test_odd_rows_match_brute_force(spark):
         rows.append((1000 + i, text, "en", "a", *rows[0][4:]))
     want, states = brute([r[:2] for r in rows], 0.005)
     assert {len(c) for c in states} == {1, 2, 3}
-    compare(S.score(docs_frame(spark, rows), min_share=0.005, batch_tokens=2000), want)
+    compare(S.score(docs_frame(spark, rows), min_share=0.005, batch_tokens=2000, least_parts=9), want)
 
 
 def test_support_stays_when_the_corpus_grows(spark):
@@ -83,7 +83,7 @@ def test_support_stays_when_the_corpus_grows(spark):
     want, states = brute(rows, 50 / n)
     assert {c for c in states if c[0].startswith(b"rare")} and not brute(rows, 0.05)[1]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    compare(S.score(docs, min_share=0.05, min_support=50, batch_tokens=3000), want)
+    compare(S.score(docs, min_share=0.05, min_support=50, batch_tokens=3000, least_parts=9), want)
     assert S.MIN_SUPPORT <= 400
 
 
@@ -92,7 +92,7 @@ def test_documents_match_brute_force_and_beat_the_base_on_held_out_texts(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
     want, states = brute(rows, S.MIN_SHARE)
     assert len(states) > 20
-    got = compare(S.score(docs, batch_tokens=50_000), want)
+    got = compare(S.score(docs, batch_tokens=50_000, least_parts=16), want)
     held = [r for r in got if r[1]]
     assert sum(r[6] for r in held) > sum(r[5] for r in held)
 
