@@ -166,40 +166,6 @@ def modes(vc: DataFrame) -> DataFrame:
                                          best.alias("_best"))
 
 
-def column_stats(vc: DataFrame, scales: dict[str, int] | None = None) -> DataFrame:
-    """Per column from a (written) value-count table: count, n_unique, top (most frequent value,
-    ties -> smallest, as text), freq, mean, sample stddev, min, max.
-
-    The mean is summed by the column's own type (or the declared scale); the deviations are
-    taken from it in a second pass over the value counts, at every size the same way."""
-    x, w = _num(vc), F.col("freq")
-    sums = []
-    for f in vc.schema.fields:
-        t = f.dataType.simpleString()
-        if not f.name.startswith("v_") or not is_numeric(t):
-            continue
-        by_scale = sorted({(scales or {}).get(c) for c in scales or {}} - {None}) if t == "double" else []
-        rest = F.lit(True)
-        for scale in by_scale:
-            mine = F.col("column_name").isin([c for c, k in scales.items() if k == scale])
-            sums.append(F.sum(F.when(mine, summable(F.col(f.name), t, scale) * w)).cast("double"))
-            rest = rest & ~mine
-        sums.append(F.sum(F.when(rest, summable(F.col(f.name), t, None) * w)).cast("double"))
-    nn = F.sum(F.when(x.isNotNull(), w))
-    mean = F.coalesce(*sums, F.lit(None).cast("double")) / nn
-    first = vc.groupBy("column_name").agg(mean.alias("mean"), nn.alias("_n"),
-                                          F.min(x).alias("min"), F.max(x).alias("max"))
-    means = first.select(F.col("column_name").alias("_c"), F.col("mean").alias("_mean"))
-    gap = _num(vc) - F.col("_mean")     # one row a column is broadcast
-    spread = (vc.join(F.broadcast(means), F.col("column_name") == F.col("_c"))
-              .groupBy("column_name").agg(F.sum(w * gap * gap).alias("_squares")))
-    top = F.coalesce(*[F.col(f"_best.{c}").cast("string") for c in _slots(vc)])
-    out = modes(vc).join(first, "column_name").join(spread, "column_name")
-    std = F.when(F.col("_n") > 1, F.sqrt(F.col("_squares") / (F.col("_n") - 1)))
-    return out.select("column_name", "count", "n_unique", top.alias("top"),
-                      F.col("_best.freq").alias("freq"), "mean", std.alias("std"), "min", "max")
-
-
 def exact_quantiles_multi(vc: DataFrame, counts: dict, qs=(0.25, 0.5, 0.75)) -> DataFrame:
     """Exact linear-interpolated quantiles ``(column_name, q{pct}...)`` of the numeric
     columns in ``counts`` (column -> number of non-NULL values) from a value-count table.
@@ -249,9 +215,9 @@ BRACKET = 10_000         # accuracy of the approximate quantiles that bracket an
 BRACKET_SLACK = 2.0      # how many times their error the bracket reaches to either side
 
 
-def bracketed_quantiles(df: DataFrame, cols, qs=(0.5,)) -> dict[tuple[str, float], Column]:
+def bracketed_quantiles(df: DataFrame, cols, qs=(0.5,), own_type: bool = True) -> dict[tuple[str, float], Column]:
     """The exact interpolated quantiles of the columns as literals in the column's own type (integers: DOUBLE;
-    DECIMAL stays DECIMAL, half-up); NULL where a column has no value.
+    DECIMAL stays DECIMAL, half-up) or, without ``own_type``, as DOUBLE; NULL where a column has no value.
 
     Approximate quantiles bracket each wanted position (one aggregate for all columns); a second pass
     counts the rows below the brackets and the values inside them, a few rows in BRACKET, and
@@ -301,16 +267,16 @@ def bracketed_quantiles(df: DataFrame, cols, qs=(0.5,)) -> dict[tuple[str, float
         for i, (lo, hi, share) in wanted.items():
             kind = types[todo[i][0]]
             a, b = (F.lit(next(r[_slot(kind)] for r in spans if r["_start"] <= p <= r["_end"])) for p in (lo, hi))
-            out[todo[i]] = _between(a, b, share, kind)
+            out[todo[i]] = _between(a, b, share, kind, own_type)
         todo, slack = missed, slack * 8
     return out
 
 
-def _between(a: Column, b: Column, share: float, kind: str) -> Column:
+def _between(a: Column, b: Column, share: float, kind: str, own_type: bool) -> Column:
     """The point that divides a and b by ``share``."""
     if kind.startswith("decimal"):
         a, b = a.cast(kind), b.cast(kind)
-        return (a + (b - a) * F.lit(repr(round(share, 6))).cast("decimal(7,6)")).cast(kind)
+        return (a + (b - a) * F.lit(repr(round(share, 6))).cast("decimal(7,6)")).cast(kind if own_type else "double")
     return (a.cast("double") + (b.cast("double") - a.cast("double")) * F.lit(float(share))).cast(
         "double" if kind in INTEGRAL else kind)
 
@@ -365,29 +331,35 @@ def describe_all(df: DataFrame, cols, scales: dict[str, int] | None = None) -> D
     std, min, quartiles, max.  Numeric statistics are NULL for string columns and
     top/freq NULL for numeric ones.
 
-    Built on one value-count table of all columns (written once to the shared scratch
-    folder, since several jobs read it; per-column counts observed during that write);
-    one shared ordering gives every exact quartile.  The result stays a lazy plan:
-    per-column stats left-joined to per-column quartiles."""
+    Three things side by side, none of which orders a column: distinct values and modes from one
+    stacked value count, moments and extremes from one aggregate, quartiles from brackets
+    (``bracketed_quantiles``).  Each is a row a column, joined by column name."""
     types = dict(df.dtypes)
     numeric = [c for c in cols if is_numeric(types[c])]
-    vc, counts = counted_value_counts(df, cols)
-    st = column_stats(vc, scales)
-    qt = exact_quantiles_multi(vc, {c: counts[c] for c in numeric})
+    counts = modes(value_counts(df, cols))
+    top = F.coalesce(*[F.col(f"_best.{_slot(t)}").cast("string") for t in sorted({types[c] for c in cols})])
     is_num = F.col("column_name").isin(numeric) if numeric else F.lit(False)
     # the described columns as a literal list, so an all-NULL column still gets its row
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
-    out = (names.join(st, "column_name", "left")
-                .join(qt.withColumnsRenamed({"q25": "p25", "q50": "p50", "q75": "p75"}),
-                      "column_name", "left"))
-    num_only = {s: F.when(is_num, F.col(s).cast("double")) for s in ("mean", "std", "min", "max")}
+    out = names.join(counts.select("column_name", "count", "n_unique", top.alias("top"),
+                                   F.col("_best.freq").alias("freq")), "column_name", "left")
+    if numeric:
+        quartiles = bracketed_quantiles(df, numeric, (0.25, 0.5, 0.75), own_type=False)
+        stats = describe_numeric(df, numeric, scales).select("column_name", "mean", F.col("stddev").alias("std"), "min", "max")
+        out = out.join(stats, "column_name", "left")
+        for q, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+            value = F.lit(None).cast("double")
+            for c in numeric:
+                value = F.when(F.col("column_name") == c, quartiles[c, q].cast("double")).otherwise(value)
+            out = out.withColumn(name, value)
+    else:
+        out = out.withColumns({s: F.lit(None).cast("double") for s in STAT_COLS})
     return out.select(
         "column_name", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
         F.coalesce(F.col("n_unique"), F.lit(0)).cast("bigint").alias("n_unique"),
         F.when(~is_num, F.col("top")).alias("top"),
         F.when(~is_num, F.col("freq")).cast("bigint").alias("freq"),
-        *[num_only[s].alias(s) if s in num_only else F.col(s).cast("double").alias(s)
-          for s in STAT_COLS])
+        *[F.col(s).cast("double").alias(s) for s in STAT_COLS])
 
 
 def dup_report(df: DataFrame, cols=None) -> DataFrame:
