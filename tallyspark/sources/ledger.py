@@ -22,6 +22,7 @@ from tallyspark.sources.versions import create_once
 
 LEDGER = "_ledger"
 BATCH_BYTES = 64 << 30       # source bytes of a batch
+FOLD_AFTER = 64              # commits after which an entry file holds the whole ledger again
 SCHEMA = "commit bigint, source string, size bigint, changed bigint, folder string"
 
 
@@ -51,7 +52,8 @@ def read_ledger(spark: SparkSession, dst: str) -> tuple[int, dict[str, Entry]]:
     numbers = [int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit()]
     if not numbers:
         return 0, {}
-    rows = spark.read.schema(SCHEMA).json([f"{dst}/{LEDGER}/{n}" for n in numbers]).collect()
+    start = max((n for n in numbers if n % FOLD_AFTER == 0), default=min(numbers))
+    rows = spark.read.schema(SCHEMA).json([f"{dst}/{LEDGER}/{n}" for n in numbers if n >= start]).collect()
     entries = {}
     for r in sorted(rows, key=lambda r: r["commit"]):
         entries[r["source"]] = Entry(r["size"], r["changed"], r["folder"])
@@ -87,19 +89,24 @@ def sync(spark: SparkSession, src: str, dst: str, schema: T.StructType, batch_by
         rows = rows.join(F.broadcast(names), "_file").drop("_file")
         rows.write.partitionBy("file_no").parquet(folder)
         last += 1
-        create_once(spark, f"{dst}/{LEDGER}", str(last), "".join(
-            json.dumps({"commit": last, "source": p, "size": f[0], "changed": f[1],
-                        "folder": f"{folder}/file_no={ids[p]}"}) + "\n" for p, f in batch.items()))
+        _enter(spark, dst, last, known, {p: Entry(*f, f"{folder}/file_no={ids[p]}") for p, f in batch.items()})
         copied += len(batch)
         if after_batch is not None:
             after_batch(last)
     if gone:
-        last += 1
-        create_once(spark, f"{dst}/{LEDGER}", str(last), "".join(
-            json.dumps({"commit": last, "source": p, "size": 0, "changed": 0, "folder": None}) + "\n" for p in gone))
+        _enter(spark, dst, last + 1, known, {p: Entry(0, 0, None) for p in gone})
     return {"files_copied": copied, "files_left": len(now) - len(fresh), "files_gone": len(gone)}
 
 
+def _enter(spark: SparkSession, dst: str, number: int, known: dict[str, Entry], new: dict[str, Entry]) -> None:
+    """Commit ``number``: the new entries, or the whole ledger where it is folded; ``known`` takes them in."""
+    known.update(new)
+    rows = known if number % FOLD_AFTER == 0 else new
+    create_once(spark, f"{dst}/{LEDGER}", str(number), "".join(
+        json.dumps({"commit": number, "source": p, "size": e.size, "changed": e.changed, "folder": e.folder}) + "\n"
+        for p, e in rows.items() if e.folder is not None or p in new))
+
+
 def _names(rows: DataFrame, ids: dict[str, int]) -> DataFrame:
     """(_file as the scan spells it, file_no)."""
     spark = rows.sparkSession

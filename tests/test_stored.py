@@ -232,3 +232,15 @@ def test_a_killed_copy_leaves_no_double_rows(spark):
     copy = LG.read_copy(spark, dst, schema)
     assert copy.count() == 1000 and copy.distinct().count() == 1000
     assert LG.sync(spark, src, dst, schema) == {"files_copied": 0, "files_left": 5, "files_gone": 0}
+
+
+def test_a_folded_ledger_holds_everything(spark, monkeypatch):
+    from tallyspark.sources import ledger as LG
+    monkeypatch.setattr(LG, "FOLD_AFTER", 3)
+    src, dst = scratch_root(spark), scratch_root(spark)
+    spark.range(700).repartition(7).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    size = max(s for s, _ in LG.source_files(spark, src).values())
+    assert LG.sync(spark, src, dst, schema, batch_bytes=size)["files_copied"] == 7
+    number, entries = LG.read_ledger(spark, dst)
+    assert number == 7 and len(entries) == 7 and LG.read_copy(spark, dst, schema).count() == 700
