@@ -41,7 +41,7 @@ from tallyspark.operators.materialize import materialize, materialize_observed
 
 FOLDS = 7
 HELD_OUT_FOLD = 2
-BATCH_TOKENS = 1 << 22
+BATCH_TOKENS = 1 << 21
 PART_TOKENS = 1 << 22        # training tokens whose contexts a partition merges
 LEAST_PARTS = 256
 MAX_DEPTH = 3
@@ -157,13 +157,13 @@ class Level:
     times the vocabulary plus the word's code."""
 
     def __init__(self, node: np.ndarray, ids: np.ndarray, total: np.ndarray, batch: "Batch"):
-        self.node, self.ids, self.total = node, ids, total
-        self.on = np.flatnonzero(node >= 0)
-        self.pairs, self.pair_at = np.unique(node[self.on] * batch.size + batch.codes[self.on], return_inverse=True)
-        self.n = np.bincount(self.pair_at, weights=batch.train[self.on], minlength=len(self.pairs)).astype(np.int64)
+        self.node, self.ids, self.total = node.astype(np.int32), ids, total
+        on = self.on = np.flatnonzero(node >= 0).astype(np.int32)
+        self.pairs, pair_at = np.unique(node[on].astype(np.int64) * batch.size + batch.codes[on], return_inverse=True)
+        self.n = np.bincount(pair_at[batch.train[on]], minlength=len(self.pairs)).astype(np.int64)
         self.c, self.pair_ids = self.n.copy(), np.full(len(self.pairs), -1, np.int64)
-        self.pair = np.full(len(node), -1, np.int64)         # of each token
-        self.pair[self.on] = self.pair_at
+        self.pair = np.full(len(node), -1, np.int32)         # of each token
+        self.pair[on] = pair_at
 
     def answered(self, blobs: list[bytes], batch: "Batch") -> None:
         """Take in the corpus counts (and ids) of pairs that other batches hold as well."""
@@ -172,13 +172,13 @@ class Level:
             order = np.argsort(self.ids)
             node = order[np.searchsorted(self.ids[order], prefix)]
             code = batch.by_id[np.searchsorted(batch.word_ids[batch.by_id], word)]
-            at = np.searchsorted(self.pairs, node * batch.size + code)
+            at = np.searchsorted(self.pairs, node * batch.size + code)       # node: 64-bit
             self.c[at], self.pair_ids[at] = c, ids
 
 
 class Batch:
     def __init__(self, row: dict, told: pa.Table, depth: int, least: float, n_tokens: int):
-        self.codes = unpacked(row["codes"]).astype(np.int64)
+        self.codes = unpacked(row["codes"])
         self.lens, held = np.array(row["lens"], np.int64), np.array(row["held"], bool)
         self.train = np.repeat(~held, self.lens)
         self.word_ids, self.word_c = unpacked_run(row["words"], 2)
@@ -186,9 +186,9 @@ class Batch:
         level_of = told.column("level").to_numpy()
         blobs = told.column("blob")
         often = np.flatnonzero((self.word_c >= least) & (np.arange(self.size) > 0))
-        rank = np.full(self.size, -1, np.int64)
+        rank = np.full(self.size, -1, np.int32)
         rank[often] = np.arange(len(often))
-        node = np.concatenate([[-1], rank[self.codes[:-1]]])
+        node = np.concatenate([np.array([-1], np.int32), rank[self.codes[:-1]]])
         self.levels = [Level(node, self.word_ids[often], self.word_c[often], self)]
         for k in range(1, depth + 1):
             last = self.levels[-1]
@@ -196,9 +196,9 @@ class Batch:
             if k < depth:
                 # a context that is one word longer is a pair that is seen often enough
                 longer = np.flatnonzero((last.c >= least) & (last.pairs % self.size > 0) & (last.pair_ids >= 0))
-                rank = np.full(len(last.pairs) + 1, -1, np.int64)
+                rank = np.full(len(last.pairs) + 1, -1, np.int32)
                 rank[longer] = np.arange(len(longer))
-                node = np.concatenate([[-1], rank[last.pair[:-1]]])
+                node = np.concatenate([np.array([-1], np.int32), rank[last.pair[:-1]]])
                 self.levels.append(Level(node, last.pair_ids[longer], last.c[longer], self))
         self.n_tokens = n_tokens
 
@@ -207,7 +207,7 @@ class Batch:
         the totals of the context and its suffix."""
         top = self.levels[-1]
         first = np.zeros(len(top.pairs), np.int64)
-        first[top.pair_at] = top.on                     # some token of each pair
+        first[top.pair[top.on]] = top.on                # some token of each pair
         node, code = top.pairs // self.size, top.pairs % self.size
         if len(self.levels) == 1:
             up_c, up_total = self.word_c[code], np.full(len(code), self.n_tokens, np.int64)
