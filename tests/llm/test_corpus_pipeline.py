@@ -65,3 +65,21 @@ def test_every_stage_takes_an_empty_table(spark):
     empty = spark.createDataFrame([], DOCS_SCHEMA)
     for _, stage in C.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_boilerplate_lines_are_gone_in_all_later_stages(spark):
+    """Forty texts of one source share a footer; one of them holds next to nothing else."""
+    footer = " ".join(f"footer{k}" for k in range(60))
+
+    def body(i, n):
+        return "\n".join(" ".join(f"w{i}x{j}x{k}" for k in range(12)) for j in range(n))
+    rows = [(i, f"{body(i, 8)}\n{footer}", "en", "site", 0) for i in range(40)]
+    rows += [(90, f"{footer}\n{body(90, 1)}", "en", "site", 0), (91, f"{body(91, 8)}\n{footer}", "en", "other", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    cleaned = dict(texts(C.keep_quality(spark, docs, SF)))
+    assert cleaned == {i: body(i, 8) for i in range(40)} | {91: rows[-1][1]}      # 90 is depleted
+    before = docs
+    for _, stage in C.STAGES[:4]:
+        before = materialize(stage(spark, before, SF))
+        assert all("footer" not in t for i, t in texts(before) if i != 91)
+    assert {i for i, _ in texts(before)} <= set(cleaned)
