@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm.phrases import mixed, packed_run, unpacked_run
-from tallyspark.operators.materialize import materialize, materialize_observed
+from tallyspark.operators.materialize import discard, materialize, materialize_observed
 
 FOLDS = 7
 HELD_OUT_FOLD = 2
@@ -184,7 +184,7 @@ class Batch:
         self.word_ids, self.word_c = unpacked_run(row["words"], 2)
         self.size, self.by_id = len(self.word_ids), np.argsort(self.word_ids)
         level_of = told.column("level").to_numpy()
-        blobs = told.column("blob")
+        blobs, is_answer = told.column("blob"), told.column("kinds").is_null().to_numpy()
         often = np.flatnonzero((self.word_c >= least) & (np.arange(self.size) > 0))
         rank = np.full(self.size, -1, np.int32)
         rank[often] = np.arange(len(often))
@@ -192,7 +192,7 @@ class Batch:
         self.levels = [Level(node, self.word_ids[often], self.word_c[often], self)]
         for k in range(1, depth + 1):
             last = self.levels[-1]
-            last.answered([b.as_py() for b in blobs.filter(pa.array((level_of == k))) if b.is_valid], self)
+            last.answered([b.as_py() for b in blobs.filter(pa.array((level_of == k) & is_answer)) if b.is_valid], self)
             if k < depth:
                 # a context that is one word longer is a pair that is seen often enough
                 longer = np.flatnonzero((last.c >= least) & (last.pairs % self.size > 0) & (last.pair_ids >= 0))
@@ -218,7 +218,8 @@ class Batch:
 
 
 def context_runs(batches: DataFrame, told: DataFrame, depth: int, least: float, n_tokens: int, parts: int) -> DataFrame:
-    """Sorted runs (part, batch, contexts, blob) of the next words of the candidate contexts of length ``depth``."""
+    """Sorted runs (part, batch, contexts, blob) of the next words of the candidate contexts of length ``depth``;
+    ``contexts`` are those that several partitions share."""
     hot = max(n_tokens // parts, 1)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -233,7 +234,7 @@ def context_runs(batches: DataFrame, told: DataFrame, depth: int, least: float,
                 rows = order[a:b]
                 out["part"].append(int(part[rows[0]]))
                 out["batch"].append(row["batch"])
-                out["contexts"].append(np.unique(prefix[rows]))
+                out["contexts"].append(np.unique(prefix[rows][total[rows] >= hot]))
                 out["blob"].append(packed_run(*(c[rows] for c in cols)))
         kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
         return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds)})
@@ -243,9 +244,15 @@ def context_runs(batches: DataFrame, told: DataFrame, depth: int, least: float,
             .applyInArrow(run, "part long, batch long, contexts array<long>, blob binary"))
 
 
-def merged_runs(runs: DataFrame, least: float) -> DataFrame:
-    """Rows (context, deviance, cells, total, kept, kinds): what a partition finds of a context; and rows (batch,
-    blob of context, word, count, id): the answers to the batches.  A batch gets what it can't know: counts of
+def passes(deviance, cells):
+    """The divergence test."""
+    return (cells > 0) & (deviance > cells + DEVIATIONS * np.sqrt(2 * cells))
+
+
+def merged_runs(runs: DataFrame, least: float, hot: int) -> DataFrame:
+    """Rows (context, deviance, cells, total, kept, kinds): what a partition finds of a context that it shares; rows
+    (batch, kinds 0, blob of context, total, kept, kinds): the states among its own contexts, told to the
+    batches that hold them; and rows (batch, blob of context, word, count, id): the answers to the batches.  A batch gets what it can't know: counts of
     pairs that others hold too, and ids (-1: none) of pairs that are candidates of the next length."""
     def run(key: tuple, group: pa.Table) -> pa.Table:
         part, read = key[0].as_py(), [unpacked_run(b.as_py(), 6) for b in group.column("blob")]
@@ -265,8 +272,20 @@ def merged_runs(runs: DataFrame, least: float) -> DataFrame:
             at = np.flatnonzero(np.diff(prefix[one[seen]], prepend=prefix[one[seen[0]]] - 1))
             gain = np.where(cell, 2 * (k * np.log(k / expected) - (k - expected)), 0.0)
             add = lambda x: np.add.reduceat(x, at)
-            out.append(_told(len(at), context=prefix[one[seen[at]]], total=total[one[seen[at]]], deviance=add(gain),
-                             cells=add(cell.astype(np.int64)), kept=add(kept), kinds=add((kept > 0).astype(np.int64))))
+            cols = {"context": prefix[one[seen[at]]], "total": total[one[seen[at]]], "deviance": add(gain),
+                    "cells": add(cell.astype(np.int64)), "kept": add(kept), "kinds": add((kept > 0).astype(np.int64))}
+            split = cols["total"] >= hot
+            out.append(_told(int(split.sum()), **{k: v[split] for k, v in cols.items()}))
+            good = ~split & passes(cols["deviance"], cols["cells"])
+            told_states = [cols[k][good] for k in ("context", "total", "kept", "kinds")]
+            at = places(told_states[0], prefix)
+            names, rank = np.unique(batch, return_inverse=True)
+            holds = np.unique(rank[at >= 0] * max(len(told_states[0]), 1) + at[at >= 0])
+            if len(holds):
+                of, state = holds // len(told_states[0]), holds % len(told_states[0])
+                cuts = np.flatnonzero(np.diff(of, prepend=-1))
+                blobs = [packed_run(*(c[state[a:b]] for c in told_states)) for a, b in zip(cuts, np.append(cuts[1:], len(of)))]
+                out.append(_told(len(blobs), batch=names[of[cuts]], blob=blobs, kinds=np.zeros(len(blobs), np.int64)))
         told = (holders > 1) & (c > 0) | (c >= least)
         if told.any():
             ids = np.where(c >= least, (part << 32) + np.arange(len(c)), -1)
@@ -288,6 +307,7 @@ def merged_runs(runs: DataFrame, least: float) -> DataFrame:
 
 TOLD = (("batch", "long"), ("blob", "binary"), ("context", "long"), ("total", "long"), ("deviance", "double"),
         ("cells", "long"), ("kept", "long"), ("kinds", "long"))
+STATE = ("level", "context", "total", "kept", "kinds")
 ARROW = {"long": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
 
 
@@ -296,13 +316,13 @@ def _told(n: int, **cols) -> pa.Table:
 
 
 def states_of(found: DataFrame) -> DataFrame:
-    """(context, total, kept, kinds) of the contexts that pass the divergence test: the training tokens that
+    """(context, total, kept, kinds) of the shared contexts that pass the divergence test: the training tokens that
     follow, of them those whose word is seen MIN_NEXT times there, and how many such words there are."""
     all_parts = found.filter("context IS NOT NULL").groupBy("context").agg(
         F.sum("deviance").alias("deviance"), F.sum("cells").alias("cells"), F.first("total").alias("total"),
         F.sum("kept").alias("kept"), F.sum("kinds").alias("kinds"))
-    passes = (F.col("cells") > 0) & (F.col("deviance") > F.col("cells") + DEVIATIONS * F.sqrt(2 * F.col("cells")))
-    return all_parts.filter(passes).select("context", "total", "kept", "kinds")
+    diverges = (F.col("cells") > 0) & (F.col("deviance") > F.col("cells") + DEVIATIONS * F.sqrt(2 * F.col("cells")))
+    return all_parts.filter(diverges).select("context", "total", "kept", "kinds")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_share: float = MIN_SHARE,
@@ -321,19 +341,21 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_s
     parts = least_parts + n_tokens // PART_TOKENS
     several = words.filter("holders > 1").select("word", "id", "c")
     told = rows.select(F.col("batch").alias("of"), "code", "word").join(several, "word").select("of", "code", "id", "c")
-    batches = materialize(with_words(batches, told))
+    texts, batches = batches, materialize(with_words(batches, told))
+    discard(texts, words)
     nothing = batches.sparkSession.createDataFrame(
         [], "batch long, level int, blob binary, context long, total long, kept long, kinds long")
     told = nothing
     for depth in range(1, max_depth + 1):
         runs = materialize(context_runs(batches, told, depth, least, n_tokens, parts))
-        found = materialize(merged_runs(runs, least))
+        found = materialize(merged_runs(runs, least, max(n_tokens // parts, 1)))
         answers = found.filter("batch IS NOT NULL").select("batch", F.lit(depth).alias("level"), "blob", "context", "total",
                                                            "kept", "kinds")
         holders = runs.select("batch", F.explode("contexts").alias("context")).distinct()
         states = holders.join(states_of(found), "context").select(
             "batch", F.lit(depth).alias("level"), F.lit(None).cast("binary").alias("blob"), "context", "total", "kept", "kinds")
         told = told.unionByName(answers).unionByName(materialize(states))
+        discard(runs)
     return _scored(batches, told, max_depth, least, n_tokens, n_words)
 
 
@@ -342,14 +364,18 @@ def _scored(batches: DataFrame, told: DataFrame, depth: int, least: float, n_tok
 
     def scores(b: Batch, right: pa.Table) -> tuple:
         """(base, score) as log10, and whether the word is known, by token."""
-        level_of, context, total, kept, kinds = (right.column(c).to_numpy() for c in
-                                                 ("level", "context", "total", "kept", "kinds"))
+        shared = right.filter(pc.is_null(right.column("blob")))
+        parts = [np.stack([shared.column(c).to_numpy().astype(np.int64) for c in STATE])]
+        for level, blob in zip(right.column("level").to_pylist(), right.column("blob").to_pylist()):
+            if blob is not None:
+                rows = unpacked_run(blob, 4)
+                parts.append(np.concatenate([np.full((1, rows.shape[1]), level), rows]))
+        level_of, context, total, kept, kinds = np.concatenate(parts, axis=1)
         p = (b.word_c[b.codes] + 1) / (n_tokens + n_words + 1)
         base = np.log10(p)
-        state = ~np.isnan(context) if context.dtype.kind == "f" else np.ones(len(context), bool)
         for k, level in enumerate(b.levels, 1):
-            mine = np.flatnonzero((level_of == k) & state)
-            ids = context[mine].astype(np.int64)
+            mine = np.flatnonzero(level_of == k)
+            ids = context[mine]
             order = np.argsort(ids)
             at = places(ids[order], level.ids)              # the state of each context, or -1
             found = np.where(at >= 0, mine[order][at] if len(mine) else -1, -1)
@@ -363,8 +389,8 @@ def _scored(batches: DataFrame, told: DataFrame, depth: int, least: float, n_tok
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        blobs = right.filter(pc.is_valid(right.column("blob")))
-        states = right.filter(pc.is_null(right.column("blob")))
+        is_state = pc.is_valid(right.column("kinds"))
+        blobs, states = right.filter(pc.invert(is_state)), right.filter(is_state)
         for row in left.to_batches():
             for i in range(row.num_rows):
                 r = {k: row.column(k)[i].as_py() for k in row.schema.names if k != "ids"}
