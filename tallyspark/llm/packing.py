@@ -26,10 +26,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.bpe_words import ByteBpe
+from tallyspark.llm.bpe_words import ByteBpe, plain
 from tallyspark.llm.text import text_key
 from tallyspark.operators.materialize import materialize
 
@@ -38,8 +39,9 @@ END_ID = 0
 DEPTH = 3
 STEPS = 300          # projected gradient steps of the least squares
 BUCKETS = 4096         # row buckets in which a length's pieces are ranked
-CACHE_BYTES = 1 << 27     # of words and their ids that a worker remembers
+CACHE_BYTES = 5 << 24     # of words and their ids that a worker remembers, and again of older ones
 ENTRY_BYTES = 200         # what an entry of the cache takes besides
+TEXTS = 1 << 10           # texts whose words are looked up together
 NEW_WORDS = 1 << 14       # words that are encoded together
 # How far the two smaller lengths of a combination of three lie apart; fixed values that keep
 # the combinations few enough for whole repeat counts.
@@ -50,43 +52,66 @@ class Encoder:
     """Ids of the ``tokenizers`` library for whole texts, as little-endian unsigned 32-bit.
 
     Texts whose blanks all stand alone are encoded word by word (``bpe_words``): words seen before come
-    from a cache of bounded bytes, the new ones of many texts are encoded together.  All other
-    texts, and those that hold a special string, are encoded whole."""
+    from a cache of bounded bytes, the new ones of many texts are encoded together.  When the cache
+    is full, the words that haven't been met since it was last full go.  All other texts, and those
+    that hold a special string, are encoded whole."""
 
     def __init__(self, path: str):
         self.bpe = ByteBpe(path)
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.size = 0
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") if t and self.bpe.wordwise(t) else None for t in texts]
-        cache = self.cache
-        new = list({w for words in split if words for w in words[1:] if w not in cache})
-        own = {}
-        for at in range(0, len(new), NEW_WORDS):
-            part = new[at:at + NEW_WORDS]
-            ids, starts = self.bpe.words(part)
-            data, starts = ids.tobytes(), (4 * starts).tolist()
-            own.update(zip(part, [data[a:b] for a, b in zip(starts, starts[1:])]))
+        wordwise = [bool(t) and self.bpe.wordwise(t) for t in texts]
+        split = pc.split_pattern(pa.array([t for t, w in zip(texts, wordwise) if w], pa.large_string()), " ")
+        at, found = split.offsets.to_numpy(), split.flatten().dictionary_encode()
+        code, words = found.indices.to_numpy(), found.dictionary.to_numpy(zero_copy_only=False).tolist()
         # the first word has no blank before it
-        whole = iter(self.bpe.wholes([t if words is None else words[0] for t, words in zip(texts, split)]))
-        out = []
-        for words in split:
-            first = next(whole).tobytes()
-            out.append(first if words is None else
-                       first + b"".join([own[w] if w in own else cache[w] for w in words[1:]]))
-        self._remember(own)
-        return out
+        is_first = np.zeros(len(code), bool)
+        is_first[at[:-1]] = True
+        first = iter([words[c] for c in code[is_first]])
+        whole = iter(self.bpe.wholes([next(first) if w else t for t, w in zip(texts, wordwise)]))
+        data = self._words(words)
+        size = np.fromiter(map(len, data), np.int64, len(data)) // 4
+        n = np.where(is_first, 0, size[code])
+        end = np.cumsum(n)
+        steps = np.repeat((np.cumsum(size) - size)[code] - (end - n), n)
+        rest = np.frombuffer(b"".join(data), "<u4")[np.arange(len(steps)) + steps]
+        ends = np.append(0, end)[at].tolist()
+        rests = iter([rest[a:b].tobytes() for a, b in zip(ends, ends[1:])])
+        return [next(whole).tobytes() + (next(rests) if w else b"") for w in wordwise]
 
     def encode(self, text: str) -> bytes:
         return self.encode_many([text])[0]
 
-    def _remember(self, own: dict[str, bytes]) -> None:
-        size = sum(map(len, own)) + sum(map(len, own.values())) + ENTRY_BYTES * len(own)
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of " " + word for each of the different words."""
+        out = list(map(self.cache.get, words))
+        new, accented, other = [], [], []
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            out[i] = self.older.get(words[i])
+            if out[i] is None:
+                w = words[i]
+                (other if not plain(w) else new if w.isascii() else accented).append(i)
+            else:
+                self._remember(words[i], out[i])
+        for group, encode in ((new, self.bpe.plain_words), (accented, self.bpe.plain_words), (other, self.bpe.words)):
+            for at in range(0, len(group), NEW_WORDS):
+                part = group[at:at + NEW_WORDS]
+                ids, starts = encode([words[i] for i in part])
+                data, starts = ids.tobytes(), (4 * starts).tolist()
+                for i, a, b in zip(part, starts, starts[1:]):
+                    out[i] = data[a:b]
+                    self._remember(words[i], out[i])
+        return out
+
+    def _remember(self, word: str, ids: bytes) -> None:
+        size = len(word) + len(ids) + ENTRY_BYTES
         if self.size + size > CACHE_BYTES:
-            self.cache, self.size = {}, 0
+            self.cache, self.older, self.size = {}, self.cache, 0
         if size <= CACHE_BYTES:
-            self.cache.update(own)
+            self.cache[word] = ids
             self.size += size
 
 
@@ -108,8 +133,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = encoder_of(tokenizer_path), np.array([END_ID], "<u4").tobytes()
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            for at in range(0, b.num_rows, TEXTS):
+                part = b.slice(at, TEXTS)
                 of, start, length, crc, total, tail = [], [], [], [], [], []
                 for i, ids in enumerate(encoder.encode_many(part.column("text").to_pylist())):
                     ids += end

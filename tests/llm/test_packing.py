@@ -177,4 +177,35 @@ def test_many_texts_at_once_and_a_small_cache(monkeypatch):
     assert encoder.size <= 2000
 
 
+def test_plain_words_are_cut_beforehand():
+    bpe = P.ByteBpe(PATH)
+    words = ["the", "ea.", "rent.\nThesen", "555-9246", "LA!!\nAscirr", "ci\u00f3n,%%%", "\u00d3S2go", "_x_", "(a)b3.\nc",
+             "<|endoftext", "\u00aa".join("ab"), "it's", "\u4e2d\u6587", "a\u00b2", "x\n\ny", "a\u0301"]
+    plain = [w for w in words if P.plain(w)]
+    assert plain == words[:10]
+    ids, starts = bpe.plain_words(plain)
+    for w, a, b in zip(plain, starts, starts[1:]):
+        assert ids[a:b].tolist() == TOKENIZER.encode(" " + w, add_special_tokens=False).ids
+    text = "first.\nWord " + " ".join(words)
+    assert np.frombuffer(P.Encoder(PATH).encode(text), "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="abXY\u00e9\u00d109.,!$\n'\u00b2-_", min_size=1, max_size=9), min_size=1, max_size=8))
+def test_words_of_letters_digits_and_signs(words):
+    text = " ".join(words)
+    assert np.frombuffer(ENCODERS[0].encode(text), "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def test_words_in_use_outlive_a_full_cache(monkeypatch):
+    monkeypatch.setattr(P, "CACHE_BYTES", 8000)
+    encoder, calls = P.Encoder(PATH), []
+    encode = encoder.bpe.plain_words
+    encoder.bpe.plain_words = lambda words: calls.extend(words) or encode(words)
+    for i in range(60):
+        encoder.encode("x common words " + " ".join(f"w{i}n{j}" for j in range(9)))
+    assert calls.count("common") == 1 and len(calls) == 60 * 9 + 3
+    assert len(encoder.cache) + len(encoder.older) < 2 * 8000 // P.ENTRY_BYTES
+
+
 ENCODERS = [P.Encoder(PATH)]
