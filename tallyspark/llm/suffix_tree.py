@@ -26,7 +26,9 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +54,7 @@ MIN_SHARE = 1e-3             # in a small corpus: so large a share of its traini
 MIN_CELL = 5
 DEVIATIONS = 3.0
 MIN_NEXT = 2                 # a next word seen less often is left to the shorter state
+LEVEL = 3                    # of the compression of codes, which are written once and read at every length
 CODE_BITS = 24               # of the ids that a batch gives to words of its own
 
 
@@ -64,7 +67,7 @@ def packed(codes: np.ndarray) -> bytes:
     """Codes as compressed byte planes: frequent words have small codes, so the upper planes
     hold next to nothing."""
     planes = codes.astype("<i4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=LEVEL).compress(planes.tobytes())
 
 
 def unpacked(data: bytes) -> np.ndarray:
@@ -72,6 +75,14 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
+END = np.zeros(1, "<i4")
+
+
+def vocabulary() -> defaultdict:
+    """Codes of words by their first occurrence; the end has code 0."""
+    return defaultdict(count(1).__next__, {b"": 0})
+
+
 def batches_of(docs: DataFrame, id_col: str, text_col: str, batch_tokens: int) -> DataFrame:
     """One row per batch: batch, ids, held, lens, codes (packed), vocab (words by code), counts
     (training tokens by code).  Every text ends with code 0, the empty word."""
@@ -83,7 +94,7 @@ def batches_of(docs: DataFrame, id_col: str, text_col: str, batch_tokens: int) -
 
     def run(rows_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 14
-        ids, held, lens, parts, known, size = [], [], [], [], {b"": 0}, 0
+        ids, held, lens, parts, known, size = [], [], [], [], vocabulary(), 0
         types = None
 
         def made() -> pa.RecordBatch:
@@ -100,8 +111,8 @@ def batches_of(docs: DataFrame, id_col: str, text_col: str, batch_tokens: int) -
                          pa.list_(pa.int32()), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
             for i, h, text in zip(b.column("id").to_pylist(), b.column("held").to_pylist(), b.column("text")):
                 words = (text.as_py() or b"").lower().split()
-                code = known.setdefault
-                parts.append(np.array([*[code(w, len(known)) for w in words], 0], "<i4"))
+                parts.append(np.fromiter(map(known.__getitem__, words), "<i4", len(words)))
+                parts.append(END)
                 ids.append(i)
                 held.append(h)
                 lens.append(len(words) + 1)
@@ -109,7 +120,7 @@ def batches_of(docs: DataFrame, id_col: str, text_col: str, batch_tokens: int) -
                 if size >= batch_tokens:
                     yield made()
                     number += 1
-                    ids, held, lens, parts, known, size = [], [], [], [], {b"": 0}, 0
+                    ids, held, lens, parts, known, size = [], [], [], [], vocabulary(), 0
         if ids:
             yield made()
 
@@ -150,6 +161,20 @@ def places(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different non-negative ``keys`` in order, and the number of each key's among them."""
+    bits = len(keys).bit_length()
+    if not len(keys) or int(keys.max()) >> (63 - bits):
+        return np.unique(keys, return_inverse=True)
+    # a sort of plain numbers takes a fraction of the time of a sort of positions
+    rows = np.sort(keys << bits | np.arange(len(keys)))
+    at, rows = rows & (1 << bits) - 1, rows >> bits
+    new = np.diff(rows, prepend=-1) != 0
+    number = np.empty(len(keys), np.int64)
+    number[at] = np.cumsum(new) - 1
+    return rows[new], number
+
+
 class Level:
     """The contexts of one length in a batch and their (context, next word) pairs.
 
@@ -159,7 +184,7 @@ class Level:
     def __init__(self, node: np.ndarray, ids: np.ndarray, total: np.ndarray, batch: "Batch"):
         self.node, self.ids, self.total = node.astype(np.int32), ids, total
         on = self.on = np.flatnonzero(node >= 0).astype(np.int32)
-        self.pairs, pair_at = np.unique(node[on].astype(np.int64) * batch.size + batch.codes[on], return_inverse=True)
+        self.pairs, pair_at = numbered(node[on].astype(np.int64) * batch.size + batch.codes[on])
         self.n = np.bincount(pair_at[batch.train[on]], minlength=len(self.pairs)).astype(np.int64)
         self.c, self.pair_ids = self.n.copy(), np.full(len(self.pairs), -1, np.int64)
         self.pair = np.full(len(node), -1, np.int32)         # of each token
@@ -217,6 +242,18 @@ class Batch:
         return [top.ids[node], self.word_ids[code], top.n, up_c, top.total[node], up_total]
 
 
+    def order(self, part: np.ndarray, parts: int) -> np.ndarray:
+        """The pairs of the greatest length by part, context and word."""
+        top = self.levels[-1]
+        node, code = top.pairs // self.size, top.pairs % self.size
+        if parts * len(top.ids) * self.size >> 63:
+            return np.lexsort((self.word_ids[code], top.ids[node], part))
+        rank, by_word = np.empty(len(top.ids), np.int64), np.empty(self.size, np.int64)
+        rank[np.argsort(top.ids)] = np.arange(len(top.ids))
+        by_word[self.by_id] = np.arange(self.size)
+        return np.argsort((part * len(top.ids) + rank[node]) * self.size + by_word[code])
+
+
 def context_runs(batches: DataFrame, told: DataFrame, depth: int, least: float, n_tokens: int, parts: int) -> DataFrame:
     """Sorted runs (part, batch, contexts, blob) of the next words of the candidate contexts of length ``depth``;
     ``contexts`` are those that several partitions share."""
@@ -225,13 +262,14 @@ def context_runs(batches: DataFrame, told: DataFrame, depth: int, least: float,
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {"part": [], "batch": [], "contexts": [], "blob": []}
         for row in left.to_pylist():
-            cols = Batch(row, right, depth, least, n_tokens).run_columns()
+            b = Batch(row, right, depth, least, n_tokens)
+            cols = b.run_columns()
             prefix, word, total = cols[0], cols[1], cols[4]
             part = mixed(np.where(total >= hot, prefix * 1_000_003 + word, prefix), parts)
-            order = np.lexsort((word, prefix, part))
+            order = b.order(part, parts)
             cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
-            for a, b in zip(cuts, np.append(cuts[1:], len(order))):
-                rows = order[a:b]
+            for a, z in zip(cuts, np.append(cuts[1:], len(order))):
+                rows = order[a:z]
                 out["part"].append(int(part[rows[0]]))
                 out["batch"].append(row["batch"])
                 out["contexts"].append(np.unique(prefix[rows][total[rows] >= hot]))

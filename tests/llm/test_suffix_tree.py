@@ -2,6 +2,8 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from tallyspark.llm import suffix_tree as S
 from tests.llm.frames import DOCS_SCHEMA, doc_rows, docs_frame
 
@@ -119,3 +121,16 @@ def test_query_columns(spark):
                           ("n_known", "bigint"), ("train_tokens", "bigint"), ("base_score", "double"),
                           ("score", "double")]
     assert out.count() == 200
+
+
+def test_numbers_of_pairs_with_and_without_room_for_positions():
+    rng = np.random.default_rng(3)
+    for keys in (rng.integers(0, 50, 1000), rng.integers(0, 1 << 62, 500).repeat(2), np.zeros(0, np.int64), np.array([7])):
+        want, at = np.unique(keys, return_inverse=True)
+        got, number = S.numbered(keys)
+        assert got.tolist() == want.tolist() and number.tolist() == at.tolist()
+
+
+def test_codes_by_first_occurrence():
+    known = S.vocabulary()
+    assert [known[w] for w in (b"x", b"y", b"x", b"", b"z")] == [1, 2, 1, 0, 3] and list(known) == [b"", b"x", b"y", b"z"]
