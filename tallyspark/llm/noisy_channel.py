@@ -10,6 +10,7 @@ better one to the same state.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from itertools import groupby
 
@@ -28,6 +29,9 @@ SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 # Letters of other scripts that look like Latin ones; fixed values.
 LOOKALIKES = dict(zip("аеорсхіуктвмнαοιρτυ", "aeopcxiyktbmhaoiptu"))
 UNSEEN = dict.fromkeys([0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF])      # signs without a shape
+DOUBLED = re.compile(r"(.)\1", re.DOTALL)
+CHOICES = re.compile(r"(.)\1+|[^a-z]", re.DOTALL)      # where something may be read in several ways
+REMEMBERED = 50_000                 # stretches of a lattice that a restorer remembers
 EDGES = ".,;:?\"'`)]}>[{/\\_-~^=…“”‘’«»–—"     # signs that never stand for a letter
 
 _CODES = np.zeros(256, np.uint8)
@@ -92,13 +96,14 @@ class Restorer:
     def __init__(self, cost: np.ndarray):
         self.cost = cost.tolist()
         self.options: dict[tuple[str, int], list] = {}
+        self.stretches: dict[tuple[str, int, int], str] = {}
 
     def words(self, unit: str) -> tuple[str, ...]:
         """The words that a unit most likely stands for."""
         plain = unit.strip(EDGES)
         if plain.isascii() and plain.isalpha():
             lower = plain.lower()
-            if all(a != b for a, b in zip(lower, lower[1:])):
+            if not DOUBLED.search(lower):
                 return (lower,)              # a lattice with one path
         else:
             plain = unicodedata.normalize("NFKC", unit.translate(UNSEEN)).strip(EDGES)
@@ -107,6 +112,36 @@ class Restorer:
         return tuple(self._best(plain.lower()).split())
 
     def _best(self, text: str) -> str:
+        """The best path.  Three letters in a row that have one reading bring all states together, so the
+        lattice falls apart there: a stretch of choices depends on three letters on either side only, and
+        is decoded once."""
+        cuts: list[list[int]] = []
+        for m in CHOICES.finditer(text):
+            if cuts and m.start() - cuts[-1][1] < 3:
+                cuts[-1][1] = m.end()
+            else:
+                cuts.append([*m.span()])
+        out, at = [], 0
+        for start, end in cuts:
+            before, after = max(start - 3, 0), min(end + 3, len(text))
+            key = text[before:after], start - before, after - end
+            found = self.stretches.get(key)
+            if found is None:
+                found = self._decoded(*key)
+                if len(self.stretches) >= REMEMBERED:
+                    self.stretches.clear()
+                if len(key[0]) <= 64:
+                    self.stretches[key] = found
+            out += text[at:start], found
+            at = end
+        return "".join(out) + text[at:]
+
+    def _decoded(self, text: str, before: int, after: int) -> str:
+        """The best reading of a stretch without the single letters ``before`` and ``after`` it."""
+        best = self._path(text)
+        return best[before:len(best) - after]
+
+    def _path(self, text: str) -> str:
         cost, options = self.cost, self.options
         states: dict[int, tuple] = {0: (0.0, None)}        # last three letters -> cost, letters so far
         for c, run in groupby(text):

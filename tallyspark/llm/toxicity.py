@@ -38,7 +38,7 @@ LEAST_DOCS = 3               # toxic documents that hold a candidate word
 LEAST_DEVIANCE = 8.0         # twice the log likelihood ratio that a word has to reach, beyond the
 #                              largest that chance brings among V words, 2 log V
 RIDGE = 0.02
-CACHED = 400_000             # units whose restoration a worker remembers
+CACHED = 200_000             # units whose restoration a worker remembers, and again of older ones
 CACHED_LENGTH = 64
 
 
@@ -66,34 +66,43 @@ def character_costs(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 
 class Reader:
-    """Restored words of texts, remembering the units of short length."""
+    """Restored words of texts (of ``wanted`` words, where given), remembering the units of short length.  When the
+    memory is full, the units that haven't been met since it was last full go."""
 
-    def __init__(self, cost: np.ndarray):
-        self.restorer, self.seen = Restorer(cost), {}
+    def __init__(self, cost: np.ndarray, wanted: frozenset[str] | None = None):
+        self.restorer, self.wanted = Restorer(cost), wanted
+        self.seen: dict[str, tuple[str, ...]] = {}
+        self.older: dict[str, tuple[str, ...]] = {}
 
     def words(self, text: str) -> set[str]:
         out, seen = set(), self.seen
         for unit in units(text):
             words = seen.get(unit)
             if words is None:
-                words = self.restorer.words(unit)
+                words = self.older.get(unit)
+                if words is None:
+                    words = self.restorer.words(unit)
+                    if self.wanted is not None:
+                        words = tuple(w for w in words if w in self.wanted)
                 if len(unit) <= CACHED_LENGTH:
                     if len(seen) >= CACHED:
-                        seen.clear()
+                        self.older, self.seen = seen, {}
+                        seen = self.seen
                     seen[unit] = words
-            out.update(words)
+            if words:
+                out.update(words)
         return out
 
 
-_reader: dict[bytes, Reader] = {}
+_reader: dict[tuple, Reader] = {}
 
 
-def reader_of(cost: np.ndarray) -> Reader:
+def reader_of(cost: np.ndarray, wanted: frozenset[str] | None = None) -> Reader:
     """One a worker process, which runs many tasks."""
-    key = hashlib.blake2b(cost.tobytes()).digest()
+    key = hashlib.blake2b(cost.tobytes()).digest(), wanted
     if key not in _reader:
         _reader.clear()
-        _reader[key] = Reader(cost)
+        _reader[key] = Reader(cost, wanted)
     return _reader[key]
 
 
@@ -203,11 +212,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     schema = f"id {rows.schema['id'].dataType.simpleString()}, score double, words array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, weights = reader_of(model.cost), model.weights
+        reader, weights = reader_of(model.cost, frozenset(model.weights)), model.weights
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                found = [sorted(w for w in reader.words(t.as_py() or "") if w in weights) for t in part.column("text")]
+                found = [sorted(reader.words(t.as_py() or "")) for t in part.column("text")]
                 z = np.array([model.bias + sum(weights[w] for w in words) for words in found])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500)))),

@@ -157,3 +157,27 @@ def test_query_columns(spark):
     rows = out.collect()
     assert len(rows) == 200 and all(r["predicted"] == (r["score"] >= 0.5) for r in rows)
     assert all(r["held_out"] == is_held_out(r["doc_id"]) for r in rows)
+
+
+def test_stretches_of_a_lattice_read_like_the_whole():
+    rng = np.random.default_rng(5)
+    restorer = N.Restorer(N.costs(N.cell_counts(b"the better letter is a little bitter than all that hello idiot stuff " * 9)))
+    paths, path = [], restorer._path
+    restorer._path = lambda text: paths.append(text) or path(text)
+    for _ in range(4000):
+        text = "".join(rng.choice(list("abeehillnosttu013@$!*-.\u00e9 "), rng.integers(1, 18)))
+        assert restorer._best(text) == path(text)
+    paths.clear()
+    for word in ("xabollettered", "yabollettered", "qabollettereds"):
+        restorer._best(word)
+    assert paths == ["abollettere"]
+
+
+def test_units_in_use_outlive_a_full_memory(monkeypatch):
+    monkeypatch.setattr(T, "CACHED", 10)
+    reader, calls = T.Reader(N.costs(np.zeros(N.CELLS, np.int64)), frozenset(["plain"])), []
+    words = reader.restorer.words
+    reader.restorer.words = lambda unit: calls.append(unit) or words(unit)
+    for i in range(40):
+        assert reader.words(f"plain w{i}x w{i}y w{i}z") == {"plain"}
+    assert calls.count("plain") == 1 and len(calls) == 121 and len(reader.seen) + len(reader.older) <= 20
