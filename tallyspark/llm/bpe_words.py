@@ -17,6 +17,8 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 BLANK_PIECE = "\u0120"   # fixed value: how the vocabulary writes a blank
 LINE_PIECE = "\u010a"    # fixed value: how it writes a line feed
@@ -47,6 +49,11 @@ def plain(word: str) -> bool:
     return word.isascii() and word.isalpha() or PLAIN.fullmatch(word) is not None
 
 
+def are_plain(words: pa.Array) -> np.ndarray:
+    """``plain`` of each word, by a pattern without a look ahead."""
+    return pc.match_substring_regex(words, f"\\A(?:\n?[{LETTER}{DIGIT}{SIGN}])+\\z").to_numpy(zero_copy_only=False)
+
+
 def byte_of_letter() -> dict[str, int]:
     """The vocabulary's letters: printable Latin-1 bytes stand for themselves, the others are
     numbered from U+0100 on (the public byte-level alphabet)."""

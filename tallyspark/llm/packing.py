@@ -21,8 +21,9 @@ of their own; an empty table gives no pieces; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.bpe_words import ByteBpe, plain
+from tallyspark.llm.bpe_words import ByteBpe, are_plain, plain  # noqa: F401
 from tallyspark.llm.text import text_key
 from tallyspark.operators.materialize import materialize
 
@@ -39,15 +40,49 @@ END_ID = 0
 DEPTH = 3
 STEPS = 300          # projected gradient steps of the least squares
 BUCKETS = 4096         # row buckets in which a length's pieces are ranked
-CACHE_BYTES = 5 << 24     # of words and their ids that a worker remembers, and again of older ones
+RANK_BITS = 48         # of a rank; the length is kept above it
+CACHE_BYTES = 1 << 26     # of words and their ids that a worker remembers, and again of older ones
 ENTRY_BYTES = 200         # what an entry of the cache takes besides
-TEXTS = 1 << 10           # texts whose words are looked up together
+TEXTS = 3 << 9            # texts whose words are looked up together
+TEXT_BYTES = 1 << 23      # and their bytes, unless one text alone has more
 NEW_WORDS = 1 << 14       # words that are encoded together
+JOINED = 1 << 8           # texts whose words' ids are put together at once
 # How far the two smaller lengths of a combination of three lie apart; fixed values that keep
 # the combinations few enough for whole repeat counts.
 SPREADS = (0, 2, 6, 20, 62, 200, 632)
 
 
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions of runs, one run after another: steps of one, but for those from run to run."""
+    starts, sizes = starts[sizes > 0], sizes[sizes > 0]
+    out = np.ones(int(sizes.sum()), np.int64)
+    if len(out):
+        out[0] = starts[0]
+        out[np.cumsum(sizes[:-1])] = starts[1:] - (starts + sizes - 1)[:-1]
+    return np.cumsum(out, out=out)
+
+
+class Known:
+    """Words and their ids, one word's after another's."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.ids, self.starts = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.number)
+
+    def numbers(self, words: Iterable[str], n: int) -> np.ndarray:
+        """The words' numbers, or -1."""
+        return np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, n)
+
+    def add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Words that aren't known."""
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
+        self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(sizes))
+        self.ids = np.append(self.ids, ids)
+
+
 class Encoder:
     """Ids of the ``tokenizers`` library for whole texts, as little-endian unsigned 32-bit.
 
@@ -58,8 +93,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.bpe = ByteBpe(path)
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.cache, self.older = Known(), Known()
         self.size = 0
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
@@ -72,47 +106,68 @@ class Encoder:
         is_first[at[:-1]] = True
         first = iter([words[c] for c in code[is_first]])
         whole = iter(self.bpe.wholes([next(first) if w else t for t, w in zip(texts, wordwise)]))
-        data = self._words(words)
-        size = np.fromiter(map(len, data), np.int64, len(data)) // 4
-        n = np.where(is_first, 0, size[code])
-        end = np.cumsum(n)
-        steps = np.repeat((np.cumsum(size) - size)[code] - (end - n), n)
-        rest = np.frombuffer(b"".join(data), "<u4")[np.arange(len(steps)) + steps]
-        ends = np.append(0, end)[at].tolist()
-        rests = iter([rest[a:b].tobytes() for a, b in zip(ends, ends[1:])])
+        ids, start, size = self._words(words, found.dictionary)
+        del split, found, words
+        rests = self._joined(ids, start, size, code, is_first, at)
         return [next(whole).tobytes() + (next(rests) if w else b"") for w in wordwise]
 
+    @staticmethod
+    def _joined(ids: np.ndarray, start: np.ndarray, size: np.ndarray, code: np.ndarray, is_first: np.ndarray,
+                at: np.ndarray) -> Iterator[bytes]:
+        """The ids of each text's words without the first: ``code`` numbers the words, ``at`` is where texts begin."""
+        for group in (at[i:i + JOINED + 1] for i in range(0, len(at) - 1, JOINED)):
+            own = code[group[0]:group[-1]]
+            n = np.where(is_first[group[0]:group[-1]], 0, size[own])
+            ends = np.append(0, np.cumsum(n))[group - group[0]].tolist()
+            rest = ids[spans(start[own], n)]
+            yield from (rest[a:b].tobytes() for a, b in zip(ends, ends[1:]))
+
     def encode(self, text: str) -> bytes:
         return self.encode_many([text])[0]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """The ids of " " + word for each of the different words."""
-        out = list(map(self.cache.get, words))
-        new, accented, other = [], [], []
-        for i in [i for i, ids in enumerate(out) if ids is None]:
-            out[i] = self.older.get(words[i])
-            if out[i] is None:
-                w = words[i]
-                (other if not plain(w) else new if w.isascii() else accented).append(i)
-            else:
-                self._remember(words[i], out[i])
-        for group, encode in ((new, self.bpe.plain_words), (accented, self.bpe.plain_words), (other, self.bpe.words)):
-            for at in range(0, len(group), NEW_WORDS):
-                part = group[at:at + NEW_WORDS]
-                ids, starts = encode([words[i] for i in part])
-                data, starts = ids.tobytes(), (4 * starts).tolist()
-                for i, a, b in zip(part, starts, starts[1:]):
-                    out[i] = data[a:b]
-                    self._remember(words[i], out[i])
-        return out
-
-    def _remember(self, word: str, ids: bytes) -> None:
-        size = len(word) + len(ids) + ENTRY_BYTES
-        if self.size + size > CACHE_BYTES:
-            self.cache, self.older, self.size = {}, self.cache, 0
-        if size <= CACHE_BYTES:
-            self.cache[word] = ids
-            self.size += size
+    def _words(self, words: list[str], column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of " " + word for each of the different words (which are also the column's): where a
+        word's ids begin, and how many they are."""
+        start, size = np.empty((2, len(words)), np.int64)
+        parts, end = [], 0
+
+        def take(at: np.ndarray, ids: np.ndarray, starts: np.ndarray, number: np.ndarray) -> None:
+            nonlocal end
+            start[at], size[at] = starts[number] + end, np.diff(starts)[number]
+            parts.append(ids)
+            end += len(ids)
+
+        number = self.cache.numbers(words, len(words))
+        at, other = np.flatnonzero(number >= 0), np.flatnonzero(number < 0)
+        take(at, self.cache.ids, self.cache.starts, number[at])
+        number = self.older.numbers(map(words.__getitem__, other.tolist()), len(other))
+        old, new = other[number >= 0], other[number < 0]
+        take(old, self.older.ids, self.older.starts, number[number >= 0])
+        column = column.take(pa.array(new))
+        is_plain, is_ascii = are_plain(column), pc.string_is_ascii(column).to_numpy(zero_copy_only=False)
+        for group, encode in ((new[is_plain & is_ascii], self.bpe.plain_words), (new[is_plain & ~is_ascii], self.bpe.plain_words),
+                              (new[~is_plain], self.bpe.words)):
+            for first in range(0, len(group), NEW_WORDS):
+                part = group[first:first + NEW_WORDS]
+                take(part, *encode([words[i] for i in part.tolist()]), np.arange(len(part)))
+        ids = np.concatenate(parts)
+        for at in (old, new):
+            self._remember([words[i] for i in at.tolist()], ids, start[at], size[at])
+        return ids, start, size
+
+    def _remember(self, words: list[str], ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        cost = np.fromiter(map(len, words), np.int64, len(words)) + 4 * size + ENTRY_BYTES
+        total, at = np.append(0, np.cumsum(cost)), 0
+        while at < len(words):
+            fit = int(np.searchsorted(total, total[at] + CACHE_BYTES - self.size, side="right")) - 1
+            if fit > at:
+                self.cache.add(words[at:fit], ids[spans(start[at:fit], size[at:fit])], size[at:fit])
+                self.size += int(total[fit] - total[at])
+            elif self.size:
+                self.cache, self.older, self.size = Known(), self.cache, 0
+            else:                             # a word that no cache holds
+                fit += 1
+            at = fit
 
 
 @lru_cache(maxsize=1)
@@ -121,6 +176,15 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 
 
+def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    end, at = np.append(0, np.cumsum(pc.binary_length(batch.column("text")).to_numpy().astype(np.int64))), 0
+    while at < batch.num_rows:
+        stop = int(np.searchsorted(end, end[at] + TEXT_BYTES, side="right")) - 1
+        stop = min(max(stop, at + 1), at + TEXTS)
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
            window: int = WINDOW) -> DataFrame:
     """One row per piece: id, key, start, length, crc, doc_tokens, tail (ids of a piece shorter
@@ -133,8 +197,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = encoder_of(tokenizer_path), np.array([END_ID], "<u4").tobytes()
         for b in batches:
-            for at in range(0, b.num_rows, TEXTS):
-                part = b.slice(at, TEXTS)
+            for part in parts_of(b):
                 of, start, length, crc, total, tail = [], [], [], [], [], []
                 for i, ids in enumerate(encoder.encode_many(part.column("text").to_pylist())):
                     ids += end
@@ -283,31 +346,31 @@ def plan_windows(histogram: np.ndarray, window: int = WINDOW) -> tuple[list[tupl
 
 
 class Placement:
-    """Looks up where the piece of a length and rank goes; vectorised over ranks."""
+    """Looks up where the piece of a length and rank goes; vectorised over pieces."""
 
     def __init__(self, fills: list[tuple], cuts: list[tuple]):
-        self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        rows: dict[int, list] = {}
-        for n, first, count, sequence, offset in fills:
-            rows.setdefault(n, []).append((first, count, 0, sequence, offset, 0))
-        for n, first, count, head, a, b in cuts:
-            rows.setdefault(n, []).append((first, count, head, a, b, 0))
-        for n, r in rows.items():
-            table = np.array(sorted(r), np.int64)
-            self.by_length[n] = (table[:, 0], table)
+        rows = sorted([(n, first, 0, sequence, offset) for n, first, _, sequence, offset in fills]
+                      + [(n, first, head, a, b) for n, first, _, head, a, b in cuts])
+        length, self.first, self.head, self.a, self.b = np.array(rows, np.int64).reshape(-1, 5).T
+        self.keys = (length << RANK_BITS) + self.first
+
+    def places(self, length: np.ndarray, rank: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """(piece, start, length, sequence, offset) of the parts the pieces end up in, by piece and start."""
+        piece, out = np.arange(len(length)), [np.zeros((5, 0), np.int64)]
+        while len(piece):
+            at = np.searchsorted(self.keys, (length << RANK_BITS) + rank, side="right") - 1
+            head, a, b, more = self.head[at], self.a[at], self.b[at], rank - self.first[at]
+            out.append(np.stack([piece, start, length, a + more, b])[:, head == 0])
+            cut = head > 0
+            piece, start = np.tile(piece[cut], 2), np.append(start[cut], (start + head)[cut])
+            length, rank = np.append(head[cut], (length - head)[cut]), np.append((a + more)[cut], (b + more)[cut])
+        parts = np.concatenate(out, axis=1)
+        return parts[:, np.lexsort(parts[1::-1])]
 
     def place(self, length: int, rank: int, start: int) -> list[tuple[int, int, int, int]]:
         """(start, length, sequence, offset) of the parts the piece ends up in."""
-        todo, out = [(length, rank, start)], []
-        while todo:
-            n, r, s = todo.pop()
-            firsts, table = self.by_length[n]
-            first, _, head, a, b, _ = table[np.searchsorted(firsts, r, side="right") - 1].tolist()
-            if head:
-                todo += [(head, a + r - first, s), (n - head, b + r - first, s + head)]
-            else:
-                out.append((s, n, a + r - first, b))
-        return sorted(out)
+        parts = self.places(*(np.array([x], np.int64) for x in (length, rank, start)))
+        return [tuple(p) for p in parts[1:].T.tolist()]
 
 
 def ranked(rows: DataFrame) -> DataFrame:
@@ -338,16 +401,14 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            of, cols = [], ([], [], [], [], [])
-            c = {k: b.column(k).to_pylist() for k in ("start", "length", "crc", "rank", "tail")}
-            for i, (start, length, crc, rank, tail) in enumerate(zip(*c.values())):
-                for s, n, sequence, offset in placement.place(length, rank, start):
-                    of.append(i)
-                    part = crc if n == length else zlib.crc32(tail[4 * (s - start):4 * (s - start + n)])
-                    for col, v in zip(cols, (s, n, part, sequence, offset)):
-                        col.append(v)
-            at = pa.array(of, pa.int64())
-            s, n, crc, sequence, offset = (pa.array(x, pa.int64()) for x in cols)
+            start, length, crc, rank = (b.column(k).to_numpy().astype(np.int64) for k in ("start", "length", "crc", "rank"))
+            of, s, n, sequence, offset = placement.places(length, rank, start)
+            part = crc[of]
+            for i in np.flatnonzero(n != length[of]).tolist():
+                tail, at = b.column("tail")[int(of[i])].as_py(), 4 * int(s[i] - start[of[i]])
+                part[i] = zlib.crc32(tail[at:at + 4 * int(n[i])])
+            at = pa.array(of)
+            s, n, crc, sequence, offset = map(pa.array, (s, n, part, sequence, offset))
             yield pa.RecordBatch.from_arrays(
                 [b.column("id").take(at), s, n, crc, b.column("doc_tokens").take(at), sequence, offset],
                 ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])

@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -111,6 +112,16 @@ def test_plans_place_every_rank_once(counts):
     assert full == total // 64
 
 
+def test_places_of_many_pieces_at_once():
+    place = P.Placement(fills=[(4, 0, 5, 0, 0), (3, 0, 4, 7, 1), (1, 0, 9, 20, 3), (2, 0, 9, 30, 2)],
+                        cuts=[(4, 5, 2, 1, 0, 2), (3, 4, 2, 1, 2, 0)])
+    got = place.places(*map(np.array, ([3, 4, 1, 4, 3], [2, 4, 7, 6, 5], [0, 1024, 0, 2048, 5])))
+    assert got.T.tolist() == [[0, 0, 3, 9, 1], [1, 1024, 4, 4, 0], [2, 0, 1, 27, 3], [3, 2048, 1, 21, 3], [3, 2049, 3, 10, 1],
+                              [4, 5, 1, 23, 3], [4, 6, 2, 31, 2]]
+    assert place.place(4, 6, 10) == [(10, 1, 21, 3), (11, 3, 10, 1)]
+    assert P.Placement([], []).places(*np.zeros((3, 0), np.int64)).shape == (5, 0)
+
+
 def test_least_squares_uses_most_of_an_even_histogram():
     h = np.full(1025, 1000, np.int64)
     h[0] = h[1024] = 0
@@ -208,4 +219,30 @@ def test_words_in_use_outlive_a_full_cache(monkeypatch):
     assert len(encoder.cache) + len(encoder.older) < 2 * 8000 // P.ENTRY_BYTES
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abZ\u00c9\u024f\u0250\u00d7\u00f719.'!~\n\t\u4e2d"), max_size=8), max_size=8))
+def test_plain_words_of_a_column(words):
+    assert P.are_plain(pa.array(words, pa.large_string())).tolist() == [P.plain(w) for w in words]
+
+
+def test_words_are_remembered_in_bounded_bytes(monkeypatch):
+    monkeypatch.setattr(P, "CACHE_BYTES", 1000)
+    encoder, texts = P.Encoder(PATH), ["a " + "long" * 300, *(f"x and {i} of w{i}" for i in range(40)), "a of " + "y" * 900]
+    for many in ([texts], [[t] for t in texts]):
+        for part in many:
+            got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_many(part)]
+            assert got == [TOKENIZER.encode(t, add_special_tokens=False).ids for t in part]
+            assert encoder.size <= 1000 and len(encoder.cache) <= 4 and len(encoder.older) <= 4
+            assert len(encoder.cache.starts) == len(encoder.cache) + 1 and encoder.cache.starts[-1] == len(encoder.cache.ids)
+
+
+def test_parts_are_bounded_by_rows_and_bytes(monkeypatch):
+    monkeypatch.setattr(P, "TEXTS", 3)
+    monkeypatch.setattr(P, "TEXT_BYTES", 10)
+    texts = ["a" * n for n in (1, 1, 1, 1, 25, 4, 6, 1, 0, 0, 0, 0)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    got = [list(map(len, p.column("text").to_pylist())) for p in P.parts_of(batch)]
+    assert got == [[1, 1, 1], [1], [25], [4, 6], [1, 0, 0], [0, 0]]
+
+
 ENCODERS = [P.Encoder(PATH)]
