@@ -192,11 +192,12 @@ class Level:
 
     def answered(self, blobs: list[bytes], batch: "Batch") -> None:
         """Take in the corpus counts (and ids) of pairs that other batches hold as well."""
+        order = np.argsort(self.ids)                         # once for the blobs of all partitions
+        sorted_ids = self.ids[order]
         for blob in blobs:
             prefix, word, c, ids = unpacked_run(blob, 4)
-            order = np.argsort(self.ids)
-            node = order[np.searchsorted(self.ids[order], prefix)]
-            code = batch.by_id[np.searchsorted(batch.word_ids[batch.by_id], word)]
+            node = order[np.searchsorted(sorted_ids, prefix)]
+            code = batch.by_id[np.searchsorted(batch.sorted_words, word)]
             at = np.searchsorted(self.pairs, node * batch.size + code)       # node: 64-bit
             self.c[at], self.pair_ids[at] = c, ids
 
@@ -208,6 +209,7 @@ class Batch:
         self.train = np.repeat(~held, self.lens)
         self.word_ids, self.word_c = unpacked_run(row["words"], 2)
         self.size, self.by_id = len(self.word_ids), np.argsort(self.word_ids)
+        self.sorted_words = self.word_ids[self.by_id]
         level_of = told.column("level").to_numpy()
         blobs, is_answer = told.column("blob"), told.column("kinds").is_null().to_numpy()
         often = np.flatnonzero((self.word_c >= least) & (np.arange(self.size) > 0))

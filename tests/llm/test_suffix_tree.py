@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from tallyspark.llm import suffix_tree as S
 from tests.llm.frames import DOCS_SCHEMA, doc_rows, docs_frame
@@ -131,6 +132,27 @@ def test_numbers_of_pairs_with_and_without_room_for_positions():
         assert got.tolist() == want.tolist() and number.tolist() == at.tolist()
 
 
+def test_a_level_is_sorted_once_for_the_answers_of_all_partitions(monkeypatch):
+    rng = np.random.default_rng(5)
+    codes, ids = rng.integers(0, 9, 600), rng.permutation(9) - 4
+    row = {"codes": S.packed(codes), "lens": [600], "held": [False],
+           "words": S.packed_run(ids, np.bincount(codes, minlength=9))}
+    none = pa.table({"level": pa.array([], pa.int32()), "blob": pa.array([], pa.binary()), "kinds": pa.array([], pa.int64())})
+    level = S.Batch(row, none, 1, 1, 600).levels[0]
+    context, word = level.ids[level.pairs // 9], ids[level.pairs % 9]
+    order = np.lexsort((word, context))
+    blobs = [S.packed_run(context[part], word[part], 1000 + part, 7000 + part)
+             for part in (np.sort(order.reshape(-1)[i::20]) for i in range(20)) if len(part)]
+    sorts, argsort = [], np.argsort
+    monkeypatch.setattr(S.np, "argsort", lambda *a, **k: sorts.append(1) or argsort(*a, **k))
+    told = pa.table({"level": pa.array([1] * len(blobs), pa.int32()), "blob": pa.array(blobs, pa.binary()),
+                     "kinds": pa.nulls(len(blobs), pa.int64())})
+    got = S.Batch(row, told, 1, 1, 600).levels[0]
+    assert len(blobs) == 20 and len(sorts) == 2              # of the words and of the contexts
+    assert got.c.tolist() == (1000 + np.arange(len(order))).tolist()
+    assert got.pair_ids.tolist() == (7000 + np.arange(len(order))).tolist()
+
+
 def test_codes_by_first_occurrence():
     known = S.vocabulary()
     assert [known[w] for w in (b"x", b"y", b"x", b"", b"z")] == [1, 2, 1, 0, 3] and list(known) == [b"", b"x", b"y", b"z"]
