@@ -114,6 +114,51 @@ def test_long_runs():
                 assert up[a] == up[b]
 
 
+def trees(n, edges):
+    up = list(range(n))
+    for a, b in edges:
+        up = [up[a] if u == up[b] else u for u in up]
+    return [up.index(u) for u in up]
+
+
+def test_divided_runs_lose_no_link():
+    rng = random.Random(4)
+    for alphabet, length, edits in (("ab", 9, 3), ("ab", 30, 6), ("abcdefgh é", 60, 5), ("abcdefgh é", 3, 2)):
+        base = ["".join(rng.choices(alphabet, k=length)) for _ in range(3)]
+        lines = sorted({edited(rng, rng.choice(base), rng.randrange(edits + 1)) for _ in range(120)})
+        edges = D.reached(lines)
+        assert all(linked(lines[a], lines[b]) for a, b in edges)
+        pairs = [(a, b) for a, x in enumerate(lines) for b in range(a) if linked(x, lines[b])]
+        assert trees(len(lines), edges) == trees(len(lines), pairs)
+
+
+def test_runs_are_not_compared_pair_by_pair(monkeypatch):
+    calls = []
+    within = D.within
+    monkeypatch.setattr(D, "within", lambda x, y: calls.append(1) or within(x, y))
+    rng = random.Random(6)
+    lines = sorted({f"order {rng.randrange(10 ** 9):09d} was shipped from the warehouse" for _ in range(600)})
+    D.reached(lines)
+    base = "".join(rng.choices("abcdefgh ij", k=300))
+    lines = sorted({base[:100] + edited(rng, base[100:], 12) for _ in range(600)})
+    D.reached(lines)
+    assert len(calls) < 20_000          # of 360,000 pairs
+
+
+def test_a_line_entered_often_shares_its_keys_with_no_other(spark):
+    rows = [(key, 2 * 5 + 1) for key in range(20) for _ in range(50)] + [(99, 2 * x + 1) for x in (7, 7, 8, 9, 9, 9)]
+    frame = spark.createDataFrame(rows, "key long, entry long")
+    for most, hot in ((2, True), (3, False)):
+        out = D.shared(frame, most).distinct().collect()
+        assert sorted(tuple(r) for r in out) == [(99, x, hot) for x in (7, 8, 9)]
+
+
+def test_few_bytes_of_hot_runs_are_searched_by_many_tasks(spark):
+    rows = spark.range(64).selectExpr("id % 8 key", "id line", "concat('some text ', id) text")
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    assert D.searched(rows, "key").rdd.getNumPartitions() == int(tasks)
+
+
 def test_documents_match_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
